@@ -68,10 +68,10 @@ def resolve_kinds(kinds: Column, mode: str) -> Column:
     """
     n = F.size(kinds)
     if mode == STRICT:
-        return F.when(n == 1, kinds[0])
+        return F.when(n == 1, F.get(kinds, F.lit(0)))
     if mode == WIDEN:
         return (
-            F.when(n == 1, kinds[0])
+            F.when(n == 1, F.get(kinds, F.lit(0)))
             .when((n == 2) & F.array_contains(kinds, BIGINT) & F.array_contains(kinds, DOUBLE), F.lit(DOUBLE))
             .when(n > 1, F.lit(STRING))
         )

@@ -68,7 +68,7 @@ def infer_schema(observed: DataFrame, mode: str = STRICT) -> DataFrame:
     return merged.select(
         "reason",
         ROUTING_COLUMN,
-        F.col("spellings")[0].alias("field"),
+        F.get(F.col("spellings"), F.lit(0)).alias("field"),
         resolve_kinds(F.col("kinds"), mode).alias("data_type"),
         "kinds",
         "spellings",

@@ -8,6 +8,7 @@ write job (plus one key-only probe job when the table already holds data).
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -215,7 +216,7 @@ class MultiTableSink:
     def _table_rows(self, prepared: DataFrame, suffix: str, plans: list[FieldPlan], batch_time: dt.datetime) -> DataFrame:
         rows = flatten(route_filter(prepared, suffix), plans)
         rows = stamp_ingest_time(rows, batch_time, self.config.ingest_time_column)
-        return with_date_partition(rows)
+        return with_date_partition(rows) if self.config.mode == MERGE else rows
 
     def _write_table(
         self, prepared: DataFrame, suffix: str, rows: list, batch_id: int, writer: str, batch_time: dt.datetime
@@ -233,9 +234,7 @@ class MultiTableSink:
         schema = self._ensure_table(suffix, plans, stored)
         data = self._table_rows(prepared, suffix, plans, batch_time)
         if self.config.mode == APPEND:
-            data = data.withColumn(BATCH_COLUMN, F.lit(self._batch_tag(writer, batch_id)))
-            aligned, _ = align_to_schema(data, schema)
-            aligned.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+            self._overwrite_batch_partition(table, schema, data, writer, batch_id)
             return True
         aligned, _ = align_to_schema(data, schema)
         if self.config.table_format != "parquet":
@@ -277,9 +276,12 @@ class MultiTableSink:
 
     def _merge_sql(self, table: str, aligned: DataFrame) -> None:
         key_col = next(c for c in aligned.columns if c.lower() == self.config.key.lower())
-        view = f"sluice_src_{abs(hash(table))}"
+        view = f"sluice_src_{uuid.uuid4().hex}"
         dedupe_latest(aligned, key_col).createOrReplaceTempView(view)
-        self.spark.sql(merge_into_sql(table, view, key_col))
+        try:
+            aligned.sparkSession.sql(merge_into_sql(table, view, key_col))
+        finally:
+            aligned.sparkSession.catalog.dropTempView(view)
 
     def _write_quarantine(self, prepared: DataFrame, batch_id: int, writer: str, batch_time: dt.datetime) -> None:
         name = self.config.table_prefix + self.config.quarantine_table
@@ -297,9 +299,24 @@ class MultiTableSink:
             )
         rows = bad_rows(prepared).select(*META_COLUMNS, ROUTING_COLUMN, "raw_value", "reason")
         rows = stamp_ingest_time(rows, batch_time, self.config.ingest_time_column)
-        rows = rows.withColumn(BATCH_COLUMN, F.lit(self._batch_tag(writer, batch_id)))
-        aligned, _ = align_to_schema(rows, self.spark.table(table).schema)
-        aligned.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+        self._overwrite_batch_partition(table, self.spark.table(table).schema, rows, writer, batch_id)
+
+    def _overwrite_batch_partition(
+        self, table: str, schema: T.StructType, rows: DataFrame, writer: str, batch_id: int
+    ) -> None:
+        """Append as ``INSERT OVERWRITE`` of this batch's own partition: a replay
+        replaces what an earlier attempt wrote instead of adding it again."""
+        data_schema = T.StructType([f for f in schema.fields if f.name != BATCH_COLUMN])
+        aligned, _ = align_to_schema(rows, data_schema)
+        view = f"sluice_batch_{uuid.uuid4().hex}"
+        # Temp views are per session; a foreachBatch frame lives in a cloned one.
+        session = aligned.sparkSession
+        aligned.select(*[F.col(quote(f.name)) for f in data_schema.fields]).createOrReplaceTempView(view)
+        try:
+            tag = tables.sql_string(self._batch_tag(writer, batch_id))
+            session.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({quote(BATCH_COLUMN)} = {tag}) SELECT * FROM {view}")
+        finally:
+            session.catalog.dropTempView(view)
 
     def quarantine_table(self) -> str:
         return tables.ident(self.config.database, self.config.table_prefix + self.config.quarantine_table)

@@ -13,7 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from sluice.functions.types import quote, sql_string
+from sluice.functions.types import quote, sql_string  # noqa: F401  (re-exported)
 
 MANIFEST_SCHEMA = T.StructType(
     [T.StructField("part", T.StringType(), True), T.StructField("location", T.StringType(), True)]

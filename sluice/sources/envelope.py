@@ -64,6 +64,10 @@ NORMALISED_ENVELOPE = T.StructType(
 
 REQUIRED_KAFKA_PARAMS = ("bootstrap_servers", "topic")
 
+# JSON files keep record times to the microsecond (Spark's default
+# JSON format stops at milliseconds).
+JSON_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
 
 def routing_key(headers: Column) -> Column:
     """Value of header 0 as text; NULL (not an error) when there is no header."""
@@ -123,11 +127,11 @@ def read_kafka_stream(spark: SparkSession, **config: str) -> DataFrame:
 
 
 def read_json(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RAW_ENVELOPE).json(path)
+    return spark.read.schema(RAW_ENVELOPE).option("timestampFormat", JSON_TIMESTAMP_FORMAT).json(path)
 
 
 def read_json_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(RAW_ENVELOPE)
+    reader = spark.readStream.schema(RAW_ENVELOPE).option("timestampFormat", JSON_TIMESTAMP_FORMAT)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.json(path)
@@ -135,7 +139,7 @@ def read_json_stream(spark: SparkSession, path: str, max_files_per_trigger: int
 
 def write_json(df: DataFrame, path: str) -> None:
     """Append envelope records as JSON files (binary columns as base64)."""
-    df.write.mode("append").json(path)
+    df.write.mode("append").option("timestampFormat", JSON_TIMESTAMP_FORMAT).json(path)
 
 
 def kafka_encode(df: DataFrame) -> DataFrame:
