@@ -25,7 +25,7 @@ def ident(database: str, name: str) -> str:
 
 
 def table_exists(spark: SparkSession, database: str, name: str) -> bool:
-    return spark.catalog.tableExists(name, database)
+    return spark.catalog.tableExists(ident(database, name))
 
 
 def create_table(

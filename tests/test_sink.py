@@ -1,0 +1,249 @@
+from __future__ import annotations
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import BATCH_TIME, new_sink, records
+from sluice import BadRecordError, SchemaConflictError
+from sluice.plans import tables as table_ops
+from sluice.session import scratch_path
+from sluice.sources import envelope
+from sluice.streaming import sink as streaming
+
+# The nine sample payloads and the six table names they are dealt to in
+# turn (the last three reuse the first three names), as given in FIXTURES.md.
+TEMPLATES = [
+    {"id": 1, "name": "Alice", "lastname": "bolek", "gender": "male"},
+    {"product": "Laptop", "seller": "Gruber", "quantity": 5, "returns": 2},
+    {"sensorId": "sensor_01", "temperature": 22.5, "humidity": 45.2, "runtime": 13},
+    {"id": 2, "name": "Bob", "email": "bob@example.com"},
+    {"product": "Smartphone", "seller": "töpfer", "quantity": 10, "returns": 2, "in_stock": True},
+    {"sensorId": "sensor_02", "temperature": 18.3, "humidity": 50.0, "status": "active"},
+    {"name": "Charlie"},
+    {"product": "Tablet", "seller": "toepfer"},
+    {"sensorId": "sensor_03", "humidity": 55.5},
+]
+TABLES = ["user_info", "inventory", "sensor_data", "user_info2", "inventory2", "sensor_data2"]
+GOLDEN = {
+    "user_info": {"gender": "string", "id": "bigint", "lastname": "string", "name": "string"},
+    "inventory": {"product": "string", "quantity": "bigint", "returns": "bigint", "seller": "string"},
+    "sensor_data": {"humidity": "double", "runtime": "bigint", "sensorId": "string", "temperature": "double"},
+    "user_info2": {"email": "string", "id": "bigint", "name": "string"},
+    "inventory2": {"in_stock": "boolean", "product": "string", "quantity": "bigint", "returns": "bigint", "seller": "string"},
+    "sensor_data2": {"humidity": "double", "sensorId": "string", "status": "string", "temperature": "double"},
+}
+META = {"kafka_key", "kafka_topic", "kafka_partition", "kafka_offset", "kafka_ts", "kafka_ts_type"}
+
+
+def _payload_types(df) -> dict[str, str]:
+    skip = META | {"ingested_to_iceberg", "kafka_date", "unique_id", "ingested_to_component"}
+    return {f.name: f.dataType.simpleString() for f in df.schema.fields if f.name not in skip}
+
+
+def _template_records(spark, copies: int, first_offset: int = 0):
+    rows = []
+    offset = first_offset
+    for c in range(copies):
+        for i, t in enumerate(TEMPLATES):
+            payload = dict(t, unique_id=1_700_000_000_000_000 + offset, ingested_to_component="2024-01-01")
+            rows.append((TABLES[i % len(TABLES)], json.dumps(payload), offset))
+            offset += 1
+    return records(spark, rows)
+
+
+def test_golden_schemas_of_templates(spark):
+    sink = new_sink(spark)
+    report = sink.process_batch(_template_records(spark, 3), 0, "w", BATCH_TIME)
+    assert set(report.tables) == set(TABLES)
+    for name, expected in GOLDEN.items():
+        df = sink.read(name)
+        assert _payload_types(df) == expected, name
+        assert df.schema["unique_id"].dataType.simpleString() == "bigint"
+    # Large keys stay keys: the upsert matched nothing twice, 9 templates x 3 copies.
+    assert sum(sink.read(n).count() for n in TABLES) == 27
+    assert sink.read("inventory2").where("seller = 'töpfer'").count() == 3
+
+
+def _state(sink, names):
+    out = {}
+    for n in names:
+        df = sink.read(n).drop("kafka_key", "ingested_to_iceberg")
+        out[n] = sorted(tuple(str(x) for x in r) for r in df.collect())
+    return out
+
+
+def test_merge_twice_equals_once(spark):
+    sink = new_sink(spark)
+    batch = _template_records(spark, 2)
+    sink.process_batch(batch, 0, "w", BATCH_TIME)
+    once = _state(sink, TABLES)
+    report = sink.process_batch(batch, 0, "w", BATCH_TIME)
+    assert sorted(report.skipped) == sorted(TABLES)
+    assert _state(sink, TABLES) == once
+    # The same records as a new batch id: every key matches, nothing is added.
+    sink.process_batch(batch, 1, "w", BATCH_TIME)
+    assert _state(sink, TABLES) == once
+
+
+def test_k_batches_equal_one_batch(spark):
+    rows = [("t", json.dumps({"unique_id": i % 7, "v": i, "w": f"s{i}"}), i) for i in range(40)]
+    one = new_sink(spark)
+    one.process_batch(records(spark, rows), 0, "w", BATCH_TIME)
+    many = new_sink(spark)
+    for b in range(4):
+        many.process_batch(records(spark, rows[b * 10 : (b + 1) * 10]), b, "w", BATCH_TIME)
+    assert _state(one, ["t"]) == _state(many, ["t"])
+    assert one.read("t").count() == 7
+
+
+def test_replay_after_interrupted_commit(spark, monkeypatch):
+    sink = new_sink(spark)
+    sink.process_batch(_template_records(spark, 1), 0, "w", BATCH_TIME)
+    update = _template_records(spark, 1, first_offset=0).withColumn("offset", F.col("offset") + 100)
+    reference = new_sink(spark)
+    reference.process_batch(_template_records(spark, 1), 0, "w", BATCH_TIME)
+    reference.process_batch(update, 1, "w", BATCH_TIME)
+
+    real = table_ops.switch_partitions
+    calls = {"n": 0}
+
+    def flaky(*args, **kwargs):
+        calls["n"] += 1
+        if calls["n"] == 1:
+            raise RuntimeError("lost the driver mid-commit")
+        return real(*args, **kwargs)
+
+    monkeypatch.setattr(table_ops, "switch_partitions", flaky)
+    with pytest.raises(RuntimeError):
+        sink.process_batch(update, 1, "w", BATCH_TIME)
+    monkeypatch.setattr(table_ops, "switch_partitions", real)
+    sink.process_batch(update, 1, "w", BATCH_TIME)
+    assert _state(sink, TABLES) == _state(reference, TABLES)
+
+
+def test_null_keys_are_inserted_never_matched(spark):
+    sink = new_sink(spark)
+    sink.process_batch(records(spark, [("t", '{"unique_id":1,"v":1}', 1), ("t", '{"v":2}', 2)]), 0, "w", BATCH_TIME)
+    sink.process_batch(records(spark, [("t", '{"v":3}', 3), ("t", '{"unique_id":1,"v":4}', 4)]), 1, "w", BATCH_TIME)
+    got = sorted((r["unique_id"] or -1, r["v"]) for r in sink.read("t").collect())
+    assert got == [(-1, 2), (-1, 3), (1, 4)]
+
+
+def test_same_key_twice_later_wins(spark):
+    sink = new_sink(spark)
+    rows = [("t", '{"unique_id":1,"v":"late"}', 9, 5), ("t", '{"unique_id":1,"v":"early"}', 3, 5)]
+    sink.process_batch(records(spark, rows), 0, "w", BATCH_TIME)
+    assert [r["v"] for r in sink.read("t").collect()] == ["late"]
+
+
+def test_update_replaces_whole_row(spark):
+    sink = new_sink(spark)
+    sink.process_batch(records(spark, [("t", '{"unique_id":1,"a":1,"b":"x"}', 1)]), 0, "w", BATCH_TIME)
+    sink.process_batch(records(spark, [("t", '{"unique_id":1,"a":2}', 2)]), 1, "w", BATCH_TIME)
+    row = sink.read("t").first()
+    assert row["a"] == 2 and row["b"] is None
+
+
+def test_fraction_into_integer_column_fails_and_keeps_table(spark):
+    sink = new_sink(spark)
+    sink.process_batch(records(spark, [("t", '{"unique_id":1,"a":1}', 1)]), 0, "w", BATCH_TIME)
+    with pytest.raises(SchemaConflictError, match="'a'"):
+        sink.process_batch(records(spark, [("t", '{"unique_id":2,"a":2.7}', 2)]), 1, "w", BATCH_TIME)
+    assert [(r["unique_id"], r["a"]) for r in sink.read("t").collect()] == [(1, 1)]
+
+
+def test_conflict_in_one_table_does_not_block_others(spark):
+    sink = new_sink(spark)
+    rows = [("bad", '{"unique_id":1,"a":1}', 1), ("bad", '{"unique_id":2,"a":"x"}', 2), ("good", '{"unique_id":3}', 3)]
+    with pytest.raises(SchemaConflictError, match="bad"):
+        sink.process_batch(records(spark, rows), 0, "w", BATCH_TIME)
+    assert sink.read("good").count() == 1
+    assert not spark.catalog.tableExists(sink.table("bad"))
+
+
+def test_widen_stores_numbers_in_string_column(spark):
+    sink = new_sink(spark, conflicts="widen")
+    sink.process_batch(records(spark, [("t", '{"unique_id":1,"a":"x"}', 1)]), 0, "w", BATCH_TIME)
+    sink.process_batch(records(spark, [("t", '{"unique_id":2,"a":5}', 2), ("t", '{"unique_id":3,"a":[1]}', 3)]), 1, "w", BATCH_TIME)
+    got = {r["unique_id"]: r["a"] for r in sink.read("t").collect()}
+    assert got == {1: "x", 2: "5", 3: "[1]"}
+
+
+def test_only_null_field_waits_for_a_type(spark):
+    sink = new_sink(spark)
+    sink.process_batch(records(spark, [("t", '{"unique_id":1,"a":null}', 1)]), 0, "w", BATCH_TIME)
+    assert "a" not in sink.read("t").columns
+    sink.process_batch(records(spark, [("t", '{"unique_id":2,"a":3}', 2)]), 1, "w", BATCH_TIME)
+    sink.process_batch(records(spark, [("t", '{"unique_id":3,"a":null}', 3)]), 2, "w", BATCH_TIME)
+    assert sink.read("t").schema["a"].dataType.simpleString() == "bigint"
+    assert sorted((r["unique_id"], r["a"]) for r in sink.read("t").collect()) == [(1, None), (2, 3), (3, None)]
+
+
+def test_new_columns_are_added_by_name_after_table_columns(spark):
+    sink = new_sink(spark)
+    sink.process_batch(records(spark, [("t", '{"unique_id":1,"m":1}', 1)]), 0, "w", BATCH_TIME)
+    sink.process_batch(records(spark, [("t", '{"unique_id":2,"z":1,"b":"x","ID2":true}', 2)]), 1, "w", BATCH_TIME)
+    cols = sink.read("t").columns
+    assert cols[-5:] == ["ingested_to_iceberg", "b", "ID2", "z", "kafka_date"]
+
+
+def test_odd_and_reserved_names(spark):
+    sink = new_sink(spark)
+    sink.process_batch(records(spark, [("t", '{"unique_id":1,"order-id":5,"kafka_ts":7}', 1)]), 0, "w", BATCH_TIME)
+    row = sink.read("t").first()
+    assert row["order-id"] == 5 and row["payload_kafka_ts"] == 7
+
+
+def test_missing_key_column_is_an_error(spark):
+    sink = new_sink(spark)
+    with pytest.raises(SchemaConflictError, match="no key column"):
+        sink.process_batch(records(spark, [("t", "{}", 1)]), 0, "w", BATCH_TIME)
+
+
+def test_quarantine_and_failfast(spark):
+    rows = [("t", '{"unique_id":1}', 1), ("t", "{bad", 2), (None, '{"unique_id":3}', 3)]
+    sink = new_sink(spark)
+    report = sink.process_batch(records(spark, rows), 0, "w", BATCH_TIME)
+    assert report.quarantined == {"malformed": 1, "unroutable": 1}
+    q = {r["kafka_offset"]: (r["reason"], r["raw_value"]) for r in spark.table(sink.quarantine_table()).collect()}
+    assert q == {2: ("malformed", "{bad"), 3: ("unroutable", '{"unique_id":3}')}
+    sink.process_batch(records(spark, rows), 0, "w", BATCH_TIME)  # replay: same quarantine rows
+    assert spark.table(sink.quarantine_table()).count() == 2
+    strict = new_sink(spark, on_bad="failfast")
+    with pytest.raises(BadRecordError):
+        strict.process_batch(records(spark, rows), 0, "w", BATCH_TIME)
+
+
+def test_append_mode_replay_does_not_duplicate(spark):
+    sink = new_sink(spark, mode="append")
+    batch = records(spark, [("t", '{"unique_id":1}', 1), ("t", '{"unique_id":1}', 2)])
+    sink.process_batch(batch, 0, "w", BATCH_TIME)
+    sink.process_batch(batch, 0, "w", BATCH_TIME)
+    sink.process_batch(batch, 1, "w", BATCH_TIME)
+    assert sink.read("t").count() == 4
+
+
+def test_table_properties_and_provider(spark):
+    sink = new_sink(spark, properties={"team": "ingest"})
+    sink.process_batch(records(spark, [("t", '{"unique_id":1}', 1)]), 0, "w", BATCH_TIME)
+    props = {r["key"]: r["value"] for r in table_ops.table_properties(spark, sink.table("t")).collect()}
+    assert props["sluice.key"] == "unique_id" and props["team"] == "ingest"
+    assert table_ops.table_provider(spark, sink.table("t")) == "parquet"
+
+
+def test_stream_restart_equals_uninterrupted_run(spark):
+    base = scratch_path(spark, "stream-test")
+    first = _template_records(spark, 2)
+    second = _template_records(spark, 2).withColumn("offset", F.col("offset") + 50)
+    envelope.write_json(first, f"{base}/in")
+    stamp = streaming.fixed_time(BATCH_TIME)
+    restarted = new_sink(spark)
+    streaming.run_available(restarted, envelope.read_json_stream(spark, f"{base}/in"), f"{base}/ck", stamp)
+    envelope.write_json(second, f"{base}/in")
+    streaming.run_available(restarted, envelope.read_json_stream(spark, f"{base}/in"), f"{base}/ck", stamp)
+
+    whole = new_sink(spark)
+    whole.process_batch(first.unionByName(second), 0, "w", BATCH_TIME)
+    assert _state(restarted, TABLES) == _state(whole, TABLES)
