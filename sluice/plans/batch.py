@@ -53,6 +53,15 @@ META_TYPES = [
 ]
 
 
+# A version folder is invisible until its manifest is written and the
+# catalog points at it, so the job commit need not be atomic: tasks commit straight
+# into place (no second rename pass) and the manifest stands in for _SUCCESS.
+VERSION_WRITE_OPTIONS = {
+    "mapreduce.fileoutputcommitter.algorithm.version": "2",
+    "mapreduce.fileoutputcommitter.marksuccessfuljobs": "false",
+}
+
+
 class BadRecordError(ValueError):
     """Raised under ``on_bad='failfast'`` when a batch has unroutable or malformed rows."""
 
@@ -69,7 +78,11 @@ class SinkConfig:
     ingest_time_column: str = INGEST_TIME_COLUMN
     root: str | None = None  # folder for table data; default under spark.checkpoint.dir
     table_format: str = "parquet"  # parquet: copy-on-write commits; iceberg/delta: MERGE INTO
-    max_concurrent_tables: int = 4
+    max_concurrent_tables: int = 8
+    # A batch with fewer input partitions than this is spread round-robin before
+    # parsing (a topic with few partitions would otherwise parse in few tasks).
+    # None: the cluster's default parallelism; 0: never.
+    min_partitions: int | None = None
     properties: dict[str, str] = field(default_factory=dict)
 
 
@@ -122,6 +135,7 @@ class MultiTableSink:
         apply_required_conf(spark)
         batch_time = batch_time or dt.datetime.now(dt.timezone.utc)
         normalised = normalise(df) if "headers" in df.columns else df
+        normalised = self._spread(normalised)
         # Sorting by routing key inside each partition (no shuffle) keeps the cached
         # column batches narrow, so each table's scan of the cache skips the others.
         prepared = prepare(normalised).sortWithinPartitions(ROUTING_COLUMN).persist(StorageLevel.MEMORY_AND_DISK)
@@ -160,6 +174,14 @@ class MultiTableSink:
         finally:
             prepared.unpersist()
 
+    def _spread(self, df: DataFrame) -> DataFrame:
+        want = self.config.min_partitions
+        if want is None:
+            want = df.sparkSession.sparkContext.defaultParallelism
+        if want and df.rdd.getNumPartitions() < want:
+            return df.repartition(want)
+        return df
+
     # -- per table plan ----------------------------------------------------
 
     def plan_fields(self, suffix: str, rows: list, stored: T.StructType | None) -> list[FieldPlan]:
@@ -253,25 +275,34 @@ class MultiTableSink:
     def _copy_on_write(
         self, table: str, suffix: str, aligned: DataFrame, writer: str, batch_id: int, has_data: bool
     ) -> None:
-        """Rewrite only the day partitions the batch touches, then switch them."""
-        key = self.config.key
-        key_col = next(c for c in aligned.columns if c.lower() == key.lower())
-        batch = dedupe_latest(aligned, key_col).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            affected_df = batch.select(DATE_COLUMN).distinct()
-            target = self.spark.table(table)
-            if has_data and tables.partition_values(self.spark, table, DATE_COLUMN):
-                affected_df = affected_df.union(touched_values(target, batch, key_col, DATE_COLUMN)).distinct()
-            affected = [r[0] for r in affected_df.collect()]
-            kept = target.where(F.col(DATE_COLUMN).isin(affected))
-            result = upsert_rows(kept, batch, key_col)
-            version = self._version_dir(suffix, writer, batch_id)
-            result.write.mode("overwrite").partitionBy(DATE_COLUMN).parquet(f"{version}/data")
-            written = tables.written_partitions(self.spark, f"{version}/data", DATE_COLUMN)
-            entries = [(str(d), written.get(str(d))) for d in affected]
-            tables.write_manifest(self.spark, f"{version}/_manifest", entries)
-        finally:
-            batch.unpersist()
+        """Rewrite only the day partitions the batch touches, then switch them.
+
+        Job 1 (small result): the days of the batch rows plus the days of stored
+        rows whose key is in the batch (a key-only semi join). Job 2: those days of
+        the target, minus replaced keys, plus the deduplicated batch, written to a
+        fresh version folder. Then one manifest and the catalog switch.
+        """
+        key_col = next(c for c in aligned.columns if c.lower() == self.config.key.lower())
+        target = self.spark.table(table)
+        affected_df = aligned.select(DATE_COLUMN)
+        if has_data and tables.partition_values(self.spark, table, DATE_COLUMN):
+            affected_df = affected_df.union(touched_values(target, aligned, key_col, DATE_COLUMN))
+        affected = [r[0] for r in affected_df.distinct().collect()]
+        kept = target.where(F.col(DATE_COLUMN).isin(affected))
+        result = upsert_rows(kept, dedupe_latest(aligned, key_col), key_col)
+        version = self._version_dir(suffix, writer, batch_id)
+        # Rebalance by day: without it every task writes one file per day it holds
+        # (tasks x days small files); AQE sizes the tasks and splits a hot day.
+        result = result.hint("rebalance", DATE_COLUMN)
+        (
+            result.write.mode("overwrite")
+            .options(**VERSION_WRITE_OPTIONS)
+            .partitionBy(DATE_COLUMN)
+            .parquet(f"{version}/data")
+        )
+        written = tables.written_partitions(self.spark, f"{version}/data", DATE_COLUMN)
+        entries = [(str(d), written.get(str(d))) for d in affected]
+        tables.write_manifest(self.spark, f"{version}/_manifest", entries)
         tables.switch_partitions(self.spark, table, DATE_COLUMN, entries)
 
     def _merge_sql(self, table: str, aligned: DataFrame) -> None:

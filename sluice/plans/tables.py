@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.functions.types import quote, sql_string  # noqa: F401  (re-exported)
@@ -115,7 +116,10 @@ def read_manifest(spark: SparkSession, path: str) -> list[tuple[str, str | None]
 
 
 def write_manifest(spark: SparkSession, path: str, entries: list[tuple[str, str | None]]) -> None:
-    spark.createDataFrame(entries, MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").json(path)
+    """One small JSON file listing (partition value, new folder or NULL for dropped)."""
+    rows = [F.struct(F.lit(p).alias("part"), F.lit(loc).cast("string").alias("location")) for p, loc in entries]
+    manifest = spark.range(1).select(F.inline(F.array(*rows)))
+    manifest.coalesce(1).write.mode("overwrite").json(path)
 
 
 def switch_partitions(spark: SparkSession, table: str, column: str, entries: list[tuple[str, str | None]]) -> None:
