@@ -277,23 +277,31 @@ class MultiTableSink:
     ) -> None:
         """Rewrite only the day partitions the batch touches, then switch them.
 
-        Job 1 (small result): the days of the batch rows plus the days of stored
-        rows whose key is in the batch (a key-only semi join). Job 2: those days of
-        the target, minus replaced keys, plus the deduplicated batch, written to a
-        fresh version folder. Then one manifest and the catalog switch.
+        Job 1: days and key range of the batch (a few rows). Job 2, only when the
+        table holds data: days of stored rows whose key is in the batch, a key-only
+        semi join whose scan is bounded by the batch key range (pushed to parquet,
+        so row groups outside it are skipped; files are written sorted by key).
+        Job 3: those days of the target, minus replaced keys, plus the deduplicated
+        batch, into a fresh version folder. Then one manifest and the catalog switch.
         """
         key_col = next(c for c in aligned.columns if c.lower() == self.config.key.lower())
+        k = F.col(quote(key_col))
         target = self.spark.table(table)
-        affected_df = aligned.select(DATE_COLUMN)
-        if has_data and tables.partition_values(self.spark, table, DATE_COLUMN):
-            affected_df = affected_df.union(touched_values(target, aligned, key_col, DATE_COLUMN))
-        affected = [r[0] for r in affected_df.distinct().collect()]
-        kept = target.where(F.col(DATE_COLUMN).isin(affected))
+        stats = aligned.groupBy(DATE_COLUMN).agg(F.min(k).alias("lo"), F.max(k).alias("hi")).collect()
+        affected = {r[DATE_COLUMN] for r in stats}
+        los = [r["lo"] for r in stats if r["lo"] is not None]
+        his = [r["hi"] for r in stats if r["hi"] is not None]
+        if has_data and los and tables.partition_values(self.spark, table, DATE_COLUMN):
+            probe = target.where(k.between(F.lit(min(los)), F.lit(max(his))))
+            affected |= {r[0] for r in touched_values(probe, aligned, key_col, DATE_COLUMN).collect()}
+        affected_list = sorted(affected)
+        kept = target.where(F.col(DATE_COLUMN).isin(affected_list))
         result = upsert_rows(kept, dedupe_latest(aligned, key_col), key_col)
         version = self._version_dir(suffix, writer, batch_id)
         # Rebalance by day: without it every task writes one file per day it holds
         # (tasks x days small files); AQE sizes the tasks and splits a hot day.
-        result = result.hint("rebalance", DATE_COLUMN)
+        # Sorting by key inside each day keeps parquet min/max stats on the key tight.
+        result = result.hint("rebalance", DATE_COLUMN).sortWithinPartitions(DATE_COLUMN, key_col)
         (
             result.write.mode("overwrite")
             .options(**VERSION_WRITE_OPTIONS)
@@ -301,7 +309,7 @@ class MultiTableSink:
             .parquet(f"{version}/data")
         )
         written = tables.written_partitions(self.spark, f"{version}/data", DATE_COLUMN)
-        entries = [(str(d), written.get(str(d))) for d in affected]
+        entries = [(str(d), written.get(str(d))) for d in affected_list]
         tables.write_manifest(self.spark, f"{version}/_manifest", entries)
         tables.switch_partitions(self.spark, table, DATE_COLUMN, entries)
 
