@@ -37,6 +37,9 @@ PAYLOAD_TYPES = {"amount": "double", "k": "bigint", "detail": "string", "is_paid
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     apply_required_conf(spark)
+    # events.ts is TIMESTAMP_NTZ; the envelope wants TIMESTAMP, and day partitions
+    # follow the session zone, so pin UTC as the oracles do.
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return feed.read_events(spark, sf_dir)
 
 
