@@ -141,12 +141,33 @@ def q_route_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _per_table(prepared: DataFrame, sink: MultiTableSink, rows_of) -> DataFrame:
+    """Apply ``rows_of(suffix, flattened rows)`` to every routed table and stack the results."""
+    inferred = infer.infer_schema(infer.observe_fields(prepared)).where(F.col("reason").isNull()).collect()
+    frames = []
+    for suffix in sorted({r["table_suffix"] for r in inferred}):
+        plans = sink.plan_fields(suffix, [r for r in inferred if r["table_suffix"] == suffix], None)
+        flat = shape.flatten(route.route_filter(prepared, suffix), plans)
+        have = {c.lower() for c in flat.columns}
+        missing = [F.lit(None).cast(t).alias(c) for c, t in PAYLOAD_TYPES.items() if c not in have]
+        frames.append(rows_of(suffix, flat.select(*flat.columns, *missing)))
+    return reduce(DataFrame.unionByName, frames)
+
+
 def q_payload_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink = _sink(spark, "flatten")
-    rows = _routed_rows(spark, sf_dir, "purchase", sink)
-    return rows.select(
-        F.col("kafka_key").cast("string").alias("kafka_key"), "kafka_offset", "unique_id", "user_id", "amount"
-    )
+
+    def rows_of(suffix: str, flat: DataFrame) -> DataFrame:
+        return flat.select(
+            F.lit(suffix).alias("table_suffix"),
+            F.col("kafka_key").cast("string").alias("kafka_key"),
+            "kafka_offset",
+            "unique_id",
+            "user_id",
+            *PAYLOAD_TYPES,
+        )
+
+    return _per_table(_prepared(spark, sf_dir), sink, rows_of)
 
 
 def q_infer_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,10 +196,8 @@ def q_field_types_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _purchase_table(spark: SparkSession, sf_dir: str, label: str) -> MultiTableSink:
-    ev = _events(spark, sf_dir)
-    sink = _sink(spark, label)
-    sink.process_batch(feed.to_envelope(ev.where(F.col("event_type") == "purchase")), 0, "q", BATCH_TIME)
-    return sink
+    """All events merged into their tables; the checks then use ``purchase``."""
+    return _merged_events(spark, sf_dir, label)
 
 
 def q_schema_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,12 +226,22 @@ def q_create_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shape.schema_rows(spark, sink.read("purchase").schema)
 
 
-def q_alter_add_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+FIRST_TYPES = ["error", "purchase"]  # first batch of the single-table scenarios; the rest follow
+
+
+def _two_batches_one_table(spark: SparkSession, sf_dir: str, label: str, **config) -> MultiTableSink:
+    """Every event routed to one table ``mixed``: error and purchase first, then the rest."""
     ev = _events(spark, sf_dir)
-    sink = _sink(spark, "alter")
+    sink = _sink(spark, label, **config)
     mixed = F.lit("mixed")
-    sink.process_batch(feed.to_envelope(ev.where(F.col("event_type") == "purchase"), suffix=mixed), 0, "q", BATCH_TIME)
-    sink.process_batch(feed.to_envelope(ev.where(F.col("event_type") == "click"), suffix=mixed), 1, "q", BATCH_TIME)
+    first = F.col("event_type").isin(*FIRST_TYPES)
+    sink.process_batch(feed.to_envelope(ev.where(first), suffix=mixed), 0, "q", BATCH_TIME)
+    sink.process_batch(feed.to_envelope(ev.where(~first), suffix=mixed), 1, "q", BATCH_TIME)
+    return sink
+
+
+def q_alter_add_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sink = _two_batches_one_table(spark, sf_dir, "alter")
     return shape.schema_rows(spark, sink.read("mixed").schema)
 
 
@@ -234,22 +263,21 @@ def q_table_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_append_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = _events(spark, sf_dir)
-    sink = _sink(spark, "append", mode="append")
-    activity = F.lit("activity")
-    sink.process_batch(feed.to_envelope(ev.where(F.col("event_type") == "view"), suffix=activity), 0, "q", BATCH_TIME)
-    sink.process_batch(feed.to_envelope(ev.where(F.col("event_type") == "purchase"), suffix=activity), 1, "q", BATCH_TIME)
-    return sink.read("activity").select("kafka_offset", "unique_id", "user_id", "k", "amount")
+    sink = _two_batches_one_table(spark, sf_dir, "append", mode="append")
+    return sink.read("mixed").select("kafka_offset", "unique_id", "user_id", *PAYLOAD_TYPES)
 
 
 def q_batch_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One batch holding every event and its update: the latest record per key."""
     ev = _events(spark, sf_dir)
     both = feed.to_envelope(ev).unionByName(feed.update_envelope(ev))
-    prepared = _prepared(spark, sf_dir, both)
     sink = _sink(spark, "dedupe")
-    plans = _plans_for(spark, prepared, "purchase", sink)
-    rows = shape.flatten(route.route_filter(prepared, "purchase"), plans)
-    return merge.dedupe_latest(rows, "unique_id").select("unique_id", "kafka_offset", "amount")
+
+    def rows_of(suffix: str, flat: DataFrame) -> DataFrame:
+        latest = merge.dedupe_latest(flat, "unique_id")
+        return latest.select(F.lit(suffix).alias("table_suffix"), "unique_id", "kafka_offset", *PAYLOAD_TYPES)
+
+    return _per_table(_prepared(spark, sf_dir, both), sink, rows_of)
 
 
 def q_merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -425,6 +453,10 @@ _UPD = "value >= 100"
 _ENVELOPE_COLUMNS = """CAST(event_id AS VARCHAR) AS kafka_key, event_id AS kafka_offset,
   CAST(user_id % 4 AS INTEGER) AS kafka_partition, event_type AS table_suffix, epoch_us(ts) AS kafka_ts_us,
   user_id"""
+_PAYLOAD = f"""CASE WHEN event_type = 'purchase' THEN value END AS amount,
+  CASE WHEN event_type IN ('click', 'view') THEN {_K} END AS k,
+  CASE WHEN event_type = 'error' THEN props END AS detail,
+  CASE WHEN event_type = 'signup' THEN value > 10 END AS is_paid"""
 _UPSERT = f"""SELECT event_type AS table_suffix, event_id AS unique_id, user_id,
   CASE WHEN {_UPD} THEN event_id + 1000000 ELSE event_id END AS kafka_offset,
   CASE WHEN event_type = 'purchase' THEN (CASE WHEN {_UPD} THEN value * 2 ELSE value END) END AS amount,
@@ -458,8 +490,8 @@ _ORACLES: dict[str, str] = {
     "route_suffixes": "SELECT event_type AS table_suffix, count(*) AS n_rows FROM events GROUP BY event_type",
     "route_filter": """SELECT event_id, CAST(user_id % 4 AS INTEGER) AS kafka_partition, event_type AS table_suffix
 FROM events WHERE event_type = 'error'""",
-    "payload_flatten": """SELECT CAST(event_id AS VARCHAR) AS kafka_key, event_id AS kafka_offset, event_id AS unique_id,
-  user_id, value AS amount FROM events WHERE event_type = 'purchase'""",
+    "payload_flatten": f"""SELECT event_type AS table_suffix, CAST(event_id AS VARCHAR) AS kafka_key, event_id AS kafka_offset,
+  event_id AS unique_id, user_id, {_PAYLOAD} FROM events""",
     "infer_schema": f"""WITH docs AS (
   SELECT event_type, json_object('unique_id', event_id, 'user_id', user_id,
     'amount', CASE WHEN event_type = 'purchase' THEN value END,
@@ -501,9 +533,11 @@ FROM events WHERE event_type = 'click'""",
         _SCHEMA_HEAD
         + [
             ("amount", "DOUBLE"),
+            ("detail", "STRING"),
             ("unique_id", "BIGINT"),
             ("user_id", "BIGINT"),
             ("ingested_to_iceberg", "TIMESTAMP"),
+            ("is_paid", "BOOLEAN"),
             ("k", "BIGINT"),
             ("kafka_date", "DATE"),
         ],
@@ -514,12 +548,8 @@ FROM events GROUP BY ALL""",
     "table_properties": """SELECT key, value FROM (VALUES ('sluice.key', 'unique_id'), ('sluice.mode', 'merge'),
   ('sluice.partition', 'kafka_date')) AS p(key, value)
 WHERE EXISTS (SELECT 1 FROM events WHERE event_type = 'purchase')""",
-    "append_evolve": f"""SELECT event_id AS kafka_offset, event_id AS unique_id, user_id, {_K} AS k, CAST(NULL AS DOUBLE) AS amount
-FROM events WHERE event_type = 'view'
-UNION ALL
-SELECT event_id, event_id, user_id, CAST(NULL AS BIGINT), value FROM events WHERE event_type = 'purchase'""",
-    "batch_dedupe": f"""SELECT event_id AS unique_id, CASE WHEN {_UPD} THEN event_id + 1000000 ELSE event_id END AS kafka_offset,
-  CASE WHEN {_UPD} THEN value * 2 ELSE value END AS amount FROM events WHERE event_type = 'purchase'""",
+    "append_evolve": f"SELECT event_id AS kafka_offset, event_id AS unique_id, user_id, {_PAYLOAD} FROM events",
+    "batch_dedupe": f"""SELECT table_suffix, unique_id, kafka_offset, amount, k, detail, is_paid FROM ({_UPSERT})""",
     "merge_upsert": _UPSERT,
     "merge_insert_only": "SELECT event_type AS table_suffix, event_id AS unique_id, event_id AS kafka_offset FROM events",
     "merge_null_key": """SELECT event_type AS table_suffix, CASE WHEN value >= 5 THEN event_id END AS unique_id, user_id,

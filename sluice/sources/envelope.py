@@ -117,13 +117,23 @@ def kafka_options(
     return opts
 
 
+def _with_min_partitions(spark: SparkSession, config: dict) -> dict:
+    """Split large topic partitions over several tasks: a hot partition holding a
+    third of the records would otherwise be parsed by one task."""
+    config = dict(config)
+    config.setdefault("minPartitions", str(spark.sparkContext.defaultParallelism))
+    return config
+
+
 def read_kafka(spark: SparkSession, **config: str) -> DataFrame:
     """Bounded read of a topic (needs the spark-sql-kafka connector on the classpath)."""
-    return spark.read.format("kafka").options(**kafka_options(streaming=False, **config)).load()
+    opts = kafka_options(streaming=False, **_with_min_partitions(spark, config))
+    return spark.read.format("kafka").options(**opts).load()
 
 
 def read_kafka_stream(spark: SparkSession, **config: str) -> DataFrame:
-    return spark.readStream.format("kafka").options(**kafka_options(streaming=True, **config)).load()
+    opts = kafka_options(streaming=True, **_with_min_partitions(spark, config))
+    return spark.readStream.format("kafka").options(**opts).load()
 
 
 def read_json(spark: SparkSession, path: str) -> DataFrame:

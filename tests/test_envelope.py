@@ -64,3 +64,12 @@ def test_json_roundtrip_keeps_binary_and_microseconds(spark):
     a, b = src.first(), back.first()
     assert bytes(b["value"]) == bytes(a["value"]) and b["timestamp"] == a["timestamp"]
     assert bytes(b["headers"][0]["value"]) == b"a"
+
+
+def test_kafka_reader_asks_for_split_partitions(spark):
+    from sluice.sources.envelope import _with_min_partitions
+
+    opts = envelope.kafka_options(streaming=True, **_with_min_partitions(spark, {"bootstrap_servers": "h", "topic": "t"}))
+    assert int(opts["minPartitions"]) == spark.sparkContext.defaultParallelism
+    keep = _with_min_partitions(spark, {"minPartitions": "3"})
+    assert keep["minPartitions"] == "3"
