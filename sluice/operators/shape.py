@@ -73,9 +73,13 @@ def stamp_ingest_time(df: DataFrame, when: dt.datetime, column: str = INGEST_TIM
     return df.withColumn(column, F.lit(when).cast("timestamp"))
 
 
-def with_date_partition(df: DataFrame) -> DataFrame:
-    """Day of the record time: the partition column of target tables."""
-    return df.withColumn(DATE_COLUMN, F.to_date(F.col("kafka_ts")))
+def with_date_partition(df: DataFrame, fallback: str | None = INGEST_TIME_COLUMN) -> DataFrame:
+    """Day of the record time, the partition column of target tables; a record
+    without a time takes the day of the batch (a partition value is never NULL)."""
+    day = F.to_date(F.col("kafka_ts"))
+    if fallback and fallback in df.columns:
+        day = F.coalesce(day, F.to_date(F.col(fallback)))
+    return df.withColumn(DATE_COLUMN, day)
 
 
 def _lower_map(names: list[str]) -> dict[str, str]:

@@ -13,6 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
+from pyspark.util import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -154,6 +155,9 @@ class MultiTableSink:
                 raise BadRecordError(f"batch {batch_id} has bad records: {report.quarantined}")
 
             errors: list[str] = []
+            for suffix in self._colliding_suffixes(per_table):
+                errors.append(f"table suffix '{suffix}' names the same table as another suffix or the quarantine table")
+                del per_table[suffix]
 
             def run(suffix: str) -> None:
                 try:
@@ -164,8 +168,10 @@ class MultiTableSink:
 
             suffixes = sorted(per_table)
             workers = max(1, min(self.config.max_concurrent_tables, len(suffixes)))
+            # Worker threads inherit the caller's local properties (job group,
+            # scheduler pool), so a batch's jobs can be tracked or cancelled together.
             with ThreadPoolExecutor(max_workers=workers) as pool:
-                list(pool.map(run, suffixes))
+                list(pool.map(inheritable_thread_target(spark)(run), suffixes))
             if report.quarantined:
                 self._write_quarantine(prepared, batch_id, writer, batch_time)
             if errors:
@@ -174,6 +180,16 @@ class MultiTableSink:
         finally:
             prepared.unpersist()
 
+    def _colliding_suffixes(self, per_table: dict) -> list[str]:
+        """Suffixes that would share a catalog table (names compare case-insensitively)."""
+        seen: dict[str, list[str]] = {}
+        for suffix in per_table:
+            seen.setdefault(self.table_name(suffix).lower(), []).append(suffix)
+        quarantine = (self.config.table_prefix + self.config.quarantine_table).lower()
+        out = [s for names in seen.values() if len(names) > 1 for s in names]
+        out += seen.get(quarantine, [])
+        return sorted(set(out))
+
     def _spread(self, df: DataFrame) -> DataFrame:
         want = self.config.min_partitions
         if want is None:
@@ -238,7 +254,7 @@ class MultiTableSink:
     def _table_rows(self, prepared: DataFrame, suffix: str, plans: list[FieldPlan], batch_time: dt.datetime) -> DataFrame:
         rows = flatten(route_filter(prepared, suffix), plans)
         rows = stamp_ingest_time(rows, batch_time, self.config.ingest_time_column)
-        return with_date_partition(rows) if self.config.mode == MERGE else rows
+        return with_date_partition(rows, self.config.ingest_time_column) if self.config.mode == MERGE else rows
 
     def _write_table(
         self, prepared: DataFrame, suffix: str, rows: list, batch_id: int, writer: str, batch_time: dt.datetime
@@ -287,16 +303,21 @@ class MultiTableSink:
         key_col = next(c for c in aligned.columns if c.lower() == self.config.key.lower())
         k = F.col(quote(key_col))
         target = self.spark.table(table)
-        stats = aligned.groupBy(DATE_COLUMN).agg(F.min(k).alias("lo"), F.max(k).alias("hi")).collect()
-        affected = {r[DATE_COLUMN] for r in stats}
-        los = [r["lo"] for r in stats if r["lo"] is not None]
-        his = [r["hi"] for r in stats if r["hi"] is not None]
-        if has_data and los and tables.partition_values(self.spark, table, DATE_COLUMN):
-            probe = target.where(k.between(F.lit(min(los)), F.lit(max(his))))
-            affected |= {r[0] for r in touched_values(probe, aligned, key_col, DATE_COLUMN).collect()}
-        affected_list = sorted(affected)
-        kept = target.where(F.col(DATE_COLUMN).isin(affected_list))
-        result = upsert_rows(kept, dedupe_latest(aligned, key_col), key_col)
+        batch = dedupe_latest(aligned, key_col)
+        if has_data and tables.partition_values(self.spark, table, DATE_COLUMN):
+            stats = aligned.groupBy(DATE_COLUMN).agg(F.min(k).alias("lo"), F.max(k).alias("hi")).collect()
+            affected = {r[DATE_COLUMN] for r in stats}
+            los = [r["lo"] for r in stats if r["lo"] is not None]
+            his = [r["hi"] for r in stats if r["hi"] is not None]
+            if los:
+                probe = target.where(k.between(F.lit(min(los)), F.lit(max(his))))
+                affected |= {r[0] for r in touched_values(probe, aligned, key_col, DATE_COLUMN).collect()}
+            affected_list: list | None = sorted(affected)
+            result = upsert_rows(target.where(F.col(DATE_COLUMN).isin(affected_list)), batch, key_col)
+        else:
+            # Nothing stored: the days written are the days affected (no probe, no stats job).
+            affected_list = None
+            result = batch
         version = self._version_dir(suffix, writer, batch_id)
         # Rebalance by day: without it every task writes one file per day it holds
         # (tasks x days small files); AQE sizes the tasks and splits a hot day.
@@ -308,8 +329,9 @@ class MultiTableSink:
             .partitionBy(DATE_COLUMN)
             .parquet(f"{version}/data")
         )
-        written = tables.written_partitions(self.spark, f"{version}/data", DATE_COLUMN)
-        entries = [(str(d), written.get(str(d))) for d in affected_list]
+        written = tables.written_partitions(self.spark, f"{version}/data", DATE_COLUMN, target.schema)
+        days = [str(d) for d in affected_list] if affected_list is not None else sorted(written)
+        entries = [(d, written.get(d)) for d in days]
         tables.write_manifest(self.spark, f"{version}/_manifest", entries)
         tables.switch_partitions(self.spark, table, DATE_COLUMN, entries)
 

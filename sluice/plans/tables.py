@@ -88,11 +88,17 @@ def partition_values(spark: SparkSession, table: str, column: str) -> set[str]:
     return out
 
 
-def written_partitions(spark: SparkSession, path: str, column: str) -> dict[str, str]:
-    """Partition value -> folder for a freshly written partitioned folder (listing only)."""
+def written_partitions(
+    spark: SparkSession, path: str, column: str, schema: T.StructType | None = None
+) -> dict[str, str]:
+    """Partition value -> folder for a freshly written partitioned folder.
+
+    With the table schema given this is a file listing only (no footer reads).
+    """
     out: dict[str, str] = {}
+    reader = spark.read.schema(schema) if schema is not None else spark.read
     try:
-        files = spark.read.parquet(path).inputFiles()
+        files = reader.parquet(path).inputFiles()
     except AnalysisException:
         return out
     marker = f"/{column}="

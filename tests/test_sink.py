@@ -247,3 +247,22 @@ def test_stream_restart_equals_uninterrupted_run(spark):
     whole = new_sink(spark)
     whole.process_batch(first.unionByName(second), 0, "w", BATCH_TIME)
     assert _state(restarted, TABLES) == _state(whole, TABLES)
+
+
+def test_suffixes_sharing_a_table_are_refused(spark):
+    sink = new_sink(spark)
+    rows = [("Orders", '{"unique_id":1}', 1), ("orders", '{"unique_id":2}', 2), ("_quarantine", '{"unique_id":3}', 3), ("ok", '{"unique_id":4}', 4)]
+    with pytest.raises(SchemaConflictError, match="same table"):
+        sink.process_batch(records(spark, rows), 0, "w", BATCH_TIME)
+    assert sink.read("ok").count() == 1
+    assert not spark.catalog.tableExists(sink.table("orders"))
+
+
+def test_record_without_time_lands_in_batch_day(spark):
+    sink = new_sink(spark)
+    df = records(spark, [("t", '{"unique_id":1}', 1), ("t", '{"unique_id":2}', 2)])
+    df = df.withColumn("timestamp", F.when(F.col("offset") == 2, F.lit(None).cast("timestamp")).otherwise(F.col("timestamp")))
+    sink.process_batch(df, 0, "w", BATCH_TIME)
+    sink.process_batch(df, 1, "w", BATCH_TIME)
+    got = sorted((r["unique_id"], str(r["kafka_date"])) for r in sink.read("t").collect())
+    assert got == [(1, "2024-01-01"), (2, "2024-06-01")]
