@@ -35,29 +35,43 @@ def dedupe_latest(df: DataFrame, key: str, order: list[str] | None = None) -> Da
     return latest.unionByName(df.where(k.isNull()))
 
 
-def upsert_rows(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+def key_set(batch: DataFrame, key: str, broadcast: bool = False) -> DataFrame:
+    """Distinct non-NULL keys of a batch: the probe and anti-join side of an upsert.
+
+    Taken from the batch itself, not from its deduplicated form (same keys, and a
+    hash aggregate on one column instead of a sort aggregate on whole rows); the
+    distinct combines map-side, so a hot key costs one row per task. ``broadcast``
+    is for callers that have measured the set and found it under their limit.
+    """
+    k = F.col(quote(key))
+    keys = batch.where(k.isNotNull()).select(k.alias(key)).distinct()
+    return F.broadcast(keys) if broadcast else keys
+
+
+def upsert_rows(target: DataFrame, batch: DataFrame, key: str, keys: DataFrame | None = None) -> DataFrame:
     """Target after an upsert of a deduplicated batch, as one lazy plan.
 
     Target rows with a NULL key skip the join (they can never match), so a large
     NULL-key population cannot pile up in one join partition. Only the batch key
-    column is shuffled for the anti join; AQE turns it into a broadcast when its
-    measured size is below the broadcast threshold.
+    set is joined (``keys``, default ``key_set(batch, key)``); broadcast when the
+    caller measured it small, else a shuffle join that AQE may still turn into a
+    broadcast at runtime.
     """
     k = F.col(quote(key))
-    batch_keys = batch.where(k.isNotNull()).select(k.alias(key))
-    kept_keyed = target.where(k.isNotNull()).join(batch_keys, on=key, how="left_anti")
+    keys = keys if keys is not None else key_set(batch, key)
+    kept_keyed = target.where(k.isNotNull()).join(keys, on=key, how="left_anti")
     kept_null = target.where(k.isNull())
     return kept_keyed.unionByName(kept_null).unionByName(batch.select(*target.columns))
 
 
-def touched_values(target: DataFrame, batch: DataFrame, key: str, column: str) -> DataFrame:
+def touched_values(target: DataFrame, batch: DataFrame, key: str, column: str, keys: DataFrame | None = None) -> DataFrame:
     """Distinct ``column`` values of target rows whose key occurs in the batch."""
     k = F.col(quote(key))
-    batch_keys = batch.where(k.isNotNull()).select(k.alias(key))
+    keys = keys if keys is not None else key_set(batch, key)
     return (
         target.where(k.isNotNull())
         .select(key, column)
-        .join(batch_keys, on=key, how="left_semi")
+        .join(keys, on=key, how="left_semi")
         .select(column)
         .distinct()
     )

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from sluice.functions.types import STRICT, WIDEN, ddl, quote, storable
 from sluice.operators.infer import SchemaConflictError, conflict_message, infer_schema, observe_fields
-from sluice.operators.merge import dedupe_latest, merge_into_sql, touched_values, upsert_rows
+from sluice.operators.merge import dedupe_latest, key_set, merge_into_sql, touched_values, upsert_rows
 from sluice.operators.route import bad_rows, prepare, route_filter
 from sluice.operators.shape import (
     BATCH_COLUMN,
@@ -35,7 +35,7 @@ from sluice.operators.shape import (
     with_date_partition,
 )
 from sluice.plans import tables
-from sluice.session import apply_required_conf, shared_root
+from sluice.session import apply_required_conf, broadcast_limit, shared_root
 from sluice.sources.envelope import META_COLUMNS, ROUTING_COLUMN, normalise
 
 MERGE = "merge"
@@ -63,6 +63,13 @@ VERSION_WRITE_OPTIONS = {
 }
 
 
+# Bytes per key entry added to the key width when sizing a broadcast
+# (hash relation slot, row header, pointer).
+KEY_ENTRY_OVERHEAD = 32
+# Bytes of fixed-width key types (others count 16).
+KEY_WIDTHS = {"byte": 1, "boolean": 1, "short": 2, "integer": 4, "float": 4, "date": 4, "long": 8, "double": 8, "timestamp": 8}
+
+
 class BadRecordError(ValueError):
     """Raised under ``on_bad='failfast'`` when a batch has unroutable or malformed rows."""
 
@@ -84,6 +91,9 @@ class SinkConfig:
     # parsing (a topic with few partitions would otherwise parse in few tasks).
     # None: the cluster's default parallelism; 0: never.
     min_partitions: int | None = None
+    # The batch key set is broadcast to the probe and the anti join when its measured
+    # size is at most this many bytes. None: the session's autoBroadcastJoinThreshold.
+    broadcast_keys_max_bytes: int | None = None
     properties: dict[str, str] = field(default_factory=dict)
 
 
@@ -305,15 +315,33 @@ class MultiTableSink:
         target = self.spark.table(table)
         batch = dedupe_latest(aligned, key_col)
         if has_data and tables.partition_values(self.spark, table, DATE_COLUMN):
-            stats = aligned.groupBy(DATE_COLUMN).agg(F.min(k).alias("lo"), F.max(k).alias("hi")).collect()
+            key_type = aligned.schema[key_col].dataType
+            variable = isinstance(key_type, (T.StringType, T.BinaryType))
+            stats = (
+                aligned.groupBy(DATE_COLUMN)
+                .agg(
+                    F.min(k).alias("lo"),
+                    F.max(k).alias("hi"),
+                    F.count(k).alias("n"),
+                    (F.sum(F.octet_length(k)) if variable else F.lit(0)).alias("chars"),
+                )
+                .collect()
+            )
             affected = {r[DATE_COLUMN] for r in stats}
             los = [r["lo"] for r in stats if r["lo"] is not None]
             his = [r["hi"] for r in stats if r["hi"] is not None]
+            # An upper bound of the key set's size in memory: every non-NULL key
+            # counted (distinct can only be fewer), fixed width or measured bytes,
+            # plus per-entry overhead of a hash relation.
+            n_keys = sum(r["n"] for r in stats)
+            width = 0 if variable else KEY_WIDTHS.get(key_type.typeName(), 16)
+            key_bytes = n_keys * (width + KEY_ENTRY_OVERHEAD) + sum(r["chars"] or 0 for r in stats)
+            keys = key_set(aligned, key_col, broadcast=self._may_broadcast(key_bytes))
             if los:
                 probe = target.where(k.between(F.lit(min(los)), F.lit(max(his))))
-                affected |= {r[0] for r in touched_values(probe, aligned, key_col, DATE_COLUMN).collect()}
+                affected |= {r[0] for r in touched_values(probe, aligned, key_col, DATE_COLUMN, keys).collect()}
             affected_list: list | None = sorted(affected)
-            result = upsert_rows(target.where(F.col(DATE_COLUMN).isin(affected_list)), batch, key_col)
+            result = upsert_rows(target.where(F.col(DATE_COLUMN).isin(affected_list)), batch, key_col, keys)
         else:
             # Nothing stored: the days written are the days affected (no probe, no stats job).
             affected_list = None
@@ -335,6 +363,12 @@ class MultiTableSink:
         tables.write_manifest(self.spark, f"{version}/_manifest", entries)
         tables.switch_partitions(self.spark, table, DATE_COLUMN, entries)
 
+    def _may_broadcast(self, key_bytes: int) -> bool:
+        limit = self.config.broadcast_keys_max_bytes
+        if limit is None:
+            limit = broadcast_limit(self.spark)
+        return 0 <= key_bytes <= limit
+
     def _merge_sql(self, table: str, aligned: DataFrame) -> None:
         key_col = next(c for c in aligned.columns if c.lower() == self.config.key.lower())
         view = f"sluice_src_{uuid.uuid4().hex}"

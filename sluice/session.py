@@ -33,6 +33,23 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+# Byte-size suffixes accepted in Spark size settings.
+_SIZE_UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+
+
+def byte_size(text: str) -> int:
+    """A Spark size setting (``10485760b``, ``20m``, ``-1``) in bytes; negative means off."""
+    t = text.strip().lower()
+    digits = t.rstrip("abcdefghijklmnopqrstuvwxyz")
+    unit = t[len(digits):] or "b"
+    return int(digits) * _SIZE_UNITS[unit]
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    """The session's broadcast join threshold in bytes (-1 when broadcasts are off)."""
+    return byte_size(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b"))
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never reused folder under the shared root."""
     return f"{shared_root(spark)}/sluice/{label}-{uuid.uuid4().hex[:12]}"

@@ -77,3 +77,55 @@ def test_registered_flatten_has_no_python(spark):
     prepared = _prepared(spark)
     flat = shape.flatten(route.route_filter(prepared, "t"), [shape.FieldPlan("v", "v", "BIGINT")])
     assert not any(n in plan_text(flat) for n in PYTHON_NODES)
+
+
+def test_key_set_is_hash_combined_and_broadcast_only_when_asked(spark):
+    target = spark.createDataFrame([(i, "a") for i in range(20)], "unique_id long, v string")
+    batch = spark.createDataFrame([(1, "c"), (1, "d"), (None, "e")], "unique_id long, v string")
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffled = plan_text(merge.upsert_rows(target, batch, "unique_id", merge.key_set(batch, "unique_id")))
+        hinted = plan_text(
+            merge.upsert_rows(target, batch, "unique_id", merge.key_set(batch, "unique_id", broadcast=True))
+        )
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+    assert "SortMergeJoin LeftAnti" in shuffled and "BroadcastHashJoin" not in shuffled
+    assert "BroadcastHashJoin LeftAnti" in hinted
+    # Keys are combined map-side by a hash aggregate, never sorted as whole rows.
+    assert "HashAggregate" in hinted
+
+
+def test_sink_broadcasts_the_key_set_only_under_its_limit(spark):
+    from sluice.plans import batch as batch_plan
+
+    seen = []
+    original = batch_plan.key_set
+
+    def spy(df, key, broadcast=False):
+        seen.append(broadcast)
+        return original(df, key, broadcast)
+
+    batch_plan.key_set = spy
+    try:
+        for limit, expected in ((1 << 20, True), (100, False)):
+            sink = new_sink(spark, broadcast_keys_max_bytes=limit)
+            first = [("t", json.dumps({"unique_id": i, "a": i}), i) for i in range(50)]
+            sink.process_batch(records(spark, first), 0, "w", BATCH_TIME)
+            update = [("t", json.dumps({"unique_id": i, "a": -i}), 100 + i) for i in range(0, 50, 5)]
+            sink.process_batch(records(spark, update), 1, "w", BATCH_TIME)
+            assert seen[-1] is expected
+            got = dict(sink.read("t").select("unique_id", "a").collect())
+            assert len(got) == 50 and got[5] == -5 and got[6] == 6
+    finally:
+        batch_plan.key_set = original
+
+
+def test_byte_size_reads_spark_size_settings():
+    from sluice.session import byte_size
+
+    assert byte_size("10485760b") == 10485760
+    assert byte_size("20m") == 20 << 20
+    assert byte_size("1GB") == 1 << 30
+    assert byte_size("-1") == -1
