@@ -70,6 +70,10 @@ KEY_ENTRY_OVERHEAD = 32
 KEY_WIDTHS = {"byte": 1, "boolean": 1, "short": 2, "integer": 4, "float": 4, "date": 4, "long": 8, "double": 8, "timestamp": 8}
 
 
+# Columns that identify a record, used to spread a batch over tasks.
+SPREAD_COLUMNS = ("kafka_topic", "kafka_partition", "kafka_offset")
+
+
 class BadRecordError(ValueError):
     """Raised under ``on_bad='failfast'`` when a batch has unroutable or malformed rows."""
 
@@ -87,7 +91,7 @@ class SinkConfig:
     root: str | None = None  # folder for table data; default under spark.checkpoint.dir
     table_format: str = "parquet"  # parquet: copy-on-write commits; iceberg/delta: MERGE INTO
     max_concurrent_tables: int = 8
-    # A batch with fewer input partitions than this is spread round-robin before
+    # A batch with fewer input partitions than this is spread over tasks before
     # parsing (a topic with few partitions would otherwise parse in few tasks).
     # None: the cluster's default parallelism; 0: never.
     min_partitions: int | None = None
@@ -170,6 +174,11 @@ class MultiTableSink:
                 del per_table[suffix]
 
             def run(suffix: str) -> None:
+                # One scheduler pool per worker slot: under FAIR scheduling a hot
+                # table's large job does not hold back the small tables of the batch
+                # (FIFO sessions ignore the pool). Bounded names, no pool per table.
+                slot = suffixes.index(suffix) % workers
+                spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"sluice-{slot}")
                 try:
                     if not self._write_table(prepared, suffix, per_table[suffix], batch_id, writer, batch_time):
                         report.skipped.append(suffix)
@@ -177,13 +186,18 @@ class MultiTableSink:
                     errors.append(str(exc))
 
             suffixes = sorted(per_table)
-            workers = max(1, min(self.config.max_concurrent_tables, len(suffixes)))
-            # Worker threads inherit the caller's local properties (job group,
-            # scheduler pool), so a batch's jobs can be tracked or cancelled together.
+            jobs = len(suffixes) + (1 if report.quarantined else 0)
+            workers = max(1, min(self.config.max_concurrent_tables, jobs))
+            # Worker threads inherit the caller's local properties (the job group),
+            # so a batch's jobs can be tracked or cancelled together.
+            # The quarantine write is independent of the tables: it runs beside them.
             with ThreadPoolExecutor(max_workers=workers) as pool:
-                list(pool.map(inheritable_thread_target(spark)(run), suffixes))
-            if report.quarantined:
-                self._write_quarantine(prepared, batch_id, writer, batch_time)
+                futures = [pool.submit(inheritable_thread_target(spark)(run), s) for s in suffixes]
+                if report.quarantined:
+                    write_bad = inheritable_thread_target(spark)(self._write_quarantine)
+                    futures.append(pool.submit(write_bad, prepared, batch_id, writer, batch_time))
+                for f in futures:
+                    f.result()
             if errors:
                 raise SchemaConflictError("; ".join(sorted(errors)))
             return report
@@ -205,7 +219,10 @@ class MultiTableSink:
         if want is None:
             want = df.sparkSession.sparkContext.defaultParallelism
         if want and df.rdd.getNumPartitions() < want:
-            return df.repartition(want)
+            # Hash on the record's identity, not round-robin: as even (offsets are
+            # unique within a topic partition, so a hot partition spreads too) and
+            # deterministic on retry without the local sort round-robin needs.
+            return df.repartition(want, *[F.col(c) for c in SPREAD_COLUMNS if c in df.columns])
         return df
 
     # -- per table plan ----------------------------------------------------

@@ -20,13 +20,18 @@ def apply_required_conf(spark: SparkSession) -> None:
 def shared_root(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a folder of our
-    own is created and registered as the checkpoint dir.
+    Read from the session; only when it is unset in a local-mode session (tests)
+    a folder of our own is created and registered as the checkpoint dir.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            # A machine-local folder is not visible to other executors and is lost
+            # with its machine: tables, version folders and manifests need a
+            # shared one.
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="sluice-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
@@ -62,6 +67,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .appName("sluice")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.scheduler.mode", "FAIR")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
