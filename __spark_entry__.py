@@ -51,7 +51,7 @@ def _sink(spark: SparkSession, label: str, **config) -> MultiTableSink:
 
 def _prepared(spark: SparkSession, sf_dir: str, env: DataFrame | None = None) -> DataFrame:
     env = env if env is not None else feed.to_envelope(_events(spark, sf_dir))
-    return route.prepare(envelope.normalise(env))
+    return route.prepare(route.spread(envelope.normalise(env)))
 
 
 def _table_suffixes(sink: MultiTableSink) -> list[str]:

@@ -15,6 +15,27 @@ MALFORMED = "malformed"
 NOT_OBJECT = "not_object"
 
 
+# Columns that identify a record, used to spread a batch over tasks.
+SPREAD_COLUMNS = ("kafka_topic", "kafka_partition", "kafka_offset")
+
+
+def spread(normalised: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread records over at least ``min_partitions`` tasks (default: the cluster's
+    parallelism) when the input has fewer partitions, e.g. a topic with few
+    partitions or one large file. ``0`` leaves the input as it is.
+
+    Hash on the record's identity, not round-robin: as even (offsets are unique
+    within a topic partition, so a hot partition spreads too) and deterministic
+    on retry without the local sort round-robin needs.
+    """
+    want = min_partitions
+    if want is None:
+        want = normalised.sparkSession.sparkContext.defaultParallelism
+    if want and normalised.rdd.getNumPartitions() < want:
+        return normalised.repartition(want, *[F.col(c) for c in SPREAD_COLUMNS if c in normalised.columns])
+    return normalised
+
+
 def prepare(normalised: DataFrame) -> DataFrame:
     """Parse every payload once into a VARIANT and tag rows that cannot be written.
 

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from sluice.functions.types import STRICT, WIDEN, ddl, quote, storable
 from sluice.operators.infer import SchemaConflictError, conflict_message, infer_schema, observe_fields
 from sluice.operators.merge import dedupe_latest, key_set, merge_into_sql, touched_values, upsert_rows
-from sluice.operators.route import bad_rows, prepare, route_filter
+from sluice.operators.route import bad_rows, prepare, route_filter, spread
 from sluice.operators.shape import (
     BATCH_COLUMN,
     DATE_COLUMN,
@@ -70,10 +70,6 @@ KEY_ENTRY_OVERHEAD = 32
 KEY_WIDTHS = {"byte": 1, "boolean": 1, "short": 2, "integer": 4, "float": 4, "date": 4, "long": 8, "double": 8, "timestamp": 8}
 
 
-# Columns that identify a record, used to spread a batch over tasks.
-SPREAD_COLUMNS = ("kafka_topic", "kafka_partition", "kafka_offset")
-
-
 class BadRecordError(ValueError):
     """Raised under ``on_bad='failfast'`` when a batch has unroutable or malformed rows."""
 
@@ -150,7 +146,7 @@ class MultiTableSink:
         apply_required_conf(spark)
         batch_time = batch_time or dt.datetime.now(dt.timezone.utc)
         normalised = normalise(df) if "headers" in df.columns else df
-        normalised = self._spread(normalised)
+        normalised = spread(normalised, self.config.min_partitions)
         # Sorting by routing key inside each partition (no shuffle) keeps the cached
         # column batches narrow, so each table's scan of the cache skips the others.
         prepared = prepare(normalised).sortWithinPartitions(ROUTING_COLUMN).persist(StorageLevel.MEMORY_AND_DISK)
@@ -214,17 +210,6 @@ class MultiTableSink:
         out += seen.get(quarantine, [])
         return sorted(set(out))
 
-    def _spread(self, df: DataFrame) -> DataFrame:
-        want = self.config.min_partitions
-        if want is None:
-            want = df.sparkSession.sparkContext.defaultParallelism
-        if want and df.rdd.getNumPartitions() < want:
-            # Hash on the record's identity, not round-robin: as even (offsets are
-            # unique within a topic partition, so a hot partition spreads too) and
-            # deterministic on retry without the local sort round-robin needs.
-            return df.repartition(want, *[F.col(c) for c in SPREAD_COLUMNS if c in df.columns])
-        return df
-
     # -- per table plan ----------------------------------------------------
 
     def plan_fields(self, suffix: str, rows: list, stored: T.StructType | None) -> list[FieldPlan]:
