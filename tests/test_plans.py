@@ -129,3 +129,20 @@ def test_byte_size_reads_spark_size_settings():
     assert byte_size("20m") == 20 << 20
     assert byte_size("1GB") == 1 << 30
     assert byte_size("-1") == -1
+
+
+def test_spread_hashes_on_record_identity_and_evens_a_hot_partition(spark):
+    from pyspark.sql import functions as F
+
+    # One Kafka partition holds a third of the records, all in one input partition.
+    rows = [("t", json.dumps({"unique_id": i}), i, i, 0 if i % 3 == 0 else 1 + i % 5) for i in range(600)]
+    batch = normalise(records(spark, rows)).coalesce(1)
+    spread = route.spread(batch, 8)
+    text = plan_text(spread)
+    assert "hashpartitioning(kafka_topic" in text and "kafka_offset" in text
+    assert "RoundRobinPartitioning" not in text
+    sizes = spread.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(sizes) == 8 and max(r["count"] for r in sizes) < 2 * 600 / 8
+    # Enough partitions already, or 0: left as it is.
+    assert route.spread(batch, 1) is batch
+    assert route.spread(batch, 0) is batch
