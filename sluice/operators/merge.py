@@ -64,15 +64,18 @@ def upsert_rows(target: DataFrame, batch: DataFrame, key: str, keys: DataFrame |
     return kept_keyed.unionByName(kept_null).unionByName(batch.select(*target.columns))
 
 
-def touched_values(target: DataFrame, batch: DataFrame, key: str, column: str, keys: DataFrame | None = None) -> DataFrame:
-    """Distinct ``column`` values of target rows whose key occurs in the batch."""
+def touched_values(
+    target: DataFrame, batch: DataFrame, key: str, column: str | list[str], keys: DataFrame | None = None
+) -> DataFrame:
+    """Distinct ``column`` values (or value tuples) of target rows whose key occurs in the batch."""
     k = F.col(quote(key))
+    cols = [column] if isinstance(column, str) else list(column)
     keys = keys if keys is not None else key_set(batch, key)
     return (
         target.where(k.isNotNull())
-        .select(key, column)
+        .select(key, *cols)
         .join(keys, on=key, how="left_semi")
-        .select(column)
+        .select(*cols)
         .distinct()
     )
 

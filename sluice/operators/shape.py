@@ -16,6 +16,7 @@ from sluice.sources.envelope import META_COLUMNS, ROUTING_COLUMN
 INGEST_TIME_COLUMN = "ingested_to_iceberg"
 DATE_COLUMN = "kafka_date"
 BATCH_COLUMN = "ingest_batch"
+SEGMENT_COLUMN = "ingest_segment"
 PAYLOAD_PREFIX = "payload_"
 
 
@@ -27,6 +28,7 @@ def reserved_names(ingest_time_column: str = INGEST_TIME_COLUMN) -> set[str]:
         ingest_time_column.lower(),
         DATE_COLUMN,
         BATCH_COLUMN,
+        SEGMENT_COLUMN,
         "raw_value",
         "reason",
     }

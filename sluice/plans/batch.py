@@ -8,9 +8,12 @@ write job (plus one key-only probe job when the table already holds data).
 from __future__ import annotations
 
 import datetime as dt
+import operator
+import re
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.util import inheritable_thread_target
@@ -26,6 +29,7 @@ from sluice.operators.shape import (
     BATCH_COLUMN,
     DATE_COLUMN,
     INGEST_TIME_COLUMN,
+    SEGMENT_COLUMN,
     FieldPlan,
     align_to_schema,
     column_name,
@@ -40,6 +44,8 @@ from sluice.sources.envelope import META_COLUMNS, ROUTING_COLUMN, normalise
 
 MERGE = "merge"
 APPEND = "append"
+DAY_LAYOUT = "day"
+SEGMENT_LAYOUT = "segments"
 QUARANTINE = "quarantine"
 FAILFAST = "failfast"
 
@@ -70,6 +76,17 @@ KEY_ENTRY_OVERHEAD = 32
 KEY_WIDTHS = {"byte": 1, "boolean": 1, "short": 2, "integer": 4, "float": 4, "date": 4, "long": 8, "double": 8, "timestamp": 8}
 
 
+# Tag of a segment written by compaction (level, run id); batch
+# segments are level 0.
+COMPACT_TAG = "compact-L{level}-{run}"
+COMPACT_TAG_PATTERN = re.compile(r"^compact-L(\d+)-[0-9a-f]{12}$")
+
+
+def segment_level(segment: str) -> int:
+    m = COMPACT_TAG_PATTERN.match(segment)
+    return int(m.group(1)) if m else 0
+
+
 class BadRecordError(ValueError):
     """Raised under ``on_bad='failfast'`` when a batch has unroutable or malformed rows."""
 
@@ -94,6 +111,15 @@ class SinkConfig:
     # The batch key set is broadcast to the probe and the anti join when its measured
     # size is at most this many bytes. None: the session's autoBroadcastJoinThreshold.
     broadcast_keys_max_bytes: int | None = None
+    # Merge-mode parquet layout. "day": one partition per day, rewritten whenever a
+    # batch touches it. "segments": (day, segment) partitions; a batch's rows become
+    # new segments and only segments holding its keys are rewritten.
+    layout: str = DAY_LAYOUT
+    # Segments layout: before a batch's write, merge a day's segments of one level
+    # once it has this many (size-tiered: each row is rewritten about
+    # log_n(batches) times).
+    # None: only when ``compact`` is called.
+    compact_min_segments: int | None = None
     properties: dict[str, str] = field(default_factory=dict)
 
 
@@ -115,6 +141,8 @@ class MultiTableSink:
             raise ValueError(f"conflicts must be {STRICT!r} or {WIDEN!r}")
         if self.config.mode not in (MERGE, APPEND):
             raise ValueError(f"mode must be {MERGE!r} or {APPEND!r}")
+        if self.config.layout not in (DAY_LAYOUT, SEGMENT_LAYOUT):
+            raise ValueError(f"layout must be {DAY_LAYOUT!r} or {SEGMENT_LAYOUT!r}")
         apply_required_conf(spark)
         self.root = (self.config.root or f"{shared_root(spark)}/sluice/warehouse/{self.config.database}").rstrip("/")
         self.reserved = reserved_names(self.config.ingest_time_column)
@@ -242,17 +270,25 @@ class MultiTableSink:
     def _ensure_table(self, suffix: str, plans: list[FieldPlan], stored: T.StructType | None) -> T.StructType:
         table = self.table(suffix)
         if stored is None:
-            partition = DATE_COLUMN if self.config.mode == MERGE else BATCH_COLUMN
-            part_type = "DATE" if partition == DATE_COLUMN else "STRING"
+            if self.config.mode == MERGE:
+                partitions = [(DATE_COLUMN, "DATE")]
+                if self._segments():
+                    partitions.append((SEGMENT_COLUMN, "STRING"))
+            else:
+                partitions = [(BATCH_COLUMN, "STRING")]
             columns = META_TYPES + [(p.column, p.data_type) for p in plans]
-            columns += [(self.config.ingest_time_column, "TIMESTAMP"), (partition, part_type)]
-            props = {"sluice.key": self.config.key, "sluice.mode": self.config.mode, "sluice.partition": partition}
+            columns += [(self.config.ingest_time_column, "TIMESTAMP"), *partitions]
+            props = {
+                "sluice.key": self.config.key,
+                "sluice.mode": self.config.mode,
+                "sluice.partition": ",".join(c for c, _ in partitions),
+            }
             props.update(self.config.properties)
             tables.create_table(
                 self.spark,
                 table,
                 columns,
-                [partition],
+                [c for c, _ in partitions],
                 f"{self.root}/{self.table_name(suffix)}",
                 self.config.table_format,
                 props,
@@ -275,10 +311,16 @@ class MultiTableSink:
         exists = tables.table_exists(self.spark, self.config.database, self.table_name(suffix))
         if exists and self.config.mode == MERGE and self.config.table_format == "parquet":
             version = self._version_dir(suffix, writer, batch_id)
-            manifest = tables.read_manifest(self.spark, f"{version}/_manifest")
-            if manifest is not None:
-                tables.switch_partitions(self.spark, table, DATE_COLUMN, manifest)
-                return False
+            if self._segments():
+                segments = tables.read_segment_manifest(self.spark, f"{version}/_manifest")
+                if segments is not None:
+                    tables.switch_segments(self.spark, table, DATE_COLUMN, SEGMENT_COLUMN, segments)
+                    return False
+            else:
+                manifest = tables.read_manifest(self.spark, f"{version}/_manifest")
+                if manifest is not None:
+                    tables.switch_partitions(self.spark, table, DATE_COLUMN, manifest)
+                    return False
         stored = self.spark.table(table).schema if exists else None
         plans = self.plan_fields(suffix, rows, stored)
         schema = self._ensure_table(suffix, plans, stored)
@@ -290,9 +332,21 @@ class MultiTableSink:
         if self.config.table_format != "parquet":
             self._merge_sql(table, aligned)
             return True
-        self._copy_on_write(table, suffix, aligned, writer, batch_id, has_data=exists)
+        if self._segments():
+            if exists and self.config.compact_min_segments:
+                # Before this batch's write, never after its commit: a replay of a
+                # committed batch re-applies its manifest, which would bring back a
+                # segment that compaction had merged away. Only the last batch is
+                # ever replayed, and when this runs its manifest does not exist yet.
+                self.compact(suffix, self.config.compact_min_segments)
+            self._write_segments(table, suffix, aligned, writer, batch_id, has_data=exists)
+        else:
+            self._copy_on_write(table, suffix, aligned, writer, batch_id, has_data=exists)
         return True
 
+    def _segments(self) -> bool:
+        return self.config.mode == MERGE and self.config.layout == SEGMENT_LAYOUT and self.config.table_format == "parquet"
+
     def _version_dir(self, suffix: str, writer: str, batch_id: int) -> str:
         return f"{self.root}/{self.table_name(suffix)}/_v/w={writer}/b={batch_id}"
 
@@ -365,6 +419,110 @@ class MultiTableSink:
         tables.write_manifest(self.spark, f"{version}/_manifest", entries)
         tables.switch_partitions(self.spark, table, DATE_COLUMN, entries)
 
+    def _write_segments(
+        self, table: str, suffix: str, aligned: DataFrame, writer: str, batch_id: int, has_data: bool
+    ) -> None:
+        """Segments layout: the batch becomes one new segment per day; only the
+        stored segments holding batch keys are rewritten (minus those keys) into it.
+
+        Insert-only batches rewrite nothing stored. Job 1: key range, count and
+        bytes of the batch (one row). Job 2: the (day, segment) pairs of stored rows
+        whose key is in the batch (key-only scan bounded by the range). Job 3: the
+        write. Then one manifest and two catalog statements (ADD, DROP).
+        """
+        key_col = next(c for c in aligned.columns if c.lower() == self.config.key.lower())
+        k = F.col(quote(key_col))
+        target = self.spark.table(table)
+        batch = dedupe_latest(aligned, key_col)
+        touched: list[tuple[str, str]] = []
+        keys = None
+        if has_data and tables.partition_values(self.spark, table, DATE_COLUMN):
+            key_type = aligned.schema[key_col].dataType
+            variable = isinstance(key_type, (T.StringType, T.BinaryType))
+            stats = aligned.agg(
+                F.min(k).alias("lo"),
+                F.max(k).alias("hi"),
+                F.count(k).alias("n"),
+                (F.sum(F.octet_length(k)) if variable else F.lit(0)).alias("chars"),
+            ).first()
+            width = 0 if variable else KEY_WIDTHS.get(key_type.typeName(), 16)
+            key_bytes = stats["n"] * (width + KEY_ENTRY_OVERHEAD) + (stats["chars"] or 0)
+            keys = key_set(aligned, key_col, broadcast=self._may_broadcast(key_bytes))
+            if stats["lo"] is not None:
+                probe = target.where(k.between(F.lit(stats["lo"]), F.lit(stats["hi"])))
+                pairs = touched_values(probe, aligned, key_col, [DATE_COLUMN, SEGMENT_COLUMN], keys).collect()
+                touched = sorted((str(r[0]), r[1]) for r in pairs)
+        if touched:
+            result = upsert_rows(target.where(self._segment_filter(touched)), batch, key_col, keys)
+        else:
+            result = batch
+        version = self._version_dir(suffix, writer, batch_id)
+        tag = self._batch_tag(writer, batch_id)
+        written = self._write_days(result.drop(SEGMENT_COLUMN), key_col, f"{version}/data", target.schema)
+        entries = [(d, tag, loc) for d, loc in sorted(written.items())] + [(d, s, None) for d, s in touched]
+        tables.write_segment_manifest(self.spark, f"{version}/_manifest", entries)
+        tables.switch_segments(self.spark, table, DATE_COLUMN, SEGMENT_COLUMN, entries)
+
+    @staticmethod
+    def _segment_filter(pairs: list[tuple[str, str]]):
+        """Partition predicate selecting exactly the given (day, segment) pairs."""
+        by_day: dict[str, list[str]] = {}
+        for d, s in pairs:
+            by_day.setdefault(d, []).append(s)
+        return reduce(
+            operator.or_,
+            [(F.col(DATE_COLUMN) == F.lit(d).cast("date")) & F.col(SEGMENT_COLUMN).isin(segs) for d, segs in by_day.items()],
+        )
+
+    def _write_days(self, rows: DataFrame, key_col: str, path: str, schema: T.StructType) -> dict[str, str]:
+        """Write rows partitioned by day into a fresh folder; day -> folder written."""
+        # Rebalance by day: right-sized tasks per day (AQE splits a hot day), one
+        # sorted run of keys per file for tight parquet key statistics.
+        (
+            rows.hint("rebalance", DATE_COLUMN)
+            .sortWithinPartitions(DATE_COLUMN, key_col)
+            .write.mode("overwrite")
+            .options(**VERSION_WRITE_OPTIONS)
+            .partitionBy(DATE_COLUMN)
+            .parquet(path)
+        )
+        data_schema = T.StructType([f for f in schema.fields if f.name != SEGMENT_COLUMN])
+        return tables.written_partitions(self.spark, path, DATE_COLUMN, data_schema)
+
+    def compact(self, suffix: str, min_segments: int = 4) -> int:
+        """Merge segments of a day, size-tiered: whenever a day holds at least
+        ``min_segments`` segments of one level, they become one segment of the next
+        level. Rows are unchanged. Returns the number of segments merged.
+
+        Run it between batches of the table's writer (``compact_min_segments`` does
+        so before each batch's write): a batch committed concurrently could be lost.
+        """
+        if not self._segments():
+            raise ValueError("compaction applies to the segments layout of merge mode")
+        table = self.table(suffix)
+        merged = 0
+        # Lowest level first; a merge can fill the next level, so look again until
+        # no (day, level) group is full. One write per round: its days together.
+        while True:
+            by_level: dict[tuple[str, int], list[str]] = {}
+            for d, s in tables.segment_partitions(self.spark, table, DATE_COLUMN, SEGMENT_COLUMN):
+                by_level.setdefault((d, segment_level(s)), []).append(s)
+            full = {dl: segs for dl, segs in by_level.items() if len(segs) >= min_segments}
+            if not full:
+                return merged
+            level = min(lvl for _, lvl in full)
+            pairs = sorted((d, s) for (d, lvl), segs in full.items() if lvl == level for s in segs)
+            tag = COMPACT_TAG.format(level=level + 1, run=uuid.uuid4().hex[:12])
+            schema = self.spark.table(table).schema
+            key_col = next((f.name for f in schema.fields if f.name.lower() == self.config.key.lower()), DATE_COLUMN)
+            rows = self.spark.table(table).where(self._segment_filter(pairs)).drop(SEGMENT_COLUMN)
+            version = f"{self.root}/{self.table_name(suffix)}/_v/compact/{tag}"
+            written = self._write_days(rows, key_col, f"{version}/data", schema)
+            entries = [(d, tag, loc) for d, loc in sorted(written.items())] + [(d, s, None) for d, s in pairs]
+            tables.write_segment_manifest(self.spark, f"{version}/_manifest", entries)
+            tables.switch_segments(self.spark, table, DATE_COLUMN, SEGMENT_COLUMN, entries)
+            merged += len(pairs)
+
     def _may_broadcast(self, key_bytes: int) -> bool:
         limit = self.config.broadcast_keys_max_bytes
         if limit is None:

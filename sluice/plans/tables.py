@@ -9,6 +9,8 @@ re-applies the (idempotent) partition switches.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +21,14 @@ from sluice.functions.types import quote, sql_string  # noqa: F401  (re-exported
 MANIFEST_SCHEMA = T.StructType(
     [T.StructField("part", T.StringType(), True), T.StructField("location", T.StringType(), True)]
 )
+# Segment layout: (day, segment) partitions; a NULL location drops the partition.
+SEGMENT_MANIFEST_SCHEMA = T.StructType(
+    [
+        T.StructField("part", T.StringType(), True),
+        T.StructField("segment", T.StringType(), True),
+        T.StructField("location", T.StringType(), True),
+    ]
+)
 
 
 def ident(database: str, name: str) -> str:
@@ -144,3 +154,49 @@ def switch_partitions(spark: SparkSession, table: str, column: str, entries: lis
         specs = ", ".join(f"PARTITION ({col}={sql_string(v)})" for v in drops)
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
     spark.catalog.refreshTable(table)
+
+
+def segment_partitions(spark: SparkSession, table: str, day_column: str, segment_column: str) -> set[tuple[str, str]]:
+    """(day, segment) pairs registered in the catalog (metadata only)."""
+    out = set()
+    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
+        parts = dict(p.split("=", 1) for p in row[0].split("/"))
+        out.add((unquote(parts[day_column]), unquote(parts[segment_column])))
+    return out
+
+
+def read_segment_manifest(spark: SparkSession, path: str) -> list[tuple[str, str, str | None]] | None:
+    try:
+        rows = spark.read.schema(SEGMENT_MANIFEST_SCHEMA).json(path).collect()
+    except AnalysisException:
+        return None
+    if not rows:
+        return None
+    return [(r["part"], r["segment"], r["location"]) for r in rows]
+
+
+def write_segment_manifest(spark: SparkSession, path: str, entries: list[tuple[str, str, str | None]]) -> None:
+    rows = [
+        F.struct(F.lit(d).alias("part"), F.lit(s).alias("segment"), F.lit(loc).cast("string").alias("location"))
+        for d, s, loc in entries
+    ]
+    spark.range(1).select(F.inline(F.array(*rows))).coalesce(1).write.mode("overwrite").json(path)
+
+
+def switch_segments(
+    spark: SparkSession, table: str, day_column: str, segment_column: str, entries: list[tuple[str, str, str | None]]
+) -> None:
+    """Add the new segments, then drop the replaced ones: two catalog statements
+    whatever the number of partitions. Idempotent (IF NOT EXISTS / IF EXISTS)."""
+    d, s = quote(day_column), quote(segment_column)
+
+    def spec(day: str, seg: str) -> str:
+        return f"PARTITION ({d}={sql_string(day)}, {s}={sql_string(seg)})"
+
+    adds = [f"{spec(day, seg)} LOCATION {sql_string(loc)}" for day, seg, loc in entries if loc]
+    if adds:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(adds))
+    drops = [spec(day, seg) for day, seg, loc in entries if not loc]
+    if drops:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(drops))
+    spark.catalog.refreshTable(table)

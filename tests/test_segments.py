@@ -1,0 +1,142 @@
+"""Segments layout: new rows become new (day, segment) partitions; only segments
+holding batch keys are rewritten; compaction merges a day's segments by level."""
+
+from __future__ import annotations
+
+import json
+
+import pytest
+
+from tests.conftest import BATCH_TIME, new_sink, records
+from sluice.plans import tables as table_ops
+from sluice.plans.batch import segment_level
+
+SEG = "ingest_segment"
+
+
+def _rows(keys, base_offset, value=lambda k: k, seconds=lambda k: 0):
+    """Records of table ``t``; every record on the same day unless ``seconds`` moves it."""
+    return [("t", json.dumps({"unique_id": k, "v": value(k)}), base_offset + i, seconds(k)) for i, k in enumerate(keys)]
+
+
+def _content(sink):
+    df = sink.read("t")
+    cols = [c for c in df.columns if c != SEG]
+    return sorted(tuple(r) for r in df.select(*cols).collect())
+
+
+def _segments(sink):
+    return sorted(table_ops.segment_partitions(sink.spark, sink.table("t"), "kafka_date", SEG))
+
+
+def _files(sink, segment):
+    return sorted(sink.read("t").where(f"{SEG} = '{segment}'").inputFiles())
+
+
+BATCHES = [
+    _rows(range(0, 20), 0),
+    _rows(range(20, 40), 100),
+    # Updates of keys from both earlier batches, one key moved to the next day,
+    # a key twice (the later wins), a NULL key and new keys.
+    _rows([3, 25, 25, 41], 200, value=lambda k: -k, seconds=lambda k: 86_400 if k == 3 else 0)
+    + [("t", json.dumps({"v": 99}), 299, 0)],
+]
+
+
+def test_segments_equal_day_layout(spark):
+    day, seg = new_sink(spark), new_sink(spark, layout="segments")
+    for b, rows in enumerate(BATCHES):
+        day.process_batch(records(spark, rows), b, "w", BATCH_TIME)
+        seg.process_batch(records(spark, rows), b, "w", BATCH_TIME)
+    assert _content(seg) == _content(day)
+    got = {r["unique_id"]: r["v"] for r in seg.read("t").collect() if r["unique_id"] is not None}
+    assert got[3] == -3 and got[25] == -25 and got[41] == -41 and got[4] == 4 and len(got) == 41
+
+
+def test_insert_only_batches_rewrite_nothing_stored(spark):
+    sink = new_sink(spark, layout="segments")
+    sink.process_batch(records(spark, BATCHES[0]), 0, "w", BATCH_TIME)
+    first = _segments(sink)
+    files = _files(sink, first[0][1])
+    sink.process_batch(records(spark, BATCHES[1]), 1, "w", BATCH_TIME)
+    after = _segments(sink)
+    assert len(first) == 1 and len(after) == 2 and first[0] in after
+    assert _files(sink, first[0][1]) == files  # the first segment was not rewritten
+
+
+def test_update_rewrites_only_segments_holding_its_keys(spark):
+    sink = new_sink(spark, layout="segments")
+    sink.process_batch(records(spark, BATCHES[0]), 0, "w", BATCH_TIME)
+    sink.process_batch(records(spark, BATCHES[1]), 1, "w", BATCH_TIME)
+    (_, s0), (_, s1) = _segments(sink)
+    kept = _files(sink, s1)
+    sink.process_batch(records(spark, _rows([5], 300, value=lambda k: -k)), 2, "w", BATCH_TIME)
+    names = [s for _, s in _segments(sink)]
+    assert s0 not in names and s1 in names and len(names) == 2
+    assert _files(sink, s1) == kept
+    got = {r["unique_id"]: r["v"] for r in sink.read("t").collect()}
+    assert got[5] == -5 and len(got) == 40
+
+
+def test_segments_replay_after_interrupted_commit(spark, monkeypatch):
+    sink, reference = new_sink(spark, layout="segments"), new_sink(spark, layout="segments")
+    for b, rows in enumerate(BATCHES[:2]):
+        sink.process_batch(records(spark, rows), b, "w", BATCH_TIME)
+        reference.process_batch(records(spark, rows), b, "w", BATCH_TIME)
+    reference.process_batch(records(spark, BATCHES[2]), 2, "w", BATCH_TIME)
+
+    real = table_ops.switch_segments
+    calls = {"n": 0}
+
+    def flaky(*args, **kwargs):
+        calls["n"] += 1
+        if calls["n"] == 1:
+            raise RuntimeError("lost the driver mid-commit")
+        return real(*args, **kwargs)
+
+    monkeypatch.setattr(table_ops, "switch_segments", flaky)
+    with pytest.raises(RuntimeError):
+        sink.process_batch(records(spark, BATCHES[2]), 2, "w", BATCH_TIME)
+    monkeypatch.setattr(table_ops, "switch_segments", real)
+    report = sink.process_batch(records(spark, BATCHES[2]), 2, "w", BATCH_TIME)
+    assert report.skipped == ["t"]  # the manifest was complete: switches re-applied, nothing written
+    assert _content(sink) == _content(reference)
+    # NULL-key rows are not inserted twice by the replay.
+    assert sink.read("t").where("unique_id IS NULL").count() == 1
+
+
+def test_compaction_is_size_tiered_and_keeps_rows(spark):
+    sink = new_sink(spark, layout="segments")
+    plain = new_sink(spark)
+    for b in range(4):
+        rows = _rows(range(b * 10, b * 10 + 10), b * 100)
+        sink.process_batch(records(spark, rows), b, "w", BATCH_TIME)
+        plain.process_batch(records(spark, rows), b, "w", BATCH_TIME)
+    assert len(_segments(sink)) == 4
+    assert sink.compact("t", min_segments=5) == 0
+    assert sink.compact("t", min_segments=4) == 4
+    segs = _segments(sink)
+    assert len(segs) == 1 and segment_level(segs[0][1]) == 1
+    assert _content(sink) == _content(plain)
+
+
+def test_compact_before_each_batch(spark):
+    sink = new_sink(spark, layout="segments", compact_min_segments=2)
+    for b in range(4):
+        sink.process_batch(records(spark, _rows(range(b * 10, b * 10 + 10), b * 100)), b, "w", BATCH_TIME)
+    levels = sorted(segment_level(s) for _, s in _segments(sink))
+    # Compaction runs before a batch's write: the two level-0 segments of batches
+    # 0 and 1 became one of level 1 before batch 2; batches 2 and 3 are pending.
+    assert levels == [0, 0, 1]
+    assert sink.read("t").count() == 40
+
+
+def test_replay_after_compaction_does_not_bring_back_segments(spark):
+    sink = new_sink(spark, layout="segments", compact_min_segments=2)
+    for b in range(3):
+        sink.process_batch(records(spark, _rows(range(b * 10, b * 10 + 10), b * 100)), b, "w", BATCH_TIME)
+    # The driver died after batch 2 committed, before the stream recorded it: replay.
+    report = sink.process_batch(records(spark, _rows(range(20, 30), 200)), 2, "w", BATCH_TIME)
+    assert report.skipped == ["t"]
+    assert sink.read("t").count() == 30
+    assert sink.read("t").select("unique_id").distinct().count() == 30
