@@ -288,6 +288,22 @@ def q_merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _all_tables(sink, ["unique_id", "user_id", "kafka_offset", "amount", "k", "detail", "is_paid"])
 
 
+def q_merge_upsert_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``merge_upsert`` in the segments layout: all events in four batches by
+    record time (so days gain segments), then the updates; compaction at two
+    segments per level runs before each batch's write."""
+    ev = _events(spark, sf_dir)
+    sink = _sink(spark, "segments", layout="segments", compact_min_segments=2)
+    ts = F.unix_micros(F.col("ts").cast("timestamp"))
+    bounds = ev.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
+    step = (bounds["hi"] - bounds["lo"]) // 4 + 1
+    for b in range(4):
+        part = ev.where((ts >= F.lit(bounds["lo"] + b * step)) & (ts < F.lit(bounds["lo"] + (b + 1) * step)))
+        sink.process_batch(feed.to_envelope(part), b, "q", BATCH_TIME)
+    sink.process_batch(feed.update_envelope(ev), 4, "q", BATCH_TIME)
+    return _all_tables(sink, ["unique_id", "user_id", "kafka_offset", "amount", "k", "detail", "is_paid"])
+
+
 def q_merge_insert_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _events(spark, sf_dir)
     mid = feed.time_midpoint_us(ev)
@@ -433,6 +449,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "append_evolve": q_append_evolve,
     "batch_dedupe": q_batch_dedupe,
     "merge_upsert": q_merge_upsert,
+    "merge_upsert_segments": q_merge_upsert_segments,
     "merge_insert_only": q_merge_insert_only,
     "merge_null_key": q_merge_null_key,
     "merge_replaces_row": q_merge_replaces_row,
@@ -551,6 +568,7 @@ WHERE EXISTS (SELECT 1 FROM events WHERE event_type = 'purchase')""",
     "append_evolve": f"SELECT event_id AS kafka_offset, event_id AS unique_id, user_id, {_PAYLOAD} FROM events",
     "batch_dedupe": f"""SELECT table_suffix, unique_id, kafka_offset, amount, k, detail, is_paid FROM ({_UPSERT})""",
     "merge_upsert": _UPSERT,
+    "merge_upsert_segments": _UPSERT,
     "merge_insert_only": "SELECT event_type AS table_suffix, event_id AS unique_id, event_id AS kafka_offset FROM events",
     "merge_null_key": """SELECT event_type AS table_suffix, CASE WHEN value >= 5 THEN event_id END AS unique_id, user_id,
   event_id AS kafka_offset FROM events
