@@ -140,3 +140,18 @@ def test_replay_after_compaction_does_not_bring_back_segments(spark):
     assert report.skipped == ["t"]
     assert sink.read("t").count() == 30
     assert sink.read("t").select("unique_id").distinct().count() == 30
+
+
+def test_segment_rewrite_reads_only_its_partitions(spark):
+    from tests.test_plans import plan_text
+    from sluice.plans.batch import MultiTableSink
+
+    sink = new_sink(spark, layout="segments")
+    sink.process_batch(records(spark, BATCHES[0]), 0, "w", BATCH_TIME)
+    sink.process_batch(records(spark, BATCHES[1]), 1, "w", BATCH_TIME)
+    (day, s0), _ = _segments(sink)
+    chosen = sink.read("t").where(MultiTableSink._segment_filter([(day, s0)]))
+    text = plan_text(chosen)
+    scan = [line for line in text.splitlines() if "PartitionFilters" in line]
+    assert scan and SEG in scan[0] and "kafka_date" in scan[0]
+    assert chosen.count() == 20 and len(chosen.inputFiles()) == len(_files(sink, s0))
