@@ -30,6 +30,7 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 # Fixed batch time for stamped rows (never compared).
 BATCH_TIME = dt.datetime(2024, 6, 1)
 PAYLOAD_TYPES = {"amount": "double", "k": "bigint", "detail": "string", "is_paid": "boolean"}
+RECENCY = merge.RECENCY_ORDER
 
 
 # -- helpers ---------------------------------------------------------------
@@ -274,10 +275,12 @@ def q_batch_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink = _sink(spark, "dedupe")
 
     def rows_of(suffix: str, flat: DataFrame) -> DataFrame:
-        latest = merge.dedupe_latest(flat, "unique_id")
-        return latest.select(F.lit(suffix).alias("table_suffix"), "unique_id", "kafka_offset", *PAYLOAD_TYPES)
+        return flat.select(F.lit(suffix).alias("table_suffix"), *RECENCY, "unique_id", *PAYLOAD_TYPES)
 
-    return _per_table(_prepared(spark, sf_dir, both), sink, rows_of)
+    # Every table's rows stacked, then one dedupe scoped by table: one shuffle.
+    stacked = _per_table(_prepared(spark, sf_dir, both), sink, rows_of)
+    latest = merge.dedupe_latest(stacked, "unique_id", within=["table_suffix"])
+    return latest.select("table_suffix", "unique_id", "kafka_offset", *PAYLOAD_TYPES)
 
 
 def q_merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,19 +16,23 @@ from sluice.functions.types import quote
 RECENCY_ORDER = ["kafka_ts", "kafka_partition", "kafka_offset"]
 
 
-def dedupe_latest(df: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
+def dedupe_latest(df: DataFrame, key: str, order: list[str] | None = None, within: list[str] | None = None) -> DataFrame:
     """Keep the latest record per key; rows with a NULL key are all kept.
 
-    ``max_by`` over a group-by combines map-side, so a key holding a large share
-    of the batch is reduced to one row per task before the shuffle (a window
-    would sort every row of that key in one task).
+    ``within`` names columns that scope the key (e.g. ``table_suffix`` when rows of
+    several tables are deduplicated in one pass). ``max_by`` over a group-by
+    combines map-side, so a key holding a large share of the batch is reduced to
+    one row per task before the shuffle (a window would sort every row of that
+    key in one task).
     """
     order = order or RECENCY_ORDER
+    within = within or []
     k = F.col(quote(key))
     cols = [F.col(quote(c)) for c in df.columns]
+    groups = [F.col(quote(c)).alias(f"__within{i}") for i, c in enumerate(within)]
     latest = (
         df.where(k.isNotNull())
-        .groupBy(k.alias("__key"))
+        .groupBy(*groups, k.alias("__key"))
         .agg(F.max_by(F.struct(*cols), F.struct(*[F.col(quote(c)) for c in order])).alias("__row"))
         .select(*[F.col("__row").getField(c).alias(c) for c in df.columns])
     )
