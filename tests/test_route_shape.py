@@ -125,16 +125,3 @@ def test_merge_sql_is_quoted():
 def test_date_partition_column(spark):
     df = normalise(records(spark, [("t", "{}", 1)]))
     assert shape.with_date_partition(df).select(F.col("kafka_date").cast("string")).first()[0] == "2024-01-01"
-
-
-def test_dedupe_latest_within_tables(spark):
-    import datetime as dt
-
-    t0 = dt.datetime(2024, 1, 1)
-    df = spark.createDataFrame(
-        [("a", 1, 1, t0, 0, 1), ("a", 1, 2, t0, 0, 2), ("b", 1, 3, t0, 0, 3), ("b", None, 4, t0, 0, 4), ("b", None, 5, t0, 0, 5)],
-        "table_suffix string, unique_id long, v long, kafka_ts timestamp, kafka_partition int, kafka_offset long",
-    )
-    got = sorted((r["table_suffix"], r["unique_id"] or -1, r["v"]) for r in merge.dedupe_latest(df, "unique_id", within=["table_suffix"]).collect())
-    # Same key in two tables: one latest row each; NULL keys all kept.
-    assert got == [("a", 1, 2), ("b", -1, 4), ("b", -1, 5), ("b", 1, 3)]
