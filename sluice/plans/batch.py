@@ -310,6 +310,10 @@ class MultiTableSink:
         table = self.table(suffix)
         exists = tables.table_exists(self.spark, self.config.database, self.table_name(suffix))
         if exists and self.config.mode == MERGE and self.config.table_format == "parquet":
+            segmented = any(f.name == SEGMENT_COLUMN for f in self.spark.table(table).schema.fields)
+            if segmented != self._segments():
+                have = SEGMENT_LAYOUT if segmented else DAY_LAYOUT
+                raise ValueError(f"table '{suffix}' has the {have!r} layout, the sink is set to {self.config.layout!r}")
             version = self._version_dir(suffix, writer, batch_id)
             if self._segments():
                 segments = tables.read_segment_manifest(self.spark, f"{version}/_manifest")

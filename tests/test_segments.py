@@ -155,3 +155,14 @@ def test_segment_rewrite_reads_only_its_partitions(spark):
     scan = [line for line in text.splitlines() if "PartitionFilters" in line]
     assert scan and SEG in scan[0] and "kafka_date" in scan[0]
     assert chosen.count() == 20 and len(chosen.inputFiles()) == len(_files(sink, s0))
+
+
+def test_layout_mismatch_is_refused(spark):
+    from sluice import MultiTableSink, SchemaConflictError, SinkConfig
+
+    day = new_sink(spark)
+    day.process_batch(records(spark, BATCHES[0]), 0, "w", BATCH_TIME)
+    seg = MultiTableSink(spark, SinkConfig(database=day.config.database, root=day.root, layout="segments"))
+    with pytest.raises(SchemaConflictError, match="layout"):
+        seg.process_batch(records(spark, BATCHES[1]), 1, "w", BATCH_TIME)
+    assert day.read("t").count() == 20
