@@ -115,9 +115,9 @@ class SinkConfig:
     # batch touches it. "segments": (day, segment) partitions; a batch's rows become
     # new segments and only segments holding its keys are rewritten.
     layout: str = DAY_LAYOUT
-    # Segments layout: before a batch's write, merge a day's segments of one level
-    # once it has this many (size-tiered: each row is rewritten about
-    # log_n(batches) times).
+    # Segments layout: before a batch's write, merge the segments of one level of
+    # each day the batch writes once it has this many (size-tiered: each row is
+    # rewritten about log_n(batches) times).
     # None: only when ``compact`` is called.
     compact_min_segments: int | None = None
     properties: dict[str, str] = field(default_factory=dict)
@@ -337,12 +337,6 @@ class MultiTableSink:
             self._merge_sql(table, aligned)
             return True
         if self._segments():
-            if exists and self.config.compact_min_segments:
-                # Before this batch's write, never after its commit: a replay of a
-                # committed batch re-applies its manifest, which would bring back a
-                # segment that compaction had merged away. Only the last batch is
-                # ever replayed, and when this runs its manifest does not exist yet.
-                self.compact(suffix, self.config.compact_min_segments)
             self._write_segments(table, suffix, aligned, writer, batch_id, has_data=exists)
         else:
             self._copy_on_write(table, suffix, aligned, writer, batch_id, has_data=exists)
@@ -429,14 +423,14 @@ class MultiTableSink:
         """Segments layout: the batch becomes one new segment per day; only the
         stored segments holding batch keys are rewritten (minus those keys) into it.
 
-        Insert-only batches rewrite nothing stored. Job 1: key range, count and
-        bytes of the batch (one row). Job 2: the (day, segment) pairs of stored rows
+        Insert-only batches rewrite nothing stored. Job 1: key range, count, bytes
+        and days of the batch (one row); compaction of those days if configured.
+        Job 2: the (day, segment) pairs of stored rows
         whose key is in the batch (key-only scan bounded by the range). Job 3: the
         write. Then one manifest and two catalog statements (ADD, DROP).
         """
         key_col = next(c for c in aligned.columns if c.lower() == self.config.key.lower())
         k = F.col(quote(key_col))
-        target = self.spark.table(table)
         batch = dedupe_latest(aligned, key_col)
         touched: list[tuple[str, str]] = []
         keys = None
@@ -448,14 +442,23 @@ class MultiTableSink:
                 F.max(k).alias("hi"),
                 F.count(k).alias("n"),
                 (F.sum(F.octet_length(k)) if variable else F.lit(0)).alias("chars"),
+                F.array_sort(F.collect_set(F.col(DATE_COLUMN).cast("string"))).alias("days"),
             ).first()
+            if self.config.compact_min_segments:
+                # Segments accumulate only on days a batch writes, so only those are
+                # compacted. Before this batch's write, never after its commit: a
+                # replay of a committed batch re-applies its manifest, which would
+                # bring back a segment that compaction had merged away. Only the
+                # last batch is ever replayed, and here its manifest does not exist.
+                self.compact(suffix, self.config.compact_min_segments, days=list(stats["days"]))
             width = 0 if variable else KEY_WIDTHS.get(key_type.typeName(), 16)
             key_bytes = stats["n"] * (width + KEY_ENTRY_OVERHEAD) + (stats["chars"] or 0)
             keys = key_set(aligned, key_col, broadcast=self._may_broadcast(key_bytes))
             if stats["lo"] is not None:
-                probe = target.where(k.between(F.lit(stats["lo"]), F.lit(stats["hi"])))
+                probe = self.spark.table(table).where(k.between(F.lit(stats["lo"]), F.lit(stats["hi"])))
                 pairs = touched_values(probe, aligned, key_col, [DATE_COLUMN, SEGMENT_COLUMN], keys).collect()
                 touched = sorted((str(r[0]), r[1]) for r in pairs)
+        target = self.spark.table(table)
         if touched:
             result = upsert_rows(target.where(self._segment_filter(touched)), batch, key_col, keys)
         else:
@@ -493,10 +496,11 @@ class MultiTableSink:
         data_schema = T.StructType([f for f in schema.fields if f.name != SEGMENT_COLUMN])
         return tables.written_partitions(self.spark, path, DATE_COLUMN, data_schema)
 
-    def compact(self, suffix: str, min_segments: int = 4) -> int:
+    def compact(self, suffix: str, min_segments: int = 4, days: list[str] | None = None) -> int:
         """Merge segments of a day, size-tiered: whenever a day holds at least
         ``min_segments`` segments of one level, they become one segment of the next
         level. Rows are unchanged. Returns the number of segments merged.
+        ``days`` limits it to those days (default: every day of the table).
 
         Run it between batches of the table's writer (``compact_min_segments`` does
         so before each batch's write): a batch committed concurrently could be lost.
@@ -509,7 +513,7 @@ class MultiTableSink:
         # no (day, level) group is full. One write per round: its days together.
         while True:
             by_level: dict[tuple[str, int], list[str]] = {}
-            for d, s in tables.segment_partitions(self.spark, table, DATE_COLUMN, SEGMENT_COLUMN):
+            for d, s in tables.segment_partitions(self.spark, table, DATE_COLUMN, SEGMENT_COLUMN, days):
                 by_level.setdefault((d, segment_level(s)), []).append(s)
             full = {dl: segs for dl, segs in by_level.items() if len(segs) >= min_segments}
             if not full:

@@ -156,10 +156,18 @@ def switch_partitions(spark: SparkSession, table: str, column: str, entries: lis
     spark.catalog.refreshTable(table)
 
 
-def segment_partitions(spark: SparkSession, table: str, day_column: str, segment_column: str) -> set[tuple[str, str]]:
-    """(day, segment) pairs registered in the catalog (metadata only)."""
+def segment_partitions(
+    spark: SparkSession, table: str, day_column: str, segment_column: str, days: list[str] | None = None
+) -> set[tuple[str, str]]:
+    """(day, segment) pairs registered in the catalog (metadata only); only the
+    given days when ``days`` is set (one partial-spec listing per day)."""
+    if days is None:
+        statements = [f"SHOW PARTITIONS {table}"]
+    else:
+        statements = [f"SHOW PARTITIONS {table} PARTITION ({quote(day_column)}={sql_string(d)})" for d in days]
+    rows = [row for sql in statements for row in spark.sql(sql).collect()]
     out = set()
-    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
+    for row in rows:
         parts = dict(p.split("=", 1) for p in row[0].split("/"))
         out.add((unquote(parts[day_column]), unquote(parts[segment_column])))
     return out
