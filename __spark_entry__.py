@@ -606,9 +606,37 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_stream_merge(spark, SMOKE_DIR)
 
 
+def _training_data() -> tuple[dict, dict]:
+    """Queries and SQL of the ``llm`` subpackage, and the corpus pipeline, where they are installed.
+
+    Only their absence is tolerated: any other import error is raised.
+    """
+    found: dict = {}
+    sqls: dict = {}
+    try:
+        from sluice.llm import oracles as llm_oracles
+        from sluice.llm import queries as llm_queries
+    except ImportError as missing:
+        if missing.name != "sluice.llm":
+            raise
+        return found, sqls
+    found.update(llm_queries.QUERIES)
+    sqls.update(llm_oracles.ORACLES)
+    try:
+        import corpus_pipeline
+    except ImportError as missing:
+        if missing.name != "corpus_pipeline":
+            raise
+        return found, sqls
+    found["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        sqls["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sqls
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_training_data()[0]}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
+    return {**_ORACLES, **_training_data()[1]}
