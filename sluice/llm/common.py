@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.types import quote
@@ -70,8 +70,6 @@ def global_rank(df: DataFrame, keys: list[Column], name: str, label: str) -> Dat
     Rows are range-partitioned and written; each partition is numbered on its
     own and shifted by the row count of those before it (one row per partition).
     """
-    from pyspark.sql import Window
-
     ranged = stage_table(
         df.repartitionByRange(*keys).withColumn("_part", F.spark_partition_id()), f"{label}-ranged"
     )

@@ -103,8 +103,26 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM e GROUP BY conv_id
 """
 
+OP5 = rf"""
+WITH ln AS (
+  SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)
+), k AS (
+  SELECT doc_id, pos, line, translate(regexp_replace(line, '^{_BLANKS}+|{_BLANKS}+$', '', 'g'), '{_UP}', '{_LOW}') AS key
+  FROM ln
+), c AS (
+  SELECT key, max(doc_id) AS last_doc FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), m AS (
+  SELECT k.doc_id, k.pos, k.line, (c.key IS NOT NULL AND k.doc_id <> c.last_doc) AS gone FROM k LEFT JOIN c USING (key)
+)
+SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (gone))::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
+
 ORACLES = {
     "op2_quality_rules": OP2,
+    "op5_line_dedup": OP5,
     "op8_mix_sources": OP8,
     "op10_chat_format": OP10,
 }

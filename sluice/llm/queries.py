@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import chat, mixing, quality_rules
+from sluice.llm import chat, line_dedup, mixing, quality_rules, simhash_ball
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -20,6 +20,16 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(_read(spark, sf_dir, "documents"))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_ball.simhash_components(_read(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash_ball.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = line_dedup.dedup_lines(_read(spark, sf_dir, "documents"))
+    return held.select("doc.doc_id", "n_lines", "n_dropped", _sha256(F.col("text")).alias("kept_sha256"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.plan_mix(_read(spark, sf_dir, "documents"))
     return plan.select(
@@ -50,6 +60,8 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
+    "op3_simhash": op3_simhash,
+    "op5_line_dedup": op5_line_dedup,
     "op8_mix_sources": op8_mix_sources,
     "op10_chat_format": op10_chat_format,
 }
