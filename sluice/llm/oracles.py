@@ -120,9 +120,39 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (gone))::BIGINT AS
 FROM m GROUP BY doc_id
 """
 
+_TERMS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+OP7 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '{_TERMS}') AS ws
+  FROM documents
+), b AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item_id,
+         regexp_extract_all(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '{_TERMS}') AS ws FROM benchmark
+), bw AS (
+  SELECT DISTINCT item_id, least(len(ws), 10) AS n, array_to_string(ws[i:i + 9], ' ') AS win
+  FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS i FROM b WHERE len(ws) > 0)
+), sizes AS (
+  SELECT DISTINCT n FROM bw
+), dw AS (
+  SELECT rid, n, i, array_to_string(ws[i:i + n - 1], ' ') AS win
+  FROM (SELECT rid, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, sizes WHERE len(ws) >= n)
+), hit AS (
+  SELECT dw.rid, dw.i, dw.n, bw.item_id FROM dw JOIN bw ON dw.n = bw.n AND dw.win = bw.win
+), pos AS (
+  SELECT rid, count(DISTINCT p)::BIGINT AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM hit) GROUP BY rid
+), its AS (
+  SELECT rid, count(*)::BIGINT AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT rid, item_id FROM hit) GROUP BY rid
+)
+SELECT d.doc_id, len(d.ws)::BIGINT AS n_words, coalesce(pos.n_hit, 0) AS n_hit, coalesce(its.n_items, 0) AS n_items,
+       sha256(coalesce(its.ids, '')) AS items_sha256, coalesce(pos.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN pos USING (rid) LEFT JOIN its USING (rid)
+"""
+
 ORACLES = {
     "op2_quality_rules": OP2,
     "op5_line_dedup": OP5,
+    "op7_decontaminate": OP7,
     "op8_mix_sources": OP8,
     "op10_chat_format": OP10,
 }

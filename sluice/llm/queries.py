@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import chat, line_dedup, mixing, quality_rules, simhash_ball
+from sluice.llm import chat, decontaminate, line_dedup, mixing, quality_rules, simhash_ball
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -30,6 +30,18 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return held.select("doc.doc_id", "n_lines", "n_dropped", _sha256(F.col("text")).alias("kept_sha256"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = decontaminate.mark_contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+    return marked.select(
+        "doc.doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        _sha256(F.array_join("items", ",")).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.plan_mix(_read(spark, sf_dir, "documents"))
     return plan.select(
@@ -62,6 +74,7 @@ QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_simhash": op3_simhash,
     "op5_line_dedup": op5_line_dedup,
+    "op7_decontaminate": op7_decontaminate,
     "op8_mix_sources": op8_mix_sources,
     "op10_chat_format": op10_chat_format,
 }
