@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import chat, decontaminate, line_dedup, mixing, quality_rules, simhash_ball
+from sluice.llm import chat, decontaminate, line_dedup, mixing, quality_rules, simhash_ball, toxicity
+from sluice.llm.labelled import fold
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -25,6 +26,16 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash_ball.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score_documents(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+    return scored.select(
+        "doc.doc_id",
+        (fold(F.col("doc.doc_id"), 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = line_dedup.dedup_lines(_read(spark, sf_dir, "documents"))
     return held.select("doc.doc_id", "n_lines", "n_dropped", _sha256(F.col("text")).alias("kept_sha256"))
@@ -73,6 +84,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_simhash": op3_simhash,
+    "op4_toxicity": op4_toxicity,
     "op5_line_dedup": op5_line_dedup,
     "op7_decontaminate": op7_decontaminate,
     "op8_mix_sources": op8_mix_sources,
