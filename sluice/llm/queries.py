@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import chat, decontaminate, line_dedup, mixing, quality_rules, simhash_ball, toxicity
+from sluice.llm import chat, decontaminate, line_dedup, mixing, quality_gam, quality_rules, simhash_ball, toxicity
 from sluice.llm.labelled import fold
 
 
@@ -41,6 +41,16 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return held.select("doc.doc_id", "n_lines", "n_dropped", _sha256(F.col("text")).alias("kept_sha256"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality_gam.score_documents(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+    return scored.select(
+        "doc.doc_id",
+        (fold(F.col("doc.doc_id"), 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= quality_gam.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = decontaminate.mark_contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
     return marked.select(
@@ -86,6 +96,7 @@ QUERIES = {
     "op3_simhash": op3_simhash,
     "op4_toxicity": op4_toxicity,
     "op5_line_dedup": op5_line_dedup,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_decontaminate": op7_decontaminate,
     "op8_mix_sources": op8_mix_sources,
     "op10_chat_format": op10_chat_format,

@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import pickle
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -301,7 +302,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, label: str = "toxic", fo
     """doc (struct of the columns of ``docs``), score in 0 to 1."""
     packed = docs.sparkSession.sparkContext.broadcast(fit_models(docs, labels, label, folds, bound))
 
-    def score(batches):
+    @F.pandas_udf("double")
+    def scorer(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         models = pickle.loads(packed.value)
         for texts in batches:
             if models is None:
@@ -309,7 +311,6 @@ def score_documents(docs: DataFrame, labels: DataFrame, label: str = "toxic", fo
             else:
                 yield pd.Series([models.score(models.ids(t)) for t in texts], dtype="float64")
 
-    scorer = F.pandas_udf(score, "double", F.PandasUDFType.SCALAR_ITER)
     return docs.select(
         F.struct(*[ref(c) for c in docs.columns]).alias("doc"), scorer(text_of().cast("binary")).alias("score")
     )
