@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import chat, decontaminate, line_dedup, mixing, quality_gam, quality_rules, simhash_ball, toxicity
+from sluice.llm import chat, decontaminate, line_dedup, mixing, passages, quality_gam, quality_rules, simhash_ball, toxicity
 from sluice.llm.labelled import fold
 
 
@@ -70,6 +70,10 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.passages(_read(spark, sf_dir, "documents"))
+
+
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     text = "</s>[INST] ok [/INST]"
@@ -99,5 +103,6 @@ QUERIES = {
     "op6_quality_classifier": op6_quality_classifier,
     "op7_decontaminate": op7_decontaminate,
     "op8_mix_sources": op8_mix_sources,
+    "op9_passages": op9_passages,
     "op10_chat_format": op10_chat_format,
 }
