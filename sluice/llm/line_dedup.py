@@ -361,3 +361,10 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     for k in range(batches):
         state = insert_postings(state, postings.where(F.pmod(F.xxhash64("doc_id"), F.lit(batches)) == k))
     return drop_repeated(docs, state, min_chars, min_docs)
+
+
+def without_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
+    """``docs`` with the text after dropping repeated lines; ``n_chars``, where there is one, is counted anew."""
+    held = dedup_lines(docs, min_chars, min_docs)
+    anew = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return held.select(*[anew.get(c, F.col("doc").getField(c)).alias(c) for c in docs.columns])

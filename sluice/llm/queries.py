@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import chat, decontaminate, line_dedup, mixing, passages, quality_gam, quality_rules, simhash_ball, toxicity
+from sluice.llm import chat, decontaminate, line_dedup, lm_scoring, mixing, passages, quality_gam, quality_rules, simhash_ball, toxicity
 from sluice.llm.labelled import fold
 
 
@@ -17,6 +17,10 @@ def _sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(_read(spark, sf_dir, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(_read(spark, sf_dir, "documents"))
 
@@ -96,6 +100,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_quality_rules": op2_quality_rules,
     "op3_simhash": op3_simhash,
     "op4_toxicity": op4_toxicity,
