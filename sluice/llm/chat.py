@@ -8,7 +8,7 @@ kind           effect on message ``msg`` of the conversation
 ``message``    sets its role and its whole text
 ``delta``      appends to its text (and sets its role where it has none)
 ``edit``       replaces its whole text
-``regenerate`` empties it, and drops every message after it that began before
+``regenerate`` empties it, and drops every later message that began before it
 =============  ==============================================================
 
 The log is folded into final messages, the messages into one formatted text per
@@ -114,11 +114,12 @@ def fold(events: DataFrame) -> DataFrame:
         last = F.coalesce(F.array_max(resets), F.lit(0))
         alive = let(last, lambda at: F.filter(log, lambda e, i: (i >= at) & (e.getField("kind") != REGENERATE)))
         roles = F.filter(F.transform(log, lambda e: e.getField("role")), lambda r: r != "")
+        started = F.transform(log, lambda e: F.when(e.getField("kind") == MESSAGE, e.getField("seq")))
         redone = F.transform(log, lambda e: F.when(e.getField("kind") == REGENERATE, e.getField("seq")))
         return F.struct(
             F.array_join(F.transform(alive, lambda e: e.getField("text")), "").alias("text"),
             F.coalesce(F.get(roles, F.size(roles) - 1), F.lit("")).alias("role"),
-            F.get(log, F.lit(0)).getField("seq").alias("began"),
+            F.coalesce(F.array_max(started), F.get(log, F.lit(0)).getField("seq")).alias("began"),
             F.array_max(redone).alias("redone"),
         )
 

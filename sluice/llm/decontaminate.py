@@ -111,7 +111,8 @@ def term_counts(docs: DataFrame, words: DataFrame) -> DataFrame:
             for text in batch["text"]:
                 seen.update(terms(text))
             known = _in_bitmap(bitmap.value, seen)
-            yield pd.DataFrame({"term": [w.decode("utf-8") for w in known], "n": [seen[w] for w in known]})
+            found = pd.Series([w.decode("utf-8") for w in known], dtype=object)
+            yield pd.DataFrame({"term": found, "n": pd.Series([seen[w] for w in known], dtype="int64")})
 
     counted = docs.select(text_of().cast("binary").alias("text")).mapInPandas(count, "term string, n long")
     asked = words.select(F.col("term").alias("_term")).distinct()
@@ -148,7 +149,7 @@ def build_index(docs: DataFrame, words: DataFrame) -> DataFrame:
                         lists.setdefault(w, []).append(at)
                 doc_id = None if pd.isna(doc_id) else int(doc_id)
                 out.extend((w.decode("utf-8"), doc_id, at) for w, at in lists.items())
-            made = pd.DataFrame(out, columns=["term", "doc_id", "positions"])
+            made = pd.DataFrame(out, columns=["term", "doc_id", "positions"], dtype=object)
             yield made.astype({"doc_id": "Int64"})
 
     posted = docs.select(
