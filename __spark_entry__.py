@@ -16,8 +16,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from sluice import MultiTableSink, SinkConfig
+from sluice import MultiTableSink, SchemaConflictError, SinkConfig
 from sluice.functions.types import WIDEN
 from sluice.operators import infer, merge, route, shape
 from sluice.plans import tables
@@ -27,7 +28,7 @@ from sluice.sources import events_feed as feed
 from sluice.streaming import sink as streaming
 
 SMOKE_DIR = "/root/testdata/sf0.001"
-# Fixed batch time for stamped rows (never compared).
+# Fixed batch time for stamped rows.
 BATCH_TIME = dt.datetime(2024, 6, 1)
 PAYLOAD_TYPES = {"amount": "double", "k": "bigint", "detail": "string", "is_paid": "boolean"}
 
@@ -46,12 +47,14 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _sink(spark: SparkSession, label: str, **config) -> MultiTableSink:
     database = f"sq_{label}_{uuid.uuid4().hex[:10]}"
     root = scratch_path(spark, label)
+    # ``events`` is one file: spread its records over the cluster's cores before parsing.
+    config.setdefault("min_partitions", spark.sparkContext.defaultParallelism)
     return MultiTableSink(spark, SinkConfig(database=database, root=f"{root}/warehouse", **config))
 
 
 def _prepared(spark: SparkSession, sf_dir: str, env: DataFrame | None = None) -> DataFrame:
     env = env if env is not None else feed.to_envelope(_events(spark, sf_dir))
-    return route.prepare(route.spread(envelope.normalise(env)))
+    return route.prepare(route.spread(envelope.normalise(env), spark.sparkContext.defaultParallelism))
 
 
 def _table_suffixes(sink: MultiTableSink) -> list[str]:
@@ -77,17 +80,8 @@ def _all_tables(sink: MultiTableSink, columns: list[str]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def _plans_for(spark: SparkSession, prepared: DataFrame, suffix: str, sink: MultiTableSink, stored=None):
-    rows = infer.infer_schema(infer.observe_fields(route.route_filter(prepared, suffix))).collect()
-    rows = [r for r in rows if r["reason"] is None]
-    return sink.plan_fields(suffix, rows, stored)
-
-
-def _routed_rows(spark: SparkSession, sf_dir: str, suffix: str, sink: MultiTableSink, stored=None) -> DataFrame:
-    prepared = _prepared(spark, sf_dir)
-    plans = _plans_for(spark, prepared, suffix, sink, stored)
-    rows = shape.flatten(route.route_filter(prepared, suffix), plans)
-    return shape.with_date_partition(shape.stamp_ingest_time(rows, BATCH_TIME))
+def _stacked(frames) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
 
 
 def _score_envelope(ev: DataFrame) -> DataFrame:
@@ -122,15 +116,22 @@ def q_envelope_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_payload_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text itself; the fraction, which engines print differently, beside it."""
     t = envelope.payload_text(envelope.normalise(feed.to_envelope(_events(spark, sf_dir))))
     return t.select(
         F.col("kafka_offset").alias("event_id"),
         F.col("table_suffix").alias("event_type"),
-        F.get_json_object("value", "$.user_id").cast("bigint").alias("user_id"),
-        F.size(F.json_object_keys("value")).alias("n_fields"),
+        F.regexp_replace("value", '"amount":[^,}]*', '"amount":#').alias("text"),
+        F.get_json_object("value", "$.amount").cast("double").alias("amount"),
     )
 
 
+def q_decode_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = envelope.normalise(feed.to_envelope(_events(spark, sf_dir)))
+    schema = T.StructType.fromDDL("unique_id BIGINT, user_id BIGINT, amount DOUBLE, k BIGINT, detail STRING, is_paid BOOLEAN")
+    return shape.decode_json(n, schema).select("kafka_offset", *schema.names)
+
+
 def q_route_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return route.route_suffixes(_prepared(spark, sf_dir))
 
@@ -195,35 +196,62 @@ def q_field_types_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infer.field_types_distinct(prepared)
 
 
-def _purchase_table(spark: SparkSession, sf_dir: str, label: str) -> MultiTableSink:
-    """All events merged into their tables; the checks then use ``purchase``."""
-    return _merged_events(spark, sf_dir, label)
+def _tables_and_rows(spark: SparkSession, sf_dir: str, label: str):
+    """All events merged into their tables, and per table the rows of the same events once more."""
+    sink = _merged_events(spark, sf_dir, label)
+    prepared = _prepared(spark, sf_dir)
+    inferred = infer.infer_schema(infer.observe_fields(prepared)).where(F.col("reason").isNull()).collect()
+    rows = {}
+    for suffix in _table_suffixes(sink):
+        plans = sink.plan_fields(suffix, [r for r in inferred if r["table_suffix"] == suffix], None)
+        flat = shape.flatten(route.route_filter(prepared, suffix), plans)
+        rows[suffix] = shape.with_date_partition(shape.stamp_ingest_time(flat, BATCH_TIME))
+    return sink, rows
 
 
 def q_schema_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sink = _purchase_table(spark, sf_dir, "diff")
-    stored = sink.read("purchase").schema
-    click = _routed_rows(spark, sf_dir, "click", sink)
-    return shape.schema_diff(spark, click.schema, stored)
+    """The batch schema of every table against the stored schema of every table."""
+    sink, rows = _tables_and_rows(spark, sf_dir, "diff")
+    return _stacked(
+        shape.schema_diff(spark, batch.schema, sink.read(stored).schema).select(
+            F.lit(suffix).alias("batch_table"), F.lit(stored).alias("stored_table"), "*"
+        )
+        for suffix, batch in rows.items()
+        for stored in rows
+    )
+
+
+def _with_payload(df: DataFrame, suffix: str) -> DataFrame:
+    """Table, position of the payload columns, and the payload columns (NULL where absent)."""
+    order = ",".join(c for c in df.columns if c in PAYLOAD_TYPES or c in ("unique_id", "user_id"))
+    missing = [F.lit(None).cast(t).alias(c) for c, t in PAYLOAD_TYPES.items() if c not in df.columns]
+    return df.select(F.lit(suffix).alias("table_suffix"), F.lit(order).alias("columns"), "*", *missing).select(
+        "table_suffix", "columns", "kafka_offset", "unique_id", "user_id", *PAYLOAD_TYPES
+    )
 
 
 def q_align_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sink = _purchase_table(spark, sf_dir, "align")
+    """The rows of every table aligned to the stored schema of ``purchase``."""
+    sink, rows = _tables_and_rows(spark, sf_dir, "align")
     stored = sink.read("purchase").schema
-    aligned, _extra = shape.align_to_schema(_routed_rows(spark, sf_dir, "click", sink, stored), stored)
-    return aligned.select("kafka_offset", "unique_id", "user_id", "amount", "k")
+    return _stacked(_with_payload(shape.align_to_schema(df, stored)[0], suffix) for suffix, df in rows.items())
 
 
 def q_reorder_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sink = _purchase_table(spark, sf_dir, "reorder")
+    """The rows of every table in the column order of ``purchase``, without its missing columns."""
+    sink, rows = _tables_and_rows(spark, sf_dir, "reorder")
     stored = sink.read("purchase").schema
-    ordered = shape.reorder_to_schema(_routed_rows(spark, sf_dir, "click", sink, stored), stored)
-    return ordered.drop("kafka_key", "kafka_ts", sink.config.ingest_time_column, shape.DATE_COLUMN)
+    return _stacked(_with_payload(shape.reorder_to_schema(df, stored), suffix) for suffix, df in rows.items())
+
+
+def _stored_schemas(spark: SparkSession, sink: MultiTableSink) -> DataFrame:
+    return _stacked(
+        shape.schema_rows(spark, spark.table(sink.table(s)).schema).select(F.lit(s).alias("table_suffix"), "*") for s in _table_suffixes(sink)
+    )
 
 
 def q_create_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sink = _purchase_table(spark, sf_dir, "create")
-    return shape.schema_rows(spark, sink.read("purchase").schema)
+    return _stored_schemas(spark, _merged_events(spark, sf_dir, "create"))
 
 
 FIRST_TYPES = ["error", "purchase"]  # first batch of the single-table scenarios; the rest follow
@@ -234,32 +262,45 @@ def _two_batches_one_table(spark: SparkSession, sf_dir: str, label: str, **confi
     ev = _events(spark, sf_dir)
     sink = _sink(spark, label, **config)
     mixed = F.lit("mixed")
-    first = F.col("event_type").isin(*FIRST_TYPES)
+    first = F.coalesce(F.col("event_type").isin(*FIRST_TYPES), F.lit(False))
     sink.process_batch(feed.to_envelope(ev.where(first), suffix=mixed), 0, "q", BATCH_TIME)
     sink.process_batch(feed.to_envelope(ev.where(~first), suffix=mixed), 1, "q", BATCH_TIME)
     return sink
 
 
 def q_alter_add_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sink = _two_batches_one_table(spark, sf_dir, "alter")
-    return shape.schema_rows(spark, sink.read("mixed").schema)
+    return _stored_schemas(spark, _two_batches_one_table(spark, sf_dir, "alter"))
 
 
 def q_partition_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per day of every merge table, and of one append table that took two batches."""
     sink = _merged_events(spark, sf_dir, "layout")
-    frames = [
-        sink.read(s).select(F.lit(s).alias("table_suffix"), F.col(shape.DATE_COLUMN).cast("string").alias("kafka_date"))
-        for s in _table_suffixes(sink)
-    ]
-    return reduce(DataFrame.unionByName, frames).groupBy("table_suffix", "kafka_date").agg(
-        F.count(F.lit(1)).alias("n_rows")
+    appended = _two_batches_one_table(spark, sf_dir, "layouta", mode="append")
+    parts = [(s, sink.read(s)) for s in _table_suffixes(sink)] + [("mixed", appended.read("mixed"))]
+    days = _stacked(
+        df.select(F.lit(s).alias("table_suffix"), F.col(shape.DATE_COLUMN).cast("string").alias("kafka_date")) for s, df in parts
     )
+    return days.groupBy("table_suffix", "kafka_date").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def q_table_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sink = _purchase_table(spark, sf_dir, "props")
-    props = tables.table_properties(spark, sink.table("purchase"))
-    return props.where(F.col("key").startswith("sluice.")).select("key", "value")
+    sink = _merged_events(spark, sf_dir, "props")
+    return _stacked(
+        tables.table_properties(spark, sink.table(s))
+        .where(F.col("key").startswith("sluice."))
+        .select(F.lit(s).alias("table_suffix"), "key", "value")
+        for s in _table_suffixes(sink)
+    )
+
+
+def q_ingest_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sink = _merged_events(spark, sf_dir, "stamp")
+    return _stacked(
+        sink.read(s).select(
+            F.lit(s).alias("table_suffix"), "unique_id", F.unix_micros(sink.config.ingest_time_column).alias("ingested_us")
+        )
+        for s in _table_suffixes(sink)
+    )
 
 
 def q_append_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -289,27 +330,38 @@ def q_merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_merge_upsert_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As ``merge_upsert`` in the segments layout: all events in four batches by
-    record time (so days gain segments), then the updates; compaction at two
-    segments per level runs before each batch's write."""
+    """As ``merge_upsert``, the events in four segments of the time range, one batch each, then the updates."""
     ev = _events(spark, sf_dir)
-    sink = _sink(spark, "segments", layout="segments", compact_min_segments=2)
+    sink = _sink(spark, "segments")
     ts = F.unix_micros(F.col("ts").cast("timestamp"))
     bounds = ev.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
     step = (bounds["hi"] - bounds["lo"]) // 4 + 1
+    segment = F.coalesce(F.floor((ts - F.lit(bounds["lo"])) / F.lit(step)), F.lit(0))
     for b in range(4):
-        part = ev.where((ts >= F.lit(bounds["lo"] + b * step)) & (ts < F.lit(bounds["lo"] + (b + 1) * step)))
-        sink.process_batch(feed.to_envelope(part), b, "q", BATCH_TIME)
+        sink.process_batch(feed.to_envelope(ev.where(segment == b)), b, "q", BATCH_TIME)
     sink.process_batch(feed.update_envelope(ev), 4, "q", BATCH_TIME)
     return _all_tables(sink, ["unique_id", "user_id", "kafka_offset", "amount", "k", "detail", "is_paid"])
 
 
+def q_merge_wide_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys beyond 64 bits stay apart, over an insert and an update batch."""
+    ev = _events(spark, sf_dir)
+    key = F.col("event_id").cast("decimal(38,0)") + F.lit("18446744073709551616").cast("decimal(38,0)")
+    sink = _sink(spark, "wide")
+    for b, (rows, update) in enumerate(((ev, False), (ev.where(feed.is_update()), True))):
+        text = feed.payload_json(feed.payload_fields(update) | {"unique_id": key.cast("decimal(38,0)")})
+        shift = feed.UPDATE_OFFSET_SHIFT if update else 0
+        sink.process_batch(feed.to_envelope(rows, value_text=text, offset_shift=shift), b, "q", BATCH_TIME)
+    return _all_tables(sink, ["unique_id", "kafka_offset", "amount", "k"]).withColumn("unique_id", F.col("unique_id").cast("string"))
+
+
 def q_merge_insert_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _events(spark, sf_dir)
     mid = feed.time_midpoint_us(ev)
     sink = _sink(spark, "insert")
-    sink.process_batch(feed.to_envelope(ev.where(feed.before(mid))), 0, "q", BATCH_TIME)
-    sink.process_batch(feed.to_envelope(ev.where(~feed.before(mid))), 1, "q", BATCH_TIME)
+    early = F.coalesce(feed.before(mid), F.lit(False))
+    sink.process_batch(feed.to_envelope(ev.where(early)), 0, "q", BATCH_TIME)
+    sink.process_batch(feed.to_envelope(ev.where(~early)), 1, "q", BATCH_TIME)
     return _all_tables(sink, ["unique_id", "kafka_offset"])
 
 
@@ -336,28 +388,107 @@ def q_merge_replaces_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _damaged_envelope(ev: DataFrame) -> DataFrame:
-    """Records with value < 4 damaged: malformed, no header, not an object, bad suffix."""
-    v = F.col("value")
+    """Records with value < 8 damaged or odd, by the unit of their value:
+
+    0 malformed, 1 no header, 2 not an object, 3 bad suffix, 4 an object after a
+    newline (good), 5 a suffix that ends in a newline, 6 dotted and clashing
+    names (good), 7 an empty field name.
+    """
+    kind = F.floor("value")
     good = feed.payload_json(feed.payload_fields())
+    key = F.col("event_id").cast("string")
     text = (
-        F.when(v < 1, F.substring(good, 1, 10))
-        .when((v >= 2) & (v < 3), F.concat(F.lit("["), F.col("event_id").cast("string"), F.lit("]")))
+        F.when(kind == 0, F.substring(good, 1, 10))
+        .when(kind == 2, F.concat(F.lit("["), key, F.lit("]")))
+        .when(kind == 4, F.concat(F.lit("\n\t "), good))
+        .when(kind == 6, F.concat(F.lit('{"a.b":1,"kafka_ts":2,"payload_kafka_ts":3,"unique_id":'), key, F.lit("}")))
+        .when(kind == 7, F.concat(F.lit('{"":1,"unique_id":'), key, F.lit("}")))
         .otherwise(good)
     )
-    suffix = F.when((v >= 3) & (v < 4), F.lit("bad-suffix")).otherwise(F.col("event_type"))
-    header = F.struct(F.lit("table_suffix").alias("key"), suffix.cast("binary").alias("value"))
-    headers = F.when((v >= 1) & (v < 2), F.array().cast(envelope.RAW_ENVELOPE["headers"].dataType)).otherwise(
-        F.array(header)
+    suffix = (
+        F.when(kind == 3, F.lit("bad-suffix"))
+        .when(kind == 5, F.concat(F.col("event_type"), F.lit("\n")))
+        .otherwise(F.col("event_type"))
     )
+    header = F.struct(F.lit("table_suffix").alias("key"), suffix.cast("binary").alias("value"))
+    headers = F.when(kind == 1, F.array().cast(envelope.RAW_ENVELOPE["headers"].dataType)).otherwise(F.array(header))
     return feed.to_envelope(ev, value_text=text, headers=headers)
 
 
+def _damaged_in_two_batches(spark: SparkSession, sf_dir: str, label: str) -> MultiTableSink:
+    ev = _events(spark, sf_dir)
+    sink = _sink(spark, label)
+    odd = F.coalesce(F.col("event_id") % 2 == 1, F.lit(False))
+    sink.process_batch(_damaged_envelope(ev.where(odd)), 0, "q", BATCH_TIME)
+    sink.process_batch(_damaged_envelope(ev.where(~odd)), 1, "q", BATCH_TIME)
+    return sink
+
+
 def q_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sink = _sink(spark, "quarantine")
-    sink.process_batch(_damaged_envelope(_events(spark, sf_dir)), 0, "q", BATCH_TIME)
+    sink = _damaged_in_two_batches(spark, sf_dir, "quarantine")
     return spark.table(sink.quarantine_table()).select("kafka_offset", "table_suffix", "reason")
 
 
+def q_odd_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the tables of the same batches hold: dotted and clashing names have columns of their own."""
+    sink = _damaged_in_two_batches(spark, sf_dir, "oddnames")
+    return _stacked(
+        sink.read(s).select(
+            F.lit(s).alias("table_suffix"),
+            "unique_id",
+            F.col("`a.b`").alias("a_b"),
+            "payload_kafka_ts",
+            "payload_payload_kafka_ts",
+        )
+        for s in _table_suffixes(sink)
+    )
+
+
+def q_null_no_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A JSON null is no evidence of a type."""
+    score = F.when(F.col("value") < 50, F.lit("null")).otherwise(F.col("user_id").cast("string"))
+    text = F.concat(F.lit('{"unique_id":'), F.col("event_id").cast("string"), F.lit(',"never":null,"score":'), score, F.lit("}"))
+    prepared = _prepared(spark, sf_dir, feed.to_envelope(_events(spark, sf_dir), value_text=text))
+    inferred = infer.infer_schema(infer.observe_fields(prepared))
+    return inferred.where(F.col("field").isNotNull()).select("table_suffix", "field", "data_type", F.col("n_values").alias("n_rows"))
+
+
+def q_case_twins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two spellings of one field are a conflict."""
+    name = F.when(F.col("value") < 50, F.lit("id")).otherwise(F.lit("ID"))
+    text = F.concat(F.lit('{"'), name, F.lit('":'), F.col("event_id").cast("string"), F.lit("}"))
+    prepared = _prepared(spark, sf_dir, feed.to_envelope(_events(spark, sf_dir), value_text=text))
+    return infer.schema_conflicts(infer.infer_schema(infer.observe_fields(prepared))).select("table_suffix", "types", "spellings")
+
+
+def q_stored_type_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fractions are refused by an integer column, table by table; what was stored stays."""
+    ev = _events(spark, sf_dir)
+    sink = _sink(spark, "types")
+    for b, half in enumerate(("", ".5")):
+        text = F.concat(F.lit('{"unique_id":'), F.col("event_id").cast("string"), F.lit(',"score":'), F.col("user_id").cast("string"), F.lit(half + "}"))
+        batch = feed.to_envelope(ev, value_text=text, offset_shift=b * feed.UPDATE_OFFSET_SHIFT)
+        try:
+            sink.process_batch(batch, b, "q", BATCH_TIME)
+        except SchemaConflictError as refused:
+            message = str(refused)
+    return _stacked(
+        sink.read(s).select(
+            F.lit(s).alias("table_suffix"), "unique_id", "score", "kafka_offset", F.lit(f"'{s}'" in message).alias("refused")
+        )
+        for s in _table_suffixes(sink)
+    )
+
+
+def q_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last of a repeated key of one object wins."""
+    key = F.col("event_id").cast("string")
+    text = F.concat(F.lit('{"unique_id":'), key, F.lit(',"a":-1,"a":'), F.col("user_id").cast("string"), F.lit("}"))
+    prepared = _prepared(spark, sf_dir, feed.to_envelope(_events(spark, sf_dir), value_text=text))
+    plan = [shape.FieldPlan("unique_id", "unique_id", "BIGINT"), shape.FieldPlan("a", "a", "BIGINT")]
+    return shape.flatten(route.good_rows(prepared), plan).select("unique_id", "a")
+
+
 def q_kafka_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     enc = envelope.kafka_encode(feed.to_envelope(_events(spark, sf_dir)))
     h = F.get(F.col("headers"), F.lit(0))
@@ -397,7 +528,7 @@ def q_stream_json_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         .trigger(availableNow=True)
         .start()
     )
-    q.awaitTermination(600)
+    streaming.finish(q)
     return _roundtrip_columns(spark.read.parquet(f"{base}/out"))
 
 
@@ -405,7 +536,7 @@ def _stream_two_runs(spark: SparkSession, sf_dir: str, label: str, mode: str) ->
     """First run: all events; restart on the same checkpoint: the update records."""
     ev = _events(spark, sf_dir)
     base = scratch_path(spark, label)
-    sink = MultiTableSink(spark, SinkConfig(database=f"sq_{label}_{uuid.uuid4().hex[:10]}", root=f"{base}/warehouse", mode=mode))
+    sink = _sink(spark, label, mode=mode)
     envelope.write_json(feed.to_envelope(ev), f"{base}/records")
     stamp = streaming.fixed_time(BATCH_TIME)
     streaming.run_available(sink, envelope.read_json_stream(spark, f"{base}/records"), f"{base}/checkpoint", stamp)
@@ -425,8 +556,19 @@ def q_stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_count_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sink = _merged_events(spark, sf_dir, "notnull")
-    return spark.sql(f"SELECT count(*) AS n FROM {sink.table('click')} WHERE k IS NOT NULL LIMIT 10")
+    """Per table and payload column the rows that have it; ``k`` and ``amount`` are NULL below 5."""
+    fields = feed.payload_fields()
+    for name in ("k", "amount"):
+        fields[name] = F.when(F.col("value") >= 5, fields[name])
+    sink = _sink(spark, "notnull")
+    sink.process_batch(feed.to_envelope(_events(spark, sf_dir), value_text=feed.payload_json(fields)), 0, "q", BATCH_TIME)
+    frames = []
+    for s in _table_suffixes(sink):
+        df = sink.read(s)
+        for c in sorted(c for c in df.columns if c in PAYLOAD_TYPES or c in ("unique_id", "user_id")):
+            count = df.where(F.col(c).isNotNull()).agg(F.count("*").alias("n")).limit(10)
+            frames.append(count.select(F.lit(s).alias("table_suffix"), F.lit(c).alias("field"), "n"))
+    return _stacked(frames)
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -460,6 +602,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_append": q_stream_append,
     "stream_merge": q_stream_merge,
     "count_not_null": q_count_not_null,
+    "decode_json": q_decode_json,
+    "ingest_stamp": q_ingest_stamp,
+    "merge_wide_keys": q_merge_wide_keys,
+    "odd_names": q_odd_names,
+    "null_no_evidence": q_null_no_evidence,
+    "case_twins": q_case_twins,
+    "stored_type_check": q_stored_type_check,
+    "duplicate_keys": q_duplicate_keys,
 }
 
 
@@ -491,38 +641,41 @@ _SCHEMA_HEAD = [
 ]
 
 
-def _schema_values(cols: list[tuple[str, str]], table: str) -> str:
-    rows = ", ".join(f"('{n}', '{t}', {i})" for i, (n, t) in enumerate(cols))
-    return (
-        f"SELECT col_name, data_type, CAST(ordinal AS INTEGER) AS ordinal FROM (VALUES {rows}) AS v(col_name, data_type, ordinal) "
-        f"WHERE EXISTS (SELECT 1 FROM events WHERE event_type = '{table}')"
-    )
+_META_ROWS = ", ".join(f"('{n}', '{t}', {i})" for i, (n, t) in enumerate(_SCHEMA_HEAD))
+# Types of the payload fields as the events themselves show them, per table.
+_FIELDS = f"""docs AS (
+  SELECT event_type, json_object('unique_id', event_id, 'user_id', user_id,
+    'amount', CASE WHEN event_type = 'purchase' THEN value END,
+    'k', CASE WHEN event_type IN ('click', 'view') THEN {_K} END,
+    'detail', CASE WHEN event_type = 'error' THEN props END,
+    'is_paid', CASE WHEN event_type = 'signup' THEN value > 10 END) AS doc
+  FROM events),
+json_fields AS (SELECT event_type, unnest(json_keys(doc)) AS field, doc FROM docs),
+typed AS (SELECT event_type, field, json_type(doc, '$."' || field || '"') AS jt FROM json_fields),
+fields AS (
+  SELECT event_type, field, CASE WHEN jt IN ('BIGINT', 'UBIGINT') THEN 'BIGINT' WHEN jt = 'DOUBLE' THEN 'DOUBLE'
+    WHEN jt = 'BOOLEAN' THEN 'BOOLEAN' WHEN jt = 'ARRAY' THEN 'ARRAY<STRING>' ELSE 'STRING' END AS data_type,
+    count(*) AS n_rows
+  FROM typed WHERE jt IS NOT NULL AND jt <> 'NULL' GROUP BY ALL)"""
+_TAIL_ROWS = "('ingested_to_iceberg', 'TIMESTAMP', 0), ('kafka_date', 'DATE', {0}), ('key_bucket', 'INT', {1}), ('ingest_batch', 'STRING', {2})"
+_ALL_PAYLOAD = f"""event_id AS kafka_offset, event_id AS unique_id, user_id, {_PAYLOAD}"""
 
 
 _ORACLES: dict[str, str] = {
     "envelope_normalise": """SELECT CAST(event_id AS VARCHAR) AS kafka_key, 'events' AS kafka_topic,
   CAST(user_id % 4 AS INTEGER) AS kafka_partition, event_id AS kafka_offset, epoch_us(ts) AS kafka_ts_us,
   0 AS kafka_ts_type, event_type AS table_suffix FROM events""",
-    "payload_text": "SELECT event_id, event_type, user_id, CAST(2 + 1 AS INTEGER) AS n_fields FROM events",
+    "payload_text": f"""SELECT event_id, event_type, CASE WHEN event_type = 'purchase' THEN value END AS amount,
+  '{{"unique_id":' || event_id || ',"user_id":' || user_id
+  || CASE WHEN event_type = 'purchase' THEN ',"amount":#' WHEN event_type IN ('click', 'view') THEN ',"k":' || {_K}
+     WHEN event_type = 'error' THEN ',"detail":' || to_json(props) WHEN event_type = 'signup' THEN ',"is_paid":' || (value > 10) ELSE '' END
+  || '}}' AS text FROM events""",
     "route_suffixes": "SELECT event_type AS table_suffix, count(*) AS n_rows FROM events GROUP BY event_type",
     "route_filter": """SELECT event_id, CAST(user_id % 4 AS INTEGER) AS kafka_partition, event_type AS table_suffix
 FROM events WHERE event_type = 'error'""",
     "payload_flatten": f"""SELECT event_type AS table_suffix, CAST(event_id AS VARCHAR) AS kafka_key, event_id AS kafka_offset,
   event_id AS unique_id, user_id, {_PAYLOAD} FROM events""",
-    "infer_schema": f"""WITH docs AS (
-  SELECT event_type, json_object('unique_id', event_id, 'user_id', user_id,
-    'amount', CASE WHEN event_type = 'purchase' THEN value END,
-    'k', CASE WHEN event_type IN ('click', 'view') THEN {_K} END,
-    'detail', CASE WHEN event_type = 'error' THEN props END,
-    'is_paid', CASE WHEN event_type = 'signup' THEN value > 10 END) AS doc
-  FROM events),
-fields AS (SELECT event_type, unnest(json_keys(doc)) AS field, doc FROM docs),
-typed AS (SELECT event_type, field, json_type(doc, '$."' || field || '"') AS jt FROM fields)
-SELECT event_type AS table_suffix, field,
-  CASE WHEN jt IN ('BIGINT', 'UBIGINT') THEN 'BIGINT' WHEN jt = 'DOUBLE' THEN 'DOUBLE'
-       WHEN jt = 'BOOLEAN' THEN 'BOOLEAN' WHEN jt = 'ARRAY' THEN 'ARRAY<STRING>' ELSE 'STRING' END AS data_type,
-  count(*) AS n_rows
-FROM typed WHERE jt IS NOT NULL AND jt <> 'NULL' GROUP BY ALL""",
+    "infer_schema": f"WITH {_FIELDS} SELECT event_type AS table_suffix, field, data_type, n_rows FROM fields",
     "infer_widen": """SELECT event_type AS table_suffix, 'score' AS field,
   CASE WHEN bool_or(value < 100) AND NOT bool_or(value >= 100) THEN 'BIGINT' ELSE 'DOUBLE' END AS data_type
 FROM events GROUP BY event_type
@@ -532,39 +685,44 @@ FROM events GROUP BY event_type HAVING bool_or(value < 100) AND bool_or(value >=
     "field_types_distinct": """SELECT DISTINCT event_type AS table_suffix, 'score' AS field,
   CASE WHEN value < 100 THEN 'BIGINT' ELSE 'DOUBLE' END AS data_type FROM events
 UNION SELECT DISTINCT event_type, 'unique_id', 'BIGINT' FROM events""",
-    "schema_diff": """SELECT DISTINCT 'k' AS field, 'extra' AS status, 'BIGINT' AS batch_type, CAST(NULL AS VARCHAR) AS table_type
-FROM events WHERE event_type = 'click'
+    "schema_diff": f"""WITH {_FIELDS}, pairs AS (
+  SELECT b.event_type AS bt, s.event_type AS st FROM (SELECT DISTINCT event_type FROM events) b, (SELECT DISTINCT event_type FROM events) s)
+SELECT p.bt AS batch_table, p.st AS stored_table, f.field, 'extra' AS status, f.data_type AS batch_type, CAST(NULL AS VARCHAR) AS table_type
+FROM pairs p JOIN fields f ON f.event_type = p.bt
+WHERE NOT EXISTS (SELECT 1 FROM fields g WHERE g.event_type = p.st AND g.field = f.field)
+UNION ALL
+SELECT p.bt, p.st, f.field, 'missing', NULL, f.data_type FROM pairs p JOIN fields f ON f.event_type = p.st
+WHERE NOT EXISTS (SELECT 1 FROM fields g WHERE g.event_type = p.bt AND g.field = f.field)
+UNION ALL
+SELECT p.bt, p.st, f.field, 'type_mismatch', f.data_type, g.data_type
+FROM pairs p JOIN fields f ON f.event_type = p.bt JOIN fields g ON g.event_type = p.st AND g.field = f.field WHERE f.data_type <> g.data_type""",
+    "align_to_table": f"""WITH {_FIELDS} SELECT event_type AS table_suffix, 'amount,unique_id,user_id'
+  || coalesce((SELECT string_agg(',' || f.field, '' ORDER BY lower(f.field)) FROM fields f WHERE f.event_type = e.event_type
+     AND f.field NOT IN (SELECT field FROM fields WHERE event_type = 'purchase')), '') AS "columns", {_ALL_PAYLOAD} FROM events e""",
+    "reorder_to_table": f"""WITH {_FIELDS} SELECT event_type AS table_suffix,
+  (SELECT string_agg(f.field, ',' ORDER BY f.field NOT IN (SELECT field FROM fields WHERE event_type = 'purchase'), lower(f.field))
+   FROM fields f WHERE f.event_type = e.event_type) AS "columns", {_ALL_PAYLOAD} FROM events e""",
+    "create_table": f"""WITH {_FIELDS}, n AS (SELECT event_type, count(*) AS n FROM fields GROUP BY event_type)
+SELECT event_type AS table_suffix, v.col_name, v.data_type, CAST(v.i AS INTEGER) AS ordinal
+FROM n, (VALUES {_META_ROWS}) AS v(col_name, data_type, i)
+UNION ALL
+SELECT event_type, field, data_type, CAST(5 + row_number() OVER (PARTITION BY event_type ORDER BY lower(field)) AS INTEGER) FROM fields
 UNION ALL
-SELECT DISTINCT 'amount', 'missing', CAST(NULL AS VARCHAR), 'DOUBLE' FROM events WHERE event_type = 'purchase'""",
-    "align_to_table": f"""SELECT event_id AS kafka_offset, event_id AS unique_id, user_id, CAST(NULL AS DOUBLE) AS amount,
-  {_K} AS k FROM events WHERE event_type = 'click'""",
-    "reorder_to_table": f"""SELECT 'events' AS kafka_topic, CAST(user_id % 4 AS INTEGER) AS kafka_partition,
-  event_id AS kafka_offset, 0 AS kafka_ts_type, event_id AS unique_id, user_id, {_K} AS k
-FROM events WHERE event_type = 'click'""",
-    "create_table": _schema_values(
-        _SCHEMA_HEAD
-        + [("amount", "DOUBLE"), ("unique_id", "BIGINT"), ("user_id", "BIGINT"), ("ingested_to_iceberg", "TIMESTAMP"), ("kafka_date", "DATE")],
-        "purchase",
-    ),
-    "alter_add_columns": _schema_values(
-        _SCHEMA_HEAD
-        + [
-            ("amount", "DOUBLE"),
-            ("detail", "STRING"),
-            ("unique_id", "BIGINT"),
-            ("user_id", "BIGINT"),
-            ("ingested_to_iceberg", "TIMESTAMP"),
-            ("is_paid", "BOOLEAN"),
-            ("k", "BIGINT"),
-            ("kafka_date", "DATE"),
-        ],
-        "click",
-    ),
+SELECT event_type, v.col_name, v.data_type, CAST(6 + n + v.i AS INTEGER)
+FROM n, (VALUES {_TAIL_ROWS.format(1, 2, 3)}) AS v(col_name, data_type, i)""",
+    "alter_add_columns": f"""WITH {_FIELDS}, f AS (SELECT field, min(data_type) AS data_type, bool_or(event_type IN ('error', 'purchase')) AS first FROM fields GROUP BY field),
+n AS (SELECT count(*) FILTER (first) AS a, count(*) AS b FROM f)
+SELECT 'mixed' AS table_suffix, v.col_name, v.data_type, CAST(v.i AS INTEGER) AS ordinal FROM (VALUES {_META_ROWS}) AS v(col_name, data_type, i)
+UNION ALL SELECT 'mixed', field, data_type, CAST(5 + row_number() OVER (ORDER BY lower(field)) AS INTEGER) FROM f WHERE first
+UNION ALL SELECT 'mixed', field, data_type, CAST(6 + n.a + row_number() OVER (ORDER BY lower(field)) AS INTEGER) FROM f, n WHERE NOT first
+UNION ALL SELECT 'mixed', v.col_name, v.data_type, CAST(6 + CASE WHEN v.i = 0 THEN n.a ELSE n.b + v.i END AS INTEGER)
+FROM n, (VALUES {_TAIL_ROWS.format(1, 2, 3)}) AS v(col_name, data_type, i)""",
     "partition_layout": """SELECT event_type AS table_suffix, CAST(CAST(ts AS DATE) AS VARCHAR) AS kafka_date, count(*) AS n_rows
-FROM events GROUP BY ALL""",
-    "table_properties": """SELECT key, value FROM (VALUES ('sluice.key', 'unique_id'), ('sluice.mode', 'merge'),
-  ('sluice.partition', 'kafka_date')) AS p(key, value)
-WHERE EXISTS (SELECT 1 FROM events WHERE event_type = 'purchase')""",
+FROM events GROUP BY ALL
+UNION ALL SELECT 'mixed', CAST(CAST(ts AS DATE) AS VARCHAR), count(*) FROM events GROUP BY ALL""",
+    "table_properties": """SELECT event_type AS table_suffix, key, value FROM (SELECT DISTINCT event_type FROM events),
+(VALUES ('sluice.key', 'unique_id'), ('sluice.mode', 'merge'), ('sluice.buckets', '4'),
+  ('sluice.partition', 'kafka_date,key_bucket,ingest_batch')) AS p(key, value)""",
     "append_evolve": f"SELECT event_id AS kafka_offset, event_id AS unique_id, user_id, {_PAYLOAD} FROM events",
     "batch_dedupe": f"""SELECT table_suffix, unique_id, kafka_offset, amount, k, detail, is_paid FROM ({_UPSERT})""",
     "merge_upsert": _UPSERT,
@@ -581,10 +739,10 @@ SELECT event_type, CAST(NULL AS BIGINT), user_id, event_id + 1000000 FROM events
   CASE WHEN event_type = 'signup' AND NOT ({_UPD}) THEN value > 10 END AS is_paid
 FROM events""",
     "quarantine": """SELECT event_id AS kafka_offset,
-  CASE WHEN value >= 1 AND value < 2 THEN NULL WHEN value >= 3 THEN 'bad-suffix' ELSE event_type END AS table_suffix,
-  CASE WHEN value < 1 THEN 'malformed' WHEN value < 2 THEN 'unroutable' WHEN value < 3 THEN 'not_object'
+  CASE floor(value) WHEN 1 THEN NULL WHEN 3 THEN 'bad-suffix' WHEN 5 THEN event_type || chr(10) ELSE event_type END AS table_suffix,
+  CASE floor(value) WHEN 0 THEN 'malformed' WHEN 1 THEN 'unroutable' WHEN 2 THEN 'not_object' WHEN 7 THEN 'invalid_field'
        ELSE 'invalid_suffix' END AS reason
-FROM events WHERE value < 4""",
+FROM events WHERE floor(value) IN (0, 1, 2, 3, 5, 7)""",
     "kafka_encode": """SELECT CAST(event_id AS VARCHAR) AS key, 'table_suffix' AS header_key, event_type AS header_value, user_id
 FROM events""",
     "json_sink_roundtrip": f"SELECT {_ENVELOPE_COLUMNS} FROM events",
@@ -597,7 +755,27 @@ SELECT event_type, event_id, event_id + 1000000,
   CASE WHEN event_type = 'purchase' THEN value * 2 END,
   CASE WHEN event_type IN ('click', 'view') THEN {_K} + 1 END FROM events WHERE {_UPD}""",
     "stream_merge": _UPSERT,
-    "count_not_null": "SELECT count(*) AS n FROM events WHERE event_type = 'click'",
+    "count_not_null": f"""WITH {_FIELDS} SELECT f.event_type AS table_suffix, f.field,
+  CAST(sum(CASE WHEN f.field IN ('k', 'amount') AND value < 5 THEN 0 ELSE 1 END) AS BIGINT) AS n
+FROM fields f JOIN events e ON e.event_type = f.event_type GROUP BY ALL""",
+    "decode_json": f"SELECT {_ALL_PAYLOAD} FROM events",
+    "ingest_stamp": "SELECT event_type AS table_suffix, event_id AS unique_id, epoch_us(TIMESTAMP '2024-06-01') AS ingested_us FROM events",
+    "merge_wide_keys": f"""SELECT event_type AS table_suffix, CAST(event_id::HUGEINT + 18446744073709551616 AS VARCHAR) AS unique_id,
+  event_id + CASE WHEN {_UPD} THEN 1000000 ELSE 0 END AS kafka_offset,
+  CASE WHEN event_type = 'purchase' THEN value * CASE WHEN {_UPD} THEN 2 ELSE 1 END END AS amount,
+  CASE WHEN event_type IN ('click', 'view') THEN {_K} + CASE WHEN {_UPD} THEN 1 ELSE 0 END END AS k FROM events""",
+    "odd_names": """SELECT event_type AS table_suffix, event_id AS unique_id,
+  CAST(CASE WHEN floor(value) = 6 THEN 1 END AS BIGINT) AS a_b,
+  CAST(CASE WHEN floor(value) = 6 THEN 2 END AS BIGINT) AS payload_kafka_ts,
+  CAST(CASE WHEN floor(value) = 6 THEN 3 END AS BIGINT) AS payload_payload_kafka_ts
+FROM events WHERE floor(value) NOT IN (0, 1, 2, 3, 5, 7)""",
+    "null_no_evidence": """SELECT event_type AS table_suffix, 'unique_id' AS field, 'BIGINT' AS data_type, count(*) AS n_rows FROM events GROUP BY ALL
+UNION ALL SELECT event_type, 'never', NULL, 0 FROM events GROUP BY ALL
+UNION ALL SELECT event_type, 'score', CASE WHEN bool_or(value >= 50) THEN 'BIGINT' END, count(*) FILTER (value >= 50) FROM events GROUP BY event_type""",
+    "case_twins": """SELECT event_type AS table_suffix, 'BIGINT' AS types, 'ID|id' AS spellings
+FROM events GROUP BY event_type HAVING bool_or(value < 50) AND bool_or(value >= 50)""",
+    "stored_type_check": """SELECT event_type AS table_suffix, event_id AS unique_id, user_id AS score, event_id AS kafka_offset, true AS refused FROM events""",
+    "duplicate_keys": "SELECT event_id AS unique_id, user_id AS a FROM events",
 }
 
 

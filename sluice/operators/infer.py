@@ -32,8 +32,16 @@ def explode_fields(prepared: DataFrame) -> DataFrame:
 
 
 def observe_fields(prepared: DataFrame) -> DataFrame:
-    """Stage 1: count of values and of records per (reason, table, field, kind)."""
-    return explode_fields(prepared).groupBy("reason", ROUTING_COLUMN, "field", "kind").agg(
+    """Stage 1: count of values and of records per (reason, table, field, kind).
+
+    The suffix of a quarantined record is untrusted text and its fields are not
+    used, so such records count per reason only.
+    """
+    good = F.col("reason").isNull()
+    seen = explode_fields(prepared).select(
+        "reason", "pos", *[F.when(good, F.col(c)).alias(c) for c in (ROUTING_COLUMN, "field", "kind")]
+    )
+    return seen.groupBy("reason", ROUTING_COLUMN, "field", "kind").agg(
         F.count(F.lit(1)).alias("n_values"),
         F.count_if(F.col("pos").isNull() | (F.col("pos") == 0)).alias("n_records"),
     )

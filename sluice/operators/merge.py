@@ -1,8 +1,8 @@
 """Keyed upsert as DataFrame algebra: last record per key, then replace by key.
 
-MERGE ... WHEN MATCHED UPDATE SET * WHEN NOT MATCHED INSERT * on a key is
-``(target rows whose key is not in the batch) UNION ALL (batch rows)``: a matched
-row is replaced whole, an unmatched one inserted, and a NULL key never matches.
+An upsert by key (matched rows replaced whole, others inserted) is
+``(target rows whose key is not in the batch) UNION ALL (batch rows)``; a NULL key
+never matches.
 """
 
 from __future__ import annotations
@@ -44,24 +44,29 @@ def key_set(batch: DataFrame, key: str, broadcast: bool = False) -> DataFrame:
     is for callers that have measured the set and found it under their limit.
     """
     k = F.col(quote(key))
-    keys = batch.where(k.isNotNull()).select(k.alias(key)).distinct()
+    keys = batch.where(k.isNotNull()).select(k).distinct()
     return F.broadcast(keys) if broadcast else keys
 
 
-def upsert_rows(target: DataFrame, batch: DataFrame, key: str, keys: DataFrame | None = None) -> DataFrame:
+def upsert_rows(
+    target: DataFrame, batch: DataFrame, key: str, keys: DataFrame | None = None, keys_broadcast: bool = False
+) -> DataFrame:
     """Target after an upsert of a deduplicated batch, as one lazy plan.
 
-    Target rows with a NULL key skip the join (they can never match), so a large
-    NULL-key population cannot pile up in one join partition. Only the batch key
-    set is joined (``keys``, default ``key_set(batch, key)``); broadcast when the
-    caller measured it small, else a shuffle join that AQE may still turn into a
-    broadcast at runtime.
+    Only the batch key set is joined (``keys``, default ``key_set(batch, key)``).
+    Where it is broadcast one anti join over one scan keeps the NULL keys as
+    well. In a shuffle join rows with a NULL key, which can never match, skip
+    the join, so that a large NULL-key population cannot pile up in one task.
     """
     k = F.col(quote(key))
     keys = keys if keys is not None else key_set(batch, key)
-    kept_keyed = target.where(k.isNotNull()).join(keys, on=key, how="left_anti")
-    kept_null = target.where(k.isNull())
-    return kept_keyed.unionByName(kept_null).unionByName(batch.select(*target.columns))
+    on = k == F.col("__key")
+    named = keys.select(F.col(quote(key)).alias("__key"))
+    if keys_broadcast:
+        kept = target.join(F.broadcast(named), on, "left_anti")
+    else:
+        kept = target.where(k.isNotNull()).join(named, on, "left_anti").unionByName(target.where(k.isNull()))
+    return kept.unionByName(batch.select(*[F.col(quote(c)) for c in target.columns]))
 
 
 def touched_values(
@@ -69,22 +74,26 @@ def touched_values(
 ) -> DataFrame:
     """Distinct ``column`` values (or value tuples) of target rows whose key occurs in the batch."""
     k = F.col(quote(key))
-    cols = [column] if isinstance(column, str) else list(column)
+    cols = [F.col(quote(c)) for c in ([column] if isinstance(column, str) else column)]
     keys = keys if keys is not None else key_set(batch, key)
+    named = keys.select(F.col(quote(key)).alias("__key"))
     return (
         target.where(k.isNotNull())
-        .select(key, *cols)
-        .join(keys, on=key, how="left_semi")
+        .select(k.alias("__stored"), *cols)
+        .join(named, F.col("__stored") == F.col("__key"), "left_semi")
         .select(*cols)
         .distinct()
     )
 
 
-def merge_into_sql(table: str, source_view: str, key: str) -> str:
-    """Row-level MERGE for catalogs that support it (Iceberg, Delta)."""
-    q = quote(key)
+def merge_into(batch: DataFrame, table: str, key: str):
+    """Row-level upsert for catalogs that have one (Iceberg, Delta): the writer, not yet run."""
+    stored = F.col(f"{table}.{quote(key)}")
+    source = batch.alias("source")
     return (
-        f"MERGE INTO {table} AS target USING {source_view} AS source "
-        f"ON target.{q} = source.{q} "
-        "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
+        source.mergeInto(table, stored == F.col(f"source.{quote(key)}"))
+        .whenMatched()
+        .updateAll()
+        .whenNotMatched()
+        .insertAll()
     )

@@ -13,27 +13,28 @@ UNROUTABLE = "unroutable"
 INVALID_SUFFIX = "invalid_suffix"
 MALFORMED = "malformed"
 NOT_OBJECT = "not_object"
+INVALID_FIELD = "invalid_field"
+
+# Field names that no table column can carry (empty, over 255 characters, control characters).
+BAD_FIELD_PATTERN = r"\A\z|\A.{256,}\z|[\x00-\x1F\x7F]"
 
 
 # Columns that identify a record, used to spread a batch over tasks.
 SPREAD_COLUMNS = ("kafka_topic", "kafka_partition", "kafka_offset")
 
 
-def spread(normalised: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread records over at least ``min_partitions`` tasks (default: the cluster's
-    parallelism) when the input has fewer partitions, e.g. a topic with few
-    partitions or one large file. ``0`` leaves the input as it is.
+def spread(normalised: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Spread records over ``partitions`` tasks; ``None`` or 0 leaves the input as it is.
 
-    Hash on the record's identity, not round-robin: as even (offsets are unique
+    For inputs that come in few partitions (a topic with few, one large file):
+    the caller knows its source, and asking the plan would run part of it. Hash
+    on the record's identity, not round-robin: as even (offsets are unique
     within a topic partition, so a hot partition spreads too) and deterministic
     on retry without the local sort round-robin needs.
     """
-    want = min_partitions
-    if want is None:
-        want = normalised.sparkSession.sparkContext.defaultParallelism
-    if want and normalised.rdd.getNumPartitions() < want:
-        return normalised.repartition(want, *[F.col(c) for c in SPREAD_COLUMNS if c in normalised.columns])
-    return normalised
+    if not partitions:
+        return normalised
+    return normalised.repartition(partitions, *[F.col(c) for c in SPREAD_COLUMNS if c in normalised.columns])
 
 
 def prepare(normalised: DataFrame) -> DataFrame:
@@ -45,11 +46,13 @@ def prepare(normalised: DataFrame) -> DataFrame:
     text = F.col("value").cast("string")
     parsed = F.try_parse_json(text)
     suffix = F.col(ROUTING_COLUMN)
+    names = F.map_keys(F.try_variant_get(F.col("payload"), "$", "map<string,variant>"))
     reason = (
         F.when(suffix.isNull() | (suffix == ""), F.lit(UNROUTABLE))
         .when(~suffix.rlike(SUFFIX_PATTERN), F.lit(INVALID_SUFFIX))
         .when(F.col("payload").isNull(), F.lit(MALFORMED))
-        .when(~F.ltrim(text).startswith("{"), F.lit(NOT_OBJECT))
+        .when(~F.schema_of_variant(F.col("payload")).startswith("OBJECT"), F.lit(NOT_OBJECT))
+        .when(F.exists(names, lambda n: n.rlike(BAD_FIELD_PATTERN)), F.lit(INVALID_FIELD))
     )
     return (
         normalised.select(*META_COLUMNS, ROUTING_COLUMN, "value", parsed.alias("payload"))

@@ -16,7 +16,7 @@ from sluice.sources.envelope import META_COLUMNS, ROUTING_COLUMN
 INGEST_TIME_COLUMN = "ingested_to_iceberg"
 DATE_COLUMN = "kafka_date"
 BATCH_COLUMN = "ingest_batch"
-SEGMENT_COLUMN = "ingest_segment"
+BUCKET_COLUMN = "key_bucket"
 PAYLOAD_PREFIX = "payload_"
 
 
@@ -28,15 +28,22 @@ def reserved_names(ingest_time_column: str = INGEST_TIME_COLUMN) -> set[str]:
         ingest_time_column.lower(),
         DATE_COLUMN,
         BATCH_COLUMN,
-        SEGMENT_COLUMN,
+        BUCKET_COLUMN,
         "raw_value",
         "reason",
     }
 
 
 def column_name(field: str, reserved: set[str]) -> str:
-    """Payload field to column name; a clash with an envelope column gets a prefix."""
-    return PAYLOAD_PREFIX + field if field.lower() in reserved else field
+    """Payload field to column name; a clash with an envelope column gets a prefix.
+
+    A field that already is such a prefixed name gets one more, so no two fields
+    share a column.
+    """
+    bare = field.lower()
+    while bare.startswith(PAYLOAD_PREFIX):
+        bare = bare[len(PAYLOAD_PREFIX) :]
+    return PAYLOAD_PREFIX + field if bare in reserved else field
 
 
 @dataclass(frozen=True)
@@ -84,6 +91,18 @@ def with_date_partition(df: DataFrame, fallback: str | None = INGEST_TIME_COLUMN
     return df.withColumn(DATE_COLUMN, day)
 
 
+def with_key_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """Bucket of the key's text, the inner partition column of merge tables.
+
+    Text, so that an integer key keeps its bucket when its column is widened.
+    Rows without a key are dealt by their record identity.
+    """
+    k = F.col(quote(key))
+    record = F.xxhash64("kafka_topic", "kafka_partition", "kafka_offset")
+    hashed = F.when(k.isNull(), record).otherwise(F.xxhash64(k.cast("string")))
+    return df.withColumn(BUCKET_COLUMN, F.pmod(hashed, F.lit(buckets)).cast("int"))
+
+
 def _lower_map(names: list[str]) -> dict[str, str]:
     return {n.lower(): n for n in names}
 
@@ -107,12 +126,10 @@ def align_to_schema(df: DataFrame, table_schema: T.StructType) -> tuple[DataFram
 
 
 def reorder_to_schema(df: DataFrame, table_schema: T.StructType) -> DataFrame:
-    """Table order for the columns present, then the extra ones; no NULL fill."""
-    present = _lower_map(df.columns)
-    table_keys = {f.name.lower() for f in table_schema.fields}
-    matching = [present[f.name.lower()] for f in table_schema.fields if f.name.lower() in present]
-    extra = [c for c in df.columns if c.lower() not in table_keys]
-    return df.select(*[F.col(quote(c)) for c in matching + extra])
+    """Table order for the columns present, then the extra ones; no NULL fill: ``align_to_schema`` without what it adds."""
+    aligned, _extra = align_to_schema(df, table_schema)
+    have = _lower_map(df.columns)
+    return df.select(*[F.col(quote(have[c.lower()])) for c in aligned.columns if c.lower() in have])
 
 
 def schema_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:

@@ -1,35 +1,36 @@
 """Micro-batch plan: route, infer, create or widen, then merge or append per table.
 
-Per batch: the source is read once and persisted; one aggregate yields routing
-keys, every table's schema and the quarantine counts; each table then costs one
-write job (plus one key-only probe job when the table already holds data).
+Per batch the records are parsed once and persisted; one aggregate yields
+routing keys, every table's schema and the quarantine counts. A new table then
+costs one write. A table that holds data costs, before its write, one aggregate
+of the batch (buckets, key bytes) and one key-only probe of the buckets that the
+batch's keys fall into. Manifests and file moves go through the file system and
+run no job.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import operator
-import re
-import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
+from operator import or_
 
 from pyspark import StorageLevel
-from pyspark.util import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.util import inheritable_thread_target
 
 from sluice.functions.types import STRICT, WIDEN, ddl, quote, storable
 from sluice.operators.infer import SchemaConflictError, conflict_message, infer_schema, observe_fields
-from sluice.operators.merge import dedupe_latest, key_set, merge_into_sql, touched_values, upsert_rows
+from sluice.operators.merge import dedupe_latest, key_set, merge_into, touched_values, upsert_rows
 from sluice.operators.route import bad_rows, prepare, route_filter, spread
 from sluice.operators.shape import (
     BATCH_COLUMN,
+    BUCKET_COLUMN,
     DATE_COLUMN,
     INGEST_TIME_COLUMN,
-    SEGMENT_COLUMN,
     FieldPlan,
     align_to_schema,
     column_name,
@@ -37,6 +38,7 @@ from sluice.operators.shape import (
     reserved_names,
     stamp_ingest_time,
     with_date_partition,
+    with_key_bucket,
 )
 from sluice.plans import tables
 from sluice.session import apply_required_conf, broadcast_limit, shared_root
@@ -44,8 +46,7 @@ from sluice.sources.envelope import META_COLUMNS, ROUTING_COLUMN, normalise
 
 MERGE = "merge"
 APPEND = "append"
-DAY_LAYOUT = "day"
-SEGMENT_LAYOUT = "segments"
+PARQUET = "parquet"
 QUARANTINE = "quarantine"
 FAILFAST = "failfast"
 
@@ -60,31 +61,14 @@ META_TYPES = [
 ]
 
 
-# A version folder is invisible until its manifest is written and the
-# catalog points at it, so the job commit need not be atomic: tasks commit straight
-# into place (no second rename pass) and the manifest stands in for _SUCCESS.
-VERSION_WRITE_OPTIONS = {
-    "mapreduce.fileoutputcommitter.algorithm.version": "2",
-    "mapreduce.fileoutputcommitter.marksuccessfuljobs": "false",
-}
-
+# Partition columns of parquet tables. A merge table has one live
+# version (the batch that wrote it) of each day and key bucket.
+MERGE_PARTITIONS = [DATE_COLUMN, BUCKET_COLUMN, BATCH_COLUMN]
+PARTITION_TYPES = {DATE_COLUMN: "DATE", BUCKET_COLUMN: "INT", BATCH_COLUMN: "STRING"}
 
 # Bytes per key entry added to the key width when sizing a broadcast
 # (hash relation slot, row header, pointer).
 KEY_ENTRY_OVERHEAD = 32
-# Bytes of fixed-width key types (others count 16).
-KEY_WIDTHS = {"byte": 1, "boolean": 1, "short": 2, "integer": 4, "float": 4, "date": 4, "long": 8, "double": 8, "timestamp": 8}
-
-
-# Tag of a segment written by compaction (level, run id); batch
-# segments are level 0.
-COMPACT_TAG = "compact-L{level}-{run}"
-COMPACT_TAG_PATTERN = re.compile(r"^compact-L(\d+)-[0-9a-f]{12}$")
-
-
-def segment_level(segment: str) -> int:
-    m = COMPACT_TAG_PATTERN.match(segment)
-    return int(m.group(1)) if m else 0
 
 
 class BadRecordError(ValueError):
@@ -102,24 +86,20 @@ class SinkConfig:
     quarantine_table: str = "_quarantine"
     ingest_time_column: str = INGEST_TIME_COLUMN
     root: str | None = None  # folder for table data; default under spark.checkpoint.dir
-    table_format: str = "parquet"  # parquet: copy-on-write commits; iceberg/delta: MERGE INTO
+    table_format: str = PARQUET  # parquet: copy-on-write commits; iceberg, delta: row-level merge
     max_concurrent_tables: int = 8
-    # A batch with fewer input partitions than this is spread over tasks before
-    # parsing (a topic with few partitions would otherwise parse in few tasks).
-    # None: the cluster's default parallelism; 0: never.
+    # Spread a batch over so many tasks before parsing, for a source that comes in
+    # few partitions. None: parse it in the partitions it has.
     min_partitions: int | None = None
     # The batch key set is broadcast to the probe and the anti join when its measured
     # size is at most this many bytes. None: the session's autoBroadcastJoinThreshold.
     broadcast_keys_max_bytes: int | None = None
-    # Merge-mode parquet layout. "day": one partition per day, rewritten whenever a
-    # batch touches it. "segments": (day, segment) partitions; a batch's rows become
-    # new segments and only segments holding its keys are rewritten.
-    layout: str = DAY_LAYOUT
-    # Segments layout: before a batch's write, merge the segments of one level of
-    # each day the batch writes once it has this many (size-tiered: each row is
-    # rewritten about log_n(batches) times).
-    # None: only when ``compact`` is called.
-    compact_min_segments: int | None = None
+    # Key buckets per day of a merge table: the unit that an upsert rewrites. Fixed
+    # when a table is created; a bucket of a day should fit a few files.
+    key_buckets: int = 4
+    # More (table, field, spelling) rows than this in one batch are an error: the
+    # schemas of a batch are planned on the driver.
+    max_schema_rows: int = 100_000
     properties: dict[str, str] = field(default_factory=dict)
 
 
@@ -141,12 +121,10 @@ class MultiTableSink:
             raise ValueError(f"conflicts must be {STRICT!r} or {WIDEN!r}")
         if self.config.mode not in (MERGE, APPEND):
             raise ValueError(f"mode must be {MERGE!r} or {APPEND!r}")
-        if self.config.layout not in (DAY_LAYOUT, SEGMENT_LAYOUT):
-            raise ValueError(f"layout must be {DAY_LAYOUT!r} or {SEGMENT_LAYOUT!r}")
         apply_required_conf(spark)
         self.root = (self.config.root or f"{shared_root(spark)}/sluice/warehouse/{self.config.database}").rstrip("/")
         self.reserved = reserved_names(self.config.ingest_time_column)
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(self.config.database)}")
+        tables.ensure_database(spark, self.config.database)
 
     # -- names -------------------------------------------------------------
 
@@ -157,7 +135,8 @@ class MultiTableSink:
         return tables.ident(self.config.database, self.table_name(suffix))
 
     def read(self, suffix: str) -> DataFrame:
-        return self.spark.table(self.table(suffix))
+        """The table's rows, without the columns that only place them."""
+        return self.spark.table(self.table(suffix)).drop(BUCKET_COLUMN, BATCH_COLUMN)
 
     # -- batch -------------------------------------------------------------
 
@@ -180,7 +159,10 @@ class MultiTableSink:
         prepared = prepare(normalised).sortWithinPartitions(ROUTING_COLUMN).persist(StorageLevel.MEMORY_AND_DISK)
         report = BatchReport(batch_id)
         try:
-            inferred = infer_schema(observe_fields(prepared), self.config.conflicts).collect()
+            most = self.config.max_schema_rows
+            inferred = infer_schema(observe_fields(prepared), self.config.conflicts).limit(most + 1).collect()
+            if len(inferred) > most:
+                raise SchemaConflictError(f"batch {batch_id} has more than {most} tables and fields")
             per_table: dict[str, list] = {}
             for r in inferred:
                 if r["reason"] is not None:
@@ -193,6 +175,7 @@ class MultiTableSink:
                 raise BadRecordError(f"batch {batch_id} has bad records: {report.quarantined}")
 
             errors: list[str] = []
+            failures: list[Exception] = []
             for suffix in self._colliding_suffixes(per_table):
                 errors.append(f"table suffix '{suffix}' names the same table as another suffix or the quarantine table")
                 del per_table[suffix]
@@ -208,6 +191,8 @@ class MultiTableSink:
                         report.skipped.append(suffix)
                 except (SchemaConflictError, ValueError) as exc:
                     errors.append(str(exc))
+                except Exception as exc:  # the other tables of the batch are finished first
+                    failures.append(exc)
 
             suffixes = sorted(per_table)
             jobs = len(suffixes) + (1 if report.quarantined else 0)
@@ -222,6 +207,10 @@ class MultiTableSink:
                     futures.append(pool.submit(write_bad, prepared, batch_id, writer, batch_time))
                 for f in futures:
                     f.result()
+            if failures:
+                for also in [*errors, *map(str, failures[1:])]:
+                    failures[0].add_note(f"also in this batch: {also}")
+                raise failures[0]
             if errors:
                 raise SchemaConflictError("; ".join(sorted(errors)))
             return report
@@ -263,33 +252,44 @@ class MultiTableSink:
             raise SchemaConflictError(f"Conflict in table '{suffix}': " + "; ".join(problems))
         if self.config.mode == MERGE:
             key = self.config.key.lower()
-            if key not in stored_by_key and all(p.column.lower() != key for p in plans):
+            types = [ddl(stored_by_key[key].dataType)] if key in stored_by_key else []
+            types += [p.data_type for p in plans if p.column.lower() == key]
+            if not types:
                 raise ValueError(f"table '{suffix}' has no key column '{self.config.key}' in data or table")
+            if types[0] in ("DOUBLE", "FLOAT"):
+                raise ValueError(f"table '{suffix}': a fraction ({types[0]}) cannot be the key '{self.config.key}'")
         return plans
 
+    def _partitions(self) -> list[str]:
+        """Partition columns of the sink's tables; a row-level format partitions by a transform instead."""
+        if self.config.table_format != PARQUET:
+            return []
+        return MERGE_PARTITIONS if self.config.mode == MERGE else [DATE_COLUMN]
+
+    def _partition_sql(self) -> list[str]:
+        if self.config.table_format == "iceberg":
+            return ["days(" + quote("kafka_ts") + ")"]
+        return [quote(c) for c in self._partitions()]
+
     def _ensure_table(self, suffix: str, plans: list[FieldPlan], stored: T.StructType | None) -> T.StructType:
-        table = self.table(suffix)
+        table, partitions = self.table(suffix), self._partitions()
         if stored is None:
-            if self.config.mode == MERGE:
-                partitions = [(DATE_COLUMN, "DATE")]
-                if self._segments():
-                    partitions.append((SEGMENT_COLUMN, "STRING"))
-            else:
-                partitions = [(BATCH_COLUMN, "STRING")]
             columns = META_TYPES + [(p.column, p.data_type) for p in plans]
-            columns += [(self.config.ingest_time_column, "TIMESTAMP"), *partitions]
+            columns += [(self.config.ingest_time_column, "TIMESTAMP"), *((c, PARTITION_TYPES[c]) for c in partitions)]
             props = {
                 "sluice.key": self.config.key,
                 "sluice.mode": self.config.mode,
-                "sluice.partition": ",".join(c for c, _ in partitions),
+                "sluice.partition": ",".join(self._partition_sql()).replace("`", ""),
             }
+            if BUCKET_COLUMN in partitions:
+                props["sluice.buckets"] = str(self.config.key_buckets)
             props.update(self.config.properties)
             tables.create_table(
                 self.spark,
                 table,
                 columns,
-                [c for c, _ in partitions],
-                f"{self.root}/{self.table_name(suffix)}",
+                self._partition_sql(),
+                self._folder(self.table_name(suffix)) if self.config.table_format == PARQUET else None,
                 self.config.table_format,
                 props,
             )
@@ -299,237 +299,173 @@ class MultiTableSink:
             tables.add_columns(self.spark, table, new)
         return self.spark.table(table).schema
 
+    def _check_layout(self, suffix: str) -> None:
+        """A stored table keeps the partitions and buckets it was created with."""
+        props = {r["key"]: r["value"] for r in tables.table_properties(self.spark, self.table(suffix)).collect()}
+        want = ",".join(self._partition_sql()).replace("`", "")
+        if props.get("sluice.partition", want) != want:
+            raise ValueError(f"table '{suffix}' is partitioned by {props['sluice.partition']}, the sink by {want}")
+        buckets = props.get("sluice.buckets")
+        if buckets is not None and int(buckets) != self.config.key_buckets:
+            raise ValueError(f"table '{suffix}' has {buckets} key buckets, the sink is set to {self.config.key_buckets}")
+
     def _table_rows(self, prepared: DataFrame, suffix: str, plans: list[FieldPlan], batch_time: dt.datetime) -> DataFrame:
         rows = flatten(route_filter(prepared, suffix), plans)
         rows = stamp_ingest_time(rows, batch_time, self.config.ingest_time_column)
-        return with_date_partition(rows, self.config.ingest_time_column) if self.config.mode == MERGE else rows
+        return with_date_partition(rows, self.config.ingest_time_column) if self._partitions() else rows
 
     def _write_table(
         self, prepared: DataFrame, suffix: str, rows: list, batch_id: int, writer: str, batch_time: dt.datetime
     ) -> bool:
+        """False when an earlier attempt of this batch had committed the table."""
         table = self.table(suffix)
         exists = tables.table_exists(self.spark, self.config.database, self.table_name(suffix))
-        if exists and self.config.mode == MERGE and self.config.table_format == "parquet":
-            segmented = any(f.name == SEGMENT_COLUMN for f in self.spark.table(table).schema.fields)
-            if segmented != self._segments():
-                have = SEGMENT_LAYOUT if segmented else DAY_LAYOUT
-                raise ValueError(f"table '{suffix}' has the {have!r} layout, the sink is set to {self.config.layout!r}")
-            version = self._version_dir(suffix, writer, batch_id)
-            if self._segments():
-                segments = tables.read_segment_manifest(self.spark, f"{version}/_manifest")
-                if segments is not None:
-                    tables.switch_segments(self.spark, table, DATE_COLUMN, SEGMENT_COLUMN, segments)
-                    return False
-            else:
-                manifest = tables.read_manifest(self.spark, f"{version}/_manifest")
-                if manifest is not None:
-                    tables.switch_partitions(self.spark, table, DATE_COLUMN, manifest)
-                    return False
+        version = self._version_dir(self.table_name(suffix), writer, batch_id)
+        if exists:
+            self._check_layout(suffix)
+            manifest = tables.read_manifest(self.spark, f"{version}/_manifest")
+            if manifest is not None:
+                self._apply(table, self.table_name(suffix), version, manifest)
+                return False
         stored = self.spark.table(table).schema if exists else None
         plans = self.plan_fields(suffix, rows, stored)
         schema = self._ensure_table(suffix, plans, stored)
         data = self._table_rows(prepared, suffix, plans, batch_time)
-        if self.config.mode == APPEND:
-            self._overwrite_batch_partition(table, schema, data, writer, batch_id)
-            return True
-        aligned, _ = align_to_schema(data, schema)
-        if self.config.table_format != "parquet":
-            self._merge_sql(table, aligned)
-            return True
-        if self._segments():
-            self._write_segments(table, suffix, aligned, writer, batch_id, has_data=exists)
+        if self.config.table_format != PARQUET:
+            self._row_level(table, align_to_schema(data, schema)[0], version)
+        elif self.config.mode == APPEND:
+            self._append(table, self.table_name(suffix), schema, data, writer, batch_id)
         else:
-            self._copy_on_write(table, suffix, aligned, writer, batch_id, has_data=exists)
+            self._copy_on_write(table, suffix, schema, data, writer, batch_id, has_data=exists)
         return True
 
-    def _segments(self) -> bool:
-        return self.config.mode == MERGE and self.config.layout == SEGMENT_LAYOUT and self.config.table_format == "parquet"
+    def _folder(self, name: str) -> str:
+        return f"{self.root}/{name}"
 
-    def _version_dir(self, suffix: str, writer: str, batch_id: int) -> str:
-        return f"{self.root}/{self.table_name(suffix)}/_v/w={writer}/b={batch_id}"
+    def _version_dir(self, name: str, writer: str, batch_id: int) -> str:
+        return f"{self._folder(name)}/_v/w={writer}/b={batch_id}"
 
     @staticmethod
     def _batch_tag(writer: str, batch_id: int) -> str:
         return f"{writer}-{batch_id:012d}"
 
-    def _copy_on_write(
-        self, table: str, suffix: str, aligned: DataFrame, writer: str, batch_id: int, has_data: bool
-    ) -> None:
-        """Rewrite only the day partitions the batch touches, then switch them.
-
-        Job 1: days and key range of the batch (a few rows). Job 2, only when the
-        table holds data: days of stored rows whose key is in the batch, a key-only
-        semi join whose scan is bounded by the batch key range (pushed to parquet,
-        so row groups outside it are skipped; files are written sorted by key).
-        Job 3: those days of the target, minus replaced keys, plus the deduplicated
-        batch, into a fresh version folder. Then one manifest and the catalog switch.
-        """
-        key_col = next(c for c in aligned.columns if c.lower() == self.config.key.lower())
-        k = F.col(quote(key_col))
-        target = self.spark.table(table)
-        batch = dedupe_latest(aligned, key_col)
-        if has_data and tables.partition_values(self.spark, table, DATE_COLUMN):
-            key_type = aligned.schema[key_col].dataType
-            variable = isinstance(key_type, (T.StringType, T.BinaryType))
-            stats = (
-                aligned.groupBy(DATE_COLUMN)
-                .agg(
-                    F.min(k).alias("lo"),
-                    F.max(k).alias("hi"),
-                    F.count(k).alias("n"),
-                    (F.sum(F.octet_length(k)) if variable else F.lit(0)).alias("chars"),
-                )
-                .collect()
+    def _apply(self, table: str, name: str, version: str, manifest: dict) -> None:
+        """Make a complete version visible; repeating it changes nothing."""
+        if "days" in manifest:
+            tables.move_files(
+                self.spark, f"{version}/data", self._folder(name), DATE_COLUMN, manifest["days"], manifest["tag"]
             )
-            affected = {r[DATE_COLUMN] for r in stats}
-            los = [r["lo"] for r in stats if r["lo"] is not None]
-            his = [r["hi"] for r in stats if r["hi"] is not None]
-            # An upper bound of the key set's size in memory: every non-NULL key
-            # counted (distinct can only be fewer), fixed width or measured bytes,
-            # plus per-entry overhead of a hash relation.
-            n_keys = sum(r["n"] for r in stats)
-            width = 0 if variable else KEY_WIDTHS.get(key_type.typeName(), 16)
-            key_bytes = n_keys * (width + KEY_ENTRY_OVERHEAD) + sum(r["chars"] or 0 for r in stats)
-            keys = key_set(aligned, key_col, broadcast=self._may_broadcast(key_bytes))
-            if los:
-                probe = target.where(k.between(F.lit(min(los)), F.lit(max(his))))
-                affected |= {r[0] for r in touched_values(probe, aligned, key_col, DATE_COLUMN, keys).collect()}
-            affected_list: list | None = sorted(affected)
-            result = upsert_rows(target.where(F.col(DATE_COLUMN).isin(affected_list)), batch, key_col, keys)
-        else:
-            # Nothing stored: the days written are the days affected (no probe, no stats job).
-            affected_list = None
-            result = batch
-        version = self._version_dir(suffix, writer, batch_id)
-        # Rebalance by day: without it every task writes one file per day it holds
-        # (tasks x days small files); AQE sizes the tasks and splits a hot day.
-        # Sorting by key inside each day keeps parquet min/max stats on the key tight.
-        result = result.hint("rebalance", DATE_COLUMN).sortWithinPartitions(DATE_COLUMN, key_col)
-        (
-            result.write.mode("overwrite")
-            .options(**VERSION_WRITE_OPTIONS)
-            .partitionBy(DATE_COLUMN)
-            .parquet(f"{version}/data")
-        )
-        written = tables.written_partitions(self.spark, f"{version}/data", DATE_COLUMN, target.schema)
-        days = [str(d) for d in affected_list] if affected_list is not None else sorted(written)
-        entries = [(d, written.get(d)) for d in days]
-        tables.write_manifest(self.spark, f"{version}/_manifest", entries)
-        tables.switch_partitions(self.spark, table, DATE_COLUMN, entries)
-
-    def _write_segments(
-        self, table: str, suffix: str, aligned: DataFrame, writer: str, batch_id: int, has_data: bool
+            adds = [[[d], f"{self._folder(name)}/{DATE_COLUMN}={d}"] for d in manifest["days"]]
+            tables.switch_partitions(self.spark, table, [DATE_COLUMN], adds, [])
+        elif "adds" in manifest:
+            tables.switch_partitions(self.spark, table, MERGE_PARTITIONS, manifest["adds"], manifest["drops"])
+
+    def _commit(self, table: str, name: str, version: str, manifest: dict) -> None:
+        tables.write_manifest(self.spark, f"{version}/_manifest", manifest)
+        self._apply(table, name, version, manifest)
+
+    def _copy_on_write(
+        self, table: str, suffix: str, schema: T.StructType, data: DataFrame, writer: str, batch_id: int, has_data: bool
     ) -> None:
-        """Segments layout: the batch becomes one new segment per day; only the
-        stored segments holding batch keys are rewritten (minus those keys) into it.
-
-        Insert-only batches rewrite nothing stored. Job 1: key range, count, bytes
-        and days of the batch (one row); compaction of those days if configured.
-        Job 2: the (day, segment) pairs of stored rows
-        whose key is in the batch (key-only scan bounded by the range). Job 3: the
-        write. Then one manifest and two catalog statements (ADD, DROP).
+        """Rewrite only the key buckets of days that the batch touches, then switch them.
+
+        Touched are the buckets of the batch's rows, and those of stored rows with
+        a key of the batch: a key-only semi join that reads the buckets of the
+        batch's keys and no others. The stored rows of these buckets, minus the
+        replaced keys, and the deduplicated batch go to a fresh version folder,
+        then one manifest, one ADD and one DROP statement. Between the two
+        statements a reader may see both versions of a bucket.
         """
-        key_col = next(c for c in aligned.columns if c.lower() == self.config.key.lower())
-        k = F.col(quote(key_col))
-        batch = dedupe_latest(aligned, key_col)
-        touched: list[tuple[str, str]] = []
-        keys = None
-        if has_data and tables.partition_values(self.spark, table, DATE_COLUMN):
-            key_type = aligned.schema[key_col].dataType
-            variable = isinstance(key_type, (T.StringType, T.BinaryType))
-            stats = aligned.agg(
-                F.min(k).alias("lo"),
-                F.max(k).alias("hi"),
-                F.count(k).alias("n"),
-                (F.sum(F.octet_length(k)) if variable else F.lit(0)).alias("chars"),
-                F.array_sort(F.collect_set(F.col(DATE_COLUMN).cast("string"))).alias("days"),
-            ).first()
-            if self.config.compact_min_segments:
-                # Segments accumulate only on days a batch writes, so only those are
-                # compacted. Before this batch's write, never after its commit: a
-                # replay of a committed batch re-applies its manifest, which would
-                # bring back a segment that compaction had merged away. Only the
-                # last batch is ever replayed, and here its manifest does not exist.
-                self.compact(suffix, self.config.compact_min_segments, days=list(stats["days"]))
-            width = 0 if variable else KEY_WIDTHS.get(key_type.typeName(), 16)
-            key_bytes = stats["n"] * (width + KEY_ENTRY_OVERHEAD) + (stats["chars"] or 0)
-            keys = key_set(aligned, key_col, broadcast=self._may_broadcast(key_bytes))
-            if stats["lo"] is not None:
-                probe = self.spark.table(table).where(k.between(F.lit(stats["lo"]), F.lit(stats["hi"])))
-                pairs = touched_values(probe, aligned, key_col, [DATE_COLUMN, SEGMENT_COLUMN], keys).collect()
-                touched = sorted((str(r[0]), r[1]) for r in pairs)
-        target = self.spark.table(table)
-        if touched:
-            result = upsert_rows(target.where(self._segment_filter(touched)), batch, key_col, keys)
-        else:
-            result = batch
-        version = self._version_dir(suffix, writer, batch_id)
-        tag = self._batch_tag(writer, batch_id)
-        written = self._write_days(result.drop(SEGMENT_COLUMN), key_col, f"{version}/data", target.schema)
-        entries = [(d, tag, loc) for d, loc in sorted(written.items())] + [(d, s, None) for d, s in touched]
-        tables.write_segment_manifest(self.spark, f"{version}/_manifest", entries)
-        tables.switch_segments(self.spark, table, DATE_COLUMN, SEGMENT_COLUMN, entries)
+        name, tag = self.table_name(suffix), self._batch_tag(writer, batch_id)
+        key_col = next(f.name for f in schema.fields if f.name.lower() == self.config.key.lower())
+        data_schema = T.StructType([f for f in schema.fields if f.name not in (BUCKET_COLUMN, BATCH_COLUMN)])
+        aligned = with_key_bucket(align_to_schema(data, data_schema)[0], key_col, self.config.key_buckets)
+        batch = result = dedupe_latest(aligned, key_col)
+        touched: set[tuple[str, str]] = set()
+        replaced: list[tuple[str, ...]] = []
+        if has_data:
+            k = F.col(quote(key_col))
+            day = F.col(DATE_COLUMN).cast("string").alias(DATE_COLUMN)
+            own = aligned.groupBy(day, BUCKET_COLUMN).agg(
+                F.count(k).alias("keys"), F.sum(F.octet_length(k.cast("string"))).alias("bytes")
+            ).collect()
+            touched = {(r[DATE_COLUMN], str(r[BUCKET_COLUMN])) for r in own}
+            # An upper bound of the key set in memory: every key counted, its text and an entry.
+            size = sum(r["keys"] * KEY_ENTRY_OVERHEAD + (r["bytes"] or 0) for r in own)
+            small = self._may_broadcast(size)
+            keys = key_set(aligned, key_col, broadcast=small)
+            target = self.spark.table(table)
+            # A key is always in the bucket of its text, whatever its day.
+            in_buckets = F.col(BUCKET_COLUMN).isin(sorted({r[BUCKET_COLUMN] for r in own if r["keys"]}))
+            pairs = touched_values(target.where(in_buckets), aligned, key_col, [DATE_COLUMN, BUCKET_COLUMN], keys)
+            touched |= {(str(r[0]), str(r[1])) for r in pairs.collect()}
+            live = tables.live_partitions(self.spark, table, MERGE_PARTITIONS, sorted({d for d, _ in touched}))
+            replaced = sorted(p for p in live if p[:2] in touched)
+            if replaced:
+                stored = target.where(self._buckets_filter(replaced)).drop(BATCH_COLUMN)
+                result = upsert_rows(stored, batch, key_col, keys, small)
+        version = self._version_dir(name, writer, batch_id)
+        written = self._write_partitioned(result, [DATE_COLUMN, BUCKET_COLUMN], [key_col], f"{version}/data")
+        manifest = {
+            "adds": [[[d, b, tag], folder] for (d, b), folder in sorted(written.items())],
+            "drops": [list(p) for p in replaced if p[2] != tag],
+        }
+        self._commit(table, name, version, manifest)
 
     @staticmethod
-    def _segment_filter(pairs: list[tuple[str, str]]):
-        """Partition predicate selecting exactly the given (day, segment) pairs."""
-        by_day: dict[str, list[str]] = {}
-        for d, s in pairs:
-            by_day.setdefault(d, []).append(s)
-        return reduce(
-            operator.or_,
-            [(F.col(DATE_COLUMN) == F.lit(d).cast("date")) & F.col(SEGMENT_COLUMN).isin(segs) for d, segs in by_day.items()],
-        )
-
-    def _write_days(self, rows: DataFrame, key_col: str, path: str, schema: T.StructType) -> dict[str, str]:
-        """Write rows partitioned by day into a fresh folder; day -> folder written."""
-        # Rebalance by day: right-sized tasks per day (AQE splits a hot day), one
-        # sorted run of keys per file for tight parquet key statistics.
+    def _buckets_filter(partitions: list[tuple[str, ...]]):
+        """Partition predicate of the given (day, bucket) pairs; days with the same buckets share a term."""
+        by_day: dict[str, set[int]] = {}
+        for d, b, *_ in partitions:
+            by_day.setdefault(d, set()).add(int(b))
+        days: dict[tuple[int, ...], list[str]] = {}
+        for d, buckets in by_day.items():
+            days.setdefault(tuple(sorted(buckets)), []).append(d)
+        terms = [
+            F.col(DATE_COLUMN).isin([dt.date.fromisoformat(d) for d in sorted(ds)]) & F.col(BUCKET_COLUMN).isin(list(buckets))
+            for buckets, ds in sorted(days.items())
+        ]
+        return reduce(or_, terms)
+
+    def _write_partitioned(self, rows: DataFrame, columns: list[str], order: list[str], path: str) -> dict[tuple[str, ...], str]:
+        """Write rows by partition into a fresh folder; partition values -> folder.
+
+        Rebalanced by partition: without it every task writes one file per
+        partition it holds; adaptive execution sizes the tasks and splits a hot
+        one. Sorted by key inside, so parquet statistics on it stay tight.
+        """
         (
-            rows.hint("rebalance", DATE_COLUMN)
-            .sortWithinPartitions(DATE_COLUMN, key_col)
+            rows.hint("rebalance", *columns)
+            .sortWithinPartitions(*columns, *[quote(c) for c in order])
             .write.mode("overwrite")
-            .options(**VERSION_WRITE_OPTIONS)
-            .partitionBy(DATE_COLUMN)
+            .partitionBy(*columns)
             .parquet(path)
         )
-        data_schema = T.StructType([f for f in schema.fields if f.name != SEGMENT_COLUMN])
-        return tables.written_partitions(self.spark, path, DATE_COLUMN, data_schema)
+        return tables.written_folders(self.spark, path, columns)
 
-    def compact(self, suffix: str, min_segments: int = 4, days: list[str] | None = None) -> int:
-        """Merge segments of a day, size-tiered: whenever a day holds at least
-        ``min_segments`` segments of one level, they become one segment of the next
-        level. Rows are unchanged. Returns the number of segments merged.
-        ``days`` limits it to those days (default: every day of the table).
+    def _append(
+        self, table: str, name: str, schema: T.StructType, rows: DataFrame, writer: str, batch_id: int
+    ) -> None:
+        """Write the batch aside by day, then rename its files into the days' folders.
 
-        Run it between batches of the table's writer (``compact_min_segments`` does
-        so before each batch's write): a batch committed concurrently could be lost.
+        A table has one partition per day, whatever the number of batches. The
+        batch is the unit of a replay: its manifest says that the staged files are
+        complete, and files that have moved are not moved again.
         """
-        if not self._segments():
-            raise ValueError("compaction applies to the segments layout of merge mode")
-        table = self.table(suffix)
-        merged = 0
-        # Lowest level first; a merge can fill the next level, so look again until
-        # no (day, level) group is full. One write per round: its days together.
-        while True:
-            by_level: dict[tuple[str, int], list[str]] = {}
-            for d, s in tables.segment_partitions(self.spark, table, DATE_COLUMN, SEGMENT_COLUMN, days):
-                by_level.setdefault((d, segment_level(s)), []).append(s)
-            full = {dl: segs for dl, segs in by_level.items() if len(segs) >= min_segments}
-            if not full:
-                return merged
-            level = min(lvl for _, lvl in full)
-            pairs = sorted((d, s) for (d, lvl), segs in full.items() if lvl == level for s in segs)
-            tag = COMPACT_TAG.format(level=level + 1, run=uuid.uuid4().hex[:12])
-            schema = self.spark.table(table).schema
-            key_col = next((f.name for f in schema.fields if f.name.lower() == self.config.key.lower()), DATE_COLUMN)
-            rows = self.spark.table(table).where(self._segment_filter(pairs)).drop(SEGMENT_COLUMN)
-            version = f"{self.root}/{self.table_name(suffix)}/_v/compact/{tag}"
-            written = self._write_days(rows, key_col, f"{version}/data", schema)
-            entries = [(d, tag, loc) for d, loc in sorted(written.items())] + [(d, s, None) for d, s in pairs]
-            tables.write_segment_manifest(self.spark, f"{version}/_manifest", entries)
-            tables.switch_segments(self.spark, table, DATE_COLUMN, SEGMENT_COLUMN, entries)
-            merged += len(pairs)
+        version = self._version_dir(name, writer, batch_id)
+        aligned, _ = align_to_schema(rows, schema)
+        written = self._write_partitioned(aligned, [DATE_COLUMN], [], f"{version}/data")
+        manifest = {"days": sorted(d for (d,) in written), "tag": self._batch_tag(writer, batch_id)}
+        self._commit(table, name, version, manifest)
+
+    def _row_level(self, table: str, aligned: DataFrame, version: str) -> None:
+        """The catalog's own append or merge; the marker written after it keeps a replay from repeating it."""
+        if self.config.mode == APPEND:
+            aligned.writeTo(table).append()
+        else:
+            key_col = next(c for c in aligned.columns if c.lower() == self.config.key.lower())
+            merge_into(dedupe_latest(aligned, key_col), table, key_col).merge()
+        tables.write_manifest(self.spark, f"{version}/_manifest", {})
 
     def _may_broadcast(self, key_bytes: int) -> bool:
         limit = self.config.broadcast_keys_max_bytes
@@ -537,49 +473,29 @@ class MultiTableSink:
             limit = broadcast_limit(self.spark)
         return 0 <= key_bytes <= limit
 
-    def _merge_sql(self, table: str, aligned: DataFrame) -> None:
-        key_col = next(c for c in aligned.columns if c.lower() == self.config.key.lower())
-        view = f"sluice_src_{uuid.uuid4().hex}"
-        dedupe_latest(aligned, key_col).createOrReplaceTempView(view)
-        try:
-            aligned.sparkSession.sql(merge_into_sql(table, view, key_col))
-        finally:
-            aligned.sparkSession.catalog.dropTempView(view)
-
     def _write_quarantine(self, prepared: DataFrame, batch_id: int, writer: str, batch_time: dt.datetime) -> None:
         name = self.config.table_prefix + self.config.quarantine_table
-        table = tables.ident(self.config.database, name)
+        table = self.quarantine_table()
         if not tables.table_exists(self.spark, self.config.database, name):
             columns = META_TYPES + [
                 (ROUTING_COLUMN, "STRING"),
                 ("raw_value", "STRING"),
                 ("reason", "STRING"),
                 (self.config.ingest_time_column, "TIMESTAMP"),
-                (BATCH_COLUMN, "STRING"),
+                (DATE_COLUMN, "DATE"),
             ]
+            properties = {"sluice.mode": "quarantine"}
             tables.create_table(
-                self.spark, table, columns, [BATCH_COLUMN], f"{self.root}/{name}", "parquet", {"sluice.mode": "quarantine"}
+                self.spark, table, columns, [quote(DATE_COLUMN)], self._folder(name), PARQUET, properties
             )
+        version = self._version_dir(name, writer, batch_id)
+        manifest = tables.read_manifest(self.spark, f"{version}/_manifest")
+        if manifest is not None:
+            self._apply(table, name, version, manifest)
+            return
         rows = bad_rows(prepared).select(*META_COLUMNS, ROUTING_COLUMN, "raw_value", "reason")
-        rows = stamp_ingest_time(rows, batch_time, self.config.ingest_time_column)
-        self._overwrite_batch_partition(table, self.spark.table(table).schema, rows, writer, batch_id)
-
-    def _overwrite_batch_partition(
-        self, table: str, schema: T.StructType, rows: DataFrame, writer: str, batch_id: int
-    ) -> None:
-        """Append as ``INSERT OVERWRITE`` of this batch's own partition: a replay
-        replaces what an earlier attempt wrote instead of adding it again."""
-        data_schema = T.StructType([f for f in schema.fields if f.name != BATCH_COLUMN])
-        aligned, _ = align_to_schema(rows, data_schema)
-        view = f"sluice_batch_{uuid.uuid4().hex}"
-        # Temp views are per session; a foreachBatch frame lives in a cloned one.
-        session = aligned.sparkSession
-        aligned.select(*[F.col(quote(f.name)) for f in data_schema.fields]).createOrReplaceTempView(view)
-        try:
-            tag = tables.sql_string(self._batch_tag(writer, batch_id))
-            session.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({quote(BATCH_COLUMN)} = {tag}) SELECT * FROM {view}")
-        finally:
-            session.catalog.dropTempView(view)
+        rows = with_date_partition(stamp_ingest_time(rows, batch_time, self.config.ingest_time_column), self.config.ingest_time_column)
+        self._append(table, name, self.spark.table(table).schema, rows, writer, batch_id)
 
     def quarantine_table(self) -> str:
         return tables.ident(self.config.database, self.config.table_prefix + self.config.quarantine_table)

@@ -1,38 +1,24 @@
 """Table DDL and commits: create, widen, properties, partition switches, manifests.
 
-A parquet table cannot run MERGE, so a write is copy-on-write per partition:
-new partition folders are written under a version folder named after the
-batch, then the catalog is pointed at them. The version folder carries a small
-manifest; when it exists the batch's data is complete and a replay only
-re-applies the (idempotent) partition switches.
+A parquet table has no row-level MERGE, so a batch writes new partition folders
+under a version folder named after it and the catalog is then pointed at them.
+The version folder's manifest is renamed into place once the data is complete:
+a replay that finds it only repeats the (idempotent) catalog statements.
+Appended files are renamed into their day's folder under the batch's name.
 """
 
 from __future__ import annotations
 
-from urllib.parse import unquote
+import json
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sluice.functions.types import quote, sql_string  # noqa: F401  (re-exported)
 
-MANIFEST_SCHEMA = T.StructType(
-    [T.StructField("part", T.StringType(), True), T.StructField("location", T.StringType(), True)]
-)
-# Segment layout: (day, segment) partitions; a NULL location drops the partition.
-SEGMENT_MANIFEST_SCHEMA = T.StructType(
-    [
-        T.StructField("part", T.StringType(), True),
-        T.StructField("segment", T.StringType(), True),
-        T.StructField("location", T.StringType(), True),
-    ]
-)
-
 
 def ident(database: str, name: str) -> str:
-    return f"{quote(database)}.{quote(name)}"
+    """Quoted table name; ``database`` may carry a catalog, as ``catalog.database``."""
+    return ".".join(quote(part) for part in [*database.split("."), name])
 
 
 def table_exists(spark: SparkSession, database: str, name: str) -> bool:
@@ -44,15 +30,19 @@ def create_table(
     table: str,
     columns: list[tuple[str, str]],
     partition_by: list[str],
-    location: str,
+    location: str | None,
     using: str = "parquet",
     properties: dict[str, str] | None = None,
 ) -> str:
-    """CREATE TABLE IF NOT EXISTS with every identifier quoted; returns the SQL."""
+    """CREATE TABLE IF NOT EXISTS with every identifier quoted; returns the SQL.
+
+    ``partition_by`` holds quoted columns or transforms. Without a ``location``
+    the catalog places the table.
+    """
     cols = ", ".join(f"{quote(n)} {t}" for n, t in columns)
     sql = f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING {using}"
     if partition_by:
-        sql += " PARTITIONED BY (" + ", ".join(quote(c) for c in partition_by) + ")"
+        sql += " PARTITIONED BY (" + ", ".join(partition_by) + ")"
     if location:
         sql += f" LOCATION {sql_string(location)}"
     if properties:
@@ -61,6 +51,10 @@ def create_table(
     return sql
 
 
+def ensure_database(spark: SparkSession, database: str) -> None:
+    spark.sql("CREATE DATABASE IF NOT EXISTS " + ".".join(quote(part) for part in database.split(".")))
+
+
 def add_columns(spark: SparkSession, table: str, columns: list[tuple[str, str]]) -> str | None:
     if not columns:
         return None
@@ -80,131 +74,87 @@ def table_provider(spark: SparkSession, table: str) -> str | None:
     return None
 
 
-def table_location(spark: SparkSession, table: str) -> str:
-    for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect():
-        if row["col_name"] == "Location":
-            return row["data_type"]
-    raise ValueError(f"table {table} has no location")
-
-
-def partition_values(spark: SparkSession, table: str, column: str) -> set[str]:
-    """Values of one partition column registered in the catalog (metadata only)."""
-    prefix = column + "="
-    out = set()
-    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
-        for part in row[0].split("/"):
-            if part.startswith(prefix):
-                out.add(part[len(prefix) :])
-    return out
+def _path(spark: SparkSession, path: str):
+    """(file system, path) of the session's Hadoop configuration."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def written_partitions(
-    spark: SparkSession, path: str, column: str, schema: T.StructType | None = None
-) -> dict[str, str]:
-    """Partition value -> folder for a freshly written partitioned folder.
+def written_folders(spark: SparkSession, path: str, columns: list[str]) -> dict[tuple[str, ...], str]:
+    """Partition values -> folder of a freshly written partitioned folder (one listing of folders, no file names).
 
-    With the table schema given this is a file listing only (no footer reads).
+    A batch without rows has written none; a folder that is not there is an error.
     """
-    out: dict[str, str] = {}
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    try:
-        files = reader.parquet(path).inputFiles()
-    except AnalysisException:
-        return out
-    marker = f"/{column}="
-    for f in files:
-        head, sep, tail = f.rpartition(marker)
-        if not sep:
-            continue
-        value = tail.split("/", 1)[0]
-        out[value] = f"{head}{marker}{value}"
+    fs, root = _path(spark, path)
+    if not fs.exists(root):
+        raise FileNotFoundError(path)
+    _, pattern = _path(spark, path + "".join(f"/{c}=*" for c in columns))
+    out = {}
+    for status in fs.globStatus(pattern) or []:
+        folder = status.getPath().toString()
+        out[tuple(part.split("=", 1)[1] for part in folder.split("/")[-len(columns) :])] = folder
     return out
 
 
-def read_manifest(spark: SparkSession, path: str) -> list[tuple[str, str | None]] | None:
-    try:
-        rows = spark.read.schema(MANIFEST_SCHEMA).json(path).collect()
-    except AnalysisException:
-        return None
-    if not rows:
+def read_manifest(spark: SparkSession, path: str) -> dict | None:
+    """The manifest of a committed version, None where there is none; any other trouble is raised."""
+    fs, p = _path(spark, path)
+    if not fs.exists(p):
         return None
-    return [(r["part"], r["location"]) for r in rows]
+    stream = fs.open(p)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
 
 
-def write_manifest(spark: SparkSession, path: str, entries: list[tuple[str, str | None]]) -> None:
-    """One small JSON file listing (partition value, new folder or NULL for dropped)."""
-    rows = [F.struct(F.lit(p).alias("part"), F.lit(loc).cast("string").alias("location")) for p, loc in entries]
-    manifest = spark.range(1).select(F.inline(F.array(*rows)))
-    manifest.coalesce(1).write.mode("overwrite").json(path)
+def write_manifest(spark: SparkSession, path: str, manifest: dict) -> None:
+    """One small JSON file, written aside and renamed, so that it is whole or absent."""
+    fs, p = _path(spark, path)
+    _, aside = _path(spark, path + ".tmp")
+    stream = fs.create(aside, True)
+    try:
+        stream.write(bytearray(json.dumps(manifest).encode("utf-8")))
+    finally:
+        stream.close()
+    if not fs.rename(aside, p):
+        raise OSError(f"could not put the manifest in place: {path}")
 
 
-def switch_partitions(spark: SparkSession, table: str, column: str, entries: list[tuple[str, str | None]]) -> None:
-    """Point partitions at new folders, add new ones, drop emptied ones. Idempotent."""
-    existing = partition_values(spark, table, column)
-    col = quote(column)
-    adds = [(v, loc) for v, loc in entries if loc and v not in existing]
-    if adds:
-        specs = " ".join(f"PARTITION ({col}={sql_string(v)}) LOCATION {sql_string(loc)}" for v, loc in adds)
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
-    for v, loc in entries:
-        if loc and v in existing:
-            spark.sql(f"ALTER TABLE {table} PARTITION ({col}={sql_string(v)}) SET LOCATION {sql_string(loc)}")
-    drops = [v for v, loc in entries if not loc and v in existing]
-    if drops:
-        specs = ", ".join(f"PARTITION ({col}={sql_string(v)})" for v in drops)
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
-    spark.catalog.refreshTable(table)
+def _spec(columns: list[str], values) -> str:
+    return "PARTITION (" + ", ".join(f"{quote(c)}={sql_string(v)}" for c, v in zip(columns, values)) + ")"
 
 
-def segment_partitions(
-    spark: SparkSession, table: str, day_column: str, segment_column: str, days: list[str] | None = None
-) -> set[tuple[str, str]]:
-    """(day, segment) pairs registered in the catalog (metadata only); only the
-    given days when ``days`` is set (one partial-spec listing per day)."""
-    if days is None:
-        statements = [f"SHOW PARTITIONS {table}"]
-    else:
-        statements = [f"SHOW PARTITIONS {table} PARTITION ({quote(day_column)}={sql_string(d)})" for d in days]
-    rows = [row for sql in statements for row in spark.sql(sql).collect()]
-    out = set()
-    for row in rows:
-        parts = dict(p.split("=", 1) for p in row[0].split("/"))
-        out.add((unquote(parts[day_column]), unquote(parts[segment_column])))
+def live_partitions(spark: SparkSession, table: str, columns: list[str], days: list[str]) -> list[tuple[str, ...]]:
+    """Partitions of the given days of the first column registered in the catalog (metadata only)."""
+    out = []
+    for day in days:
+        for row in spark.sql(f"SHOW PARTITIONS {table} {_spec(columns[:1], [day])}").collect():
+            out.append(tuple(part.split("=", 1)[1] for part in row[0].split("/")))
     return out
 
 
-def read_segment_manifest(spark: SparkSession, path: str) -> list[tuple[str, str, str | None]] | None:
-    try:
-        rows = spark.read.schema(SEGMENT_MANIFEST_SCHEMA).json(path).collect()
-    except AnalysisException:
-        return None
-    if not rows:
-        return None
-    return [(r["part"], r["segment"], r["location"]) for r in rows]
-
-
-def write_segment_manifest(spark: SparkSession, path: str, entries: list[tuple[str, str, str | None]]) -> None:
-    rows = [
-        F.struct(F.lit(d).alias("part"), F.lit(s).alias("segment"), F.lit(loc).cast("string").alias("location"))
-        for d, s, loc in entries
-    ]
-    spark.range(1).select(F.inline(F.array(*rows))).coalesce(1).write.mode("overwrite").json(path)
-
-
-def switch_segments(
-    spark: SparkSession, table: str, day_column: str, segment_column: str, entries: list[tuple[str, str, str | None]]
+def switch_partitions(
+    spark: SparkSession, table: str, columns: list[str], adds: list[list], drops: list[list]
 ) -> None:
-    """Add the new segments, then drop the replaced ones: two catalog statements
-    whatever the number of partitions. Idempotent (IF NOT EXISTS / IF EXISTS)."""
-    d, s = quote(day_column), quote(segment_column)
-
-    def spec(day: str, seg: str) -> str:
-        return f"PARTITION ({d}={sql_string(day)}, {s}={sql_string(seg)})"
-
-    adds = [f"{spec(day, seg)} LOCATION {sql_string(loc)}" for day, seg, loc in entries if loc]
+    """Add the new partitions, then drop the replaced ones: two catalog statements
+    whatever their number. Idempotent (IF NOT EXISTS / IF EXISTS)."""
     if adds:
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(adds))
-    drops = [spec(day, seg) for day, seg, loc in entries if not loc]
+        specs = [f"{_spec(columns, values)} LOCATION {sql_string(location)}" for values, location in adds]
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(specs))
     if drops:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(drops))
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(_spec(columns, values) for values in drops))
     spark.catalog.refreshTable(table)
+
+
+def move_files(spark: SparkSession, staged: str, folder: str, column: str, values: list[str], tag: str) -> None:
+    """Rename staged files into the partition folders, named after the batch. Files already moved are left alone."""
+    for value in values:
+        fs, source = _path(spark, f"{staged}/{column}={value}/part-*")
+        _, target = _path(spark, f"{folder}/{column}={value}")
+        fs.mkdirs(target)
+        for status in fs.globStatus(source) or []:
+            name = status.getPath().getName()
+            _, moved = _path(spark, f"{folder}/{column}={value}/{tag}-{name}")
+            if not fs.rename(status.getPath(), moved):
+                raise OSError(f"could not move {status.getPath().toString()}")

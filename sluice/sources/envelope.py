@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The columns of a Kafka record.
 RAW_ENVELOPE = T.StructType(
     [
         T.StructField("key", T.BinaryType(), True),
@@ -49,21 +50,6 @@ ROUTING_COLUMN = "table_suffix"
 # Envelope columns kept on every target row, in table order.
 META_COLUMNS = ["kafka_key", "kafka_topic", "kafka_partition", "kafka_offset", "kafka_ts", "kafka_ts_type"]
 
-NORMALISED_ENVELOPE = T.StructType(
-    [
-        T.StructField("kafka_key", T.BinaryType(), True),
-        T.StructField("value", T.BinaryType(), True),
-        T.StructField("kafka_topic", T.StringType(), True),
-        T.StructField("kafka_partition", T.IntegerType(), True),
-        T.StructField("kafka_offset", T.LongType(), True),
-        T.StructField("kafka_ts", T.TimestampType(), True),
-        T.StructField("kafka_ts_type", T.IntegerType(), True),
-        T.StructField(ROUTING_COLUMN, T.StringType(), True),
-    ]
-)
-
-REQUIRED_KAFKA_PARAMS = ("bootstrap_servers", "topic")
-
 # JSON files keep record times to the microsecond (Spark's default
 # JSON format stops at milliseconds).
 JSON_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
@@ -101,10 +87,9 @@ def kafka_options(
     **extra: str,
 ) -> dict[str, str]:
     """Options for the Kafka source; headers are always requested for routing."""
-    given = {"bootstrap_servers": bootstrap_servers, "topic": topic}
-    missing = [p for p in REQUIRED_KAFKA_PARAMS if not given.get(p)]
-    if missing:
-        raise ValueError(f"Missing required configuration parameters: {', '.join(missing)}")
+    for option, value in (("bootstrap_servers", bootstrap_servers), ("topic", topic)):
+        if not value:
+            raise ValueError(f"the Kafka source needs the option {option!r}")
     opts = {
         "kafka.bootstrap.servers": bootstrap_servers,
         "subscribe": topic,

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from sluice.plans.batch import MultiTableSink
+from sluice.sources import envelope
 
 # The reference's trigger interval.
 DEFAULT_TRIGGER = {"processingTime": "1 minute"}
@@ -55,18 +56,32 @@ def start(
     return writer.start()
 
 
+def finish(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:
+    """Wait until a query has ended by itself; raise if it failed.
+
+    There is no limit unless ``timeout_s`` is given; when that runs out the
+    query is stopped and TimeoutError raised, never a part returned as a whole.
+    """
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
+        query.stop()
+        raise TimeoutError(f"the stream did not end within {timeout_s} seconds")
+    if query.exception() is not None:
+        raise query.exception()
+    return query
+
+
 def run_available(
-    sink: MultiTableSink, stream: DataFrame, checkpoint_location: str, batch_time=None, timeout_s: int = 600
+    sink: MultiTableSink, stream: DataFrame, checkpoint_location: str, batch_time=None, timeout_s: float | None = None
 ) -> StreamingQuery:
     """Process everything available now and return the finished query."""
-    q = start(sink, stream, checkpoint_location, {"availableNow": True}, batch_time=batch_time)
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("stream did not finish in time")
-    if q.exception() is not None:
-        raise q.exception()
-    return q
+    return finish(start(sink, stream, checkpoint_location, {"availableNow": True}, batch_time=batch_time), timeout_s)
+
+
+def run_topic(spark, sink: MultiTableSink, checkpoint_location: str, trigger: dict | None = None, **kafka: str) -> StreamingQuery:
+    """Start the upsert of a Kafka topic into its tables (needs the Kafka connector on the classpath)."""
+    return start(sink, envelope.read_kafka_stream(spark, **kafka), checkpoint_location, trigger)
 
 
 def fixed_time(when: dt.datetime):

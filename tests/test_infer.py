@@ -22,7 +22,7 @@ def _types(spark, texts, mode=STRICT):
 def test_json_kinds_map_to_column_types(spark):
     text = (
         '{"b":true,"i":5,"f":2.5,"h":5.0,"e":1e3,"s":"x","a":[1,"x",{"z":2}],"o":{"a":1},'
-        '"big":1700000000000000,"huge":123456789012345678901234,"n":null}'
+        '"big":1700000000000000,"huge":123456789012345678901234,"wide":9223372036854775808,"n":null}'
     )
     assert _types(spark, [text]) == {
         "b": "BOOLEAN",
@@ -34,7 +34,8 @@ def test_json_kinds_map_to_column_types(spark):
         "a": "ARRAY<STRING>",
         "o": "STRING",
         "big": "BIGINT",
-        "huge": "DOUBLE",
+        "huge": "DECIMAL(38,0)",
+        "wide": "DECIMAL(38,0)",
         "n": None,
     }
 
@@ -51,6 +52,18 @@ def test_integer_and_fraction_strict_conflict_widen_double(spark):
     assert _types(spark, ['{"a":1}', '{"a":1.5}'], WIDEN) == {"a": "DOUBLE"}
 
 
+def test_integers_of_both_widths_are_the_wider_type(spark):
+    texts = ['{"a":1}', '{"a":18446744073709551617}']
+    assert _types(spark, texts) == _types(spark, texts, WIDEN) == {"a": "DECIMAL(38,0)"}
+
+
+def test_quarantined_rows_send_one_row_per_reason(spark):
+    rows = [(f"bad-{i}", '{"f%d":1}' % i, i) for i in range(500)] + [("t", '{"unique_id":1}', 900)]
+    prepared = route.prepare(normalise(records(spark, rows)))
+    got = infer.infer_schema(infer.observe_fields(prepared)).collect()
+    assert [(r["reason"], r["n_records"]) for r in got if r["reason"]] == [("invalid_suffix", 500)]
+
+
 def test_other_clash_widens_to_string(spark):
     assert _types(spark, ['{"a":1}', '{"a":"x"}'], WIDEN) == {"a": "STRING"}
     assert _types(spark, ['{"a":true}', '{"a":[1]}'], WIDEN) == {"a": "STRING"}

@@ -51,18 +51,46 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     assert len(got) == 201
 
 
-def test_probe_reads_only_the_key_with_pushed_bounds(spark):
+def test_probe_reads_only_the_key_of_the_batch_buckets(spark):
     sink = new_sink(spark)
     sink.process_batch(records(spark, [("t", json.dumps({"unique_id": i, "a": i}), i) for i in range(50)]), 0, "w", BATCH_TIME)
-    target = sink.read("t")
-    probe = target.where(F.col("unique_id").between(F.lit(10), F.lit(20)))
-    batch = target.where("a > 5")
-    text = plan_text(merge.touched_values(probe, batch, "unique_id", "kafka_date"))
-    scan = [line for line in text.splitlines() if "PushedFilters" in line]
-    assert any("GreaterThanOrEqual(unique_id,10)" in s and "LessThanOrEqual(unique_id,20)" in s for s in scan)
+    target = spark.table(sink.table("t"))
+    probe = target.where(F.col("key_bucket").isin([1, 3]))
+    text = plan_text(merge.touched_values(probe, target.where("a > 5"), "unique_id", ["kafka_date", "key_bucket"]))
+    scans = [line for line in text.splitlines() if "PartitionFilters" in line]
+    assert any("key_bucket" in s and "IN (1,3)" in s for s in scans)
     assert "ReadSchema: struct<unique_id:bigint>" in text
 
 
+def test_update_rewrites_only_the_buckets_that_hold_its_keys(spark):
+    sink = new_sink(spark, key_buckets=8)
+    first = [("t", json.dumps({"unique_id": i, "v": i}), i, 86_400 * (i % 3)) for i in range(60)]
+    sink.process_batch(records(spark, first), 0, "w", BATCH_TIME)
+    key = "kafka_date, key_bucket"
+    where = {r["unique_id"]: (str(r["kafka_date"]), r["key_bucket"]) for r in spark.table(sink.table("t")).collect()}
+    # An update of one key on its day, and of one that moves to another day.
+    update = [("t", json.dumps({"unique_id": 7, "v": -7}), 100, 86_400), ("t", json.dumps({"unique_id": 9, "v": -9}), 101, 86_400)]
+    sink.process_batch(records(spark, update), 1, "w", BATCH_TIME)
+    after = spark.table(sink.table("t"))
+    rewritten = {(str(r[0]), r[1]) for r in after.where("ingest_batch like '%1'").select(*key.split(", ")).distinct().collect()}
+    assert rewritten == {where[7], where[9], (where[7][0], where[9][1])}
+    got = {r["unique_id"]: r["v"] for r in after.collect()}
+    assert got == {i: -i if i in (7, 9) else i for i in range(60)}
+    versions = after.select("kafka_date", "key_bucket", "ingest_batch").distinct().count()
+    assert versions == after.select("kafka_date", "key_bucket").distinct().count()
+
+
+def test_one_scan_of_the_target_where_the_keys_are_broadcast(spark):
+    sink = new_sink(spark)
+    sink.process_batch(records(spark, [("t", json.dumps({"unique_id": i}), i) for i in range(20)]), 0, "w", BATCH_TIME)
+    target = sink.read("t")
+    batch = spark.createDataFrame([(1,)], "unique_id long")
+    rows = target.select("unique_id")
+    text = plan_text(merge.upsert_rows(rows, batch, "unique_id", merge.key_set(batch, "unique_id", True), True))
+    assert text.count("Scan parquet") == 2  # heading and detail of one scan
+    assert "BroadcastHashJoin LeftAnti" in text or "LeftAnti BuildRight" in text
+
+
 def test_null_keys_skip_the_join(spark):
     target = spark.createDataFrame([(1, "a"), (None, "b")], "unique_id long, v string")
     batch = spark.createDataFrame([(1, "c")], "unique_id long, v string")
@@ -87,7 +115,7 @@ def test_key_set_is_hash_combined_and_broadcast_only_when_asked(spark):
     try:
         shuffled = plan_text(merge.upsert_rows(target, batch, "unique_id", merge.key_set(batch, "unique_id")))
         hinted = plan_text(
-            merge.upsert_rows(target, batch, "unique_id", merge.key_set(batch, "unique_id", broadcast=True))
+            merge.upsert_rows(target, batch, "unique_id", merge.key_set(batch, "unique_id", broadcast=True), True)
         )
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
@@ -143,6 +171,5 @@ def test_spread_hashes_on_record_identity_and_evens_a_hot_partition(spark):
     assert "RoundRobinPartitioning" not in text
     sizes = spread.groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert len(sizes) == 8 and max(r["count"] for r in sizes) < 2 * 600 / 8
-    # Enough partitions already, or 0: left as it is.
-    assert route.spread(batch, 1) is batch
-    assert route.spread(batch, 0) is batch
+    # Not asked for: left as it is.
+    assert route.spread(batch) is batch and route.spread(batch, 0) is batch

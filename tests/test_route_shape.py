@@ -117,9 +117,38 @@ def test_dedupe_latest_and_upsert(spark):
     assert got == [(-1, "bn"), (-1, "tn"), (1, "b1"), (3, "t3")]
 
 
-def test_merge_sql_is_quoted():
-    sql = merge.merge_into_sql("db.t", "src", "unique_id")
-    assert "ON target.`unique_id` = source.`unique_id`" in sql and "UPDATE SET *" in sql
+def test_upsert_takes_odd_column_names(spark):
+    target = spark.createDataFrame([(1, "t"), (2, "u"), (None, "n")], "`a.b` long, `x y` string")
+    batch = spark.createDataFrame([(1, "new")], "`a.b` long, `x y` string")
+    for broadcast in (False, True):
+        keys = merge.key_set(batch, "a.b", broadcast)
+        got = {tuple(r) for r in merge.upsert_rows(target, batch, "a.b", keys, broadcast).collect()}
+        assert got == {(1, "new"), (2, "u"), (None, "n")}
+    assert [tuple(r) for r in merge.touched_values(target, batch, "a.b", "x y").collect()] == [("t",)]
+
+
+def test_suffix_with_a_final_newline_and_object_after_a_newline(spark):
+    rows = [("abc\n", '{"unique_id":1}', 1), ("abc", '\n{"unique_id":1}', 2), ("abc", '{"":1}', 3), ("abc", '{"a\\u0000b":1}', 4)]
+    got = {r["kafka_offset"]: r["reason"] for r in route.prepare(normalise(records(spark, rows))).collect()}
+    assert got == {1: "invalid_suffix", 2: None, 3: "invalid_field", 4: "invalid_field"}
+
+
+def test_prefixed_names_do_not_clash():
+    reserved = shape.reserved_names()
+    fields = ["kafka_ts", "payload_kafka_ts", "payload_payload_kafka_ts", "payload_other", "other"]
+    names = [shape.column_name(f, reserved) for f in fields]
+    assert len({n.lower() for n in names}) == len(fields)
+    assert names[0] == "payload_kafka_ts" and names[3:] == ["payload_other", "other"]
+
+
+def test_key_bucket_goes_by_the_text_of_the_key(spark):
+    df = normalise(records(spark, [("t", "{}", i) for i in range(50)]))
+    ints = shape.with_key_bucket(df.withColumn("k", F.col("kafka_offset")), "k", 4)
+    wide = shape.with_key_bucket(df.withColumn("k", F.col("kafka_offset").cast("decimal(38,0)")), "k", 4)
+    none = shape.with_key_bucket(df.withColumn("k", F.lit(None).cast("long")), "k", 4)
+    buckets = lambda d: {r["kafka_offset"]: r["key_bucket"] for r in d.collect()}
+    assert buckets(ints) == buckets(wide)
+    assert set(buckets(none).values()) == {0, 1, 2, 3}
 
 
 def test_date_partition_column(spark):

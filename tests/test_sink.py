@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -104,25 +105,135 @@ def test_replay_after_interrupted_commit(spark, monkeypatch):
     update = _template_records(spark, 1, first_offset=0).withColumn("offset", F.col("offset") + 100)
     reference = new_sink(spark)
     reference.process_batch(_template_records(spark, 1), 0, "w", BATCH_TIME)
-    reference.process_batch(update, 1, "w", BATCH_TIME)
 
-    real = table_ops.switch_partitions
-    calls = {"n": 0}
+    # Each statement of each switch fails in turn, before and after it took effect.
+    real, step = table_ops.switch_partitions, {"fail": 0, "n": 0}
 
-    def flaky(*args, **kwargs):
-        calls["n"] += 1
-        if calls["n"] == 1:
-            raise RuntimeError("lost the driver mid-commit")
-        return real(*args, **kwargs)
+    def flaky(spark_, table, columns, adds, drops):
+        for part in ((adds, []), ([], drops)):
+            step["n"] += 1
+            if step["n"] == step["fail"]:
+                raise RuntimeError("lost the driver mid-commit")
+            real(spark_, table, columns, *part)
 
     monkeypatch.setattr(table_ops, "switch_partitions", flaky)
-    with pytest.raises(RuntimeError):
-        sink.process_batch(update, 1, "w", BATCH_TIME)
+    for fail in range(1, 2 * len(TABLES) + 1):
+        step.update(fail=fail, n=0)
+        with pytest.raises(RuntimeError):
+            sink.process_batch(update.withColumn("offset", F.col("offset") + fail), fail, "w", BATCH_TIME)
+        step.update(fail=0)
+        sink.process_batch(update.withColumn("offset", F.col("offset") + fail), fail, "w", BATCH_TIME)
+        if fail > 2:
+            continue
+        for t in TABLES:
+            assert sink.read(t).count() == reference.read(t).count()
     monkeypatch.setattr(table_ops, "switch_partitions", real)
-    sink.process_batch(update, 1, "w", BATCH_TIME)
+    reference.process_batch(update.withColumn("offset", F.col("offset") + fail), 2, "w", BATCH_TIME)
     assert _state(sink, TABLES) == _state(reference, TABLES)
 
 
+def test_lost_manifest_rename_leaves_nothing_visible(spark, monkeypatch):
+    sink = new_sink(spark, mode="append")
+    rows = [("t", '{"unique_id":1}', 1), ("t", "{bad", 2)]
+
+    def lost(*args):
+        raise RuntimeError("lost the driver before the manifest")
+
+    with monkeypatch.context() as m:
+        m.setattr(table_ops, "write_manifest", lost)
+        with pytest.raises(RuntimeError):
+            sink.process_batch(records(spark, rows), 0, "w", BATCH_TIME)
+    assert sink.read("t").count() == 0
+    moved = table_ops.move_files
+
+    def half(spark_, staged, folder, column, values, tag):
+        moved(spark_, staged, folder, column, values, tag)
+        raise RuntimeError("lost the driver after the moves")
+
+    with monkeypatch.context() as m:
+        m.setattr(table_ops, "move_files", half)
+        with pytest.raises(RuntimeError):
+            sink.process_batch(records(spark, rows), 0, "w", BATCH_TIME)
+    sink.process_batch(records(spark, rows), 0, "w", BATCH_TIME)
+    assert sink.read("t").count() == 1 and spark.table(sink.quarantine_table()).count() == 1
+
+
+def test_append_tables_have_one_partition_per_day(spark):
+    sink = new_sink(spark, mode="append")
+    for b in range(4):
+        rows = [("t", json.dumps({"unique_id": i}), 10 * b + i, 86_400 * (i % 2)) for i in range(6)]
+        sink.process_batch(records(spark, rows), b, "w", BATCH_TIME)
+    parts = spark.sql(f"SHOW PARTITIONS {sink.table('t')}").collect()
+    assert sorted(r[0] for r in parts) == ["kafka_date=2024-01-01", "kafka_date=2024-01-02"]
+    assert sink.read("t").count() == 24
+
+
+def test_manifest_of_many_partitions_is_written_without_a_job(spark):
+    path = scratch_path(spark, "manifest") + "/_manifest"
+    entries = {"adds": [[["2024-01-01", str(i), "w-1"], f"file:/x/{i}"] for i in range(4000)], "drops": []}
+    assert table_ops.read_manifest(spark, path) is None
+    started = time.monotonic()
+    table_ops.write_manifest(spark, path, entries)
+    assert table_ops.read_manifest(spark, path) == entries
+    assert time.monotonic() - started < 5
+
+
+def test_failure_of_one_table_finishes_the_others(spark, monkeypatch):
+    sink = new_sink(spark)
+    real = sink._ensure_table
+
+    def ensure(suffix, plans, stored):
+        if suffix == "bad":
+            raise OSError("catalog refused")
+        return real(suffix, plans, stored)
+
+    monkeypatch.setattr(sink, "_ensure_table", ensure)
+    with pytest.raises(OSError, match="catalog refused"):
+        sink.process_batch(records(spark, [("bad", '{"unique_id":1}', 1), ("good", '{"unique_id":2}', 2)]), 0, "w", BATCH_TIME)
+    assert sink.read("good").count() == 1
+
+
+def test_fractional_and_wide_keys(spark):
+    sink = new_sink(spark)
+    with pytest.raises(SchemaConflictError, match="cannot be the key"):
+        sink.process_batch(records(spark, [("t", '{"unique_id":1.5}', 1)]), 0, "w", BATCH_TIME)
+    rows = [("t", '{"unique_id":18446744073709551616}', 1), ("t", '{"unique_id":18446744073709551614}', 2)]
+    sink.process_batch(records(spark, rows), 1, "w", BATCH_TIME)
+    assert sorted(str(r["unique_id"]) for r in sink.read("t").collect()) == ["18446744073709551614", "18446744073709551616"]
+
+
+def test_too_many_schema_rows_are_refused(spark):
+    sink = new_sink(spark, max_schema_rows=10)
+    with pytest.raises(SchemaConflictError, match="more than 10"):
+        sink.process_batch(records(spark, [(f"t{i}", '{"unique_id":1}', i) for i in range(11)]), 0, "w", BATCH_TIME)
+
+
+def test_other_number_of_buckets_is_refused(spark):
+    sink = new_sink(spark)
+    sink.process_batch(records(spark, [("t", '{"unique_id":1}', 1)]), 0, "w", BATCH_TIME)
+    sink.config.key_buckets = 8
+    with pytest.raises(SchemaConflictError, match="key buckets"):
+        sink.process_batch(records(spark, [("t", '{"unique_id":2}', 2)]), 1, "w", BATCH_TIME)
+
+
+def test_row_level_statements(spark, monkeypatch):
+    """Not run here (no such catalog): the statements that a row-level catalog would get."""
+    sink = new_sink(spark)
+    sink.config.table_format, sink.config.database = "iceberg", "cat.db"
+    assert sink.table("t") == "`cat`.`db`.`t`"
+    said = []
+    monkeypatch.setattr(table_ops, "create_table", lambda _s, *a: said.append(a))
+    monkeypatch.setattr(type(spark), "table", lambda _s, _t: spark.range(1))
+    sink._ensure_table("t", sink.plan_fields("t", [_field("unique_id", "BIGINT")], None), None)
+    table, columns, partitions, location, using, props = said[0]
+    assert (table, partitions, location, using) == ("`cat`.`db`.`t`", ["days(`kafka_ts`)"], None, "iceberg")
+    assert [c for c, _ in columns][-2:] == ["unique_id", "ingested_to_iceberg"]
+
+
+def _field(name, data_type):
+    return {"field": name, "data_type": data_type, "conflict": False}
+
+
 def test_null_keys_are_inserted_never_matched(spark):
     sink = new_sink(spark)
     sink.process_batch(records(spark, [("t", '{"unique_id":1,"v":1}', 1), ("t", '{"v":2}', 2)]), 0, "w", BATCH_TIME)
