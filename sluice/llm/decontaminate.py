@@ -29,19 +29,22 @@ Defined cases
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.llm.common import ref, stage_table, text_of
 
 WINDOW = 10
-ANCHORS = 3
+ANCHORS = 2
+SLICE = 4 << 20  # bytes of text held as words at a time
 SLOTS = 1 << 22  # bits of the term bitmap: half a megabyte, at most SLOTS integers reach the driver
+_BITS = 63
 
 # Bytes that part words (all ASCII but 0-9, A-Z, a-z), and the lower-casing of A-Z.
 _TABLE = bytes(
@@ -91,6 +94,18 @@ def term_bitmap(spark: SparkSession, words: DataFrame):
     return spark.sparkContext.broadcast(np.packbits(bits))
 
 
+def _slices(texts: pd.Series) -> Iterator[slice]:
+    """Runs of texts of about ``SLICE`` bytes, one text at least."""
+    lo = size = 0
+    for i, text in enumerate(texts):
+        size += len(text)
+        if size >= SLICE:
+            yield slice(lo, i + 1)
+            lo, size = i + 1, 0
+    if lo < len(texts):
+        yield slice(lo, len(texts))
+
+
 def _in_bitmap(packed: np.ndarray, candidates) -> set:
     """Those of the candidates whose slot is set."""
     found = list(candidates)
@@ -138,11 +153,11 @@ def build_index(docs: DataFrame, words: DataFrame) -> DataFrame:
     bitmap = term_bitmap(docs.sparkSession, words)
 
     def post(batches):
-        for batch in batches:
-            cut = [terms(t) for t in batch["text"]]
+        for part in (batch.iloc[s] for batch in batches for s in _slices(batch["text"])):
+            cut = [terms(t) for t in part["text"]]
             wanted = _in_bitmap(bitmap.value, set().union(*cut))
             out: list[tuple] = []
-            for doc_id, tokens in zip(batch["doc_id"], cut):
+            for doc_id, tokens in zip(part["doc_id"], cut):
                 lists: dict[bytes, list[int]] = {}
                 for at, w in enumerate(tokens):
                     if w in wanted:
@@ -169,26 +184,29 @@ def shifted_postings(index: DataFrame, anchors: DataFrame) -> DataFrame:
 
 def phrase_candidates(index: DataFrame, anchors: DataFrame) -> DataFrame:
     """doc_id, item, diagonal, ws: windows all of whose anchors meet on the diagonal."""
-    met = (
-        shifted_postings(index, anchors)
-        .groupBy("doc_id", "item", "diagonal")
-        .agg(F.collect_set("p").alias("met"))
-    )
+    def bit(p: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("long"), (p % _BITS).cast("int"))
+
+    # Anchors met are bits, so the intersection is one hash aggregate of numbers; items longer than
+    # _BITS words share bits, which can only let through a window that the comparison then refuses.
+    met = shifted_postings(index, anchors).groupBy("doc_id", "item", "diagonal").agg(F.bit_or(bit(F.col("p"))).alias("met"))
     windows = (
         anchors.groupBy("item", "w")
-        .agg(F.collect_set("p").alias("ps"))
+        .agg(F.bit_or(bit(F.col("p"))).alias("need"))
         .groupBy("item")
-        .agg(F.collect_list(F.struct("w", "ps")).alias("windows"))
+        .agg(F.collect_list(F.struct("w", "need")).alias("windows"))
         .withColumnRenamed("item", "_item")
     )
-    full = F.transform(
-        F.filter("windows", lambda x: F.size(F.array_except(x.getField("ps"), F.col("met"))) == 0),
-        lambda x: x.getField("w"),
-    )
+
+    def is_met(x: Column) -> Column:
+        return F.col("met").bitwiseAND(x.getField("need")) == x.getField("need")
+
     return (
         met.join(windows, F.col("item") == F.col("_item"))
-        .select("doc_id", "item", "diagonal", full.alias("ws"))
-        .where(F.size("ws") > 0)
+        .where(F.exists("windows", is_met))
+        .select(
+            "doc_id", "item", "diagonal", F.transform(F.filter("windows", is_met), lambda x: x.getField("w")).alias("ws")
+        )
     )
 
 
