@@ -41,11 +41,12 @@ def key_set(batch: DataFrame, key: str, broadcast: bool = False) -> DataFrame:
     Taken from the batch itself, not from its deduplicated form (same keys, and a
     hash aggregate on one column instead of a sort aggregate on whole rows); the
     distinct combines map-side, so a hot key costs one row per task. ``broadcast``
-    is for callers that have measured the set and found it under their limit.
+    is for callers that have measured the keys, repeats included, and found them
+    under their limit; a hash relation needs no distinct, and so no shuffle.
     """
     k = F.col(quote(key))
-    keys = batch.where(k.isNotNull()).select(k).distinct()
-    return F.broadcast(keys) if broadcast else keys
+    keys = batch.where(k.isNotNull()).select(k)
+    return F.broadcast(keys) if broadcast else keys.distinct()
 
 
 def upsert_rows(
