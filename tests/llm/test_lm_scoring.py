@@ -19,14 +19,9 @@ def small(seed=0, leading=2, classes=4, hidden=4):
 
 
 def some_texts(model, rng, n, longest=40):
-    out = []
-    for _ in range(n):
-        size = rng.randint(1, longest)
-        cls = np.array([rng.randrange(model.shape.classes) for _ in range(size)], np.int16)
-        member = np.array([rng.randrange(gru.MEMBERS) if c < model.shape.leading else -1 for c in cls], np.int16)
-        ids = np.array([c * gru.MEMBERS + m if m >= 0 else model.shape.leading * gru.MEMBERS + c - model.shape.leading for c, m in zip(cls, member)])
-        out.append((ids.astype(np.int32), cls, member))
-    return out
+    return [
+        np.array([rng.randrange(model.shape.inputs - 1) for _ in range(rng.randint(1, longest))], np.int16) for _ in range(n)
+    ]
 
 
 def slow_log(model, text):
@@ -34,7 +29,7 @@ def slow_log(model, text):
     w, k = model.w, model.shape.hidden
     h, x, total = np.zeros(k), model.shape.inputs - 1, 0.0
     sig = lambda v: 1 / (1 + np.exp(-v))
-    for i, c, m in zip(*text):
+    for i, c, m in zip(text, *model.shape.split(text)):
         a, g = w["embed"][x].astype(float), h @ w["recur"].astype(float)
         z, r = sig(a[:k] + g[:k]), sig(a[k : 2 * k] + g[k : 2 * k])
         h = (1 - z) * np.tanh(a[2 * k :] + r * g[2 * k :]) + z * h
