@@ -360,6 +360,28 @@ def test_stream_restart_equals_uninterrupted_run(spark):
     assert _state(restarted, TABLES) == _state(whole, TABLES)
 
 
+def test_default_trigger_runs_and_timeout_stops_without_a_part(spark):
+    base = scratch_path(spark, "trigger-test")
+    envelope.write_json(_template_records(spark, 1), f"{base}/in")
+    sink = new_sink(spark)
+    query = streaming.start(sink, envelope.read_json_stream(spark, f"{base}/in"), f"{base}/ck")
+    try:
+        with pytest.raises(TimeoutError):  # a query on the 1-minute trigger never ends by itself
+            streaming.finish(query, timeout_s=25)
+        assert not query.isActive and query.recentProgress
+        assert streaming.DEFAULT_TRIGGER == {"processingTime": "1 minute"}
+        assert sum(sink.read(t).count() for t in TABLES) == len(TEMPLATES)
+    finally:
+        query.stop()
+
+
+def test_failed_stream_raises(spark):
+    base = scratch_path(spark, "failing-stream")
+    envelope.write_json(records(spark, [("t", "{bad", 1)]), f"{base}/in")
+    with pytest.raises(Exception, match="bad records"):
+        streaming.run_available(new_sink(spark, on_bad="failfast"), envelope.read_json_stream(spark, f"{base}/in"), f"{base}/ck")
+
+
 def test_suffixes_sharing_a_table_are_refused(spark):
     sink = new_sink(spark)
     rows = [("Orders", '{"unique_id":1}', 1), ("orders", '{"unique_id":2}', 2), ("_quarantine", '{"unique_id":3}', 3), ("ok", '{"unique_id":4}', 4)]
