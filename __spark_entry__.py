@@ -49,6 +49,8 @@ def _sink(spark: SparkSession, label: str, **config) -> MultiTableSink:
     root = scratch_path(spark, label)
     # ``events`` is one file: spread its records over the cluster's cores before parsing.
     config.setdefault("min_partitions", spark.sparkContext.defaultParallelism)
+    # A day of ``events`` is far below one file, so a day is one bucket unless a query says otherwise.
+    config.setdefault("key_buckets", 1)
     return MultiTableSink(spark, SinkConfig(database=database, root=f"{root}/warehouse", **config))
 
 
@@ -332,7 +334,7 @@ def q_merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_merge_upsert_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As ``merge_upsert``, the events in four segments of the time range, one batch each, then the updates."""
     ev = _events(spark, sf_dir)
-    sink = _sink(spark, "segments")
+    sink = _sink(spark, "segments", key_buckets=2)
     ts = F.unix_micros(F.col("ts").cast("timestamp"))
     bounds = ev.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
     step = (bounds["hi"] - bounds["lo"]) // 4 + 1
@@ -347,7 +349,7 @@ def q_merge_wide_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys beyond 64 bits stay apart, over an insert and an update batch."""
     ev = _events(spark, sf_dir)
     key = F.col("event_id").cast("decimal(38,0)") + F.lit("18446744073709551616").cast("decimal(38,0)")
-    sink = _sink(spark, "wide")
+    sink = _sink(spark, "wide", key_buckets=3)
     for b, (rows, update) in enumerate(((ev, False), (ev.where(feed.is_update()), True))):
         text = feed.payload_json(feed.payload_fields(update) | {"unique_id": key.cast("decimal(38,0)")})
         shift = feed.UPDATE_OFFSET_SHIFT if update else 0
@@ -721,7 +723,7 @@ FROM n, (VALUES {_TAIL_ROWS.format(1, 2, 3)}) AS v(col_name, data_type, i)""",
 FROM events GROUP BY ALL
 UNION ALL SELECT 'mixed', CAST(CAST(ts AS DATE) AS VARCHAR), count(*) FROM events GROUP BY ALL""",
     "table_properties": """SELECT event_type AS table_suffix, key, value FROM (SELECT DISTINCT event_type FROM events),
-(VALUES ('sluice.key', 'unique_id'), ('sluice.mode', 'merge'), ('sluice.buckets', '4'),
+(VALUES ('sluice.key', 'unique_id'), ('sluice.mode', 'merge'), ('sluice.buckets', '1'),
   ('sluice.partition', 'kafka_date,key_bucket,ingest_batch')) AS p(key, value)""",
     "append_evolve": f"SELECT event_id AS kafka_offset, event_id AS unique_id, user_id, {_PAYLOAD} FROM events",
     "batch_dedupe": f"""SELECT table_suffix, unique_id, kafka_offset, amount, k, detail, is_paid FROM ({_UPSERT})""",

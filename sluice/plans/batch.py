@@ -95,8 +95,9 @@ class SinkConfig:
     # size is at most this many bytes. None: the session's autoBroadcastJoinThreshold.
     broadcast_keys_max_bytes: int | None = None
     # Key buckets per day of a merge table: the unit that an upsert rewrites. Fixed
-    # when a table is created; a bucket of a day should fit a few files.
-    key_buckets: int = 4
+    # when a table is created. Choose it so that a bucket of a day is a few files:
+    # fewer cost larger rewrites, more cost small files.
+    key_buckets: int = 16
     # More (table, field, spelling) rows than this in one batch are an error: the
     # schemas of a batch are planned on the driver.
     max_schema_rows: int = 100_000

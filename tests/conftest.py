@@ -50,6 +50,7 @@ def records(spark, rows):
 
 def new_sink(spark, **config) -> MultiTableSink:
     label = uuid.uuid4().hex[:10]
+    config.setdefault("key_buckets", 4)
     return MultiTableSink(
         spark, SinkConfig(database=f"t_{label}", root=scratch_path(spark, f"test-{label}"), **config)
     )
