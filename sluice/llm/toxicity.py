@@ -52,6 +52,7 @@ DISCOUNTS = (0.75, 2.0, 4.0, 8.0, 16.0)  # tried on texts kept out of the counts
 PRIOR = 5.0  # a first word of fewer contexts is filled up with the lower order
 WINDOWS = (1, 8, 64)  # words of the windows whose best mean difference counts
 THRESHOLD = 0.5
+SLICE = 8 << 20  # bytes of text scored at a time
 
 
 def tokens(text: bytes | None) -> list[bytes]:
@@ -72,6 +73,11 @@ class Lexicon:
             self.stems.append(_numbered(found, at, MAX_STEMS))
             at += len(self.stems[-1])
         self.size = at
+        # Levels from the last stems up to the words: their ids, and the ids of their parents a level below.
+        self.levels = []
+        for level, known in [(k + 1, self.stems[k]) for k in reversed(range(len(STEMS) - 1))] + [(0, self.words)]:
+            own = np.fromiter(known.values(), np.int64, len(known))
+            self.levels.append((own, np.fromiter((self.stem(x, level) for x in known), np.int64, len(known))))
 
     def id(self, word: bytes) -> int:
         """The word if known, else its longest known stem."""
@@ -108,43 +114,85 @@ class ClassModels:
     def ids(self, text: bytes | None) -> np.ndarray:
         return self.lexicon.ids(tokens(text))
 
-    def differences(self, ids: np.ndarray) -> np.ndarray:
-        """Per word the difference of its conditional log-likelihoods."""
+    def differences(self, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Per word the difference of its conditional log-likelihoods; ``first`` marks words without one before them."""
         diff = self.word_ratio[ids].copy()
-        if len(ids) > 1:
-            diff[1:] += self.backoff_ratio[ids[:-1]]
-            if len(self.pairs):
-                keys = ids[:-1] * len(self.word_ratio) + ids[1:]
-                at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
-                known = self.pairs[at] == keys
-                diff[1:][known] = self.pair_ratio[at[known]]
+        later = np.flatnonzero(~first)
+        before = ids[later - 1]
+        diff[later] += self.backoff_ratio[before]
+        if len(self.pairs) and len(later):
+            keys = before * len(self.word_ratio) + ids[later]
+            at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
+            known = self.pairs[at] == keys
+            diff[later[known]] = self.pair_ratio[at[known]]
         return diff
 
-    def features(self, ids: np.ndarray) -> np.ndarray:
-        """Mean difference of the text, and the largest mean of its windows of each size."""
-        if not len(ids):
-            return np.zeros(1 + len(WINDOWS))
-        sums = np.concatenate(([0.0], np.cumsum(self.differences(ids))))
-        n = len(ids)
-        out = [sums[-1] / n]
-        for w in WINDOWS:
-            w = min(w, n)
-            out.append((sums[w:] - sums[:-w]).max() / w)
-        return np.array(out)
+    def features(self, texts: list[np.ndarray]) -> np.ndarray:
+        """Per text its mean difference, and the largest mean of its windows of each size; zeros for no words."""
+        out = np.zeros((len(texts), 1 + len(WINDOWS)))
+        sizes = np.array([len(t) for t in texts], dtype=np.int64)
+        full = np.flatnonzero(sizes)
+        if not len(full):
+            return out
+        n = sizes[full]
+        ends = np.cumsum(n)
+        starts = ends - n
+        ids = np.concatenate([texts[i] for i in full])
+        first = np.zeros(len(ids), bool)
+        first[starts] = True
+        sums = np.concatenate(([0.0], np.cumsum(self.differences(ids, first))))
+        mean = (sums[ends] - sums[starts]) / n
+        out[full, 0] = mean
+        for k, w in enumerate(WINDOWS, start=1):
+            best = np.full(len(ids), -np.inf)
+            if len(ids) >= w:
+                best[: len(ids) - w + 1] = (sums[w:] - sums[:-w]) / w
+            best[np.arange(len(ids)) + w > np.repeat(ends, n)] = -np.inf  # windows that leave their text
+            out[full, k] = np.where(n >= w, np.maximum.reduceat(best, starts), mean)
+        return out
 
     def score(self, ids: np.ndarray) -> float:
-        z = self.features(ids) @ self.weights[:-1] + self.weights[-1]
-        return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+        """Score of one text's ids."""
+        return float(self._probability(self.features([ids]))[0])
+
+    def scores(self, texts: list[bytes]) -> np.ndarray:
+        """Scores of many texts, their windows taken together."""
+        out = np.zeros(len(texts))
+        for part in _slices(texts):
+            out[part] = self._probability(self.features([self.ids(t) for t in texts[part]]))
+        return out
+
+    def _probability(self, x: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(x @ self.weights[:-1] + self.weights[-1], -30, 30)))
+
+
+def _slices(texts: list[bytes]) -> Iterator[slice]:
+    """Runs of texts of about ``SLICE`` bytes, one text at least."""
+    lo = size = 0
+    for i, text in enumerate(texts):
+        size += len(text or b"")
+        if size >= SLICE or i == len(texts) - 1:
+            yield slice(lo, i + 1)
+            lo, size = i + 1, 0
+
+
+def _distinct(keys: list[np.ndarray]) -> np.ndarray:
+    """Sorted distinct keys."""
+    if not keys:
+        return np.zeros(0, np.int64)
+    found = np.concatenate(keys)
+    found.sort()
+    return found[np.concatenate(([True], found[1:] != found[:-1]))] if len(found) else found
 
 
 def _contexts(texts: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Different ids before each id; sorted pair keys and the different ids before each pair."""
     pairs = [ids[:-1] * size + ids[1:] for ids in texts if len(ids) > 1]
-    keys = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
+    keys = _distinct(pairs)
     before = np.bincount(keys % size, minlength=size)
     # Pairs are numbered, so that a pair and the id before it fit one key.
     longer = [np.searchsorted(keys, p[1:]) * size + ids[:-2] for p, ids in zip(pairs, (t for t in texts if len(t) > 1))]
-    triples = np.unique(np.concatenate(longer)) if longer else np.zeros(0, np.int64)
+    triples = _distinct(longer)
     return before, keys, np.bincount(triples // size, minlength=len(keys))
 
 
@@ -163,22 +211,19 @@ def _types(texts: list[list[bytes]], lexicon: Lexicon) -> np.ndarray:
 
 def _lower_orders(counts: list[np.ndarray], lexicon: Lexicon, discount: float) -> list[np.ndarray]:
     """Per class P(id): from the shared counts up the stems to the words."""
-    levels = [{}] + [lexicon.stems[i] for i in reversed(range(len(STEMS)))] + [lexicon.words]
     pooled = counts[0] + counts[1] + 1.0
     made = [np.zeros(lexicon.size) for _ in counts]
-    last = np.concatenate(([0], np.fromiter(levels[1].values(), np.int64, len(levels[1]))))
+    ground = lexicon.stems[-1]
+    last = np.concatenate(([0], np.fromiter(ground.values(), np.int64, len(ground))))
     for c, n in enumerate(counts):
         total = max(1.0, float(n[last].sum()))
         held = np.minimum(n[last], discount)
         shared = pooled[last] / pooled[last].sum()
         rest = held.sum() if n[last].sum() else 1.0
         made[c][last] = (n[last] - held + rest * shared) / total
-    for depth, ids in enumerate(levels[2:], start=2):
-        if not ids:
+    for own, parent in lexicon.levels:
+        if not len(own):
             continue
-        own = np.fromiter(ids.values(), np.int64, len(ids))
-        level = len(STEMS) - depth + 1  # the stem level below; the words lie above all stems
-        parent = np.fromiter((lexicon.stem(x, level) for x in ids), np.int64, len(ids))
         part = pooled[own] / np.bincount(parent, weights=pooled[own], minlength=lexicon.size)[parent]
         for c, n in enumerate(counts):
             total = max(1.0, float(n[own].sum()))
@@ -188,18 +233,24 @@ def _lower_orders(counts: list[np.ndarray], lexicon: Lexicon, discount: float) -
     return made
 
 
-def train(lexicon: Lexicon, toxic: list[list[bytes]], ordinary: list[list[bytes]], discount: float) -> ClassModels:
-    """Interpolated Kneser-Ney models of both classes."""
+def count(lexicon: Lexicon, texts: list[list[bytes]], ids: list[np.ndarray], labels: np.ndarray) -> tuple[list, list]:
+    """Per class (toxic, ordinary) the contexts of each id, and the pairs with theirs: all that the models are made of."""
     size, counts, parts = lexicon.size, [], []
-    for texts in (toxic, ordinary):
-        before, keys, n = _contexts([lexicon.ids(t) for t in texts], size)
-        types = _types(texts, lexicon)
+    for mine in (np.flatnonzero(labels), np.flatnonzero(labels == 0)):
+        before, keys, n = _contexts([ids[i] for i in mine], size)
+        types = _types([texts[i] for i in mine], lexicon)
         stems = np.arange(size) > len(lexicon.words)
         stems[0] = True
         counts.append(np.where(stems, types, before).astype(float))
         parts.append((keys, n.astype(float)))
+    return counts, parts
+
+
+def train(lexicon: Lexicon, counted: tuple[list, list], discount: float) -> ClassModels:
+    """Interpolated Kneser-Ney models of both classes."""
+    size, (counts, parts) = lexicon.size, counted
     lower = _lower_orders(counts, lexicon, discount)
-    keys = np.unique(np.concatenate([p[0] for p in parts]))
+    keys = _distinct([p[0] for p in parts])
     pair_counts = np.zeros((2, len(keys)))
     for c, (own, n) in enumerate(parts):
         pair_counts[c, np.searchsorted(keys, own)] = n
@@ -256,27 +307,25 @@ def fit(texts: list[bytes], labels: np.ndarray) -> ClassModels | None:
     ids = [lexicon.ids(t) for t in cut]
     half = np.arange(len(cut)) % 2
 
-    def of(keep: np.ndarray, discount: float) -> ClassModels:
-        return train(
-            lexicon,
-            [t for t, y, k in zip(cut, labels, keep) if k and y],
-            [t for t, y, k in zip(cut, labels, keep) if k and not y],
-            discount,
-        )
+    def of(keep: np.ndarray) -> tuple[list, list]:
+        mine = np.flatnonzero(keep)
+        return count(lexicon, [cut[i] for i in mine], [ids[i] for i in mine], labels[mine])
 
+    sides = [of(half == side) for side in (0, 1)]
     best = None
     for discount in DISCOUNTS:
         x = np.zeros((len(ids), 1 + len(WINDOWS)))
         for side in (0, 1):
-            own = of(half == side, discount)
-            for i in np.flatnonzero(half != side):
-                x[i] = own.features(ids[i])
+            own = train(lexicon, sides[side], discount)
+            others = np.flatnonzero(half != side)
+            x[others] = own.features([ids[i] for i in others])
         w = logistic(x, labels)
         loss = log_loss(x, labels, w)
         if best is None or loss < best[0]:
             best = (loss, discount, w)
-    made = of(half >= 0, best[1])
+    made = train(lexicon, of(half >= 0), best[1])
     made.weights = best[2]
+    lexicon.levels = []  # only training needs them
     return made
 
 
@@ -309,7 +358,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, label: str = "toxic", fo
             if models is None:
                 yield pd.Series(np.zeros(len(texts)))
             else:
-                yield pd.Series([models.score(models.ids(t)) for t in texts], dtype="float64")
+                yield pd.Series(models.scores(list(texts)), dtype="float64")
 
     return docs.select(
         F.struct(*[ref(c) for c in docs.columns]).alias("doc"), scorer(text_of().cast("binary")).alias("score")
