@@ -48,7 +48,7 @@ MIN_DOCS = 3
 CELLS = 4
 LOAD = 0.75
 MAX_KICKS = 500
-KEYS_PER_SHARD = 50_000
+KEYS_PER_SHARD = 5_000
 DIGEST_BYTES = 16
 _BLANK_BYTES = BLANKS.encode()
 
@@ -316,7 +316,7 @@ def _hold(texts: pd.Series, drops: pd.Series) -> pd.DataFrame:
         stay = [x for x in lines if sha256(x.strip(_BLANK_BYTES).lower()).digest()[:DIGEST_BYTES] not in out]
         kept.append(b"\n".join(stay).decode("utf-8"))
         gone.append(len(lines) - len(stay))
-    return pd.DataFrame({"text": kept, "n_dropped": gone})
+    return pd.DataFrame({"text": pd.Series(kept, dtype=object), "n_dropped": gone})
 
 
 def drop_repeated(docs: DataFrame, state: LineState, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
