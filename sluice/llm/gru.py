@@ -26,11 +26,20 @@ CLIP = 5.0
 
 @dataclass(frozen=True)
 class Shape:
+    """Token ids are numbered by class: MEMBERS of each leading class, then one id per trailing class."""
+
     inputs: int  # input ids; the last one is the start of a text
     leading: int  # classes of MEMBERS tokens with output weights of their own
     classes: int  # all classes, the leading ones first
     hidden: int = HIDDEN
 
+    def split(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Class of each token, and its place in a leading class, else -1."""
+        ids = ids.astype(np.int32)
+        lead = self.leading * MEMBERS
+        first = ids < lead
+        return np.where(first, ids // MEMBERS, ids - lead + self.leading), np.where(first, ids % MEMBERS, -1)
+
     def parts(self) -> list[tuple[str, tuple[int, ...]]]:
         h = self.hidden
         return [
@@ -76,29 +85,27 @@ class Lanes:
     """Texts packed side by side: row t holds the t-th token of every lane, longest lanes first."""
 
     x: np.ndarray  # input id
-    y: np.ndarray  # class of the token to predict
-    m: np.ndarray  # its place in a leading class, else -1
+    y: np.ndarray  # id of the token to predict
     fresh: np.ndarray  # a text begins here
     text: np.ndarray  # which text the token is of
     length: np.ndarray  # tokens of each lane
 
 
-def pack(texts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], start: int, lanes: int = LANES) -> Lanes:
-    """Deal (input id, class, member) sequences to lanes of about equal length, the longest texts first."""
-    order = sorted(range(len(texts)), key=lambda i: -len(texts[i][0]))
+def pack(texts: list[np.ndarray], start: int, lanes: int = LANES) -> Lanes:
+    """Deal id sequences to lanes of about equal length, the longest texts first."""
+    order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
     n = max(1, min(lanes, len(texts)))
     heap, dealt = [(0, k) for k in range(n)], [[] for _ in range(n)]
     for i in order:
         used, k = heapq.heappop(heap)
         dealt[k].append(i)
-        heapq.heappush(heap, (used + len(texts[i][0]), k))
-    sizes = np.array([sum(len(texts[i][0]) for i in d) for d in dealt])
+        heapq.heappush(heap, (used + len(texts[i]), k))
+    sizes = np.array([sum(len(texts[i]) for i in d) for d in dealt])
     by = np.argsort(-sizes, kind="stable")
     total = int(sizes.max()) if len(sizes) else 0
     made = Lanes(
-        np.zeros((total, n), np.int32),
         np.zeros((total, n), np.int16),
-        np.full((total, n), -1, np.int16),
+        np.zeros((total, n), np.int16),
         np.zeros((total, n), bool),
         np.zeros((total, n), np.int32),
         sizes[by],
@@ -106,12 +113,10 @@ def pack(texts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], start: int, lan
     for lane, k in enumerate(by):
         at = 0
         for i in dealt[k]:
-            ids, cls, member = texts[i]
-            end = at + len(ids)
+            end = at + len(texts[i])
             made.x[at, lane] = start
-            made.x[at + 1 : end, lane] = ids[:-1]
-            made.y[at:end, lane] = cls
-            made.m[at:end, lane] = member
+            made.x[at + 1 : end, lane] = texts[i][:-1]
+            made.y[at:end, lane] = texts[i]
             made.fresh[at, lane] = True
             made.text[at:end, lane] = i
             at = end
@@ -210,7 +215,7 @@ class Model:
             h = last
             alive = _Alive(lanes, lo, hi, active)
             hs = alive(np.stack([s[5] for s in steps]))
-            log_p = self._outputs(hs, alive(lanes.y[lo:hi, :active]), alive(lanes.m[lo:hi, :active]))[0]
+            log_p = self._outputs(hs, *self.shape.split(alive(lanes.y[lo:hi, :active])))[0]
             out += np.bincount(alive(lanes.text[lo:hi, :active]), weights=log_p, minlength=n_texts)
         return out
 
@@ -222,16 +227,16 @@ class Model:
             x, fresh = lanes.x[lo:hi, :active], lanes.fresh[lo:hi, :active]
             steps, h = self._run(x, fresh, h[:active])
             alive = _Alive(lanes, lo, hi, active)
-            grads, lost, n = self._gradients(steps, x, lanes.y[lo:hi, :active], lanes.m[lo:hi, :active], alive)
+            grads, lost, n = self._gradients(steps, x, lanes.y[lo:hi, :active], alive)
             self._step(grads, squares, rate)
             loss += lost
             count += n
         return loss / max(1.0, count)
 
-    def _gradients(self, steps, x, y, m, alive):
+    def _gradients(self, steps, x, y, alive):
         k, w = self.shape.hidden, self.w
         all_states = np.stack([s[5] for s in steps])
-        hs, ya, ma = alive(all_states), alive(y), alive(m)
+        hs, (ya, ma) = alive(all_states), self.shape.split(alive(y))
         n = len(ya)
         log_p, e, total, members = self._outputs(hs, ya, ma)
         scale = np.float32(1.0 / LANES)

@@ -10,7 +10,8 @@
    In a round each task trains a copy of the model on its texts (see ``gru``);
    the copies are averaged, weighted by their tokens, by a tree of groups.
 4. Scoring runs each whole text through the model, its state carried to the
-   end. Words beyond the broadcast head of the vocabulary (at most ``HEAD``
+   end. Both read the texts as token ids, which one pass writes to a stage
+   table. Words beyond the broadcast head of the vocabulary (at most ``HEAD``
    words) get their counts by a join on the word; they are rare by definition,
    so no key of that join is hot.
 
@@ -52,6 +53,7 @@ ROUNDS = ((0, 1), (1, 2), (2, 4), (4, 8), (8, 16))  # sixteenths of the training
 TOKENS_PER_COPY = 1_000_000
 FAN = 16  # copies averaged in one group
 END = b""
+HELD_TOKENS = 4_000_000  # tokens a task packs into lanes at a time
 
 _HEAD_BUCKETS = 16  # steps of the count scale per doubling, for the cut of the head
 
@@ -108,18 +110,17 @@ class Vocabulary:
         """Head rows (-1 beyond it) and classes of the words and the end token."""
         get, trailing = self.words.get, self.trailing
         rows = np.array([get(w, -1) for w in words] + [get(END, -1)], dtype=np.int64)
-        classes = self.classes[rows] if len(self.classes) else np.zeros(len(rows), np.int16)
+        classes = self.classes[rows].astype(np.int32) if len(self.classes) else np.zeros(len(rows), np.int32)
         for i in np.flatnonzero(rows < 0).tolist():
             classes[i] = trailing(words[i]) if i < len(words) else LEADING + TRAILING - 1
         return rows, classes
 
-    def encoded(self, rows: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Input ids, classes and members for the network."""
-        ids = LEADING * gru.MEMBERS + classes.astype(np.int32) - LEADING
-        members = np.full(len(rows), -1, np.int16)
+    def encoded(self, rows: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        """Token ids for the network."""
+        ids = LEADING * gru.MEMBERS + classes - LEADING
         known = rows >= 0
-        ids[known], members[known] = self.ids[rows[known]], self.members[rows[known]]
-        return ids, classes, members
+        ids[known] = self.ids[rows[known]]
+        return ids.astype(np.int16)
 
     def first_weights(self) -> np.ndarray:
         member = np.full((LEADING, gru.MEMBERS), 0.1)
@@ -194,19 +195,35 @@ def build_vocabulary(counts: DataFrame, head: int = HEAD) -> Vocabulary:
     )
 
 
-def _train_copies(part: DataFrame, known, weights: np.ndarray, squares: np.ndarray) -> DataFrame:
+def _packs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Batches put together until they hold about ``HELD_TOKENS`` tokens: full lanes, bounded memory."""
+    held, size = [], 0
+    for batch in batches:
+        if len(batch):
+            held.append(batch)
+            size += int(batch["ids"].map(len).sum()) // 2
+        if size >= HELD_TOKENS:
+            yield pd.concat(held, ignore_index=True)
+            held, size = [], 0
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def _lanes(pack: pd.DataFrame, shape: gru.Shape) -> gru.Lanes:
+    return gru.pack([np.frombuffer(ids, np.int16) for ids in pack["ids"]], shape.inputs - 1)
+
+
+def _train_copies(part: DataFrame, shape: gru.Shape, weights: np.ndarray, squares: np.ndarray) -> DataFrame:
     """copy, tokens, weights, squares: one trained copy per task."""
     state = part.sparkSession.sparkContext.broadcast((weights, squares))
 
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocabulary: Vocabulary = pickle.loads(known.value)
         flat, sums = state.value[0].copy(), state.value[1].copy()
-        model, seen = gru.Model(vocabulary.shape, flat), 0
-        for batch in batches:
-            texts = [vocabulary.encoded(*vocabulary.sequence(tokens(t))) for t in batch["text"]]
-            if texts:
-                seen += sum(len(t[0]) for t in texts)
-                model.train(gru.pack(texts, vocabulary.start), sums)
+        model, seen = gru.Model(shape, flat), 0
+        for pack in _packs(batches):
+            lanes = _lanes(pack, shape)
+            seen += int(lanes.length.sum())
+            model.train(lanes, sums)
         if seen:
             yield pd.DataFrame(
                 {
@@ -217,7 +234,7 @@ def _train_copies(part: DataFrame, known, weights: np.ndarray, squares: np.ndarr
                 }
             )
 
-    return part.select(text_of().cast("binary").alias("text")).mapInPandas(learn, _COPY)
+    return part.select("ids").mapInPandas(learn, _COPY)
 
 
 _COPY = "copy long, tokens double, weights binary, squares binary"
@@ -240,15 +257,14 @@ def _mean(rows: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def train(docs: DataFrame, vocabulary: Vocabulary, known, rounds=ROUNDS) -> np.ndarray:
-    """Weights after all rounds over the training texts."""
+def train(encoded: DataFrame, vocabulary: Vocabulary, rounds=ROUNDS) -> np.ndarray:
+    """Weights after all rounds over the training texts of ``encoded`` (part, ids)."""
     weights = vocabulary.first_weights()
     squares = np.zeros_like(weights)
-    part = F.pmod(F.xxhash64(ref("doc_id")), F.lit(16))
     for lo, hi in rounds:
         copies = max(1, round(vocabulary.total * (hi - lo) / 16 / TOKENS_PER_COPY))
-        texts = docs.where((part >= lo) & (part < hi)).coalesce(copies)
-        trained = stage_table(_train_copies(texts, known, weights, squares), "lm-copies")
+        texts = encoded.where((F.col("part") >= lo) & (F.col("part") < hi)).coalesce(copies)
+        trained = stage_table(_train_copies(texts, vocabulary.shape, weights, squares), "lm-copies")
         while (trained.agg(F.max("copy")).first()[0] or 0) > 0:
             trained = stage_table(
                 trained.groupBy(F.floor(F.col("copy") / FAN)).applyInPandas(_mean, _COPY), "lm-copies"
@@ -259,24 +275,25 @@ def train(docs: DataFrame, vocabulary: Vocabulary, known, rounds=ROUNDS) -> np.n
     return weights
 
 
-_SCORED = (
-    "row long, doc_id long, n_tokens long, n_known long, base double, score double, "
-    "rest array<binary>, rest_class array<short>"
+_ENCODED = (
+    "row long, doc_id long, part int, n_tokens long, n_known long, base double, fixed double, "
+    "ids binary, rest array<binary>, rest_class array<short>"
 )
 
 
-def _score_texts(docs: DataFrame, known, weights: np.ndarray) -> DataFrame:
-    """Scores of the tokens that the head settles, and the words beyond it."""
-    state = docs.sparkSession.sparkContext.broadcast(weights)
+def _encode(docs: DataFrame, known, folds: int) -> DataFrame:
+    """Every text as token ids, with the sums that the head of the vocabulary settles and the words beyond it.
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    ``part`` deals the training texts to sixteen parts; held-out texts are in part -1.
+    """
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary: Vocabulary = pickle.loads(known.value)
-        model = gru.Model(vocabulary.shape, state.value)
         base = vocabulary.base(vocabulary.counts)
         for batch in batches:
-            texts, n_known, base_sum, fixed, rest, rest_class, sizes = [], [], [], [], [], [], [0]
-            for text in batch.column("text").to_pylist():
-                words = tokens(text)
+            ids, n_known, base_sum, fixed, rest, rest_class, sizes = [], [], [], [], [], [], [0]
+            for text in batch.column("text"):
+                words = tokens(text.as_py())
                 rows, classes = vocabulary.sequence(words)
                 head = rows[rows >= 0]
                 n_known.append(len(head))
@@ -286,30 +303,51 @@ def _score_texts(docs: DataFrame, known, weights: np.ndarray) -> DataFrame:
                 rest.extend(words[i] if i < len(words) else END for i in beyond.tolist())
                 rest_class.append(classes[beyond])
                 sizes.append(len(beyond))
-                texts.append(vocabulary.encoded(rows, classes))
-            if not texts:
+                ids.append(vocabulary.encoded(rows, classes).tobytes())
+            if not ids:
                 continue
-            logs = model.log_likelihoods(gru.pack(texts, vocabulary.start), len(texts))
             edges = pa.array(np.cumsum(sizes).astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("row"),
-                    batch.column("doc_id"),
-                    pa.array([len(t[0]) for t in texts], pa.int64()),
-                    pa.array(n_known, pa.int64()),
-                    pa.array(base_sum, pa.float64()),
-                    pa.array(np.array(fixed) + logs / np.log(10), pa.float64()),
-                    pa.ListArray.from_arrays(edges, pa.array(rest, pa.binary())),
-                    pa.ListArray.from_arrays(edges, pa.array(np.concatenate(rest_class).astype(np.int16))),
-                ],
-                names=["row", "doc_id", "n_tokens", "n_known", "base", "score", "rest", "rest_class"],
-            )
+            columns = {
+                "row": batch.column("row"),
+                "doc_id": batch.column("doc_id"),
+                "part": batch.column("part"),
+                "n_tokens": pa.array([len(x) // 2 for x in ids], pa.int64()),
+                "n_known": pa.array(n_known, pa.int64()),
+                "base": pa.array(base_sum, pa.float64()),
+                "fixed": pa.array(fixed, pa.float64()),
+                "ids": pa.array(ids, pa.binary()),
+                "rest": pa.ListArray.from_arrays(edges, pa.array(rest, pa.binary())),
+                "rest_class": pa.ListArray.from_arrays(edges, pa.array(np.concatenate(rest_class).astype(np.int16))),
+            }
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
-    return docs.select(
+    held_out = fold(ref("doc_id"), folds) == 0
+    part = F.pmod(F.xxhash64(ref("doc_id")), F.lit(16)).cast("int")
+    rows = docs.select(
         F.monotonically_increasing_id().alias("row"),
         ref("doc_id").cast("long").alias("doc_id"),
+        F.when(held_out, F.lit(-1)).otherwise(part).alias("part"),
         text_of().cast("binary").alias("text"),
-    ).mapInArrow(score, _SCORED)
+    )
+    return rows.mapInArrow(encode, _ENCODED)
+
+
+_SCORED = "row long, doc_id long, n_tokens long, n_known long, base double, score double"
+
+
+def _score_texts(encoded: DataFrame, shape: gru.Shape, weights: np.ndarray) -> DataFrame:
+    """The encoded rows with the network's log10 probability added to what the head has settled."""
+    state = encoded.sparkSession.sparkContext.broadcast(weights)
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = gru.Model(shape, state.value)
+        for pack in _packs(batches):
+            logs = model.log_likelihoods(_lanes(pack, shape), len(pack))
+            pack["score"] = pack["fixed"] + logs / np.log(10)
+            yield pack[["row", "doc_id", "n_tokens", "n_known", "base", "score"]].astype({"doc_id": "Int64"})
+
+    columns = ["row", "doc_id", "n_tokens", "n_known", "base", "fixed", "ids"]
+    return encoded.select(*columns).mapInPandas(score, _SCORED)
 
 
 def _per_class(values: np.ndarray) -> Column:
@@ -323,9 +361,10 @@ def score_documents(docs: DataFrame, folds: int = FOLDS, head: int = HEAD, round
     counts = count_words(learnt)
     vocabulary = build_vocabulary(counts, head)
     known = docs.sparkSession.sparkContext.broadcast(pickle.dumps(vocabulary))
-    weights = train(learnt, vocabulary, known, rounds)
-    scored = stage_table(_score_texts(docs, known, weights), "lm-scored")
-    rare = scored.select("row", F.explode(F.arrays_zip("rest", "rest_class")).alias("x")).select(
+    encoded = stage_table(_encode(docs, known, folds), "lm-encoded")
+    weights = train(encoded, vocabulary, rounds)
+    scored = stage_table(_score_texts(encoded, vocabulary.shape, weights), "lm-scored")
+    rare = encoded.select("row", F.explode(F.arrays_zip("rest", "rest_class")).alias("x")).select(
         "row", F.col("x.rest").alias("word"), F.col("x.rest_class").alias("class")
     )
     counted = rare.join(counts.withColumnRenamed("word", "_word"), F.col("word") == F.col("_word"), "left")
@@ -342,8 +381,7 @@ def score_documents(docs: DataFrame, folds: int = FOLDS, head: int = HEAD, round
         return (F.col(name) + F.coalesce(F.col(more), F.lit(0))).alias(name)
 
     return (
-        scored.drop("rest", "rest_class")
-        .join(sums, "row", "left")
+        scored.join(sums, "row", "left")
         .select("doc_id", "n_tokens", plus("n_known", "_known"), plus("base", "_base"), plus("score", "_score"))
         .select(
             "doc_id",
