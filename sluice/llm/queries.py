@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import chat, decontaminate, line_dedup, lm_scoring, mixing, passages, quality_gam, quality_rules, simhash_ball, toxicity
+from sluice.llm import (
+    chat,
+    decontaminate,
+    licenses,
+    line_dedup,
+    lm_scoring,
+    mixing,
+    passages,
+    quality_gam,
+    quality_rules,
+    simhash_ball,
+    toxicity,
+)
 from sluice.llm.labelled import fold
 
 
@@ -99,6 +111,21 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(_read(spark, sf_dir, "documents"))
+    return found.select(
+        "doc.doc_id",
+        "n_words",
+        "n_base",
+        "first_word",
+        "last_word",
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+        F.array_join("expressions", "; ").alias("expressions"),
+    )
+
+
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_quality_rules": op2_quality_rules,
@@ -110,4 +137,5 @@ QUERIES = {
     "op8_mix_sources": op8_mix_sources,
     "op9_passages": op9_passages,
     "op10_chat_format": op10_chat_format,
+    "op13_license_scan": op13_license_scan,
 }
