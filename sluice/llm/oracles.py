@@ -149,10 +149,45 @@ SELECT d.doc_id, len(d.ws)::BIGINT AS n_words, coalesce(pos.n_hit, 0) AS n_hit,
 FROM d LEFT JOIN pos USING (rid) LEFT JOIN its USING (rid)
 """
 
+OP12 = rf"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p
+), n AS (
+  SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang
+), g AS (
+  SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(ws) >= k
+), f AS (
+  SELECT lang, array_to_string(ws[i:i + k - 1], ' ') AS phrase, k, count(*)::BIGINT AS f FROM g GROUP BY ALL HAVING count(*) >= 30
+), c AS (
+  SELECT lang, phrase, string_split(phrase, ' ') AS ws, k AS size, f AS a FROM f WHERE k >= 2
+), cut AS (
+  SELECT lang, phrase, a, k, array_to_string(ws[1:k], ' ') AS head, array_to_string(ws[k + 1:], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM c)
+), s AS (
+  SELECT cut.lang, cut.phrase, cut.a, cut.k, x.f AS l, y.f AS r, ((2000000::HUGEINT * cut.a) // (x.f + y.f))::BIGINT AS score
+  FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = cut.head JOIN f y ON y.lang = cut.lang AND y.phrase = cut.tail
+), low AS (
+  SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), held AS (
+  SELECT lang, array_to_string(ws[i:i + m - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, size - m + 2)) AS i FROM (SELECT *, unnest(range(2, size)) AS m FROM c)) GROUP BY ALL
+), best AS (
+  SELECT low.*, row_number() OVER (PARTITION BY low.lang ORDER BY score DESC, a DESC, low.phrase) AS rank
+  FROM low LEFT JOIN held ON held.lang = low.lang AND held.phrase = low.phrase
+  WHERE held.longer IS NULL OR NOT (100::HUGEINT * held.longer >= 80::HUGEINT * low.a)
+)
+SELECT best.lang, rank, phrase, a, l, r, n, score FROM best JOIN n ON n.lang = best.lang WHERE rank <= 2000
+"""
+
 ORACLES = {
     "op2_quality_rules": OP2,
     "op5_line_dedup": OP5,
     "op7_decontaminate": OP7,
     "op8_mix_sources": OP8,
     "op10_chat_format": OP10,
+    "op12_collocations": OP12,
 }

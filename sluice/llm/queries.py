@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sluice.llm import (
     chat,
+    collocations,
     decontaminate,
     licenses,
     line_dedup,
@@ -111,6 +112,10 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_read(spark, sf_dir, "documents")).drop("words")
+
+
 def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan_licenses(_read(spark, sf_dir, "documents"))
     return found.select(
@@ -137,5 +142,6 @@ QUERIES = {
     "op8_mix_sources": op8_mix_sources,
     "op9_passages": op9_passages,
     "op10_chat_format": op10_chat_format,
+    "op12_collocations": op12_collocations,
     "op13_license_scan": op13_license_scan,
 }
