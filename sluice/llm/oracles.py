@@ -149,6 +149,54 @@ SELECT d.doc_id, len(d.ws)::BIGINT AS n_words, coalesce(pos.n_hit, 0) AS n_hit,
 FROM d LEFT JOIN pos USING (rid) LEFT JOIN its USING (rid)
 """
 
+OP11 = rf"""
+WITH t AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents
+), m AS (
+  SELECT text, min(doc_id) AS least FROM t GROUP BY text
+), l AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), w AS (
+  SELECT *, regexp_extract_all(text, '{_WORDS}') AS ws FROM t
+), d AS (
+  SELECT w.part, coalesce(l.good, false) AS good, coalesce(l.toxic, false) AS toxic,
+         map(['A', 'B', 'C', 'D', 'E'], [
+           len(ws) < 50,
+           100 * len(list_distinct(ws)) < 65 * len(ws),
+           100 * (length(w.text) - length(regexp_replace(w.text, '[A-Z]', '', 'g'))) > 5 * length(w.text),
+           regexp_matches(w.text, '[#$%&*|]'),
+           coalesce(m.least < w.doc_id, false)]) AS f
+  FROM w JOIN m ON w.text = m.text LEFT JOIN l ON w.doc_id = l.doc_id
+), c AS (
+  SELECT part, good, toxic, f, count(*) AS n FROM d GROUP BY ALL
+), x AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), o AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM x a, x b, x c, x d, x e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), s AS (
+  SELECT filter_order, step, filter_order[step] AS letter, string_split(filter_order[1:step - 1], '') AS before
+  FROM o, (SELECT unnest(range(1, 6))::INT AS step)
+), r AS (
+  SELECT part, filter_order, step, letter, n, good, toxic, f[letter] AS fails,
+         list_bool_or(list_transform(before, b -> coalesce(f[b], false))) AS gone,
+         len(list_filter(map_values(f), v -> v)) = 1 AS alone
+  FROM c, s
+), g AS (
+  SELECT part, filter_order, step, letter,
+         coalesce(sum(n) FILTER (NOT fails AND NOT coalesce(gone, false)), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (fails AND NOT coalesce(gone, false)), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (fails AND coalesce(gone, false)), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (fails AND alone), 0)::BIGINT AS unique_fails,
+         coalesce(sum(n) FILTER (fails AND NOT coalesce(gone, false) AND good), 0)::BIGINT AS good_lost,
+         coalesce(sum(n) FILTER (fails AND NOT coalesce(gone, false) AND toxic), 0)::BIGINT AS toxic_lost
+  FROM r GROUP BY ALL
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       sum(removed) OVER (PARTITION BY part, letter)::BIGINT AS shapley
+FROM g
+"""
+
 OP12 = rf"""
 WITH p AS (
   SELECT coalesce(lang, 'und') AS lang,
@@ -189,5 +237,6 @@ ORACLES = {
     "op7_decontaminate": OP7,
     "op8_mix_sources": OP8,
     "op10_chat_format": OP10,
+    "op11_filter_audit": OP11,
     "op12_collocations": OP12,
 }

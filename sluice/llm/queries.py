@@ -9,6 +9,7 @@ from sluice.llm import (
     chat,
     collocations,
     decontaminate,
+    filter_audit,
     licenses,
     line_dedup,
     lm_scoring,
@@ -112,6 +113,10 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(spark, f"{sf_dir}/documents.parquet", _read(spark, sf_dir, "labels"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_read(spark, sf_dir, "documents")).drop("words")
 
@@ -142,6 +147,7 @@ QUERIES = {
     "op8_mix_sources": op8_mix_sources,
     "op9_passages": op9_passages,
     "op10_chat_format": op10_chat_format,
+    "op11_filter_audit": op11_filter_audit,
     "op12_collocations": op12_collocations,
     "op13_license_scan": op13_license_scan,
 }
