@@ -45,7 +45,7 @@ ABSORBED_PERCENT = 80
 SCALE = 2_000_000
 
 BLOCK_BYTES = 16 << 20  # text in a block
-SHARD_ENTRIES = 1 << 21  # entries of a shard of a count
+SHARD_ENTRIES = 1 << 19  # entries of a shard of a count, some 100 MB of words or 60 MB of pairs while it is summed
 
 _TABLE = bytes(0x0A if c in PIECE_ENDS else 0x20 if c == 0x09 else c for c in range(256))
 _BREAK = b"\n"

@@ -179,8 +179,8 @@ WITH t AS (
   FROM o, (SELECT unnest(range(1, 6))::INT AS step)
 ), r AS (
   SELECT part, filter_order, step, letter, n, good, toxic, f[letter] AS fails,
-         list_bool_or(list_transform(before, b -> coalesce(f[b], false))) AS gone,
-         len(list_filter(map_values(f), v -> v)) = 1 AS alone
+         list_bool_or(list_transform(before, lambda b: coalesce(f[b], false))) AS gone,
+         len(list_filter(map_values(f), lambda v: v)) = 1 AS alone
   FROM c, s
 ), g AS (
   SELECT part, filter_order, step, letter,
