@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.common import ref, stage_table, text_of
+from sluice.llm.packing import pack, pack_sorted, rows_of, squeeze, unpack, unpack_sorted, unsqueeze
 
 # What parts pieces, and the least occurrences, lengths and thresholds of a candidate.
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -59,12 +60,6 @@ class _Vocabulary(dict):
         return number
 
 
-def _rows(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:
-    """The values of each row, one row's at a time: packed values are large."""
-    for i in range(batch.num_rows):
-        yield tuple(batch.column(name)[i].as_py() for name in names)
-
-
 _BLOCKS = "lang string, block long, n_words long, n_entries long, words binary, counts binary, occ binary"
 
 
@@ -85,13 +80,13 @@ def _blocks(block_bytes: int):
                 occ = np.frombuffer(occurrences, np.int32)
                 counts = np.bincount(occ, minlength=len(vocabulary))[1:].astype(np.int64)
                 words = list(vocabulary)[1:]
-                row = [lang, block, int(counts.sum()), len(words), b"\n".join(words), counts.tobytes(), occ.tobytes()]
+                row = [lang, block, int(counts.sum()), len(words), squeeze(b"\n".join(words)), pack(counts), pack(occ)]
                 yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, schema.types)], schema=schema)
                 block += 1
             held.clear()
 
         for batch in batches:
-            for lang, raw in _rows(batch, "lang", "text"):
+            for lang, raw in rows_of(batch, "lang", "text"):
                 if lang not in held:
                     held[lang] = (_Vocabulary({_BREAK: 0}), array("i"))
                 vocabulary, occurrences = held[lang]
@@ -134,15 +129,15 @@ def _answer(groups: dict, hits: list[tuple[int, bytes, bytes]]) -> pa.Table:
     return pa.Table.from_arrays(columns, schema=pa.schema(_COUNTED_TYPES))
 
 
-def _shard_rows(shard: np.ndarray, columns: dict[str, np.ndarray]) -> Iterator[tuple[int, dict[str, bytes]]]:
-    """The entries of each shard, packed; the order inside a shard is kept."""
+def _shard_rows(shard: np.ndarray, columns: dict[str, np.ndarray]) -> Iterator[tuple[int, dict[str, np.ndarray]]]:
+    """The entries of each shard; the order inside a shard is kept."""
     order = np.argsort(shard, kind="stable")
     shard = shard[order]
     starts = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]]) if len(shard) else []
     ends = np.r_[starts[1:], len(shard)] if len(shard) else []
-    packed = {name: values[order] for name, values in columns.items()}
+    dealt = {name: values[order] for name, values in columns.items()}
     for start, end in zip(starts, ends):
-        yield int(shard[start]), {name: values[start:end].tobytes() for name, values in packed.items()}
+        yield int(shard[start]), {name: values[start:end] for name, values in dealt.items()}
 
 
 # -- level 1: words ----------------------------------------------------------
@@ -160,21 +155,21 @@ def _word_shards(shards: int):
         from zlib import crc32
 
         for batch in batches:
-            for block, lang, words, counts in _rows(batch, "block", "lang", "words", "counts"):
-                if not counts:
+            for block, lang, words, counts in rows_of(batch, "block", "lang", "words", "counts"):
+                n = unpack(counts).astype(np.int64)
+                if not len(n):
                     continue
-                cut = words.split(_BREAK)
-                n = np.frombuffer(counts, np.int64)
+                cut = unsqueeze(words).split(_BREAK)
                 shard = np.fromiter(map(crc32, cut), np.int64, len(cut)) % shards
                 rows = {"shard": [], "block": [], "lang": [], "words": [], "entries": [], "counts": []}
-                entry = np.arange(1, len(cut) + 1, dtype=np.int32)
+                entry = np.arange(1, len(cut) + 1)
                 for s, packed in _shard_rows(shard, {"entries": entry, "counts": n}):
                     rows["shard"].append(s)
                     rows["block"].append(block)
                     rows["lang"].append(lang)
-                    rows["words"].append(b"\n".join([cut[i - 1] for i in np.frombuffer(packed["entries"], np.int32)]))
-                    rows["entries"].append(packed["entries"])
-                    rows["counts"].append(packed["counts"])
+                    rows["words"].append(squeeze(b"\n".join([cut[i - 1] for i in packed["entries"].tolist()])))
+                    rows["entries"].append(pack_sorted(packed["entries"]))
+                    rows["counts"].append(pack(packed["counts"]))
                 yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows.values(), schema.types)], schema=schema)
 
     return deal
@@ -188,17 +183,17 @@ def _count_words(min_count: int):
         first = shard.column("shard")[0].as_py() << 32
         totals: dict[tuple[str, bytes], int] = {}
         for lang, _block, words, _entries, counts in rows:
-            for word, n in zip(words.split(_BREAK), np.frombuffer(counts, np.int64).tolist()):
+            for word, n in zip(unsqueeze(words).split(_BREAK), unpack(counts).tolist()):
                 totals[lang, word] = totals.get((lang, word), 0) + n
         kept = sorted(key for key, n in totals.items() if n >= min_count)
         ids = {key: first + i for i, key in enumerate(kept)}
         hits = []
         for lang, block, words, entries, _counts in rows:
-            found = [ids.get((lang, word), -1) for word in words.split(_BREAK)]
+            found = [ids.get((lang, word), -1) for word in unsqueeze(words).split(_BREAK)]
             found = np.array(found, np.int64)
             frequent = found >= 0
             if frequent.any():
-                hits.append((block, np.frombuffer(entries, np.int32)[frequent].astype(np.int64).tobytes(), found[frequent].tobytes()))
+                hits.append((block, pack_sorted(unpack_sorted(entries)[frequent]), pack(found[frequent])))
         groups = {
             "id": list(ids.values()),
             "f": [totals[k] for k in kept],
@@ -238,9 +233,9 @@ def _pair_shards(shards: int):
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, ids, occ in _rows(batch, "block", "ids", "occ"):
-                ids = np.frombuffer(ids, np.int64)
-                _at, pairs = _adjacent(np.frombuffer(occ, np.int32), len(ids))
+            for block, ids, occ in rows_of(batch, "block", "ids", "occ"):
+                ids = unpack(ids).astype(np.int64)
+                _at, pairs = _adjacent(unpack(occ).astype(np.int64), len(ids))
                 if not len(pairs):
                     continue
                 entry, n = np.unique(pairs, return_counts=True)
@@ -250,8 +245,9 @@ def _pair_shards(shards: int):
                 for s, packed in _shard_rows(shard, {"entries": entry, "counts": n.astype(np.int64), "a": a, "b": b}):
                     rows["shard"].append(s)
                     rows["block"].append(block)
-                    for name, data in packed.items():
-                        rows[name].append(data)
+                    rows["entries"].append(pack_sorted(packed["entries"]))
+                    for name in ("counts", "a", "b"):
+                        rows[name].append(pack(packed[name]))
                 yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows.values(), schema.types)], schema=schema)
 
     return deal
@@ -260,7 +256,8 @@ def _pair_shards(shards: int):
 def _count_pairs(min_count: int):
     def count(shard: pa.Table) -> pa.Table:
         blocks = shard.column("block").to_pylist()
-        packed = {c: [np.frombuffer(x, np.int64) for x in shard.column(c).to_pylist()] for c in ("entries", "counts", "a", "b")}
+        packed = {c: [unpack(x).astype(np.int64) for x in shard.column(c).to_pylist()] for c in ("counts", "a", "b")}
+        packed["entries"] = [unpack_sorted(x) for x in shard.column("entries").to_pylist()]
         first = shard.column("shard")[0].as_py() << 32
         a, b, n = (np.concatenate(packed[c]) for c in ("a", "b", "counts"))
         order = np.lexsort((b, a))
@@ -277,7 +274,7 @@ def _count_pairs(min_count: int):
             start, end = end, end + len(entries)
             own = of_entry[start:end]
             if (own >= 0).any():
-                hits.append((block, entries[own >= 0].tobytes(), own[own >= 0].tobytes()))
+                hits.append((block, pack_sorted(entries[own >= 0]), pack(own[own >= 0])))
         groups = {"id": ids[frequent], "a": sa[starts][frequent], "b": sb[starts][frequent], "f": totals[frequent]}
         return _answer({k: v.tolist() for k, v in groups.items()}, hits)
 
@@ -290,22 +287,22 @@ def _keep(words: bool):
     def keep(block: pa.Table, found: pa.Table) -> pa.Table:
         rows = []
         if block.num_rows and found.num_rows:
-            entries = np.concatenate([np.frombuffer(x, np.int64) for x in found.column("entries").to_pylist()])
-            ids = np.concatenate([np.frombuffer(x, np.int64) for x in found.column("ids").to_pylist()])
+            entries = np.concatenate([unpack_sorted(x) for x in found.column("entries").to_pylist()]).astype(np.int64)
+            ids = np.concatenate([unpack(x) for x in found.column("ids").to_pylist()])
             order = np.argsort(entries)
             entries, ids = entries[order], ids[order]
-            occ = np.frombuffer(block.column("occ")[0].as_py(), np.int32)
+            occ = unpack(block.column("occ")[0].as_py()).astype(np.int64)
             at, now = (
                 (np.flatnonzero(occ), occ[occ > 0])
                 if words
-                else _adjacent(occ, len(block.column("ids")[0].as_py()) // 8)
+                else _adjacent(occ, len(unpack(block.column("ids")[0].as_py())))
             )
             place = np.minimum(np.searchsorted(entries, now), len(entries) - 1)
             met = entries[place] == now
             kept = np.zeros(len(occ), np.int32)
             kept[at[met]] = place[met] + 1
             pairs = int(((kept[:-1] > 0) & (kept[1:] > 0)).sum())
-            rows.append((block.column("block")[0].as_py(), pairs, ids.tobytes(), kept.tobytes()))
+            rows.append((block.column("block")[0].as_py(), pairs, pack(ids), pack(kept)))
         return pa.Table.from_arrays(
             [pa.array([r[i] for r in rows], t) for i, (_n, t) in enumerate(_RELATION_TYPES)], schema=pa.schema(_RELATION_TYPES)
         )
