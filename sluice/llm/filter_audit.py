@@ -8,10 +8,11 @@ by itself; the fifth, a text that a smaller id holds as well, needs state:
 1. Before the shuffle each task counts its documents by part and mask, and keeps
    per text only those with the smallest id in the task; the others fail the
    fifth filter whatever comes. A hot text sends a few rows from each task.
-2. A state per text (128 bits of its SHA-256) holds the smallest id so far and
-   how its documents were counted. When a smaller id comes, the earlier masks
-   are retracted from the counters of their parts and counted anew with the bit
-   of the fifth filter; a larger id is corrected at once.
+2. For every text (128 bits of its SHA-256) the state holds the smallest id so
+   far and how its documents were counted. When a smaller id comes, the earlier
+   masks are retracted from the counters of their parts and counted anew with
+   the bit of the fifth filter; a larger id is corrected at once. As a call per
+   key costs milliseconds, some ``TEXTS_PER_STATE`` texts share a state.
 3. The changes of a micro-batch are summed per part and mask and written to a
    folder named after the batch: a repeated batch overwrites its own, so that
    lost executors and restarts count nothing twice.
@@ -29,7 +30,9 @@ rows. Other columns are not read, whatever their names.
 
 from __future__ import annotations
 
+import hashlib
 import json
+import re
 from collections.abc import Iterator
 from itertools import permutations
 
@@ -41,7 +44,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from sluice.llm.common import UPPER, let, ref, stage_table, text_of, words
+from sluice.llm.common import UPPER, ref, stage_table, text_of
+from sluice.llm.packing import rows_of
 from sluice.session import scratch_path
 
 # The filters, their limits, and the characters that D looks for.
@@ -49,33 +53,45 @@ FILTERS = "ABCDE"
 MIN_WORDS = 50
 MIN_DISTINCT_PERCENT = 65
 MAX_UPPER_PERCENT = 5
-MARKUP = "[#$%&*|]"
+MARKUP = re.compile(rb"[#$%&*|]")
 
 REPEATED = 1 << FILTERS.index("E")
 BATCHES = 4  # micro-batches that the files of a first run are dealt to
 COMBINE_ROWS = 200_000  # rows that a task gathers before it combines them
+TEXTS_PER_STATE = 256
 
 _COUNTER = "part string, mask int, good boolean, toxic boolean, n long"
-# A text's own counting, or (key beginning with SETTLED) counts that no other row can change.
-_CHANGE = "key string, least long, " + _COUNTER
+# A text's own counting, or (bucket SETTLED) counts that no other row can change.
+_CHANGE = "bucket string, key string, least long, " + _COUNTER
 _SETTLED = "~"
+_UPPER = UPPER.encode()
 
 
-def own_failures(text: Column) -> Column:
+def own_failures(text: bytes) -> int:
     """Mask of the filters A to D that a text fails."""
+    found = text.split()  # of bytes: at the six ASCII blanks only
+    upper = len(text) - len(text.translate(None, _UPPER))
+    fails = (
+        len(found) < MIN_WORDS,
+        100 * len(set(found)) < MIN_DISTINCT_PERCENT * len(found),
+        100 * upper > MAX_UPPER_PERCENT * len(text.decode("utf-8", "replace")),
+        MARKUP.search(text) is not None,
+    )
+    return sum(1 << i for i, f in enumerate(fails) if f)
+
+
+_JUDGED = "doc_id long, part string, key string, mask int"
 
-    def mask(found: Column) -> Column:
-        n = F.size(found).cast("long")
-        upper = (F.length(text) - F.length(F.translate(text, UPPER, ""))).cast("long")
-        fails = [
-            n < MIN_WORDS,
-            F.size(F.array_distinct(found)).cast("long") * 100 < n * MIN_DISTINCT_PERCENT,
-            upper * 100 > F.length(text).cast("long") * MAX_UPPER_PERCENT,
-            text.rlike(MARKUP),
-        ]
-        return sum((F.when(f, 1 << i).otherwise(0) for i, f in enumerate(fails)), F.lit(0))
 
-    return let(words(text), mask).cast("int")
+def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each document's text replaced by its digest and its mask."""
+    for batch in batches:
+        keys, masks = [], []
+        for (text,) in rows_of(batch, "text"):
+            keys.append(hashlib.sha256(text).hexdigest()[:32])
+            masks.append(own_failures(text))
+        columns = [batch.column("doc_id"), batch.column("part"), pa.array(keys, pa.string()), pa.array(masks, pa.int32())]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "part", "key", "mask"])
 
 
 def marks_of(labels: DataFrame) -> DataFrame:
@@ -88,16 +104,15 @@ def marks_of(labels: DataFrame) -> DataFrame:
     )
 
 
-def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _combiner(buckets: int):
     """Counts of a task's documents: settled ones by part and mask, and per text those with its smallest id."""
-    settled_key = f"{_SETTLED}{TaskContext.get().partitionId() % 997}"
     fields = ["part", "mask", "good", "toxic"]
     schema = pa.schema(
-        [("key", pa.string()), ("least", pa.int64()), ("part", pa.string()), ("mask", pa.int32())]
+        [("bucket", pa.string()), ("key", pa.string()), ("least", pa.int64()), ("part", pa.string()), ("mask", pa.int32())]
         + [("good", pa.bool_()), ("toxic", pa.bool_()), ("n", pa.int64())]
     )
 
-    def combined(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    def combined(rows: pa.Table, settled: str) -> Iterator[pa.RecordBatch]:
         least = rows.group_by("key").aggregate([("doc_id", "min")]).rename_columns(["key", "least"])
         rows = rows.join(least, "key")
         first = pc.fill_null(pc.equal(rows["doc_id"], rows["least"]), False)
@@ -107,49 +122,62 @@ def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counted = rows.set_column(rows.schema.get_field_index("mask"), "mask", mask).group_by(fields).aggregate([([], "count_all")])
         held = rows.filter(first).group_by(["key", "least", *fields]).aggregate([([], "count_all")])
         n = counted.num_rows
-        settled = {"key": pa.array([settled_key] * n, pa.string()), "least": pa.array([0] * n, pa.int64())}
-        for part in (counted, held):
-            columns = [part[c] if c in part.column_names else settled[c] for c in schema.names[:-1]]
+        bucket = [str(int(k[:15], 16) % buckets) for k in held["key"].to_pylist()]
+        for part, own in (
+            (counted, {"bucket": [settled] * n, "key": [""] * n, "least": [0] * n}),
+            (held, {"bucket": bucket}),
+        ):
+            own = {c: pa.array(v, schema.field(c).type) for c, v in own.items()}
+            columns = [own[c] if c in own else part[c] for c in schema.names[:-1]]
             yield from pa.Table.from_arrays([*columns, part["count_all"]], schema=schema).combine_chunks().to_batches()
 
-    gathered: list[pa.RecordBatch] = []
-    for batch in batches:
-        gathered.append(batch)
-        if sum(b.num_rows for b in gathered) >= COMBINE_ROWS:
-            yield from combined(pa.Table.from_batches(gathered))
-            gathered = []
-    if gathered:
-        yield from combined(pa.Table.from_batches(gathered))
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        settled = f"{_SETTLED}{TaskContext.get().partitionId() % 997}"
+        gathered: list[pa.RecordBatch] = []
+        for batch in batches:
+            gathered.append(batch)
+            if sum(b.num_rows for b in gathered) >= COMBINE_ROWS:
+                yield from combined(pa.Table.from_batches(gathered), settled)
+                gathered = []
+        if gathered:
+            yield from combined(pa.Table.from_batches(gathered), settled)
+
+    return combine
 
 
 _NAMES = ["part", "mask", "good", "toxic", "n"]
 
 
 def _change(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Changes of the counters by one text: nothing unless its documents have several ids."""
+    """Changes of the counters by the texts of a bucket: none by a text whose documents all have one id."""
     if key[0].startswith(_SETTLED):
         for frame in frames:
             yield frame[_NAMES]
         return
-    rows = [r for frame in frames for r in zip(*(frame[c].tolist() for c in ["least", *_NAMES]))]
-    smallest = min(r[0] for r in rows)
-    held, old = [], None
-    if state.exists:
-        old, packed = state.get
-        held = [(old, *r) for r in json.loads(packed)]
-        smallest = min(smallest, old)
-    # Rows of the state above the new minimum are retracted as well: they were counted like the new ones.
-    changes = []
-    for least, part, mask, good, toxic, n in [*held, *rows] if old is None or smallest < old else rows:
-        if least > smallest:
+    texts: dict[str, list] = json.loads(state.get[0]) if state.exists else {}  # key: [smallest id, its counts]
+    changes: list[tuple] = []
+
+    def repeated(counts: list) -> None:
+        for part, mask, good, toxic, n in counts:
             changes.append((part, mask, good, toxic, -n))
             changes.append((part, mask | REPEATED, good, toxic, n))
-    keep = [r[1:] for r in [*held, *rows] if r[0] == smallest]
-    if old is None or smallest < old or any(r[0] == smallest for r in rows):
-        sums: dict[tuple, int] = {}
-        for *what, n in keep:
-            sums[tuple(what)] = sums.get(tuple(what), 0) + n
-        state.update((smallest, json.dumps([[*what, n] for what, n in sums.items()])))
+
+    for frame in frames:
+        for digest, least, *count in zip(*(frame[c].tolist() for c in ["key", "least", *_NAMES])):
+            held = texts.get(digest)
+            if held is None or least < held[0]:
+                if held is not None:
+                    repeated(held[1])
+                texts[digest] = [least, [count]]
+            elif least > held[0]:
+                repeated([count])
+            else:
+                same = next((c for c in held[1] if c[:-1] == count[:-1]), None)
+                if same is None:
+                    held[1].append(count)
+                else:
+                    same[-1] += count[-1]
+    state.update((json.dumps(texts, separators=(",", ":")),))
     if changes:
         yield pd.DataFrame(changes, columns=_NAMES)
 
@@ -171,21 +199,30 @@ def document_stream(spark: SparkSession, path: str, batches: int = BATCHES) -> D
     )
 
 
-def audit_stream(stream: DataFrame, labels: DataFrame, folder: str) -> DataFrame:
+def _buckets(spark: SparkSession, folder: str, wanted: int) -> int:
+    """The number of states, fixed by the first run on a folder."""
+    path = f"{folder}/buckets"
+    there = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there):
+        spark.range(1).select(F.lit(wanted).cast("long").alias("n")).write.mode("overwrite").parquet(path)
+    return spark.read.schema("n long").parquet(path).first()["n"]
+
+
+def audit_stream(stream: DataFrame, labels: DataFrame, folder: str, buckets: int = 1000) -> DataFrame:
     """Counters (part, mask, good, toxic, n) of all documents that have come to ``folder`` so far.
 
     Takes what the stream has available now, on top of what earlier runs on the
     same folder took. The marks of a document are those of the run that takes it.
+    ``buckets`` of texts share a state each; the first run on a folder fixes it.
     """
     spark = stream.sparkSession
+    buckets = _buckets(spark, folder, buckets)
     marks = stage_table(marks_of(labels), "audit-marks")
-    text = text_of()
     rows = stream.select(
         ref("doc_id").cast("long").alias("doc_id"),
         F.coalesce(ref("source").cast("string"), F.lit("")).alias("part"),
-        F.substring(F.sha2(text.cast("binary"), 256), 1, 32).alias("key"),
-        own_failures(text).alias("mask"),
-    )
+        text_of().cast("binary").alias("text"),
+    ).mapInArrow(_judge, _JUDGED)
     # Null ids have no marks: their texts' hashes spread them, and the second key keeps them apart.
     spread = F.coalesce("doc_id", F.xxhash64("key"))
     on = (spread == F.col("_id")) & (F.col("doc_id").isNull() == F.col("_null"))
@@ -198,9 +235,9 @@ def audit_stream(stream: DataFrame, labels: DataFrame, folder: str) -> DataFrame
         F.coalesce("toxic", F.lit(False)).alias("toxic"),
     )
     changes = (
-        marked.mapInArrow(_combine, _CHANGE)
-        .groupBy("key")
-        .applyInPandasWithState(_change, _COUNTER, "least long, held string", "update", GroupStateTimeout.NoTimeout)
+        marked.mapInArrow(_combiner(buckets), _CHANGE)
+        .groupBy("bucket")
+        .applyInPandasWithState(_change, _COUNTER, "texts string", "update", GroupStateTimeout.NoTimeout)
     )
 
     def save(batch: DataFrame, batch_id: int) -> None:
@@ -276,4 +313,5 @@ def audit_filters(spark: SparkSession, documents: str, labels: DataFrame, folder
     with the same folder takes only files that are new. Default: a fresh one.
     """
     folder = folder or scratch_path(spark, "filter-audit")
-    return orders_of(audit_stream(document_stream(spark, documents), labels, folder))
+    buckets = max(1, -(-spark.read.parquet(documents).count() // TEXTS_PER_STATE))
+    return orders_of(audit_stream(document_stream(spark, documents), labels, folder, buckets))
