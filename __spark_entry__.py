@@ -14,6 +14,7 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -145,7 +146,11 @@ def q_route_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _per_table(prepared: DataFrame, sink: MultiTableSink, rows_of) -> DataFrame:
-    """Apply ``rows_of(suffix, flattened rows)`` to every routed table and stack the results."""
+    """Apply ``rows_of(suffix, flattened rows)`` to every routed table and stack the results.
+
+    Parsed once and kept, as each table reads it again.
+    """
+    prepared = prepared.sortWithinPartitions("table_suffix").persist(StorageLevel.MEMORY_AND_DISK)
     inferred = infer.infer_schema(infer.observe_fields(prepared)).where(F.col("reason").isNull()).collect()
     frames = []
     for suffix in sorted({r["table_suffix"] for r in inferred}):
@@ -345,6 +350,37 @@ def q_merge_upsert_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _all_tables(sink, ["unique_id", "user_id", "kafka_offset", "amount", "k", "detail", "is_paid"])
 
 
+def q_merge_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream's batch comes again after a backfill has replaced rows of it: it changes nothing."""
+    ev = _events(spark, sf_dir)
+    sink = _sink(spark, "writers", key_buckets=2)
+    sink.process_batch(feed.to_envelope(ev), 0, "stream", BATCH_TIME)
+    sink.process_batch(feed.update_envelope(ev), 0, "backfill", BATCH_TIME)
+    sink.process_batch(feed.to_envelope(ev), 0, "stream", BATCH_TIME)
+    return _all_tables(sink, ["unique_id", "user_id", "kafka_offset", "amount", "k", "detail", "is_paid"])
+
+
+def q_append_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same batches appended: each once."""
+    ev = _events(spark, sf_dir)
+    sink = _sink(spark, "awriters", mode="append")
+    for batch, writer in ((feed.to_envelope(ev), "stream"), (feed.update_envelope(ev), "backfill"), (feed.to_envelope(ev), "stream")):
+        sink.process_batch(batch, 0, writer, BATCH_TIME)
+    return _all_tables(sink, ["unique_id", "kafka_offset", "amount", "k"])
+
+
+def q_merge_time_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Updates that come within the bound replace rows; those that come ten years later stand beside them."""
+    ev = _events(spark, sf_dir)
+    sink = _sink(spark, "bound", match_days=1)
+    sink.process_batch(feed.to_envelope(ev), 0, "q", BATCH_TIME)
+    late = F.coalesce(F.col("event_id") % 2 == 1, F.lit(False))
+    sink.process_batch(feed.update_envelope(ev.where(~late)), 1, "q", BATCH_TIME)
+    later = feed.update_envelope(ev.where(late)).withColumn("timestamp", F.expr("timestamp + interval 3650 days"))
+    sink.process_batch(later, 2, "q", BATCH_TIME)
+    return _all_tables(sink, ["unique_id", "kafka_offset"])
+
+
 def q_merge_wide_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys beyond 64 bits stay apart, over an insert and an update batch."""
     ev = _events(spark, sf_dir)
@@ -390,14 +426,16 @@ def q_merge_replaces_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _damaged_envelope(ev: DataFrame) -> DataFrame:
-    """Records with value < 8 damaged or odd, by the unit of their value:
+    """Records with value < 10 damaged or odd, by the unit of their value:
 
     0 malformed, 1 no header, 2 not an object, 3 bad suffix, 4 an object after a
     newline (good), 5 a suffix that ends in a newline, 6 dotted and clashing
-    names (good), 7 an empty field name.
+    names (good), 7 an empty field name, 8 a suffix that no catalog could hold,
+    9 an object with more fields than a table may get.
     """
     kind = F.floor("value")
     good = feed.payload_json(feed.payload_fields())
+    many = "".join(f',"f{i}":1' for i in range(SinkConfig.max_fields))
     key = F.col("event_id").cast("string")
     text = (
         F.when(kind == 0, F.substring(good, 1, 10))
@@ -405,11 +443,13 @@ def _damaged_envelope(ev: DataFrame) -> DataFrame:
         .when(kind == 4, F.concat(F.lit("\n\t "), good))
         .when(kind == 6, F.concat(F.lit('{"a.b":1,"kafka_ts":2,"payload_kafka_ts":3,"unique_id":'), key, F.lit("}")))
         .when(kind == 7, F.concat(F.lit('{"":1,"unique_id":'), key, F.lit("}")))
+        .when(kind == 9, F.concat(F.lit('{"unique_id":'), key, F.lit(many), F.lit("}")))
         .otherwise(good)
     )
     suffix = (
         F.when(kind == 3, F.lit("bad-suffix"))
         .when(kind == 5, F.concat(F.col("event_type"), F.lit("\n")))
+        .when(kind == 8, F.lit("x" * 300))
         .otherwise(F.col("event_type"))
     )
     header = F.struct(F.lit("table_suffix").alias("key"), suffix.cast("binary").alias("value"))
@@ -552,6 +592,19 @@ def q_stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _all_tables(sink, ["unique_id", "user_id", "kafka_offset", "amount", "k", "detail", "is_paid"])
 
 
+def q_stream_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A backlog of files taken a few at a time: events, then their updates, over a restart."""
+    ev = _events(spark, sf_dir)
+    base = scratch_path(spark, "sbacklog")
+    sink = _sink(spark, "sbacklog")
+    stamp = streaming.fixed_time(BATCH_TIME)
+    for batch in (feed.to_envelope(ev), feed.update_envelope(ev)):
+        envelope.write_json(batch.repartition(4, "offset"), f"{base}/records")
+        stream = envelope.read_json_stream(spark, f"{base}/records", max_files_per_trigger=2)
+        streaming.run_available(sink, stream, f"{base}/checkpoint", stamp)
+    return _all_tables(sink, ["unique_id", "user_id", "kafka_offset", "amount", "k", "detail", "is_paid"])
+
+
 def q_stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink = _stream_two_runs(spark, sf_dir, "sappend", "append")
     return _all_tables(sink, ["unique_id", "kafka_offset", "amount", "k"])
@@ -594,6 +647,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_dedupe": q_batch_dedupe,
     "merge_upsert": q_merge_upsert,
     "merge_upsert_segments": q_merge_upsert_segments,
+    "merge_writers": q_merge_writers,
+    "append_writers": q_append_writers,
+    "merge_time_bound": q_merge_time_bound,
+    "stream_backlog": q_stream_backlog,
     "merge_insert_only": q_merge_insert_only,
     "merge_null_key": q_merge_null_key,
     "merge_replaces_row": q_merge_replaces_row,
@@ -729,6 +786,18 @@ UNION ALL SELECT 'mixed', CAST(CAST(ts AS DATE) AS VARCHAR), count(*) FROM event
     "batch_dedupe": f"""SELECT table_suffix, unique_id, kafka_offset, amount, k, detail, is_paid FROM ({_UPSERT})""",
     "merge_upsert": _UPSERT,
     "merge_upsert_segments": _UPSERT,
+    "merge_writers": _UPSERT,
+    "append_writers": f"""SELECT event_type AS table_suffix, event_id AS unique_id, event_id AS kafka_offset,
+  CASE WHEN event_type = 'purchase' THEN value END AS amount,
+  CASE WHEN event_type IN ('click', 'view') THEN {_K} END AS k FROM events
+UNION ALL
+SELECT event_type, event_id, event_id + 1000000,
+  CASE WHEN event_type = 'purchase' THEN value * 2 END,
+  CASE WHEN event_type IN ('click', 'view') THEN {_K} + 1 END FROM events WHERE {_UPD}""",
+    "merge_time_bound": f"""SELECT event_type AS table_suffix, event_id AS unique_id,
+  event_id + CASE WHEN {_UPD} AND event_id % 2 = 0 THEN 1000000 ELSE 0 END AS kafka_offset FROM events
+UNION ALL SELECT event_type, event_id, event_id + 1000000 FROM events WHERE {_UPD} AND event_id % 2 = 1""",
+    "stream_backlog": _UPSERT,
     "merge_insert_only": "SELECT event_type AS table_suffix, event_id AS unique_id, event_id AS kafka_offset FROM events",
     "merge_null_key": """SELECT event_type AS table_suffix, CASE WHEN value >= 5 THEN event_id END AS unique_id, user_id,
   event_id AS kafka_offset FROM events
@@ -741,10 +810,11 @@ SELECT event_type, CAST(NULL AS BIGINT), user_id, event_id + 1000000 FROM events
   CASE WHEN event_type = 'signup' AND NOT ({_UPD}) THEN value > 10 END AS is_paid
 FROM events""",
     "quarantine": """SELECT event_id AS kafka_offset,
-  CASE floor(value) WHEN 1 THEN NULL WHEN 3 THEN 'bad-suffix' WHEN 5 THEN event_type || chr(10) ELSE event_type END AS table_suffix,
+  CASE floor(value) WHEN 1 THEN NULL WHEN 3 THEN 'bad-suffix' WHEN 5 THEN event_type || chr(10)
+    WHEN 8 THEN repeat('x', 300) ELSE event_type END AS table_suffix,
   CASE floor(value) WHEN 0 THEN 'malformed' WHEN 1 THEN 'unroutable' WHEN 2 THEN 'not_object' WHEN 7 THEN 'invalid_field'
-       ELSE 'invalid_suffix' END AS reason
-FROM events WHERE floor(value) IN (0, 1, 2, 3, 5, 7)""",
+       WHEN 9 THEN 'too_many_fields' ELSE 'invalid_suffix' END AS reason
+FROM events WHERE floor(value) IN (0, 1, 2, 3, 5, 7, 8, 9)""",
     "kafka_encode": """SELECT CAST(event_id AS VARCHAR) AS key, 'table_suffix' AS header_key, event_type AS header_value, user_id
 FROM events""",
     "json_sink_roundtrip": f"SELECT {_ENVELOPE_COLUMNS} FROM events",
@@ -770,7 +840,7 @@ FROM fields f JOIN events e ON e.event_type = f.event_type GROUP BY ALL""",
   CAST(CASE WHEN floor(value) = 6 THEN 1 END AS BIGINT) AS a_b,
   CAST(CASE WHEN floor(value) = 6 THEN 2 END AS BIGINT) AS payload_kafka_ts,
   CAST(CASE WHEN floor(value) = 6 THEN 3 END AS BIGINT) AS payload_payload_kafka_ts
-FROM events WHERE floor(value) NOT IN (0, 1, 2, 3, 5, 7)""",
+FROM events WHERE floor(value) NOT IN (0, 1, 2, 3, 5, 7, 8, 9)""",
     "null_no_evidence": """SELECT event_type AS table_suffix, 'unique_id' AS field, 'BIGINT' AS data_type, count(*) AS n_rows FROM events GROUP BY ALL
 UNION ALL SELECT event_type, 'never', NULL, 0 FROM events GROUP BY ALL
 UNION ALL SELECT event_type, 'score', CASE WHEN bool_or(value >= 50) THEN 'BIGINT' END, count(*) FILTER (value >= 50) FROM events GROUP BY event_type""",

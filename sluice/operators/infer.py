@@ -7,7 +7,7 @@ cost does not depend on how rows spread over tables or keys.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.types import STRICT, is_conflict, json_kind, resolve_kinds
@@ -88,6 +88,23 @@ def infer_schema(observed: DataFrame, mode: str = STRICT) -> DataFrame:
     )
 
 
+def at_most_fields(inferred: DataFrame, most: int) -> DataFrame:
+    """The inferred rows with ``n_fields`` of their table; of a table with more than ``most`` fields one row each.
+
+    Record counts of all its rows are in that one.
+    """
+    table = Window.partitionBy("reason", ROUTING_COLUMN)
+    few = F.col("n_fields") <= most
+    return (
+        inferred.withColumn("n_fields", F.count("field").over(table))
+        .withColumn("_n", F.sum("n_records").over(table))
+        .withColumn("_first", F.min("field").over(table))
+        .where(few | F.col("field").eqNullSafe(F.col("_first")))
+        .withColumn("n_records", F.when(few, F.col("n_records")).otherwise(F.col("_n")))
+        .drop("_n", "_first")
+    )
+
+
 def schema_conflicts(inferred: DataFrame) -> DataFrame:
     """Fields whose kinds or spellings clash: table_suffix, field, types, spellings."""
     return inferred.where(F.col("conflict")).select(

@@ -87,12 +87,17 @@ def touched_values(
     )
 
 
-def merge_into(batch: DataFrame, table: str, key: str):
-    """Row-level upsert for catalogs that have one (Iceberg, Delta): the writer, not yet run."""
-    stored = F.col(f"{table}.{quote(key)}")
-    source = batch.alias("source")
+def merge_into(batch: DataFrame, table: str, key: str, since=None):
+    """Row-level upsert for catalogs that have one (Iceberg, Delta): the writer, not yet run.
+
+    ``since`` bounds the time of the stored rows that are matched, which lets the
+    catalog leave out older files.
+    """
+    on = F.col(f"{table}.{quote(key)}") == F.col(f"source.{quote(key)}")
+    if since is not None:
+        on = on & (F.col(f"{table}.`kafka_ts`") >= F.lit(since))
     return (
-        source.mergeInto(table, stored == F.col(f"source.{quote(key)}"))
+        batch.alias("source").mergeInto(table, on)
         .whenMatched()
         .updateAll()
         .whenNotMatched()

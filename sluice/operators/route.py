@@ -14,6 +14,7 @@ INVALID_SUFFIX = "invalid_suffix"
 MALFORMED = "malformed"
 NOT_OBJECT = "not_object"
 INVALID_FIELD = "invalid_field"
+TOO_MANY_FIELDS = "too_many_fields"
 
 # Field names that no table column can carry (empty, over 255 characters, control characters).
 BAD_FIELD_PATTERN = r"\A\z|\A.{256,}\z|[\x00-\x1F\x7F]"
@@ -37,9 +38,13 @@ def spread(normalised: DataFrame, partitions: int | None = None) -> DataFrame:
     return normalised.repartition(partitions, *[F.col(c) for c in SPREAD_COLUMNS if c in normalised.columns])
 
 
-def prepare(normalised: DataFrame) -> DataFrame:
+def prepare(normalised: DataFrame, max_suffix: int = 128, max_fields: int = 2_000) -> DataFrame:
     """Parse every payload once into a VARIANT and tag rows that cannot be written.
 
+    Among them are rows whose suffix is longer than ``max_suffix`` characters, as no
+    catalog or file system could hold their table, or whose object has more
+    than ``max_fields`` fields.
+
     Output: META_COLUMNS, table_suffix, payload (VARIANT), raw_value (text, kept
     only for bad rows), reason (NULL for good rows).
     """
@@ -49,10 +54,11 @@ def prepare(normalised: DataFrame) -> DataFrame:
     names = F.map_keys(F.try_variant_get(F.col("payload"), "$", "map<string,variant>"))
     reason = (
         F.when(suffix.isNull() | (suffix == ""), F.lit(UNROUTABLE))
-        .when(~suffix.rlike(SUFFIX_PATTERN), F.lit(INVALID_SUFFIX))
+        .when(~suffix.rlike(SUFFIX_PATTERN) | (F.length(suffix) > max_suffix), F.lit(INVALID_SUFFIX))
         .when(F.col("payload").isNull(), F.lit(MALFORMED))
         .when(~F.schema_of_variant(F.col("payload")).startswith("OBJECT"), F.lit(NOT_OBJECT))
         .when(F.exists(names, lambda n: n.rlike(BAD_FIELD_PATTERN)), F.lit(INVALID_FIELD))
+        .when(F.size(names) > max_fields, F.lit(TOO_MANY_FIELDS))
     )
     return (
         normalised.select(*META_COLUMNS, ROUTING_COLUMN, "value", parsed.alias("payload"))

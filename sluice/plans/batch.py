@@ -4,13 +4,24 @@ Per batch the records are parsed once and persisted; one aggregate yields
 routing keys, every table's schema and the quarantine counts. A new table then
 costs one write. A table that holds data costs, before its write, one aggregate
 of the batch (buckets, key bytes) and one key-only probe of the buckets that the
-batch's keys fall into. Manifests and file moves go through the file system and
-run no job.
+batch's keys fall into.
+
+Commits. Each table's properties name the last batch that each writer has
+committed, so a batch that comes again is left alone, whoever wrote since. An
+append overwrites its own partitions (dynamic partition overwrite). A merge
+writes its partitions aside; one statement on the properties commits them, and
+the switch of the partitions that follows is finished by whoever comes next if
+it was cut short. Writers in one driver take turns on a table; writers in
+several drivers need a catalog with row-level merges.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import re
+import threading
+import uuid
+from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
@@ -23,7 +34,7 @@ from pyspark.sql import types as T
 from pyspark.util import inheritable_thread_target
 
 from sluice.functions.types import STRICT, WIDEN, ddl, quote, storable
-from sluice.operators.infer import SchemaConflictError, conflict_message, infer_schema, observe_fields
+from sluice.operators.infer import SchemaConflictError, at_most_fields, conflict_message, infer_schema, observe_fields
 from sluice.operators.merge import dedupe_latest, key_set, merge_into, touched_values, upsert_rows
 from sluice.operators.route import bad_rows, prepare, route_filter, spread
 from sluice.operators.shape import (
@@ -62,14 +73,28 @@ META_TYPES = [
 
 
 # Partition columns of parquet tables. A merge table has one live
-# version (the batch that wrote it) of each day and key bucket.
+# version (the batch that wrote it) of each day and key bucket; an append table
+# has a partition for each day and batch, the unit that a repeated batch overwrites.
 MERGE_PARTITIONS = [DATE_COLUMN, BUCKET_COLUMN, BATCH_COLUMN]
+APPEND_PARTITIONS = [DATE_COLUMN, BATCH_COLUMN]
+# An overwrite of an append table replaces the partitions it writes, no others.
+APPEND_OPTIONS = {"partitionOverwriteMode": "dynamic"}
 PARTITION_TYPES = {DATE_COLUMN: "DATE", BUCKET_COLUMN: "INT", BATCH_COLUMN: "STRING"}
 
 # Bytes per key entry added to the key width when sizing a broadcast
 # (hash relation slot, row header, pointer).
 KEY_ENTRY_OVERHEAD = 32
 
+# Table properties that commits use: the last batch of a writer, and
+# the merge whose partitions are being switched.
+DONE_PROPERTY = "sluice_done."
+SWITCH_PROPERTY = "sluice_switch"
+
+# Characters of a table name at most, prefix included (catalogs and file systems have such a bound).
+MAX_TABLE_NAME = 128
+
+_LOCKS: dict[str, threading.RLock] = defaultdict(threading.RLock)
+
 
 class BadRecordError(ValueError):
     """Raised under ``on_bad='failfast'`` when a batch has unroutable or malformed rows."""
@@ -98,9 +123,16 @@ class SinkConfig:
     # when a table is created. Choose it so that a bucket of a day is a few files:
     # fewer cost larger rewrites, more cost small files.
     key_buckets: int = 16
-    # More (table, field, spelling) rows than this in one batch are an error: the
-    # schemas of a batch are planned on the driver.
-    max_schema_rows: int = 100_000
+    # Records with more top-level fields than this are quarantined, and a table that
+    # a batch would give more columns is refused, the others not: schemas are planned
+    # on the driver, table by table.
+    max_fields: int = 2_000
+    # Keys are looked for in days this far from the batch's days at most, in a row-level
+    # merge as well; an older row of a key stays beside the new one. None: in all days.
+    match_days: int | None = None
+    # A batch of at most so many keys is looked for by their values, which row groups'
+    # statistics and bloom filters answer without reading them; more keys are joined.
+    probe_literal_keys: int = 1_000
     properties: dict[str, str] = field(default_factory=dict)
 
 
@@ -157,13 +189,12 @@ class MultiTableSink:
         normalised = spread(normalised, self.config.min_partitions)
         # Sorting by routing key inside each partition (no shuffle) keeps the cached
         # column batches narrow, so each table's scan of the cache skips the others.
-        prepared = prepare(normalised).sortWithinPartitions(ROUTING_COLUMN).persist(StorageLevel.MEMORY_AND_DISK)
+        prepared = prepare(
+            normalised, MAX_TABLE_NAME - len(self.config.table_prefix), self.config.max_fields
+        ).sortWithinPartitions(ROUTING_COLUMN).persist(StorageLevel.MEMORY_AND_DISK)
         report = BatchReport(batch_id)
         try:
-            most = self.config.max_schema_rows
-            inferred = infer_schema(observe_fields(prepared), self.config.conflicts).limit(most + 1).collect()
-            if len(inferred) > most:
-                raise SchemaConflictError(f"batch {batch_id} has more than {most} tables and fields")
+            inferred = at_most_fields(infer_schema(observe_fields(prepared), self.config.conflicts), self.config.max_fields).collect()
             per_table: dict[str, list] = {}
             for r in inferred:
                 if r["reason"] is not None:
@@ -265,7 +296,7 @@ class MultiTableSink:
         """Partition columns of the sink's tables; a row-level format partitions by a transform instead."""
         if self.config.table_format != PARQUET:
             return []
-        return MERGE_PARTITIONS if self.config.mode == MERGE else [DATE_COLUMN]
+        return MERGE_PARTITIONS if self.config.mode == MERGE else APPEND_PARTITIONS
 
     def _partition_sql(self) -> list[str]:
         if self.config.table_format == "iceberg":
@@ -293,6 +324,7 @@ class MultiTableSink:
                 self._folder(self.table_name(suffix)) if self.config.table_format == PARQUET else None,
                 self.config.table_format,
                 props,
+                APPEND_OPTIONS if partitions == APPEND_PARTITIONS else None,
             )
         else:
             known = {f.name.lower() for f in stored.fields}
@@ -300,9 +332,8 @@ class MultiTableSink:
             tables.add_columns(self.spark, table, new)
         return self.spark.table(table).schema
 
-    def _check_layout(self, suffix: str) -> None:
+    def _check_layout(self, suffix: str, props: dict[str, str]) -> None:
         """A stored table keeps the partitions and buckets it was created with."""
-        props = {r["key"]: r["value"] for r in tables.table_properties(self.spark, self.table(suffix)).collect()}
         want = ",".join(self._partition_sql()).replace("`", "")
         if props.get("sluice.partition", want) != want:
             raise ValueError(f"table '{suffix}' is partitioned by {props['sluice.partition']}, the sink by {want}")
@@ -319,70 +350,79 @@ class MultiTableSink:
         self, prepared: DataFrame, suffix: str, rows: list, batch_id: int, writer: str, batch_time: dt.datetime
     ) -> bool:
         """False when an earlier attempt of this batch had committed the table."""
-        table = self.table(suffix)
-        exists = tables.table_exists(self.spark, self.config.database, self.table_name(suffix))
-        version = self._version_dir(self.table_name(suffix), writer, batch_id)
-        if exists:
-            self._check_layout(suffix)
-            manifest = tables.read_manifest(self.spark, f"{version}/_manifest")
-            if manifest is not None:
-                self._apply(table, self.table_name(suffix), version, manifest)
-                return False
-        stored = self.spark.table(table).schema if exists else None
-        plans = self.plan_fields(suffix, rows, stored)
-        schema = self._ensure_table(suffix, plans, stored)
-        data = self._table_rows(prepared, suffix, plans, batch_time)
-        if self.config.table_format != PARQUET:
-            self._row_level(table, align_to_schema(data, schema)[0], version)
-        elif self.config.mode == APPEND:
-            self._append(table, self.table_name(suffix), schema, data, writer, batch_id)
-        else:
-            self._copy_on_write(table, suffix, schema, data, writer, batch_id, has_data=exists)
+        table, name = self.table(suffix), self.table_name(suffix)
+        if rows[0]["n_fields"] > self.config.max_fields:
+            raise SchemaConflictError(f"table '{suffix}': more than {self.config.max_fields} fields in one batch")
+        with _LOCKS[table]:
+            exists = tables.table_exists(self.spark, self.config.database, name)
+            props = tables.property_map(self.spark, table) if exists else {}
+            if exists:
+                self._check_layout(suffix, props)
+                self._finish_switch(table, name, props.get(SWITCH_PROPERTY))
+                if self._is_done(props, writer, batch_id):
+                    return False
+            stored = self.spark.table(table).schema if exists else None
+            plans = self.plan_fields(suffix, rows, stored)
+            schema = self._ensure_table(suffix, plans, stored)
+            data = self._table_rows(prepared, suffix, plans, batch_time)
+            if self.config.table_format != PARQUET:
+                self._row_level(table, align_to_schema(data, schema)[0], batch_id, writer)
+            elif self.config.mode == APPEND:
+                self._append(table, schema, data, batch_id, writer)
+            else:
+                self._copy_on_write(table, suffix, schema, data, batch_id, writer, has_data=exists)
         return True
 
     def _folder(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def _version_dir(self, name: str, writer: str, batch_id: int) -> str:
-        return f"{self._folder(name)}/_v/w={writer}/b={batch_id}"
+    def _aside(self, name: str, tag: str) -> str:
+        return f"{self._folder(name)}/_v/{tag}"
+
+    # -- commits -----------------------------------------------------------
 
     @staticmethod
-    def _batch_tag(writer: str, batch_id: int) -> str:
-        return f"{writer}-{batch_id:012d}"
-
-    def _apply(self, table: str, name: str, version: str, manifest: dict) -> None:
-        """Make a complete version visible; repeating it changes nothing."""
-        if "days" in manifest:
-            tables.move_files(
-                self.spark, f"{version}/data", self._folder(name), DATE_COLUMN, manifest["days"], manifest["tag"]
-            )
-            adds = [[[d], f"{self._folder(name)}/{DATE_COLUMN}={d}"] for d in manifest["days"]]
-            tables.switch_partitions(self.spark, table, [DATE_COLUMN], adds, [])
-        elif "adds" in manifest:
-            tables.switch_partitions(self.spark, table, MERGE_PARTITIONS, manifest["adds"], manifest["drops"])
+    def _is_done(props: dict[str, str], writer: str, batch_id: int) -> bool:
+        """A writer's batches come in order, so its last committed one stands for all before it."""
+        return int(props.get(DONE_PROPERTY + writer, -1)) >= batch_id
+
+    def _mark_done(self, table: str, writer: str, batch_id: int, switch: str = "") -> None:
+        tables.set_properties(self.spark, table, {DONE_PROPERTY + writer: str(batch_id), SWITCH_PROPERTY: switch})
 
-    def _commit(self, table: str, name: str, version: str, manifest: dict) -> None:
-        tables.write_manifest(self.spark, f"{version}/_manifest", manifest)
-        self._apply(table, name, version, manifest)
+    def _finish_switch(self, table: str, name: str, tag: str | None) -> None:
+        """Point the catalog at the partitions of a committed merge; repeating it changes nothing.
+
+        Every writer does so before it reads the table, so no newer version of a
+        bucket can stand beside the merge's.
+        """
+        if not tag:
+            return
+        pairs = [DATE_COLUMN, BUCKET_COLUMN]
+        written = tables.written_folders(self.spark, f"{self._aside(name, tag)}/data", pairs)
+        emptied = tables.written_folders(self.spark, f"{self._aside(name, tag)}/emptied", pairs)
+        touched = {*written, *emptied}
+        live = tables.live_partitions(self.spark, table, DATE_COLUMN, sorted({d for d, _ in touched}))
+        adds = [[[d, b, tag], folder] for (d, b), folder in sorted(written.items())]
+        drops = [list(p) for p in sorted(live) if p[:2] in touched and p[2] != tag]
+        tables.switch_partitions(self.spark, table, MERGE_PARTITIONS, adds, drops)
+        tables.set_properties(self.spark, table, {SWITCH_PROPERTY: ""})
 
     def _copy_on_write(
-        self, table: str, suffix: str, schema: T.StructType, data: DataFrame, writer: str, batch_id: int, has_data: bool
+        self, table: str, suffix: str, schema: T.StructType, data: DataFrame, batch_id: int, writer: str, has_data: bool
     ) -> None:
         """Rewrite only the key buckets of days that the batch touches, then switch them.
 
         Touched are the buckets of the batch's rows, and those of stored rows with
-        a key of the batch: a key-only semi join that reads the buckets of the
-        batch's keys and no others. The stored rows of these buckets, minus the
-        replaced keys, and the deduplicated batch go to a fresh version folder,
-        then one manifest, one ADD and one DROP statement. Between the two
-        statements a reader may see both versions of a bucket.
+        a key of the batch. The stored rows of these buckets, minus the replaced
+        keys, and the deduplicated batch go to a fresh folder, which one statement
+        commits; then one ADD and one DROP statement. Between the two a reader may
+        see both versions of a bucket.
         """
-        name, tag = self.table_name(suffix), self._batch_tag(writer, batch_id)
+        name, tag = self.table_name(suffix), f"{writer}-{batch_id:012d}-{uuid.uuid4().hex[:8]}"
         key_col = next(f.name for f in schema.fields if f.name.lower() == self.config.key.lower())
         data_schema = T.StructType([f for f in schema.fields if f.name not in (BUCKET_COLUMN, BATCH_COLUMN)])
         aligned = with_key_bucket(align_to_schema(data, data_schema)[0], key_col, self.config.key_buckets)
         batch = result = dedupe_latest(aligned, key_col)
-        touched: set[tuple[str, str]] = set()
         replaced: list[tuple[str, ...]] = []
         if has_data:
             k = F.col(quote(key_col))
@@ -395,23 +435,42 @@ class MultiTableSink:
             size = sum(r["keys"] * KEY_ENTRY_OVERHEAD + (r["bytes"] or 0) for r in own)
             small = self._may_broadcast(size)
             keys = key_set(aligned, key_col, broadcast=small)
-            target = self.spark.table(table)
+            target = self._in_reach(self.spark.table(table), [r[DATE_COLUMN] for r in own])
             # A key is always in the bucket of its text, whatever its day.
-            in_buckets = F.col(BUCKET_COLUMN).isin(sorted({r[BUCKET_COLUMN] for r in own if r["keys"]}))
-            pairs = touched_values(target.where(in_buckets), aligned, key_col, [DATE_COLUMN, BUCKET_COLUMN], keys)
-            touched |= {(str(r[0]), str(r[1])) for r in pairs.collect()}
-            live = tables.live_partitions(self.spark, table, MERGE_PARTITIONS, sorted({d for d, _ in touched}))
+            target = target.where(F.col(BUCKET_COLUMN).isin(sorted({r[BUCKET_COLUMN] for r in own if r["keys"]})))
+            touched |= {
+                (str(r[0]), str(r[1])) for r in self._probe(target, aligned, key_col, keys, sum(r["keys"] for r in own))
+            }
+            live = tables.live_partitions(self.spark, table, DATE_COLUMN, sorted({d for d, _ in touched}))
             replaced = sorted(p for p in live if p[:2] in touched)
             if replaced:
-                stored = target.where(self._buckets_filter(replaced)).drop(BATCH_COLUMN)
+                stored = self.spark.table(table).where(self._buckets_filter(replaced)).drop(BATCH_COLUMN)
                 result = upsert_rows(stored, batch, key_col, keys, small)
-        version = self._version_dir(name, writer, batch_id)
-        written = self._write_partitioned(result, [DATE_COLUMN, BUCKET_COLUMN], [key_col], f"{version}/data")
-        manifest = {
-            "adds": [[[d, b, tag], folder] for (d, b), folder in sorted(written.items())],
-            "drops": [list(p) for p in replaced if p[2] != tag],
-        }
-        self._commit(table, name, version, manifest)
+        written = self._write_partitioned(result, [DATE_COLUMN, BUCKET_COLUMN], key_col, f"{self._aside(name, tag)}/data")
+        # Buckets whose rows all moved to another day are dropped without a successor.
+        emptied = {p[:2] for p in replaced} - set(written)
+        tables.make_folders(
+            self.spark,
+            [f"{self._aside(name, tag)}/emptied/{DATE_COLUMN}={d}/{BUCKET_COLUMN}={b}" for d, b in sorted(emptied)],
+        )
+        self._mark_done(table, writer, batch_id, switch=tag)
+        self._finish_switch(table, name, tag)
+
+    def _in_reach(self, target: DataFrame, days: list[str]) -> DataFrame:
+        """Stored rows of the days in which a batch's keys are looked for (a partition filter)."""
+        if self.config.match_days is None or not days:
+            return target
+        reach = dt.timedelta(days=self.config.match_days)
+        first, last = dt.date.fromisoformat(min(days)) - reach, dt.date.fromisoformat(max(days)) + reach
+        return target.where(F.col(DATE_COLUMN).between(F.lit(first), F.lit(last)))
+
+    def _probe(self, target: DataFrame, batch: DataFrame, key: str, keys: DataFrame, n_keys: int) -> list:
+        """(day, bucket) pairs of stored rows with a key of the batch."""
+        if n_keys > self.config.probe_literal_keys:
+            return touched_values(target, batch, key, [DATE_COLUMN, BUCKET_COLUMN], keys).collect()
+        k = F.col(quote(key))
+        values = [r[0] for r in batch.where(k.isNotNull()).select(k).distinct().collect()]
+        return target.where(k.isin(values)).select(DATE_COLUMN, BUCKET_COLUMN).distinct().collect() if values else []
 
     @staticmethod
     def _buckets_filter(partitions: list[tuple[str, ...]]):
@@ -428,45 +487,47 @@ class MultiTableSink:
         ]
         return reduce(or_, terms)
 
-    def _write_partitioned(self, rows: DataFrame, columns: list[str], order: list[str], path: str) -> dict[tuple[str, ...], str]:
+    def _write_partitioned(self, rows: DataFrame, columns: list[str], key: str, path: str) -> dict[tuple[str, ...], str]:
         """Write rows by partition into a fresh folder; partition values -> folder.
 
         Rebalanced by partition: without it every task writes one file per
         partition it holds; adaptive execution sizes the tasks and splits a hot
-        one. Sorted by key inside, so parquet statistics on it stay tight.
+        one. Sorted by key inside and with bloom filters on it, so that row groups
+        without a wanted key are not read.
         """
-        (
-            rows.hint("rebalance", *columns)
-            .sortWithinPartitions(*columns, *[quote(c) for c in order])
-            .write.mode("overwrite")
-            .partitionBy(*columns)
-            .parquet(path)
-        )
+        writer = rows.hint("rebalance", *columns).sortWithinPartitions(*columns, quote(key)).write.partitionBy(*columns)
+        if re.fullmatch(r"\w+", key):
+            writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true").option(
+                "parquet.bloom.filter.adaptive.enabled", "true"
+            )
+        writer.parquet(path)
         return tables.written_folders(self.spark, path, columns)
 
-    def _append(
-        self, table: str, name: str, schema: T.StructType, rows: DataFrame, writer: str, batch_id: int
-    ) -> None:
-        """Write the batch aside by day, then rename its files into the days' folders.
+    def _append(self, table: str, schema: T.StructType, rows: DataFrame, batch_id: int, writer: str) -> None:
+        """Overwrite the batch's own partitions, one per day, and mark it as done.
 
-        A table has one partition per day, whatever the number of batches. The
-        batch is the unit of a replay: its manifest says that the staged files are
-        complete, and files that have moved are not moved again.
+        Partitions that a failed attempt left on days that this one does not write
+        are dropped first.
         """
-        version = self._version_dir(name, writer, batch_id)
-        aligned, _ = align_to_schema(rows, schema)
-        written = self._write_partitioned(aligned, [DATE_COLUMN], [], f"{version}/data")
-        manifest = {"days": sorted(d for (d,) in written), "tag": self._batch_tag(writer, batch_id)}
-        self._commit(table, name, version, manifest)
-
-    def _row_level(self, table: str, aligned: DataFrame, version: str) -> None:
-        """The catalog's own append or merge; the marker written after it keeps a replay from repeating it."""
+        tag = f"{writer}-{batch_id:012d}"
+        left = tables.live_partitions(self.spark, table, BATCH_COLUMN, [tag])
+        tables.switch_partitions(self.spark, table, APPEND_PARTITIONS, [], [list(p) for p in left])
+        aligned, _ = align_to_schema(rows.withColumn(BATCH_COLUMN, F.lit(tag)), schema)
+        aligned.hint("rebalance", DATE_COLUMN).write.insertInto(table, overwrite=True)
+        self._mark_done(table, writer, batch_id)
+
+    def _row_level(self, table: str, aligned: DataFrame, batch_id: int, writer: str) -> None:
+        """The catalog's own append or merge; the mark set after it keeps a replay from repeating it."""
         if self.config.mode == APPEND:
             aligned.writeTo(table).append()
         else:
             key_col = next(c for c in aligned.columns if c.lower() == self.config.key.lower())
-            merge_into(dedupe_latest(aligned, key_col), table, key_col).merge()
-        tables.write_manifest(self.spark, f"{version}/_manifest", {})
+            since = None
+            if self.config.match_days is not None:
+                oldest = aligned.agg(F.min("kafka_ts").alias("t")).first()["t"]
+                since = None if oldest is None else oldest - dt.timedelta(days=self.config.match_days)
+            merge_into(dedupe_latest(aligned, key_col), table, key_col, since).merge()
+        self._mark_done(table, writer, batch_id)
 
     def _may_broadcast(self, key_bytes: int) -> bool:
         limit = self.config.broadcast_keys_max_bytes
@@ -477,26 +538,26 @@ class MultiTableSink:
     def _write_quarantine(self, prepared: DataFrame, batch_id: int, writer: str, batch_time: dt.datetime) -> None:
         name = self.config.table_prefix + self.config.quarantine_table
         table = self.quarantine_table()
-        if not tables.table_exists(self.spark, self.config.database, name):
-            columns = META_TYPES + [
-                (ROUTING_COLUMN, "STRING"),
-                ("raw_value", "STRING"),
-                ("reason", "STRING"),
-                (self.config.ingest_time_column, "TIMESTAMP"),
-                (DATE_COLUMN, "DATE"),
-            ]
-            properties = {"sluice.mode": "quarantine"}
-            tables.create_table(
-                self.spark, table, columns, [quote(DATE_COLUMN)], self._folder(name), PARQUET, properties
-            )
-        version = self._version_dir(name, writer, batch_id)
-        manifest = tables.read_manifest(self.spark, f"{version}/_manifest")
-        if manifest is not None:
-            self._apply(table, name, version, manifest)
-            return
-        rows = bad_rows(prepared).select(*META_COLUMNS, ROUTING_COLUMN, "raw_value", "reason")
-        rows = with_date_partition(stamp_ingest_time(rows, batch_time, self.config.ingest_time_column), self.config.ingest_time_column)
-        self._append(table, name, self.spark.table(table).schema, rows, writer, batch_id)
+        with _LOCKS[table]:
+            if not tables.table_exists(self.spark, self.config.database, name):
+                columns = META_TYPES + [
+                    (ROUTING_COLUMN, "STRING"),
+                    ("raw_value", "STRING"),
+                    ("reason", "STRING"),
+                    (self.config.ingest_time_column, "TIMESTAMP"),
+                    *((c, PARTITION_TYPES[c]) for c in APPEND_PARTITIONS),
+                ]
+                partitions = [quote(c) for c in APPEND_PARTITIONS]
+                properties = {"sluice.mode": "quarantine"}
+                tables.create_table(
+                    self.spark, table, columns, partitions, self._folder(name), PARQUET, properties, APPEND_OPTIONS
+                )
+            if self._is_done(tables.property_map(self.spark, table), writer, batch_id):
+                return
+            rows = bad_rows(prepared).select(*META_COLUMNS, ROUTING_COLUMN, "raw_value", "reason")
+            stamp = self.config.ingest_time_column
+            rows = with_date_partition(stamp_ingest_time(rows, batch_time, stamp), stamp)
+            self._append(table, self.spark.table(table).schema, rows, batch_id, writer)
 
     def quarantine_table(self) -> str:
         return tables.ident(self.config.database, self.config.table_prefix + self.config.quarantine_table)

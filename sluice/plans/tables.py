@@ -1,16 +1,12 @@
-"""Table DDL and commits: create, widen, properties, partition switches, manifests.
+"""Table DDL and commits: create, widen, properties, partition switches.
 
-A parquet table has no row-level MERGE, so a batch writes new partition folders
-under a version folder named after it and the catalog is then pointed at them.
-The version folder's manifest is renamed into place once the data is complete:
-a replay that finds it only repeats the (idempotent) catalog statements.
-Appended files are renamed into their day's folder under the batch's name.
+A parquet table has no row-level MERGE, so a merge batch writes new partition
+folders aside and the catalog is then pointed at them. One statement on the
+table's properties commits the batch; the switch that follows can be repeated.
 """
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 
 from sluice.functions.types import quote, sql_string  # noqa: F401  (re-exported)
@@ -33,14 +29,17 @@ def create_table(
     location: str | None,
     using: str = "parquet",
     properties: dict[str, str] | None = None,
+    options: dict[str, str] | None = None,
 ) -> str:
     """CREATE TABLE IF NOT EXISTS with every identifier quoted; returns the SQL.
 
     ``partition_by`` holds quoted columns or transforms. Without a ``location``
-    the catalog places the table.
+    the catalog places the table. ``options`` hold for every write to it.
     """
     cols = ", ".join(f"{quote(n)} {t}" for n, t in columns)
     sql = f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING {using}"
+    if options:
+        sql += " OPTIONS (" + ", ".join(f"{sql_string(k)}={sql_string(v)}" for k, v in options.items()) + ")"
     if partition_by:
         sql += " PARTITIONED BY (" + ", ".join(partition_by) + ")"
     if location:
@@ -67,11 +66,14 @@ def table_properties(spark: SparkSession, table: str) -> DataFrame:
     return spark.sql(f"SHOW TBLPROPERTIES {table}")
 
 
-def table_provider(spark: SparkSession, table: str) -> str | None:
-    for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect():
-        if row["col_name"] == "Provider":
-            return row["data_type"].lower()
-    return None
+def property_map(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in table_properties(spark, table).collect()}
+
+
+def set_properties(spark: SparkSession, table: str, properties: dict[str, str]) -> None:
+    """One catalog statement for all of them, so they change together."""
+    pairs = ", ".join(f"{sql_string(k)}={sql_string(v)}" for k, v in properties.items())
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({pairs})")
 
 
 def _path(spark: SparkSession, path: str):
@@ -81,13 +83,8 @@ def _path(spark: SparkSession, path: str):
 
 
 def written_folders(spark: SparkSession, path: str, columns: list[str]) -> dict[tuple[str, ...], str]:
-    """Partition values -> folder of a freshly written partitioned folder (one listing of folders, no file names).
-
-    A batch without rows has written none; a folder that is not there is an error.
-    """
-    fs, root = _path(spark, path)
-    if not fs.exists(root):
-        raise FileNotFoundError(path)
+    """Partition values -> folder of a partitioned folder (one listing of folders, no file names); none where there is none."""
+    fs, _ = _path(spark, path)
     _, pattern = _path(spark, path + "".join(f"/{c}=*" for c in columns))
     out = {}
     for status in fs.globStatus(pattern) or []:
@@ -96,40 +93,21 @@ def written_folders(spark: SparkSession, path: str, columns: list[str]) -> dict[
     return out
 
 
-def read_manifest(spark: SparkSession, path: str) -> dict | None:
-    """The manifest of a committed version, None where there is none; any other trouble is raised."""
-    fs, p = _path(spark, path)
-    if not fs.exists(p):
-        return None
-    stream = fs.open(p)
-    try:
-        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-    finally:
-        stream.close()
-
-
-def write_manifest(spark: SparkSession, path: str, manifest: dict) -> None:
-    """One small JSON file, written aside and renamed, so that it is whole or absent."""
-    fs, p = _path(spark, path)
-    _, aside = _path(spark, path + ".tmp")
-    stream = fs.create(aside, True)
-    try:
-        stream.write(bytearray(json.dumps(manifest).encode("utf-8")))
-    finally:
-        stream.close()
-    if not fs.rename(aside, p):
-        raise OSError(f"could not put the manifest in place: {path}")
+def make_folders(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        fs, p = _path(spark, path)
+        fs.mkdirs(p)
 
 
 def _spec(columns: list[str], values) -> str:
     return "PARTITION (" + ", ".join(f"{quote(c)}={sql_string(v)}" for c, v in zip(columns, values)) + ")"
 
 
-def live_partitions(spark: SparkSession, table: str, columns: list[str], days: list[str]) -> list[tuple[str, ...]]:
-    """Partitions of the given days of the first column registered in the catalog (metadata only)."""
+def live_partitions(spark: SparkSession, table: str, column: str, values: list[str]) -> list[tuple[str, ...]]:
+    """Partitions registered in the catalog with one of the given values of a partition column (metadata only)."""
     out = []
-    for day in days:
-        for row in spark.sql(f"SHOW PARTITIONS {table} {_spec(columns[:1], [day])}").collect():
+    for value in values:
+        for row in spark.sql(f"SHOW PARTITIONS {table} {_spec([column], [value])}").collect():
             out.append(tuple(part.split("=", 1)[1] for part in row[0].split("/")))
     return out
 
@@ -145,16 +123,3 @@ def switch_partitions(
     if drops:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(_spec(columns, values) for values in drops))
     spark.catalog.refreshTable(table)
-
-
-def move_files(spark: SparkSession, staged: str, folder: str, column: str, values: list[str], tag: str) -> None:
-    """Rename staged files into the partition folders, named after the batch. Files already moved are left alone."""
-    for value in values:
-        fs, source = _path(spark, f"{staged}/{column}={value}/part-*")
-        _, target = _path(spark, f"{folder}/{column}={value}")
-        fs.mkdirs(target)
-        for status in fs.globStatus(source) or []:
-            name = status.getPath().getName()
-            _, moved = _path(spark, f"{folder}/{column}={value}/{tag}-{name}")
-            if not fs.rename(status.getPath(), moved):
-                raise OSError(f"could not move {status.getPath().toString()}")

@@ -8,8 +8,12 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Session settings the engine relies on for correct results.
-# Last duplicate key wins when a JSON object repeats a key (as Python json.loads does).
-REQUIRED_CONF = {"spark.sql.variant.allowDuplicateKeys": "true"}
+# Last duplicate key wins when a JSON object repeats a key (as Python json.loads does);
+# the keys of a small batch reach the parquet reader one by one.
+REQUIRED_CONF = {
+    "spark.sql.variant.allowDuplicateKeys": "true",
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
+}
 
 
 def apply_required_conf(spark: SparkSession) -> None:

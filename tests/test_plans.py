@@ -173,3 +173,68 @@ def test_spread_hashes_on_record_identity_and_evens_a_hot_partition(spark):
     assert len(sizes) == 8 and max(r["count"] for r in sizes) < 2 * 600 / 8
     # Not asked for: left as it is.
     assert route.spread(batch) is batch and route.spread(batch, 0) is batch
+
+
+def scan_rows(df) -> int:
+    """Rows that the file scans of an executed plan have returned."""
+    df.collect()
+    total, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+            continue
+        if name.endswith("QueryStage"):
+            todo.append(node.plan())
+            continue
+        if name.startswith("Scan parquet"):
+            total += node.metrics().get("numOutputRows").get().value()
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+def test_a_small_batch_reads_few_row_groups_of_the_key_column(spark):
+    hadoop = spark._jsc.hadoopConfiguration()
+    kept = hadoop.get("parquet.block.size")
+    hadoop.set("parquet.block.size", str(16 << 10))
+    hadoop.set("parquet.page.row.count.limit", "500")
+    try:
+        sink = new_sink(spark, key_buckets=1)
+        n = 40_000
+        # Wide random keys, several batches: ranges of keys say little about a file's row groups.
+        ids = spark.range(n).selectExpr("id", "abs(xxhash64(id)) AS k")
+        for b in range(2):
+            rows = ids.where(f"id % 2 = {b}").selectExpr(
+                "cast('x' AS binary) AS key",
+                "cast(concat('{\"unique_id\":', k, '}') AS binary) AS value",
+                "'topic' AS topic",
+                "0 AS partition",
+                "id AS offset",
+                f"timestamp '2024-01-0{b + 1} 00:00:00' AS timestamp",
+                "0 AS timestampType",
+                "array(named_struct('key', 'table_suffix', 'value', cast('t' AS binary))) AS headers",
+            )
+            sink.process_batch(rows.coalesce(2), b, "w", BATCH_TIME)
+        keys = [r["k"] for r in ids.where("id < 10").collect()]
+        target = spark.table(sink.table("t"))
+        found = target.where(F.col("unique_id").isin(keys)).select("kafka_date", "key_bucket").distinct()
+        read = scan_rows(found)
+        assert len(found.collect()) == 2 and read < n / 5, read
+        # The sink looks for keys in this way.
+        batch = spark.createDataFrame([(k,) for k in keys], "unique_id long")
+        assert len(sink._probe(target, batch, "unique_id", merge.key_set(batch, "unique_id"), 10)) == 2
+        assert len(sink._probe(target, batch, "unique_id", merge.key_set(batch, "unique_id"), 10**6)) == 2
+    finally:
+        hadoop.unset("parquet.page.row.count.limit")
+        hadoop.set("parquet.block.size", kept) if kept else hadoop.unset("parquet.block.size")
+
+
+def test_the_days_asked_for_are_a_partition_filter(spark):
+    sink = new_sink(spark, match_days=2)
+    rows = [("t", json.dumps({"unique_id": i}), i, 86_400 * i) for i in range(9)]
+    sink.process_batch(records(spark, rows), 0, "w", BATCH_TIME)
+    text = plan_text(sink._in_reach(spark.table(sink.table("t")), ["2024-01-05"]).select("unique_id"))
+    scans = [line for line in text.splitlines() if "PartitionFilters" in line]
+    assert any("kafka_date" in s and "2024-01-03" in s and "2024-01-07" in s for s in scans)

@@ -1,7 +1,6 @@
 from __future__ import annotations
 
 import json
-import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -132,50 +131,93 @@ def test_replay_after_interrupted_commit(spark, monkeypatch):
     assert _state(sink, TABLES) == _state(reference, TABLES)
 
 
-def test_lost_manifest_rename_leaves_nothing_visible(spark, monkeypatch):
-    sink = new_sink(spark, mode="append")
-    rows = [("t", '{"unique_id":1}', 1), ("t", "{bad", 2)]
+def test_a_batch_lost_before_its_commit_leaves_nothing_visible(spark, monkeypatch):
+    rows = [("t", '{"unique_id":1}', 1), ("t", '{"unique_id":2}', 2), ("t", "{bad", 3)]
 
     def lost(*args):
-        raise RuntimeError("lost the driver before the manifest")
+        raise RuntimeError("lost the driver before the commit")
+
+    for mode in ("append", "merge"):
+        sink = new_sink(spark, mode=mode)
+        with monkeypatch.context() as m:
+            m.setattr(table_ops, "set_properties", lost)
+            with pytest.raises(RuntimeError):
+                sink.process_batch(records(spark, rows), 0, "w", BATCH_TIME)
+        assert mode == "append" or sink.read("t").count() == 0
+        # Another writer may come first.
+        sink.process_batch(records(spark, [("t", '{"unique_id":3}', 4)]), 0, "other", BATCH_TIME)
+        sink.process_batch(records(spark, rows), 0, "w", BATCH_TIME)
+        assert sorted(r["unique_id"] for r in sink.read("t").collect()) == [1, 2, 3]
+        assert spark.table(sink.quarantine_table()).count() == 1
+
 
+def test_a_lost_append_on_another_day_is_dropped_by_its_replay(spark, monkeypatch):
+    sink = new_sink(spark, mode="append")
+    batch = records(spark, [("t", '{"unique_id":1}', 1), ("t", '{"unique_id":2}', 2)])
+    batch = batch.withColumn("timestamp", F.when(F.col("offset") == 1, F.col("timestamp")))
     with monkeypatch.context() as m:
-        m.setattr(table_ops, "write_manifest", lost)
+        m.setattr(table_ops, "set_properties", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
         with pytest.raises(RuntimeError):
-            sink.process_batch(records(spark, rows), 0, "w", BATCH_TIME)
-    assert sink.read("t").count() == 0
-    moved = table_ops.move_files
+            sink.process_batch(batch, 0, "w", BATCH_TIME)
+    sink.process_batch(batch, 0, "w", BATCH_TIME.replace(day=2))  # a record without a time takes the batch's day
+    got = sorted((r["unique_id"], str(r["kafka_date"])) for r in sink.read("t").collect())
+    assert got == [(1, "2024-01-01"), (2, "2024-06-02")]
 
-    def half(spark_, staged, folder, column, values, tag):
-        moved(spark_, staged, folder, column, values, tag)
-        raise RuntimeError("lost the driver after the moves")
 
+def test_a_batch_that_comes_again_after_another_writer_changes_nothing(spark):
+    def batch(keys, value, offset):
+        return records(spark, [("t", json.dumps({"unique_id": k, "v": value}), offset + k) for k in keys])
+
+    for mode, want in (("merge", {"old": 10, "new": 10}), ("append", {"old": 20, "new": 10})):
+        sink = new_sink(spark, mode=mode)
+        sink.process_batch(batch(range(20), "old", 0), 0, "stream", BATCH_TIME)
+        sink.process_batch(batch(range(10), "new", 100), 0, "backfill", BATCH_TIME)
+        report = sink.process_batch(batch(range(20), "old", 0), 0, "stream", BATCH_TIME)
+        assert report.skipped == ["t"]
+        assert {r["v"]: r["n"] for r in sink.read("t").groupBy("v").agg(F.count("*").alias("n")).collect()} == want
+        assert sink.read("t").count() == sum(want.values())
+
+
+def test_a_cut_switch_is_finished_by_the_next_writer(spark, monkeypatch):
+    sink = new_sink(spark, key_buckets=2)
+    rows = [("t", json.dumps({"unique_id": i, "v": 0}), i) for i in range(8)]
+    sink.process_batch(records(spark, rows), 0, "a", BATCH_TIME)
+    real = table_ops.switch_partitions
+
+    def cut(spark_, table, columns, adds, drops):
+        real(spark_, table, columns, adds, [])
+        raise RuntimeError("lost the driver between the statements")
+
+    moved = [("t", json.dumps({"unique_id": i, "v": 1}), 100 + i, 86_400) for i in range(8)]
     with monkeypatch.context() as m:
-        m.setattr(table_ops, "move_files", half)
+        m.setattr(table_ops, "switch_partitions", cut)
         with pytest.raises(RuntimeError):
+            sink.process_batch(records(spark, moved), 1, "a", BATCH_TIME)
+    sink.process_batch(records(spark, [("t", '{"unique_id":3,"v":2}', 300, 86_400)]), 0, "b", BATCH_TIME)
+    got = sorted((r["unique_id"], r["v"], str(r["kafka_date"])) for r in sink.read("t").collect())
+    assert got == [(i, 2 if i == 3 else 1, "2024-01-02") for i in range(8)]
+    assert sink.process_batch(records(spark, moved), 1, "a", BATCH_TIME).skipped == ["t"]
+
+
+def test_a_dropped_table_is_loaded_again_by_the_same_batch(spark):
+    rows = [("t", '{"unique_id":1}', 1), ("t", '{"unique_id":2}', 2)]
+    for mode in ("merge", "append"):
+        sink = new_sink(spark, mode=mode)
+        for _ in range(2):
             sink.process_batch(records(spark, rows), 0, "w", BATCH_TIME)
-    sink.process_batch(records(spark, rows), 0, "w", BATCH_TIME)
-    assert sink.read("t").count() == 1 and spark.table(sink.quarantine_table()).count() == 1
+            assert sink.read("t").count() == 2
+            spark.sql(f"DROP TABLE {sink.table('t')}")
 
 
-def test_append_tables_have_one_partition_per_day(spark):
+def test_append_tables_have_one_partition_per_day_and_batch(spark):
     sink = new_sink(spark, mode="append")
-    for b in range(4):
+    for b in range(3):
         rows = [("t", json.dumps({"unique_id": i}), 10 * b + i, 86_400 * (i % 2)) for i in range(6)]
         sink.process_batch(records(spark, rows), b, "w", BATCH_TIME)
     parts = spark.sql(f"SHOW PARTITIONS {sink.table('t')}").collect()
-    assert sorted(r[0] for r in parts) == ["kafka_date=2024-01-01", "kafka_date=2024-01-02"]
-    assert sink.read("t").count() == 24
-
-
-def test_manifest_of_many_partitions_is_written_without_a_job(spark):
-    path = scratch_path(spark, "manifest") + "/_manifest"
-    entries = {"adds": [[["2024-01-01", str(i), "w-1"], f"file:/x/{i}"] for i in range(4000)], "drops": []}
-    assert table_ops.read_manifest(spark, path) is None
-    started = time.monotonic()
-    table_ops.write_manifest(spark, path, entries)
-    assert table_ops.read_manifest(spark, path) == entries
-    assert time.monotonic() - started < 5
+    tags = [f"w-{b:012d}" for b in range(3)]
+    assert sorted(r[0] for r in parts) == [f"kafka_date=2024-01-0{d}/ingest_batch={t}" for d in (1, 2) for t in tags]
+    assert sink.read("t").count() == 18 and "ingest_batch" not in sink.read("t").columns
 
 
 def test_failure_of_one_table_finishes_the_others(spark, monkeypatch):
@@ -202,10 +244,47 @@ def test_fractional_and_wide_keys(spark):
     assert sorted(str(r["unique_id"]) for r in sink.read("t").collect()) == ["18446744073709551614", "18446744073709551616"]
 
 
-def test_too_many_schema_rows_are_refused(spark):
-    sink = new_sink(spark, max_schema_rows=10)
-    with pytest.raises(SchemaConflictError, match="more than 10"):
-        sink.process_batch(records(spark, [(f"t{i}", '{"unique_id":1}', i) for i in range(11)]), 0, "w", BATCH_TIME)
+def test_poison_records_do_not_stop_the_other_tables_or_the_next_batch(spark):
+    sink = new_sink(spark, max_fields=10)
+    wide = {f"f{i}": 1 for i in range(11)} | {"unique_id": 1}
+    for b in range(2):
+        rows = [
+            ("t", json.dumps({"unique_id": b}), 10 * b),
+            ("t", json.dumps(wide), 10 * b + 1),
+            ("x" * 300, '{"unique_id":1}', 10 * b + 2),
+            ("x" * 128, '{"unique_id":1}', 10 * b + 3),
+        ]
+        report = sink.process_batch(records(spark, rows), b, "w", BATCH_TIME)
+        assert report.quarantined == {"too_many_fields": 1, "invalid_suffix": 1}
+    assert sink.read("t").count() == 2 and sink.read("x" * 128).count() == 1
+    reasons = sorted(r["reason"] for r in spark.table(sink.quarantine_table()).collect())
+    assert reasons == ["invalid_suffix"] * 2 + ["too_many_fields"] * 2
+
+
+def test_the_prefix_counts_in_the_length_of_a_name(spark):
+    sink = new_sink(spark, table_prefix="p" * 100)
+    rows = [("x" * 29, '{"unique_id":1}', 1), ("x" * 28, '{"unique_id":1}', 2)]
+    report = sink.process_batch(records(spark, rows), 0, "w", BATCH_TIME)
+    assert report.quarantined == {"invalid_suffix": 1} and report.tables == {"x" * 28: 1}
+
+
+def test_a_table_with_too_many_fields_in_a_batch_is_refused_alone(spark):
+    sink = new_sink(spark, max_fields=10)
+    many = [("many", json.dumps({"unique_id": i, f"a{i}": 1, f"b{i}": 1}), i) for i in range(9)]
+    rows = [*many, ("t", '{"unique_id":1}', 100), ("empty", "{}", 101)]
+    with pytest.raises(SchemaConflictError, match="'many': more than 10 fields"):
+        sink.process_batch(records(spark, rows), 0, "w", BATCH_TIME)
+    assert sink.read("t").count() == 1 and not spark.catalog.tableExists(sink.table("many"))
+
+
+def test_keys_are_matched_within_the_days_asked_for(spark):
+    for days, want in ((None, [1, 1]), (1, [0, 1, 1]), (5, [1, 1])):
+        sink = new_sink(spark, match_days=days)
+        first = [("t", '{"unique_id":1,"v":0}', 1, 0), ("t", '{"unique_id":2,"v":0}', 2, 4 * 86_400)]
+        sink.process_batch(records(spark, first), 0, "w", BATCH_TIME)
+        again = [("t", '{"unique_id":1,"v":1}', 3, 5 * 86_400), ("t", '{"unique_id":2,"v":1}', 4, 5 * 86_400)]
+        sink.process_batch(records(spark, again), 1, "w", BATCH_TIME)
+        assert sorted(r["v"] for r in sink.read("t").collect()) == want, days
 
 
 def test_other_number_of_buckets_is_refused(spark):
@@ -225,7 +304,8 @@ def test_row_level_statements(spark, monkeypatch):
     monkeypatch.setattr(table_ops, "create_table", lambda _s, *a: said.append(a))
     monkeypatch.setattr(type(spark), "table", lambda _s, _t: spark.range(1))
     sink._ensure_table("t", sink.plan_fields("t", [_field("unique_id", "BIGINT")], None), None)
-    table, columns, partitions, location, using, props = said[0]
+    table, columns, partitions, location, using, props, options = said[0]
+    assert options is None
     assert (table, partitions, location, using) == ("`cat`.`db`.`t`", ["days(`kafka_ts`)"], None, "iceberg")
     assert [c for c, _ in columns][-2:] == ["unique_id", "ingested_to_iceberg"]
 
@@ -336,12 +416,11 @@ def test_append_mode_replay_does_not_duplicate(spark):
     assert sink.read("t").count() == 4
 
 
-def test_table_properties_and_provider(spark):
+def test_table_properties(spark):
     sink = new_sink(spark, properties={"team": "ingest"})
     sink.process_batch(records(spark, [("t", '{"unique_id":1}', 1)]), 0, "w", BATCH_TIME)
-    props = {r["key"]: r["value"] for r in table_ops.table_properties(spark, sink.table("t")).collect()}
+    props = table_ops.property_map(spark, sink.table("t"))
     assert props["sluice.key"] == "unique_id" and props["team"] == "ingest"
-    assert table_ops.table_provider(spark, sink.table("t")) == "parquet"
 
 
 def test_stream_restart_equals_uninterrupted_run(spark):
@@ -399,3 +478,33 @@ def test_record_without_time_lands_in_batch_day(spark):
     sink.process_batch(df, 1, "w", BATCH_TIME)
     got = sorted((r["unique_id"], str(r["kafka_date"])) for r in sink.read("t").collect())
     assert got == [(1, "2024-01-01"), (2, "2024-06-01")]
+
+
+def test_a_backlog_is_taken_in_parts_and_resumed_in_the_middle(spark, monkeypatch):
+    base = scratch_path(spark, "backlog-test")
+    for i in range(6):
+        rows = [("t", json.dumps({"unique_id": k, "v": i}), 10 * i + k) for k in range(i, i + 3)]
+        envelope.write_json(records(spark, rows).coalesce(1), f"{base}/in")
+    sink = new_sink(spark)
+    taken = []
+    real = sink.process_batch
+
+    def stopping(df, batch_id, **kw):
+        taken.append(batch_id)
+        if len(taken) == 2:
+            raise RuntimeError("lost in the middle of the backlog")
+        return real(df, batch_id, **kw)
+
+    monkeypatch.setattr(sink, "process_batch", stopping)
+
+    def run():
+        stream = envelope.read_json_stream(spark, f"{base}/in", max_files_per_trigger=2)
+        return streaming.run_available(sink, stream, f"{base}/ck", streaming.fixed_time(BATCH_TIME))
+
+    with pytest.raises(Exception, match="in the middle of the backlog"):
+        run()
+    assert sorted(r["unique_id"] for r in sink.read("t").collect()) == [0, 1, 2, 3]
+    run()
+    assert taken == [0, 1, 1, 2]
+    got = {r["unique_id"]: r["v"] for r in sink.read("t").collect()}
+    assert got == {k: min(k, 5) for k in range(8)}
