@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import ref, stage_table, text_of
+from sluice.llm.common import ref, small_batches, stage_table, text_of
 from sluice.llm.packing import pack, pack_sorted, rows_of, squeeze, unpack, unpack_sorted, unsqueeze
 
 # What parts pieces, and the least occurrences, lengths and thresholds of a candidate.
@@ -326,6 +326,7 @@ def frequent_phrases(
     shard_entries: int = SHARD_ENTRIES,
 ) -> tuple[DataFrame, DataFrame]:
     """(lang, words, f) of every phrase of up to ``max_words`` words with ``min_count`` occurrences; (lang, n) words in all."""
+    small_batches(docs.sparkSession)
     relation = stage_table(
         docs.select(
             F.coalesce(ref("lang").cast("string"), F.lit("und")).alias("lang"), text_of().cast("binary").alias("text")

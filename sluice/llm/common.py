@@ -64,6 +64,18 @@ def drop_at_exit(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
 
 
+# Rows of whole texts that go to Python at once: Arrow buffers double as they grow, in the JVM and beside it.
+BATCH_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's rows per Arrow batch to ``BATCH_ROWS``; a lower setting stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = int(spark.conf.get(name))
+    if rows <= 0 or rows > BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def global_rank(df: DataFrame, keys: list[Column], name: str, label: str) -> DataFrame:
     """1-based rank of each row by ``keys`` without sorting everything in one task.
 
