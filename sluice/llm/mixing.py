@@ -10,14 +10,17 @@ Defined cases
 * null text: size 0, never fails; a document of size 0 counts no tokens.
 * null source: one source of its own, ranked last.
 * null ``doc_id``: seeded by its text, like any other.
-* repeated rows: each row is a document; equal rows draw equal numbers.
+* repeated rows: rows of one id, source and text are numbered, and each draws the
+  first one's number moved on by the golden ratio for each row before it. So of
+  k equal rows a share within a copy or two of the rate is taken; which of them
+  gets which number may depend on the partitions, and does not matter.
 * empty table: no rows. All sizes 0: targets 0, nothing is taken.
 * extra columns: carried through ``mix`` untouched, whatever their names.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.common import global_rank, ref, stage_table, text_of, words
@@ -28,6 +31,9 @@ WEIGHTS = (1, 2, 3)
 MAX_REPEATS = 3
 SEED = "mix-1"
 
+# Fixed value: the step between the draws of equal rows; its multiples are spread evenly over [0, 1).
+GOLDEN = 0.6180339887498949
+
 
 def draw(doc_id: Column, text: Column, seed: str = SEED) -> Column:
     """A number in [0, 1) fixed by the document and the seed: 52 bits of an MD5."""
@@ -35,6 +41,27 @@ def draw(doc_id: Column, text: Column, seed: str = SEED) -> Column:
     return F.conv(F.substring(F.md5(key.cast("binary")), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
+def number_equal(rows: DataFrame, key: str, row: str) -> DataFrame:
+    """_row, nth (from 0) of the rows whose key is not theirs alone.
+
+    ``row`` is a ``monotonically_increasing_id``, so its high bits are the row's
+    partition. Rows are numbered inside their partition, and partitions of a
+    key by the counts before them: a key on a third of all rows is split.
+    """
+    keys = rows.select(F.col(key).alias("_key"), F.col(row).alias("_row"), F.shiftright(row, 33).alias("_part"))
+    many = keys.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col("_key").alias("_many"))
+    found = keys.join(many, F.col("_key") == F.col("_many"), "left_semi")
+    here = found.withColumn("_here", F.row_number().over(Window.partitionBy("_key", "_part").orderBy("_row")))
+    counts = found.groupBy("_key", "_part").agg(F.count(F.lit(1)).alias("_n"))
+    so_far = Window.partitionBy("_key").orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = counts.select(
+        F.col("_key").alias("_k"), F.col("_part").alias("_p"), (F.sum("_n").over(so_far) - F.col("_n")).alias("_before")
+    )
+    return here.join(before, (F.col("_key") == F.col("_k")) & (F.col("_part") == F.col("_p"))).select(
+        "_row", (F.col("_before") + F.col("_here") - 1).alias("nth")
+    )
+
+
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
     """source, source_size, target for each source of ``sizes`` (source, size).
 
@@ -92,6 +119,7 @@ def plan_mix(
     table, and both the per-source sums and the copies come from that.
     """
     text = text_of()
+    same = F.concat_ws("\x1f", ref("doc_id").cast("string"), F.md5(text.cast("binary")), F.md5(ref("source").cast("binary")))
     kept = F.struct(*[ref(c) for c in carry]).alias("carried") if carry else None
     sizes = stage_table(
         docs.select(
@@ -99,10 +127,16 @@ def plan_mix(
             ref("source").cast("string").alias("source"),
             F.size(words(text)).cast("long").alias("size"),
             draw(ref("doc_id"), text, seed).alias("u"),
+            F.xxhash64(same, ref("doc_id").isNull(), ref("source").isNull()).alias("key"),
+            F.monotonically_increasing_id().alias("row"),
             *([kept] if carry else []),
         ),
         "mix-sizes",
     )
+    numbers = stage_table(number_equal(sizes, "key", "row"), "mix-equal")
+    sizes = sizes.join(numbers, F.col("row") == F.col("_row"), "left").drop("_row", "row", "key")
+    moved = F.col("u") + F.coalesce("nth", F.lit(0)).cast("double") * F.lit(GOLDEN)
+    sizes = sizes.withColumn("u", moved - F.floor(moved).cast("double")).drop("nth")
     targets = source_targets(sizes.select("source", "size"), weights, max_repeats).withColumnRenamed("source", "_source")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     joined = sizes.join(targets, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")

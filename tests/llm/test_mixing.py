@@ -3,6 +3,7 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from sluice.llm import mixing
 from tests.llm.conftest import EXTRA, ODD, SCHEMA, frame
@@ -62,3 +63,28 @@ def test_odd_rows(odd, nothing):
     assert mixing.mix(odd).columns == SCHEMA.names
     assert {r["a.b"] for r in mixing.mix(odd).collect()} == {"x"} and "a.b" in EXTRA
     assert mixing.mix(nothing).count() == 0
+
+
+def test_equal_rows_are_taken_at_the_rate(spark):
+    rows = [(1, "one two three four five", "en", "a", 0)] * 400 + [(i, "w w w w w", "en", "b", 0) for i in range(2, 402)]
+    rows += [(None, "w w w w w", "en", None, 0)] * 300
+    for parts in (1, 7):
+        docs = frame(spark, rows).repartition(parts)
+        plan = mixing.plan_mix(docs).collect()
+        assert len(plan) == len(rows)
+        for source, rel in (("a", 0.02), (None, 0.02), ("b", 0.2)):
+            mine = [r for r in plan if r["source"] == source]
+            assert sum(r["size"] * r["copies"] for r in mine) == pytest.approx(mine[0]["target"], rel=rel), source
+        mixed = Counter(r["source"] for r in mixing.mix(docs).collect())
+        assert mixed == Counter(r["source"] for r in plan for _ in range(r["copies"]))
+
+
+def test_equal_rows_are_numbered_across_partitions(spark):
+    rows = spark.range(100).selectExpr("id % 3 AS key", "id").repartition(6, "id").select(
+        "key", F.monotonically_increasing_id().alias("row")
+    )
+    held = {r["row"]: r["key"] for r in rows.collect()}
+    numbers = {}
+    for r in mixing.number_equal(rows, "key", "row").collect():
+        numbers.setdefault(held[r["_row"]], []).append(r["nth"])
+    assert {k: sorted(v) for k, v in numbers.items()} == {k: list(range(len(range(k, 100, 3)))) for k in range(3)}
