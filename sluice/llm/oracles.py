@@ -34,7 +34,7 @@ WITH d AS (
   SELECT f.host, f.line FROM (
     SELECT host, line, count(*) AS n_docs FROM (SELECT DISTINCT host, line, doc_id FROM norm) GROUP BY host, line
   ) f JOIN hosts h ON f.host IS NOT DISTINCT FROM h.host
-  WHERE f.n_docs > 10 AND f.n_docs > h.host_docs * 0.1
+  WHERE f.n_docs > 10 AND (f.n_docs > h.host_docs * 0.02 OR f.n_docs > 1000)
 ), gone AS (
   SELECT n.rid, sum(n.n)::BIGINT AS n_removed
   FROM norm n JOIN common c ON n.line = c.line AND n.host IS NOT DISTINCT FROM c.host GROUP BY n.rid
@@ -53,10 +53,13 @@ FROM m
 
 OP8 = rf"""
 WITH s AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_WORDS}'))::BIGINT AS size,
-         ('0x' || md5('mix-1' || chr(31) || coalesce(doc_id::VARCHAR, '') || chr(31) || md5(coalesce(text, '')))[1:13])::BIGINT
-           / 4503599627370496.0::DOUBLE AS u
-  FROM documents
+  SELECT doc_id, source, size, v - floor(v) AS u FROM (
+    SELECT *, u + nth::DOUBLE * 0.6180339887498949::DOUBLE AS v FROM (
+      SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_WORDS}'))::BIGINT AS size,
+             ('0x' || md5('mix-1' || chr(31) || coalesce(doc_id::VARCHAR, '') || chr(31) || md5(coalesce(text, '')))[1:13])::BIGINT
+               / 4503599627370496.0::DOUBLE AS u,
+             row_number() OVER (PARTITION BY doc_id, source, coalesce(text, '')) - 1 AS nth
+      FROM documents))
 ), src AS (
   SELECT source, sum(size)::BIGINT AS source_size, ((row_number() OVER (ORDER BY source NULLS LAST)) - 1) % 3 + 1 AS weight
   FROM s GROUP BY source

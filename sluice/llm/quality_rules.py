@@ -22,10 +22,12 @@ from pyspark.sql import functions as F
 
 from sluice.llm.common import BLANKS, ascii_lower, let, ref, stage_table, text_of, total, words
 
-# Defaults of the operator. A line is boilerplate of a host when it stands in
-# more than max(MIN_DOCS, MAX_SHARE * documents of the host) of its documents.
+# Defaults of the operator. A line is boilerplate of a host when it stands in more
+# than MIN_DOCS of its documents, and in more than MAX_SHARE of them or MAX_DOCS:
+# the limit does not rise without end with a large host.
 MIN_DOCS = 10
-MAX_SHARE = 0.1
+MAX_SHARE = 0.02
+MAX_DOCS = 1_000
 MAX_REMOVED = 0.7  # a document losing more than this share of its words is depleted
 WINDOW = 8
 MIN_WORDS = 20
@@ -107,7 +109,9 @@ def measure(docs: DataFrame) -> DataFrame:
     )
 
 
-def boilerplate(lines: DataFrame, docs_per_host: DataFrame, min_docs: int, max_share: float) -> DataFrame:
+def boilerplate(
+    lines: DataFrame, docs_per_host: DataFrame, min_docs: int, max_share: float, max_docs: int = MAX_DOCS
+) -> DataFrame:
     """host, line for the lines above their host's limit. ``lines``: host, doc_id, line."""
     held = (
         lines.dropDuplicates(["host", "line", "doc_id"])
@@ -117,12 +121,16 @@ def boilerplate(lines: DataFrame, docs_per_host: DataFrame, min_docs: int, max_s
     )
     sizes = docs_per_host.withColumnRenamed("host", "_host")
     return held.join(sizes, F.col("host").eqNullSafe(F.col("_host"))).where(
-        F.col("n_docs") > F.col("host_docs") * F.lit(max_share)
+        (F.col("n_docs") > F.col("host_docs") * F.lit(max_share)) | (F.col("n_docs") > max_docs)
     ).select("host", "line")
 
 
 def quality_rules(
-    docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, max_removed: float = MAX_REMOVED
+    docs: DataFrame,
+    min_docs: int = MIN_DOCS,
+    max_share: float = MAX_SHARE,
+    max_removed: float = MAX_REMOVED,
+    max_docs: int = MAX_DOCS,
 ) -> DataFrame:
     """Per document: the base counts, ``n_removed`` words in boilerplate lines, ``base_failed``, ``kept``.
 
@@ -135,7 +143,7 @@ def quality_rules(
         "row_id", "doc_id", "host", "x.line", "x.n"
     )
     hosts = rows.select("host", "doc_id").dropDuplicates().groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
-    common = boilerplate(lines.select("host", "doc_id", "line"), hosts, min_docs, max_share).select(
+    common = boilerplate(lines.select("host", "doc_id", "line"), hosts, min_docs, max_share, max_docs).select(
         F.col("host").alias("_host"), F.col("line").alias("_line")
     )
     removed = (

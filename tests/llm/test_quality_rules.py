@@ -62,6 +62,21 @@ def test_lines_above_the_limit_deplete_documents(spark):
     assert got[201]["n_removed"] == 0 and got[201]["kept"]
 
 
+def test_the_limit_is_bounded_in_a_large_host(spark):
+    menu = SENTENCE + " and more words of a menu"
+    rows = [(i, (menu + "\n" if i < 12 else "") + f"short {i}", "en", "h", 0) for i in range(100)]
+    docs = frame(spark, rows)
+
+    def rejected(**limits):
+        got = quality_rules.quality_rules(docs, **limits).collect()
+        return {r["doc_id"] for r in got if not r["kept"] and not r["base_failed"]}
+
+    assert rejected(max_share=0.5) == set()
+    assert rejected(max_share=0.5, max_docs=11) == set(range(12))
+    assert rejected(max_share=0.1) == set(range(12))
+    assert rejected(min_docs=12, max_share=0.1) == set()
+
+
 def test_empty_table(nothing):
     assert quality_rules.quality_rules(nothing).count() == 0
 
