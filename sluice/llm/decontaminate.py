@@ -6,8 +6,12 @@ rarest terms in the corpus are its anchors; the index stores the postings
 lists are shifted by the anchors' offsets and intersected: a document is a
 candidate for a window when all anchors meet on one diagonal (document position
 minus item position). Candidates are compared word for word, and every document
-word inside an occurrence is marked. ``proximity_matches`` accepts anchors that
-meet within a slop instead of on one diagonal.
+word inside an occurrence is marked.
+
+Proximity matches are found beside them: anchors that meet within ``SLOP`` words
+of their order make a candidate, and a window counts as near where at least
+``NEAR_PERCENT`` of its words stand there in its order. A window whose anchors
+themselves are changed is not found.
 
 Scans know the test terms by a bitmap of fixed size (``SLOTS`` bits), whatever
 the benchmark's size; an exact join on the term follows. Document counts of
@@ -18,8 +22,9 @@ Defined cases
 -------------
 * null or empty text: no words, no hit. An item without words has no window and
   never matches.
-* null ``doc_id``: rows with null ids share candidates; each row is compared
-  with its own text. Repeated ids likewise.
+* null or repeated ``doc_id``: candidates belong to an id and text (by a hash of
+  both), so rows with null ids do not gather in one group; each row is compared
+  with its own text.
 * null ``item_id``: counted as the item with the empty id; repeated ids count once.
 * an item shorter than a window is one window of all its words.
 * empty documents: no rows. Empty benchmark: nothing is hit.
@@ -45,6 +50,8 @@ ANCHORS = 2
 SLICE = 4 << 20  # bytes of text held as words at a time
 SLOTS = 1 << 22  # bits of the term bitmap: half a megabyte, at most SLOTS integers reach the driver
 _BITS = 63
+SLOP = 3
+NEAR_PERCENT = 80
 
 # Bytes that part words (all ASCII but 0-9, A-Z, a-z), and the lower-casing of A-Z.
 _TABLE = bytes(
@@ -148,8 +155,13 @@ def choose_anchors(windows: DataFrame, counts: DataFrame, anchors: int = ANCHORS
     )
 
 
+def row_key() -> Column:
+    """What rows share that share their candidates: a hash of id and text. It may clash, as texts are compared at the end."""
+    return F.xxhash64(ref("doc_id").cast("long"), text_of())
+
+
 def build_index(docs: DataFrame, words: DataFrame) -> DataFrame:
-    """term, doc_id, positions: postings of the training tokens whose term is in ``words``."""
+    """term, doc_id, row (see ``row_key``), positions: postings of the training tokens whose term is in ``words``."""
     bitmap = term_bitmap(docs.sparkSession, words)
 
     def post(batches):
@@ -157,39 +169,40 @@ def build_index(docs: DataFrame, words: DataFrame) -> DataFrame:
             cut = [terms(t) for t in part["text"]]
             wanted = _in_bitmap(bitmap.value, set().union(*cut))
             out: list[tuple] = []
-            for doc_id, tokens in zip(part["doc_id"], cut):
+            for doc_id, row, tokens in zip(part["doc_id"], part["row"], cut):
                 lists: dict[bytes, list[int]] = {}
                 for at, w in enumerate(tokens):
                     if w in wanted:
                         lists.setdefault(w, []).append(at)
                 doc_id = None if pd.isna(doc_id) else int(doc_id)
-                out.extend((w.decode("utf-8"), doc_id, at) for w, at in lists.items())
-            made = pd.DataFrame(out, columns=["term", "doc_id", "positions"], dtype=object)
-            yield made.astype({"doc_id": "Int64"})
+                out.extend((w.decode("utf-8"), doc_id, row, at) for w, at in lists.items())
+            made = pd.DataFrame(out, columns=["term", "doc_id", "row", "positions"], dtype=object)
+            yield made.astype({"doc_id": "Int64", "row": "int64"})
 
     posted = docs.select(
-        ref("doc_id").cast("long").alias("doc_id"), text_of().cast("binary").alias("text")
-    ).mapInPandas(post, "term string, doc_id long, positions array<int>")
+        ref("doc_id").cast("long").alias("doc_id"), row_key().alias("row"), text_of().cast("binary").alias("text")
+    ).mapInPandas(post, "term string, doc_id long, row long, positions array<int>")
     asked = words.select(F.col("term").alias("_term")).distinct()
     return stage_table(posted.join(asked, F.col("term") == F.col("_term"), "left_semi"), "postings")
 
 
 def shifted_postings(index: DataFrame, anchors: DataFrame) -> DataFrame:
-    """doc_id, item, p, diagonal: each anchor's posting list shifted by its place in the item."""
+    """doc_id, row, item, p, diagonal: each anchor's posting list shifted by its place in the item."""
     places = anchors.select(F.col("term").alias("_term"), "item", "p").distinct()
     return index.join(places, F.col("term") == F.col("_term")).select(
-        "doc_id", "item", "p", F.explode(F.transform("positions", lambda x: x - F.col("p"))).alias("diagonal")
+        "doc_id", "row", "item", "p", F.explode(F.transform("positions", lambda x: x - F.col("p"))).alias("diagonal")
     )
 
 
 def phrase_candidates(index: DataFrame, anchors: DataFrame) -> DataFrame:
-    """doc_id, item, diagonal, ws: windows all of whose anchors meet on the diagonal."""
+    """doc_id, row, item, diagonal, ws: windows all of whose anchors meet on the diagonal."""
+
     def bit(p: Column) -> Column:
         return F.call_function("shiftleft", F.lit(1).cast("long"), (p % _BITS).cast("int"))
 
     # Anchors met are bits, so the intersection is one hash aggregate of numbers; items longer than
     # _BITS words share bits, which can only let through a window that the comparison then refuses.
-    met = shifted_postings(index, anchors).groupBy("doc_id", "item", "diagonal").agg(F.bit_or(bit(F.col("p"))).alias("met"))
+    met = shifted_postings(index, anchors).groupBy("row", "item", "diagonal").agg(F.first("doc_id").alias("doc_id"), F.bit_or(bit(F.col("p"))).alias("met"))
     windows = (
         anchors.groupBy("item", "w")
         .agg(F.bit_or(bit(F.col("p"))).alias("need"))
@@ -205,23 +218,24 @@ def phrase_candidates(index: DataFrame, anchors: DataFrame) -> DataFrame:
         met.join(windows, F.col("item") == F.col("_item"))
         .where(F.exists("windows", is_met))
         .select(
-            "doc_id", "item", "diagonal", F.transform(F.filter("windows", is_met), lambda x: x.getField("w")).alias("ws")
+            "doc_id", "row", "item", "diagonal", F.transform(F.filter("windows", is_met), lambda x: x.getField("w")).alias("ws")
         )
     )
 
 
-def proximity_matches(index: DataFrame, anchors: DataFrame, slop: int = 3) -> DataFrame:
-    """doc_id, item, w, start, spread: all anchors of the window meet within ``slop`` words of their order."""
+def proximity_matches(index: DataFrame, anchors: DataFrame, slop: int = SLOP) -> DataFrame:
+    """doc_id, row, item, w, start, spread: all anchors of the window meet within ``slop`` words of their order."""
     posts = shifted_postings(index, anchors)
     wanted = anchors.select(F.col("item").alias("_item"), "w", F.col("p").alias("_p"))
     sizes = Window.partitionBy("_item", "w")
     rows = posts.join(
         wanted.withColumn("_n", F.count(F.lit(1)).over(sizes)), (F.col("item") == F.col("_item")) & (F.col("p") == F.col("_p"))
     )
-    near = Window.partitionBy("doc_id", "item", "w").orderBy("diagonal").rangeBetween(0, slop)
+    near = Window.partitionBy("row", "item", "w").orderBy("diagonal").rangeBetween(0, slop)
     return (
         rows.select(
             "doc_id",
+            "row",
             "item",
             "w",
             "_n",
@@ -230,20 +244,32 @@ def proximity_matches(index: DataFrame, anchors: DataFrame, slop: int = 3) -> Da
             (F.max("diagonal").over(near) - F.col("diagonal")).alias("spread"),
         )
         .where(F.col("_met") == F.col("_n"))
-        .select("doc_id", "item", "w", "start", "spread")
+        .select("doc_id", "row", "item", "w", "start", "spread")
         .distinct()
     )
 
 
-def _mark(window: int):
-    def of(texts: pd.Series, found: pd.Series) -> pd.DataFrame:
-        n_words, n_hit, items = [], [], []
-        for text, cands in zip(texts, found):
+def in_order(phrase: list, tokens: list) -> int:
+    """The most words of ``phrase`` that stand in ``tokens`` in its order."""
+    best = [0] * (len(tokens) + 1)
+    for w in phrase:
+        before = 0
+        for i, t in enumerate(tokens, 1):
+            kept = best[i]
+            best[i] = before + 1 if t == w else max(best[i], best[i - 1])
+            before = kept
+    return best[-1]
+
+
+def _mark(window: int, slop: int):
+    def of(texts: pd.Series, found: pd.Series, close: pd.Series) -> pd.DataFrame:
+        n_words, n_hit, items, near = [], [], [], []
+        for text, exact, around in zip(texts, found, close):
             tokens = terms(text)
             n_words.append(len(tokens))
-            hit = np.zeros(len(tokens), dtype=bool) if cands is not None and len(cands) else None
-            ids = set()
-            for c in cands if hit is not None else ():
+            hit = np.zeros(len(tokens), dtype=bool) if exact is not None and len(exact) else None
+            ids, near_ids = set(), set()
+            for c in exact if hit is not None else ():
                 words = [w.encode("utf-8") for w in c["words"]]
                 for w in c["ws"]:
                     at = c["diagonal"] + w
@@ -251,36 +277,63 @@ def _mark(window: int):
                     if at >= 0 and tokens[at : at + len(phrase)] == phrase:
                         hit[at : at + len(phrase)] = True
                         ids.add(c["item_id"])
+            for c in around if around is not None else ():
+                if c["item_id"] in ids or c["item_id"] in near_ids:
+                    continue
+                phrase = [w.encode("utf-8") for w in c["words"][c["w"] : c["w"] + window]]
+                at = max(0, c["start"] - slop)
+                if 100 * in_order(phrase, tokens[at : c["start"] + len(phrase) + slop]) >= NEAR_PERCENT * len(phrase):
+                    near_ids.add(c["item_id"])
             n_hit.append(0 if hit is None else int(hit.sum()))
             items.append(sorted(ids))
-        return pd.DataFrame({"n_words": n_words, "n_hit": n_hit, "items": items})
+            near.append(sorted(near_ids - ids))
+        return pd.DataFrame({"n_words": n_words, "n_hit": n_hit, "items": items, "near_items": near})
 
-    return F.pandas_udf(of, "n_words long, n_hit long, items array<string>")
+    return F.pandas_udf(of, "n_words long, n_hit long, items array<string>, near_items array<string>")
 
 
-def mark_contaminated(docs: DataFrame, bench: DataFrame, window: int = WINDOW, anchors: int = ANCHORS) -> DataFrame:
-    """doc (struct of the columns of ``docs``), n_words, n_hit, items (sorted ids of items with occurring windows)."""
+def mark_contaminated(
+    docs: DataFrame, bench: DataFrame, window: int = WINDOW, anchors: int = ANCHORS, slop: int | None = None
+) -> DataFrame:
+    """doc (struct of the columns of ``docs``), n_words, n_hit, items, near_items.
+
+    ``items``: sorted ids of the items with occurring windows; ``near_items``:
+    those of the other items with a window near its order, where ``slop`` is given.
+    """
     windows = stage_table(item_windows(bench, window), "bench-windows")
     words = windows.select("term")
     chosen = stage_table(choose_anchors(windows, term_counts(docs, words), anchors), "bench-anchors")
     index = build_index(docs, chosen.select("term"))
     texts = windows.select(F.col("item").alias("_item"), "item_id", "words").distinct()
-    found = (
-        phrase_candidates(index, chosen)
-        .join(texts, F.col("item") == F.col("_item"))
-        .groupBy("doc_id")
-        .agg(F.collect_list(F.struct("item_id", "words", "diagonal", "ws")).alias("_found"))
-        .withColumnRenamed("doc_id", "_doc")
+
+    def per_row(candidates: DataFrame, *columns: str) -> DataFrame:
+        return (
+            candidates.join(texts, F.col("item") == F.col("_item"))
+            .groupBy("row")
+            .agg(F.collect_list(F.struct("item_id", "words", *columns)).alias("_list"))
+        )
+
+    exact = per_row(phrase_candidates(index, chosen), "diagonal", "ws").select(
+        F.col("row").alias("_row"), F.col("_list").alias("_found")
     )
+    if slop is None:
+        met = exact.withColumn("_near", F.lit(None).cast("array<struct<item_id:string,words:array<string>,w:int,start:int>>"))
+    else:
+        near = per_row(proximity_matches(index, chosen, slop), "w", "start").select(
+            F.col("row").alias("_near_row"), F.col("_list").alias("_near")
+        )
+        met = exact.join(near, F.col("_row") == F.col("_near_row"), "full").select(
+            F.coalesce("_row", "_near_row").alias("_row"), "_found", "_near"
+        )
     rows = docs.select(
         F.struct(*[ref(c) for c in docs.columns]).alias("doc"),
-        ref("doc_id").cast("long").alias("_id"),
+        row_key().alias("_id"),
         text_of().cast("binary").alias("_text"),
     )
     return (
-        rows.join(found, F.col("_id").eqNullSafe(F.col("_doc")), "left")
-        .withColumn("_m", _mark(window)(F.col("_text"), F.col("_found")))
-        .select("doc", "_m.n_words", "_m.n_hit", "_m.items")
+        rows.join(met, F.col("_id") == F.col("_row"), "left")
+        .withColumn("_m", _mark(window, slop or 0)(F.col("_text"), F.col("_found"), F.col("_near")))
+        .select("doc", "_m.n_words", "_m.n_hit", "_m.items", "_m.near_items")
     )
 
 

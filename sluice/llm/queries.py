@@ -81,6 +81,14 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def benchmark_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with windows of benchmark items that are near, and not equal: the proximity matches of operator 7."""
+    marked = decontaminate.mark_contaminated(
+        _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), slop=decontaminate.SLOP
+    )
+    return marked.where(F.size("near_items") > 0).select("doc.doc_id", F.array_join("near_items", ",").alias("near_items"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.plan_mix(_read(spark, sf_dir, "documents"))
     return plan.select(
@@ -144,6 +152,7 @@ QUERIES = {
     "op5_line_dedup": op5_line_dedup,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_decontaminate": op7_decontaminate,
+    "benchmark_proximity": benchmark_proximity,
     "op8_mix_sources": op8_mix_sources,
     "op9_passages": op9_passages,
     "op10_chat_format": op10_chat_format,

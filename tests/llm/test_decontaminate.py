@@ -4,6 +4,8 @@ import random
 import re
 
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from sluice.llm import decontaminate
@@ -90,6 +92,37 @@ def test_index_and_proximity(spark):
     assert sorted((r["doc_id"], r["start"], r["spread"]) for r in near) == [(1, 1, 0), (2, 0, 2)]
 
 
+def test_near_windows_are_verified(spark):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    rare = ["alpha", "kappa"]  # the anchors: every other word is common
+    common = " ".join(w for w in item.split() if w not in rare)
+    docs = [(100 + i, common, "", "", 0) for i in range(5)] + [
+        (1, "x " + item, "", "", 0),
+        (2, item.replace("delta", "delta and more"), "", "", 0),
+        (3, item.replace("delta", "other").replace(" eta ", " new "), "", "", 0),
+        (4, "alpha kappa of nothing else and no other word of it", "", "", 0),
+        (5, "alpha one two beta three four five six eight nine kappa", "", "", 0),
+        (None, item.replace("gamma", "changed and"), "", "", 0),
+        (None, "some other text", "", "", 0),
+    ]
+    marked = decontaminate.mark_contaminated(frame(spark, docs), bench(spark, [(7, item)]), slop=3).collect()
+    got = sorted((str(r["doc"]["doc_id"]), list(r["items"]), list(r["near_items"])) for r in marked if r["doc"]["doc_id"] not in range(100, 105))
+    assert got == [
+        ("1", ["7"], []), ("2", [], ["7"]), ("3", [], ["7"]), ("4", [], []), ("5", [], []), ("None", [], []), ("None", [], ["7"]),
+    ]
+
+
+@given(st.lists(st.integers(0, 3), max_size=8), st.lists(st.integers(0, 3), max_size=9))
+def test_words_in_order(phrase, tokens):
+    best = 0
+    for pick in range(1 << len(phrase)):
+        part, at = [w for i, w in enumerate(phrase) if pick >> i & 1], 0
+        for t in tokens:
+            at += at < len(part) and part[at] == t
+        best = max(best, len(part) if at == len(part) else 0)
+    assert decontaminate.in_order(phrase, tokens) == best
+
+
 @pytest.mark.parametrize("c", range(256))
 def test_terms_part_as_the_pattern(c):
     ch = chr(c)

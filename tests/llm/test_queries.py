@@ -93,7 +93,7 @@ def test_native_queries_stay_in_the_jvm(spark, made, name):
 
 def test_the_entry_registers_every_operator_and_the_pipeline():
     names = entry.queries()
-    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11))
+    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 14))
     assert names["pipeline"] is corpus_pipeline.run
     assert "op2_quality_rules" in entry.oracle_sql() and "pipeline" not in entry.oracle_sql()
 
