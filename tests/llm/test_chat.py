@@ -87,3 +87,11 @@ def test_escape_round_trip_is_exact(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = df.select(chat.unescape(chat.escape(F.col("t"))).alias("t"), chat.unescape_role(chat.escape_role(F.col("t"))).alias("r"))
     assert [(r["t"], r["r"]) for r in got.collect()] == [(t, t) for t in texts]
+
+
+def test_very_long_texts_and_columns_with_clashing_names(spark):
+    long = "word <|im_end|> \\ " * 20_000
+    schema = "conv_id long, turn long, role string, text string, msg string, kind string, turns string, `a.b` string, formatted string"
+    rows = [(1, 0, "user", long, "m", "edit", "t", "x", "f"), (1, 1, "assistant", long, "m", "delta", "t", "x", "f")]
+    got = read(spark, rows, schema)[1]
+    assert [t["text"] for t in got["turns"]] == [long, long] and got["loss_text"] == long

@@ -143,3 +143,47 @@ def test_stages_take_and_return_documents(spark, made):
     for _name, stage in corpus_pipeline.STAGES:
         out = stage(spark, frame, path)
         assert out.columns == frame.columns and out.count() == 0
+
+
+@pytest.mark.parametrize("empty", ["labels", "benchmark", "both"])
+def test_the_pipeline_without_labels_or_benchmark(spark, made, empty):
+    path, docs, *_ = made
+    none = scratch_path(spark, "llm-empty")
+    for name in ("documents", "labels", "benchmark"):
+        table = spark.read.parquet(f"{path}/{name}.parquet")
+        if empty in (name, "both") and name != "documents":
+            table = table.limit(0)
+        table.coalesce(1).write.parquet(f"{none}/{name}.parquet")
+    frame = spark.read.parquet(f"{none}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    ids = sorted(d[0] for d in docs)
+
+    def left(stage):
+        return sorted(r["doc_id"] for r in stages[stage](spark, frame, none).collect())
+
+    assert (left("toxicity") == ids) == (empty != "benchmark")
+    assert (left("benchmark_decontamination") == ids) == (empty != "labels")
+
+
+def test_the_pipeline_carries_odd_rows_and_other_columns(spark, odd, made):
+    """Null ids and texts, repeated rows and clashing names through all stages."""
+    path = scratch_path(spark, "llm-odd")
+    rows = odd.collect()
+    odd.coalesce(1).write.parquet(f"{path}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{made[0]}/{name}.parquet").limit(0).write.parquet(f"{path}/{name}.parquet")
+    got = corpus_pipeline.run(spark, path)
+    assert got.columns == odd.columns
+    out = got.collect()
+    assert {r["a.b"] for r in out} == {"x"}
+    texts = {r["text"] for r in rows}
+    for r in out:
+        assert r["n_chars"] == len(r["text"])
+        assert any(set(r["text"].split("\n")) <= set((t or "").split("\n")) for t in texts)
+
+
+def test_proximity_names_items_that_are_near_and_not_equal(spark, made):
+    path, docs, items, _toxic = made
+    exact = {r[0]: r[3] for r in brute_contaminated([(d[0], d[1]) for d in docs], items)}
+    for r in queries.QUERIES["benchmark_proximity"](spark, path).collect():
+        assert not set(r["near_items"].split(",")) & set(exact[str(r["doc_id"])])
