@@ -2,6 +2,21 @@
 
 Every stage takes the documents that the one before it kept and returns
 documents with the same columns; the last one returns the mix, a row per copy.
+
+Defined cases, for all stages
+-----------------------------
+* null or empty text: judged as a text without words; not toxic unless the fit
+  says so of no evidence, has no repeated line, is a near copy of other empty
+  texts (one of them stays), holds no benchmark window, and takes no part of the mix.
+* null ``doc_id``: scored and compared like any other row; such rows are one
+  document for the line counts, cannot be told apart as near copies and stay.
+* null ``source``: a source of its own. Nulls in other columns are carried.
+* repeated rows: scored alike; rows of one id are one document for the line
+  counts and near copies; what is left of them is mixed row by row.
+* ties: the largest id keeps a repeated line, the smallest id stands for near copies.
+* empty ``documents``: no rows. Empty ``labels``: nothing is toxic. Empty
+  ``benchmark``: nothing is contaminated.
+* extra columns are carried whatever their names; ``n_chars`` follows the text.
 """
 
 from __future__ import annotations
