@@ -112,3 +112,123 @@ def test_measures_of_odd_texts():
     for text in (None, b"", b" \t\n", b"a", "é\U0001f600　".encode(), b"| | |", b"x " * 50_000):
         m = quality_gam.measure(text)
         assert len(m) == len(quality_gam.FEATURES) and np.isfinite(m).all()
+
+
+def slow_kneser_ney(cut, labels, lexicon, discount):
+    """P(word), back-off weight and P(second | first) of both classes, from sets of contexts and plain loops."""
+    out = []
+    types, contexts = [], []
+    for of in (1, 0):
+        mine = [[lexicon.id(w) for w in t] for t, y in zip(cut, labels) if y == of]
+        before, pairs = {}, {}
+        for ids in mine:
+            for k in range(1, len(ids)):
+                before.setdefault(ids[k], set()).add(ids[k - 1])
+                found = pairs.setdefault((ids[k - 1], ids[k]), set())
+                if k > 1:
+                    found.add(ids[k - 2])
+        seen = {}
+        for w in {w for t, y in zip(cut, labels) if y == of for w in t}:
+            stems = [lexicon.stems[k].get(w[:n]) for k, n in enumerate(toxicity.STEMS)]
+            for s in {*(x for x in stems if x is not None), *([0] if stems[-1] is None else [])}:
+                seen.setdefault(s, set()).add(w)
+        words = set(lexicon.words.values())
+        types.append({i: len(before.get(i, ())) if i in words else len(seen.get(i, ())) for i in range(lexicon.size)})
+        contexts.append({p: len(x) for p, x in pairs.items()})
+    pooled = {i: types[0][i] + types[1][i] + 1 for i in range(lexicon.size)}
+    parents = [(list(own), list(parent)) for own, parent in lexicon.levels]
+    for n, pair in zip(types, contexts):
+        last = [0, *lexicon.stems[-1].values()]
+        total = max(1, sum(n[i] for i in last))
+        held = sum(min(n[i], discount) for i in last)
+        p = {}
+        for i in last:
+            rest = (held if sum(n[j] for j in last) else 1) / total
+            p[i] = max(n[i] - discount, 0) / total + rest * pooled[i] / sum(pooled[j] for j in last)
+        for own, parent in parents:
+            total = max(1, sum(n[i] for i in own))
+            weight = sum(min(n[i], discount) for i in own) / total if any(n[i] for i in own) else 1
+            for i, up in zip(own, parent):
+                brothers = sum(pooled[j] for j, q in zip(own, parent) if q == up)
+                p[i] = max(n[i] - discount, 0) / total + weight * p[up] * pooled[i] / brothers
+        out.append((p, pair))
+    return out
+
+
+def test_models_match_slow_kneser_ney():
+    rng = random.Random(8)
+    rows, labels = corpus(rng, 60)
+    cut = [toxicity.tokens(r[1].encode())[:60] for r in rows]
+    lexicon = toxicity.Lexicon(cut)
+    ids = [lexicon.ids(t) for t in cut]
+    labels = np.array(labels)
+    for discount in (0.75, 2.0):
+        made = toxicity.train(lexicon, toxicity.count(lexicon, cut, ids, labels), discount)
+        slow = slow_kneser_ney(cut, labels, lexicon, discount)
+
+        def given(c, first, second):
+            p, pairs = slow[c]
+            after = sum(n for (a, _), n in pairs.items() if a == first)
+            freed = sum(min(n, discount) for (a, _), n in pairs.items() if a == first)
+            back = (freed + toxicity.PRIOR) / (after + toxicity.PRIOR)
+            return max(pairs.get((first, second), 0) - discount, 0) / (after + toxicity.PRIOR) + back * p[second]
+
+        words = list(lexicon.words.values())[:30]
+        for text in [ids[0], ids[1], np.array([words[0], words[0], 0, words[5]])]:
+            first = np.zeros(len(text), bool)
+            first[0] = True
+            got = made.differences(text, first)
+            want = [np.log(slow[0][0][text[0]]) - np.log(slow[1][0][text[0]])]
+            want += [np.log(given(0, a, b)) - np.log(given(1, a, b)) for a, b in zip(text, text[1:])]
+            assert got == pytest.approx(want)
+        # What may follow a word shares out the whole of its probability.
+        for c in (0, 1):
+            mass = sum(slow[c][0][i] for i in range(lexicon.size))
+            for a in words[:5]:
+                pairs = slow[c][1]
+                after = sum(n for (x, _), n in pairs.items() if x == a)
+                freed = sum(min(n, discount) for (x, _), n in pairs.items() if x == a)
+                total = sum(given(c, a, b) for b in range(lexicon.size))
+                assert total == pytest.approx((after - freed + (freed + toxicity.PRIOR) * mass) / (after + toxicity.PRIOR))
+
+
+def test_gam_scores_are_sums_of_looked_up_bins():
+    rng = np.random.default_rng(6)
+    x = rng.random((800, 4)).round(2)
+    y = ((x[:, 0] > 0.4) ^ (x[:, 2] > 0.7)).astype(float)
+    made = quality_gam.fit(x, y)
+    for row, score in zip(x[:60], made.score(x[:60])):
+        at = [sum(edge <= value for edge in edges) for edges, value in zip(made.edges, row)]
+        z = made.base + sum(table[k] for table, k in zip(made.tables, at))
+        z += sum(t[made.coarse[i][at[i]], made.coarse[j][at[j]]] for (i, j), t in zip(made.pairs, made.pair_tables))
+        assert score == pytest.approx(1 / (1 + np.exp(-z)))
+
+
+def test_the_first_cut_of_a_shallow_tree_is_the_best_one():
+    rng = np.random.default_rng(7)
+    for _ in range(20):
+        g, h, n = rng.normal(size=12), rng.random(12) + 0.1, np.full(12, 10_000)
+        value = quality_gam.shallow_tree(g, h, n, leaves=2)
+        ridge = quality_gam.RIDGE
+
+        def gain(cut):
+            return sum(g[s].sum() ** 2 / (h[s].sum() + ridge) for s in (slice(0, cut), slice(cut, 12)))
+
+        cut = max(range(1, 12), key=gain)
+        if gain(cut) - g.sum() ** 2 / (h.sum() + ridge) > 1e-9:
+            assert value[0] == pytest.approx(g[:cut].sum() / (h[:cut].sum() + ridge))
+            assert value[-1] == pytest.approx(g[cut:].sum() / (h[cut:].sum() + ridge))
+
+
+def test_the_best_cross_cut_is_found():
+    rng = np.random.default_rng(9)
+    for _ in range(20):
+        g, h = rng.normal(size=(5, 6)), rng.random((5, 6)) + 0.1
+        ridge = quality_gam.RIDGE
+
+        def gain(i, j):
+            parts = [(r, c) for r in (slice(0, i), slice(i, 5)) for c in (slice(0, j), slice(j, 6))]
+            return sum(g[p].sum() ** 2 / (h[p].sum() + ridge) for p in parts)
+
+        best = max(gain(i, j) for i in range(1, 5) for j in range(1, 6))
+        assert quality_gam.quadrants(g, h)[0] == pytest.approx(best - g.sum() ** 2 / (h.sum() + ridge))
