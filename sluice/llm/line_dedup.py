@@ -22,7 +22,8 @@ documents is one row per task.
 Defined cases
 -------------
 * null or empty text: one empty line, which has no key long enough to go.
-* null ``doc_id``: one document, below every other id.
+* null ``doc_id``: one document for the counts, below every other id; what each of
+  its rows loses is found by its text, so such rows do not gather in one group.
 * repeated rows: rows of one ``doc_id`` are one document for the counts; each
   row loses its lines alike.
 * empty batch or table: the state stays as it is; no rows.
@@ -328,19 +329,23 @@ def drop_repeated(docs: DataFrame, state: LineState, min_chars: int = MIN_CHARS,
     digests it must drop, and only documents with one pass through Python.
     """
     repeated = state.counts.where(F.col("n_docs") >= min_docs).select(F.col("digest").alias("_digest"), "last_doc")
+    by_text = F.xxhash64(text_of())
+    nameless = docs.where(ref("doc_id").isNull()).select(by_text.alias("doc_id"), text_of().alias("text"))
+    held = state.postings.where(F.col("doc_id").isNotNull()).select("digest", "doc_id", F.lit(False).alias("_null"))
+    held = held.unionByName(key_postings(nameless, 1, min_chars).select("digest", "doc_id", F.lit(True).alias("_null")))
     dropped = (
-        state.postings.join(repeated, F.col("digest") == F.col("_digest"))
-        .where(~F.col("doc_id").eqNullSafe(F.col("last_doc")))
-        .groupBy("doc_id")
+        held.join(repeated, F.col("digest") == F.col("_digest"))
+        .where(F.col("_null") | ~F.col("doc_id").eqNullSafe(F.col("last_doc")))
+        .groupBy(F.col("doc_id").alias("_doc"), "_null")
         .agg(F.collect_list("digest").alias("_drop"))
-        .withColumnRenamed("doc_id", "_doc")
     )
     rows = docs.select(
         F.struct(*[ref(c) for c in docs.columns]).alias("doc"),
-        ref("doc_id").cast("long").alias("_id"),
+        F.coalesce(ref("doc_id").cast("long"), by_text).alias("_id"),
+        ref("doc_id").isNull().alias("_nameless"),
         text_of().alias("_text"),
     )
-    joined = rows.join(dropped, F.col("_id").eqNullSafe(F.col("_doc")), "left")
+    joined = rows.join(dropped, (F.col("_id") == F.col("_doc")) & (F.col("_nameless") == F.col("_null")), "left")
     touched = F.when(F.col("_drop").isNotNull(), F.col("_text").cast("binary"))
     hold = F.pandas_udf(_hold, "text string, n_dropped long")(touched, F.col("_drop"))
     return joined.withColumn("_held", hold).select(

@@ -93,3 +93,11 @@ def test_digest_in_python_equals_the_one_in_spark(spark):
     rows = line_dedup.key_postings(frame(spark, [(1, text, "", "", 0)]), 1).collect()
     want = hashlib.sha256(text.encode().strip(BLANKS.encode()).lower()).digest()[:16]
     assert [bytes(r["digest"]) for r in rows] == [want]
+
+
+def test_many_rows_without_an_id_are_one_document_each_losing_its_own_lines(spark):
+    lines = [f"a line that is long enough number {i}" for i in range(12)]
+    rows = [(None, "\n".join(lines[i % 10 : i % 10 + 3]), "en", "s", 0) for i in range(200)]
+    rows += [(i, "\n".join([lines[i], lines[i + 1], f"own line of document number {i}"]), "en", "s", 0) for i in range(11)]
+    got = line_dedup.dedup_lines(frame(spark, rows))
+    assert result(got) == brute([(r[0], r[1]) for r in rows])
