@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from sluice import MultiTableSink, SchemaConflictError, SinkConfig
 from sluice.functions.types import WIDEN
 from sluice.operators import infer, merge, route, shape
-from sluice.plans import tables
+from sluice.plans import counts, tables
 from sluice.session import apply_required_conf, scratch_path
 from sluice.sources import envelope
 from sluice.sources import events_feed as feed
@@ -620,9 +620,8 @@ def q_count_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = []
     for s in _table_suffixes(sink):
         df = sink.read(s)
-        for c in sorted(c for c in df.columns if c in PAYLOAD_TYPES or c in ("unique_id", "user_id")):
-            count = df.where(F.col(c).isNotNull()).agg(F.count("*").alias("n")).limit(10)
-            frames.append(count.select(F.lit(s).alias("table_suffix"), F.lit(c).alias("field"), "n"))
+        columns = sorted(c for c in df.columns if c in PAYLOAD_TYPES or c in ("unique_id", "user_id"))
+        frames.append(counts.not_null_counts(df, columns).limit(len(columns)).select(F.lit(s).alias("table_suffix"), "field", "n"))
     return _stacked(frames)
 
 

@@ -238,3 +238,22 @@ def test_the_days_asked_for_are_a_partition_filter(spark):
     text = plan_text(sink._in_reach(spark.table(sink.table("t")), ["2024-01-05"]).select("unique_id"))
     scans = [line for line in text.splitlines() if "PartitionFilters" in line]
     assert any("kafka_date" in s and "2024-01-03" in s and "2024-01-07" in s for s in scans)
+
+
+def test_counts_come_from_the_footers(spark):
+    from sluice.plans import counts
+
+    sink = new_sink(spark, key_buckets=2)
+    rows = [("t", json.dumps({"unique_id": i, "a b": i if i % 3 else None, "c": "x" * (i % 2)}), i, 86_400 * (i % 2)) for i in range(30)]
+    sink.process_batch(records(spark, rows), 0, "w", BATCH_TIME)
+    sink.process_batch(records(spark, [("t", '{"unique_id":3}', 90), ("t", '{"unique_id":99,"d":true}', 91)]), 1, "w", BATCH_TIME)
+    table = sink.read("t")
+    columns = ["unique_id", "a b", "c", "d"]
+    want = table.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in columns]).first().asDict()
+    assert {r["field"]: r["n"] for r in counts.not_null_counts(table, columns).collect()} == want
+    schema = table.select("unique_id", "c").schema
+    text = plan_text(counts.footer_counts(spark, table.inputFiles(), schema, ["c"]))
+    assert "PushedAggregation: [COUNT(" in text
+    # Settings are as before, and a table without files has no rows.
+    assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")
+    assert counts.not_null_counts(spark.createDataFrame([], "a long"), ["a"]).first()["n"] == 0
