@@ -72,7 +72,7 @@ def test_update_rewrites_only_the_buckets_that_hold_its_keys(spark):
     update = [("t", json.dumps({"unique_id": 7, "v": -7}), 100, 86_400), ("t", json.dumps({"unique_id": 9, "v": -9}), 101, 86_400)]
     sink.process_batch(records(spark, update), 1, "w", BATCH_TIME)
     after = spark.table(sink.table("t"))
-    rewritten = {(str(r[0]), r[1]) for r in after.where("ingest_batch like '%1'").select(*key.split(", ")).distinct().collect()}
+    rewritten = {(str(r[0]), r[1]) for r in after.where("ingest_batch like 'w-000000000001-%'").select(*key.split(", ")).distinct().collect()}
     assert rewritten == {where[7], where[9], (where[7][0], where[9][1])}
     got = {r["unique_id"]: r["v"] for r in after.collect()}
     assert got == {i: -i if i in (7, 9) else i for i in range(60)}
