@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import ref, small_batches, stage_table, text_of
+from sluice.llm.common import drop_stage, ref, small_batches, stage_table, text_of
 from sluice.llm.packing import pack, pack_sorted, rows_of, squeeze, unpack, unpack_sorted, unsqueeze
 
 # What parts pieces, and the least occurrences, lengths and thresholds of a candidate.
@@ -333,7 +333,7 @@ def frequent_phrases(
         ).mapInArrow(_blocks(block_bytes), _BLOCKS),
         "setm-1",
     )
-    sizes = relation.groupBy("lang").agg(F.sum("n_words").alias("n"))
+    sizes = stage_table(relation.groupBy("lang").agg(F.sum("n_words").alias("n")), "setm-sizes")
     levels: list[DataFrame] = []
     for k in range(1, max_words + 1):
         shards = _shards_for(relation, shard_entries)
@@ -356,12 +356,15 @@ def frequent_phrases(
             )
         levels.append(stage_table(level, f"setm-phrases-{k}"))
         if k == max_words:
+            drop_stage(relation, counted)
             break
         found = counted.where(F.col("block").isNotNull()).select("block", "entries", "ids")
         held = relation.select("block", "occ") if k == 1 else relation.select("block", "ids", "occ")
-        relation = stage_table(
+        longer = stage_table(
             held.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(_keep(k == 1), _RELATION), f"setm-{k + 1}"
         )
+        drop_stage(relation, counted)
+        relation = longer
     return reduce(DataFrame.unionByName, [x.select("lang", "words", "f") for x in levels]), sizes
 
 

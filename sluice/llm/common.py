@@ -50,13 +50,24 @@ def stage_table(df: DataFrame, label: str) -> DataFrame:
 
     Cuts the lineage: later steps reread files that every executor sees, so a
     lost executor costs no recomputation. The folder goes when the driver's JVM
-    ends.
+    ends, or with ``drop_stage`` once nothing reads it any more.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
     drop_at_exit(spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged._stage_folder = path
+    return staged
+
+
+def drop_stage(*staged: DataFrame) -> None:
+    """Delete the folders of stage tables whose successors are written."""
+    for df in staged:
+        path = df.__dict__.get("_stage_folder")
+        if path:
+            folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def drop_at_exit(spark: SparkSession, path: str) -> None:
