@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sluice.llm import decontaminate, line_dedup, mixing, simhash_ball, toxicity
-from sluice.llm.common import stage_table
+from sluice.llm.common import drop_stage, stage_table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,5 +68,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written to the shared folder and read back."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = stage_table(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        kept = stage_table(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        drop_stage(docs)
+        docs = kept
     return STAGES[-1][1](spark, docs, sf_dir)
