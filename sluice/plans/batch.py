@@ -21,7 +21,6 @@ import datetime as dt
 import re
 import threading
 import uuid
-from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
@@ -93,7 +92,12 @@ SWITCH_PROPERTY = "sluice_switch"
 # Characters of a table name at most, prefix included (catalogs and file systems have such a bound).
 MAX_TABLE_NAME = 128
 
-_LOCKS: dict[str, threading.RLock] = defaultdict(threading.RLock)
+_LOCKS: dict[str, threading.RLock] = {}
+
+
+def _turn(table: str) -> threading.RLock:
+    """The lock by which this driver's writers take turns on a table."""
+    return _LOCKS.setdefault(table, threading.RLock())
 
 
 class BadRecordError(ValueError):
@@ -353,7 +357,7 @@ class MultiTableSink:
         table, name = self.table(suffix), self.table_name(suffix)
         if rows[0]["n_fields"] > self.config.max_fields:
             raise SchemaConflictError(f"table '{suffix}': more than {self.config.max_fields} fields in one batch")
-        with _LOCKS[table]:
+        with _turn(table):
             exists = tables.table_exists(self.spark, self.config.database, name)
             props = tables.property_map(self.spark, table) if exists else {}
             if exists:
@@ -538,7 +542,7 @@ class MultiTableSink:
     def _write_quarantine(self, prepared: DataFrame, batch_id: int, writer: str, batch_time: dt.datetime) -> None:
         name = self.config.table_prefix + self.config.quarantine_table
         table = self.quarantine_table()
-        with _LOCKS[table]:
+        with _turn(table):
             if not tables.table_exists(self.spark, self.config.database, name):
                 columns = META_TYPES + [
                     (ROUTING_COLUMN, "STRING"),
