@@ -187,3 +187,15 @@ def test_proximity_names_items_that_are_near_and_not_equal(spark, made):
     exact = {r[0]: r[3] for r in brute_contaminated([(d[0], d[1]) for d in docs], items)}
     for r in queries.QUERIES["benchmark_proximity"](spark, path).collect():
         assert not set(r["near_items"].split(",")) & set(exact[str(r["doc_id"])])
+
+
+def test_a_passage_is_listed_for_both_of_its_documents(spark):
+    rng = random.Random(4)
+    text = [" ".join(f"w{rng.randrange(10_000)}" for _ in range(n)) for n in (30, 60, 80, 60)]
+    rows = [(1, text[0] + " " + text[1]), (2, text[1] + " " + text[2]), (3, text[3]), (4, text[3]), (5, text[2][:200])]
+    path = scratch_path(spark, "both-sides")
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{path}/documents.parquet")
+    found = queries.op9_passages(spark, path)
+    got = {(r["doc_id"], r["other_id"]): (r["start"], r["n_words"], r["other_start"], r["other_words"], r["edits"]) for r in found.collect()}
+    assert found.columns == ["doc_id", "other_id", "start", "n_words", "other_start", "other_words", "edits", "similarity"]
+    assert got == {(1, 2): (30, 60, 0, 60, 0), (2, 1): (0, 60, 30, 60, 0), (3, 4): (0, 60, 0, 60, 0), (4, 3): (0, 60, 0, 60, 0)}
