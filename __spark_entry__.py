@@ -206,8 +206,9 @@ def q_field_types_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _tables_and_rows(spark: SparkSession, sf_dir: str, label: str):
     """All events merged into their tables, and per table the rows of the same events once more."""
     sink = _merged_events(spark, sf_dir, label)
-    prepared = _prepared(spark, sf_dir)
-    inferred = infer.infer_schema(infer.observe_fields(prepared)).where(F.col("reason").isNull()).collect()
+    # Read by the inference and once per table: parsed once. The frames returned read it, so it stays cached.
+    prepared = _prepared(spark, sf_dir).sortWithinPartitions(envelope.ROUTING_COLUMN).persist(StorageLevel.MEMORY_AND_DISK)
+    inferred = [r for r in infer.infer_schema(infer.observe_fields(prepared)).collect() if r["reason"] is None]
     rows = {}
     for suffix in _table_suffixes(sink):
         plans = sink.plan_fields(suffix, [r for r in inferred if r["table_suffix"] == suffix], None)

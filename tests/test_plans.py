@@ -257,3 +257,18 @@ def test_counts_come_from_the_footers(spark):
     # Settings are as before, and a table without files has no rows.
     assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")
     assert counts.not_null_counts(spark.createDataFrame([], "a long"), ["a"]).first()["n"] == 0
+
+
+def test_aligned_and_reordered_tables_parse_their_records_once(spark):
+    import __spark_entry__ as entry
+    from sluice.session import scratch_path
+
+    path = scratch_path(spark, "aligned")
+    rows = [(i, "2024-01-02 03:04:05", i % 3, kind, float(i), '{"k": 1}') for i, kind in enumerate(["purchase", "click", "signup", "error"] * 2)]
+    made = spark.createDataFrame(rows, "event_id long, ts string, user_id long, event_type string, value double, props string")
+    made.withColumn("ts", F.col("ts").cast("timestamp_ntz")).write.parquet(f"{path}/events.parquet")
+    for query in (entry.q_align_to_table, entry.q_reorder_to_table):
+        out = query(spark, path)
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "InMemoryRelation" in plan and "parseJson" not in plan.split("InMemoryRelation")[0]
+        assert out.count() == len(rows)
