@@ -76,8 +76,12 @@ def first_weights(shape: Shape, class_log: np.ndarray, member_log: np.ndarray, s
     return flat
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+def _sigmoid(x: np.ndarray) -> None:
+    """In place."""
+    x *= 0.5
+    np.tanh(x, out=x)
+    x *= 0.5
+    x += 0.5
 
 
 @dataclass
@@ -148,22 +152,34 @@ class Model:
 
     def _run(self, x: np.ndarray, fresh: np.ndarray, h: np.ndarray) -> tuple[list, np.ndarray]:
         """States before each step of a window, with what the backward pass needs."""
-        k, w = self.shape.hidden, self.w
+        embed, recur = self._gates("embed"), self._gates("recur")
         steps = []
+        began = fresh.any(axis=1)
         for t in range(len(x)):
-            keep = ~fresh[t][:, None]
-            h = h * keep
-            a = w["embed"][x[t]]
-            g = h @ w["recur"]
-            zr = _sigmoid(a[:, : 2 * k] + g[:, : 2 * k])
-            z, r = zr[:, :k], zr[:, k:]
-            c = np.tanh(a[:, 2 * k :] + r * g[:, 2 * k :])
-            after = c + z * (h - c)
-            steps.append((h, zr, c, g[:, 2 * k :], keep))
+            keep = ~fresh[t][:, None] if began[t] else None
+            if keep is not None:
+                h = h * keep
+            a = embed.take(x[t], axis=1)
+            g = np.matmul(h, recur)
+            zr = a[:2]
+            zr += g[:2]
+            _sigmoid(zr)
+            z, r = zr
+            c = r * g[2]
+            c += a[2]
+            np.tanh(c, out=c)
+            after = h - c
+            after *= z
+            after += c
+            steps.append((h, zr, c, g[2], keep, after))
             h = after
-            steps[-1] += (after,)
         return steps, h
 
+    def _gates(self, name: str) -> np.ndarray:
+        """The weights of a matrix, gate by gate: each gate's in one piece."""
+        matrix = self.w[name]
+        return np.ascontiguousarray(matrix.reshape(len(matrix), 3, self.shape.hidden).transpose(1, 0, 2))
+
     def _windows(self, lanes: Lanes, window: int):
         """(rows, active lanes) of each window; lanes that have ended fall away from the right."""
         for lo in range(0, len(lanes.x), window):
@@ -260,19 +276,33 @@ class Model:
         d_embed = np.zeros((len(steps), all_states.shape[1], 3 * k), np.float32)
         d_h = np.zeros_like(all_states[0])
         recur_t = np.ascontiguousarray(w["recur"].T)
+        d_g = np.empty_like(d_embed[0])
         for t in range(len(steps) - 1, -1, -1):
-            before, zr, c, gc, keep, _ = steps[t]
-            z, r = zr[:, :k], zr[:, k:]
-            d = d_all[t] + d_h
-            d_c = d * (1 - z) * (1 - c * c)
-            d_a = d_embed[t]
-            d_a[:, :k] = d * (before - c) * z * (1 - z)
-            d_a[:, k : 2 * k] = d_c * gc * r * (1 - r)
-            d_a[:, 2 * k :] = d_c
-            d_g = d_a.copy()
-            d_g[:, 2 * k :] *= r
+            before, (z, r), c, gc, keep, _ = steps[t]
+            d = d_all[t]
+            d += d_h
+            rest = 1 - z
+            d_c = d * rest
+            flat = c * c
+            np.subtract(1, flat, out=flat)
+            d_c *= flat
+            d_z = before - c
+            d_z *= d
+            d_z *= z
+            d_z *= rest
+            d_r = d_c * gc
+            d_r *= r
+            d_r *= 1 - r
+            d_g[:, :k], d_g[:, k : 2 * k] = d_z, d_r
+            d_embed[t] = d_g
+            d_embed[t, :, 2 * k :] = d_c
+            np.multiply(d_c, r, out=d_g[:, 2 * k :])
             d_recur += before.T @ d_g
-            d_h = (d * z + d_g @ recur_t) * keep
+            d_h = d_g @ recur_t
+            d *= z
+            d_h += d
+            if keep is not None:
+                d_h *= keep
         g["recur"] = d_recur
         ids = x.ravel()
         order = np.argsort(ids, kind="stable")

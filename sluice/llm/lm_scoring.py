@@ -1,6 +1,6 @@
 """LM scoring: a gated recurrent language model trained and applied by Spark tasks.
 
-1. Every training word is counted (combined per batch, then summed by word).
+1. Every training word is counted (combined per task, ``HELD_WORDS`` at a time, then summed by word).
 2. The ``LEADING * MEMBERS`` commonest tokens get output weights of their own;
    all others fall into trailing classes by their first two bytes, and are
    parted within the class by their discounted counts, with the freed mass for
@@ -33,6 +33,7 @@ import pickle
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -54,6 +55,7 @@ TOKENS_PER_COPY = 1_000_000
 FAN = 16  # copies averaged in one group
 END = b""
 HELD_TOKENS = 4_000_000  # tokens a task packs into lanes at a time
+HELD_WORDS = 200_000  # different words a task counts before it sends them on
 
 _HEAD_BUCKETS = 16  # steps of the count scale per doubling, for the cut of the head
 
@@ -62,19 +64,32 @@ def tokens(text: bytes | None) -> list[bytes]:
     return text.lower().split() if text else []
 
 
-def count_words(train: DataFrame) -> DataFrame:
-    """word, n over all training texts; the end token is the empty word."""
+def task_counts(train: DataFrame) -> DataFrame:
+    """word, n as each task counts them."""
+
+    def made(seen: Counter) -> pa.RecordBatch:
+        columns = [pa.array(list(seen.keys()), pa.binary()), pa.array(list(seen.values()), pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, names=["word", "n"])
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()
         for batch in batches:
-            seen: Counter = Counter()
-            for text in batch["text"]:
-                seen.update(tokens(text))
-            seen[END] = len(batch)
-            yield pd.DataFrame({"word": list(seen.keys()), "n": list(seen.values())})
+            for text in batch.column("text"):
+                seen.update(tokens(text.as_py()))
+            if batch.num_rows:
+                seen[END] += batch.num_rows
+            if len(seen) >= HELD_WORDS:
+                yield made(seen)
+                seen = Counter()
+        if seen:
+            yield made(seen)
 
-    counted = train.select(text_of().cast("binary").alias("text")).mapInPandas(count, "word binary, n long")
-    return stage_table(counted.groupBy("word").agg(F.sum("n").alias("n")), "lm-counts")
+    return train.select(text_of().cast("binary").alias("text")).mapInArrow(count, "word binary, n long")
+
+
+def count_words(train: DataFrame) -> DataFrame:
+    """word, n over all training texts; the end token is the empty word."""
+    return stage_table(task_counts(train).groupBy("word").agg(F.sum("n").alias("n")), "lm-counts")
 
 
 @dataclass
@@ -108,11 +123,11 @@ class Vocabulary:
 
     def sequence(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Head rows (-1 beyond it) and classes of the words and the end token."""
-        get, trailing = self.words.get, self.trailing
-        rows = np.array([get(w, -1) for w in words] + [get(END, -1)], dtype=np.int64)
+        trailing = self.trailing
+        rows = np.fromiter(map(self.words.get, chain(words, (END,)), repeat(-1)), np.int64, len(words) + 1)
         classes = self.classes[rows].astype(np.int32) if len(self.classes) else np.zeros(len(rows), np.int32)
-        for i in np.flatnonzero(rows < 0).tolist():
-            classes[i] = trailing(words[i]) if i < len(words) else LEADING + TRAILING - 1
+        beyond = np.flatnonzero(rows < 0)
+        classes[beyond] = [trailing(words[i]) if i < len(words) else LEADING + TRAILING - 1 for i in beyond.tolist()]
         return rows, classes
 
     def encoded(self, rows: np.ndarray, classes: np.ndarray) -> np.ndarray:

@@ -112,6 +112,14 @@ def test_next_token_probabilities_sum_to_one(spark, corpus):
     assert counts.count() == len(vocabulary.words)
 
 
+def test_a_task_sends_each_word_once_however_many_batches_it_reads(spark):
+    rows = [(i, f"the cat {i % 7}" if i % 3 else None, "en", "s", 0) for i in range(25_000)]
+    got = lm_scoring.task_counts(frame(spark, rows).coalesce(1)).collect()
+    want = Counter(w for r in rows for w in lm_scoring.tokens((r[1] or "").encode()))
+    want[lm_scoring.END] = len(rows)
+    assert len(got) == len(want) and {bytes(r["word"]): r["n"] for r in got} == want
+
+
 def test_odd_rows_and_empty_tables(spark, odd, nothing):
     got = lm_scoring.score_documents(odd).collect()
     assert sorted((str(r["doc_id"]), r["n_tokens"]) for r in got) == sorted(
