@@ -239,12 +239,13 @@ class Model:
         """One pass over the lanes, a step of Adagrad per window; the mean loss in nats."""
         h = np.zeros((lanes.x.shape[1], self.shape.hidden), np.float32)
         loss = count = 0.0
+        sums = self.shape.views(squares)
         for lo, hi, active in self._windows(lanes, window):
             x, fresh = lanes.x[lo:hi, :active], lanes.fresh[lo:hi, :active]
             steps, h = self._run(x, fresh, h[:active])
             alive = _Alive(lanes, lo, hi, active)
             grads, lost, n = self._gradients(steps, x, lanes.y[lo:hi, :active], alive)
-            self._step(grads, squares, rate)
+            self._step(grads, sums, rate)
             loss += lost
             count += n
         return loss / max(1.0, count)
@@ -261,6 +262,7 @@ class Model:
         g = {"to_class": hs.T @ e, "class_bias": e.sum(axis=0)}
         d_hs = e @ w["to_class"].T
         g["to_member"], g["member_bias"] = np.zeros_like(w["to_member"]), np.zeros_like(w["member_bias"])
+        g["members"] = [c for c, *_ in members[2]] if members else []
         if members:
             order, states, groups = members
             d_states = np.empty_like(states)
@@ -311,16 +313,20 @@ class Model:
         g["embed"] = (own[starts], np.add.reduceat(d_embed.reshape(-1, 3 * k)[order], starts, axis=0))
         return g, -float(log_p.sum()), n
 
-    def _step(self, g: dict, squares: np.ndarray, rate: float) -> None:
-        s = self.shape.views(squares)
-
+    def _step(self, g: dict, s: dict, rate: float) -> None:
         def adagrad(weight, square, grad):
             np.clip(grad, -CLIP, CLIP, out=grad)
             square += grad * grad
             weight -= rate * grad / np.sqrt(square + 1e-6)
 
-        for name in ("recur", "to_class", "class_bias", "to_member", "member_bias"):
+        for name in ("recur", "to_class", "class_bias"):
             adagrad(self.w[name], s[name], g[name])
+        for name in ("to_member", "member_bias"):
+            if 2 * len(g["members"]) > self.shape.leading:
+                adagrad(self.w[name], s[name], g[name])
+            else:
+                for c in g["members"]:  # the gradients of the others are zero
+                    adagrad(self.w[name][c], s[name][c], g[name][c])
         ids, grad = g["embed"]
         np.clip(grad, -CLIP, CLIP, out=grad)
         s["embed"][ids] += grad * grad
