@@ -51,17 +51,20 @@ def prepare(normalised: DataFrame, max_suffix: int = 128, max_fields: int = 2_00
     text = F.col("value").cast("string")
     parsed = F.try_parse_json(text)
     suffix = F.col(ROUTING_COLUMN)
-    names = F.map_keys(F.try_variant_get(F.col("payload"), "$", "map<string,variant>"))
+    # Only an object is a map of names; a column of their own, so that they are read once.
+    names = F.col("_names")
+    read_names = F.map_keys(F.try_variant_get(F.col("payload"), "$", "map<string,variant>"))
     reason = (
         F.when(suffix.isNull() | (suffix == ""), F.lit(UNROUTABLE))
         .when(~suffix.rlike(SUFFIX_PATTERN) | (F.length(suffix) > max_suffix), F.lit(INVALID_SUFFIX))
         .when(F.col("payload").isNull(), F.lit(MALFORMED))
-        .when(~F.schema_of_variant(F.col("payload")).startswith("OBJECT"), F.lit(NOT_OBJECT))
+        .when(names.isNull(), F.lit(NOT_OBJECT))
         .when(F.exists(names, lambda n: n.rlike(BAD_FIELD_PATTERN)), F.lit(INVALID_FIELD))
         .when(F.size(names) > max_fields, F.lit(TOO_MANY_FIELDS))
     )
     return (
         normalised.select(*META_COLUMNS, ROUTING_COLUMN, "value", parsed.alias("payload"))
+        .withColumn("_names", read_names)
         .withColumn("reason", reason)
         .select(
             *META_COLUMNS,

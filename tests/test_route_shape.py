@@ -38,6 +38,15 @@ def test_quarantine_reasons(spark):
     assert all(r["raw_value"] is None for r in route.good_rows(prepared).collect())
 
 
+def test_names_of_a_record_are_read_once(spark):
+    rows = [("t", '{"a":1,"a":2}', 1), ("t", '{"":1}', 2), ("t", '"x"', 3), ("t", "[{}]", 4), ("t", '{"a":1,"b":2,"c":3}', 5), ("t", None, 6)]
+    prepared = route.prepare(normalise(records(spark, rows)), max_fields=2)
+    got = {r["kafka_offset"]: r["reason"] for r in prepared.collect()}
+    assert got == {1: None, 2: "invalid_field", 3: "not_object", 4: "not_object", 5: "too_many_fields", 6: "malformed"}
+    plan = prepared._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_variant_get(") == 1 and "schemaOfVariant" not in plan
+
+
 def test_route_suffixes_and_filter(spark):
     rows = [("a", '{"x":1}', 1), ("b", '{"x":1}', 2), ("a", '{"x":1}', 3), (None, '{"x":1}', 4)]
     prepared = route.prepare(normalise(records(spark, rows)))
